@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from factmill.llm import mixing, sharding
+from factmill.llm import mixing, quality, sharding, topk, toxicity
 from factmill.llm.scratch import table
 
 
@@ -14,8 +14,15 @@ def _docs(op: Callable[[DataFrame], DataFrame]) -> Callable[[SparkSession, str],
     return lambda spark, sf_dir: op(table(spark, sf_dir, "documents"))
 
 
+def _labelled(op: Callable[[DataFrame, DataFrame], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    return lambda spark, sf_dir: op(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op3_quality": _labelled(quality.op3),
         "op6_mix": _docs(mixing.op6),
+        "op8_topk": lambda spark, sf_dir: topk.op8(table(spark, sf_dir, "embeddings")),
+        "op9_toxicity": _labelled(toxicity.op9),
         "op10_shard": _docs(sharding.op10),
     }
