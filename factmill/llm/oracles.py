@@ -19,6 +19,26 @@ WITH v AS (
 SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM r WHERE rank <= 5
 """
 
+LINES = """
+WITH lines AS (
+    SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+           generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS i
+    FROM documents
+), keyed AS (
+    SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+    FROM lines
+), shared AS (
+    SELECT key, min(doc_id) AS holder FROM keyed WHERE length(key) >= 10
+    GROUP BY key HAVING count(DISTINCT doc_id) >= 2
+), judged AS (
+    SELECT k.*, s.key IS NOT NULL AND k.doc_id <> s.holder AS gone FROM keyed k LEFT JOIN shared s USING (key)
+)
+SELECT doc_id, count(*)::BIGINT AS n_lines, count(*) FILTER (WHERE gone)::BIGINT AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE NOT gone), '')) AS kept_sha256
+FROM judged GROUP BY doc_id
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op8_topk": TOP_K}
+    return {"op1_line_dedup": LINES, "op8_topk": TOP_K}
