@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 FOLDS = 5
 TRAINING_ROWS = 3000
 """Most labelled rows that a classifier is fitted on."""
-TRAINING_CHARS = 20_000
+TRAINING_CHARS = 10_000
 """Longest text in code points among rows to fit on; scoring always reads whole texts."""
 
 

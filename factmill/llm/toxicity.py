@@ -33,6 +33,7 @@ BITS = 18
 WINDOW, STEP = 512, 384
 CHOICES, STEPS = 8, 15
 RATE, DECAY = 0.05, 1e-4
+FIT_BYTES = 1 << 19
 PRIOR = 20.0
 """Documents of prior weight that pull a rare n-gram's ratio to 1."""
 THRESHOLD = 0.5
@@ -111,21 +112,24 @@ class Model:
         y = np.asarray(labels, np.float64)
         if not len(y) or y.min() == y.max():
             return cls(np.zeros(dim, np.float32), 0.0 if not len(y) else (-20.0, 20.0)[int(y[0])])
-        batch = Batch([raw for run in chunks(texts) for raw in run])
-        owner = np.repeat(np.arange(len(y)), np.diff(np.concatenate([batch.first, [len(batch.start)]])))
-        feature, window = batch.features(np.arange(len(batch.start)))
-        pairs = np.sort((owner[window] << BITS) | feature)
-        pairs = pairs[np.concatenate([[True], pairs[1:] != pairs[:-1]])]
-        toxic = y[pairs >> BITS] == 1
-        feature = pairs & (dim - 1)
-        share = [(np.bincount(feature[toxic == t], minlength=dim) + PRIOR * np.mean(y == t)) / (np.sum(y == t) + PRIOR * np.mean(y == t)) for t in (0, 1)]
+        batches = [Batch(run) for run in chunks(texts, FIT_BYTES)]
+        counts, at = np.zeros((2, dim)), 0
+        for batch in batches:
+            owner = np.repeat(np.arange(len(batch.first)), np.diff(np.concatenate([batch.first, [len(batch.start)]])))
+            feature, window = batch.features(np.arange(len(batch.start)))
+            pairs = np.sort((owner[window] << BITS) | feature)
+            pairs = pairs[np.concatenate([[True], pairs[1:] != pairs[:-1]])]
+            toxic = y[at + (pairs >> BITS)] == 1
+            for t in (0, 1):
+                counts[t] += np.bincount((pairs & (dim - 1))[toxic == t], minlength=dim)
+            at += len(batch.first)
+        share = [(counts[t] + PRIOR * np.mean(y == t)) / (np.sum(y == t) + PRIOR * np.mean(y == t)) for t in (0, 1)]
         ratio = np.log(share[1] / share[0])
         balance = np.where(y == 1, 0.5 / y.mean(), 0.5 / (1 - y.mean()))
         coef, bias = np.full(dim, 0.02), -1.0
         moment, moment_b = np.zeros(dim), 0.0
         for _ in range(CHOICES):
-            _, top = batch.top(coef * ratio)
-            feature, owner = batch.features(top)
+            feature, owner = cls._tops(batches, coef * ratio)
             for _ in range(STEPS):
                 logit = np.bincount(owner, (coef * ratio)[feature], len(y)) + bias
                 error = (1 / (1 + np.exp(-np.clip(logit, -30, 30))) - y) * balance / len(y)
@@ -135,9 +139,20 @@ class Model:
                 bias -= 10 * RATE * moment_b
         return cls((coef * ratio).astype(np.float32), float(bias))
 
+    @staticmethod
+    def _tops(batches: list[Batch], weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The features of every text's top window, and the number of the text."""
+        features, owners, at = [], [], 0
+        for batch in batches:
+            feature, owner = batch.features(batch.top(weights)[1])
+            features.append(feature)
+            owners.append((owner + at).astype(np.int32))
+            at += len(batch.first)
+        return np.concatenate(features), np.concatenate(owners)
+
     def scores(self, texts) -> np.ndarray:
         out = []
-        for run in chunks(texts, 1 << 19):
+        for run in chunks(texts, FIT_BYTES):
             logit = Batch(run).top(self.weights)[0] + self.bias
             out.append(1 / (1 + np.exp(-np.clip(logit, -30, 30))))
         return np.concatenate(out) if out else np.zeros(0)
