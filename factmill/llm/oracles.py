@@ -39,6 +39,30 @@ SELECT doc_id, count(*)::BIGINT AS n_lines, count(*) FILTER (WHERE gone)::BIGINT
 FROM judged GROUP BY doc_id
 """
 
+LEAKS = """
+WITH item_words AS (
+    SELECT item_id, list_filter(string_split_regex(lower(coalesce(text, '')), '[\\x20\\x09-\\x0D]+'), lambda w: w <> '') AS w
+    FROM benchmark
+), item_sizes AS (
+    SELECT item_id, w, least(len(w), 5) AS k FROM item_words WHERE len(w) > 0
+), item_shingles AS (
+    SELECT DISTINCT item_id, k, array_to_string(w[i:i + k - 1], ' ') AS s
+    FROM item_sizes, LATERAL (SELECT unnest(range(1, len(w) - k + 2)) AS i)
+), sized AS (
+    SELECT item_id, count(*) AS n FROM item_shingles GROUP BY item_id
+), doc_words AS (
+    SELECT doc_id, list_filter(string_split_regex(lower(coalesce(text, '')), '[\\x20\\x09-\\x0D]+'), lambda w: w <> '') AS w
+    FROM documents
+), doc_shingles AS (
+    SELECT DISTINCT doc_id, array_to_string(w[i:i + k - 1], ' ') AS s
+    FROM doc_words, (SELECT DISTINCT k FROM item_sizes), LATERAL (SELECT unnest(range(1, len(w) - k + 2)) AS i)
+), shared AS (
+    SELECT doc_id, item_id, count(*) AS n_shared FROM doc_shingles JOIN item_shingles USING (s) GROUP BY doc_id, item_id
+)
+SELECT doc_id, item_id, n::BIGINT AS n_shingles, n_shared::BIGINT AS n_shared
+FROM shared JOIN sized USING (item_id) WHERE 5 * n_shared >= 4 * n
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_line_dedup": LINES, "op8_topk": TOP_K}
+    return {"op1_line_dedup": LINES, "op2_decontaminate": LEAKS, "op8_topk": TOP_K}

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from factmill.llm import linededup, mixing, quality, sharding, topk, toxicity
+from factmill.llm import decontamination, linededup, mixing, quality, sharding, topk, toxicity
 from factmill.llm.scratch import table
 
 
@@ -21,6 +21,7 @@ def _labelled(op: Callable[[DataFrame, DataFrame], DataFrame]) -> Callable[[Spar
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_line_dedup": _docs(linededup.op1),
+        "op2_decontaminate": lambda spark, sf_dir: decontamination.op2(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")),
         "op3_quality": _labelled(quality.op3),
         "op6_mix": _docs(mixing.op6),
         "op8_topk": lambda spark, sf_dir: topk.op8(table(spark, sf_dir, "embeddings")),
