@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from factmill.llm import decontamination, jaccard, linededup, mixing, quality, sharding, topk, toxicity
+from factmill.llm import decontamination, jaccard, licenses, linededup, mixing, pii, quality, sharding, topk, toxicity
 from factmill.llm.scratch import table
 
 
@@ -23,8 +23,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_line_dedup": _docs(linededup.op1),
         "op2_decontaminate": lambda spark, sf_dir: decontamination.op2(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")),
         "op3_quality": _labelled(quality.op3),
+        "op4_pii": _docs(pii.op4),
         "op5_ngram_jaccard": _docs(jaccard.op5),
         "op6_mix": _docs(mixing.op6),
+        "op7_licenses": _docs(licenses.op7),
         "op8_topk": lambda spark, sf_dir: topk.op8(table(spark, sf_dir, "embeddings")),
         "op9_toxicity": _labelled(toxicity.op9),
         "op10_shard": _docs(sharding.op10),
