@@ -77,9 +77,9 @@ def _found(scratch: Scratch, docs: DataFrame, items: DataFrame, k: int, n: int,
     probes = probes.select("doc_id", F.size("d").alias("n_doc"), F.explode_outer("d").alias("h"))
     met = probes.join(sketch, "h").where(F.col("n_doc") >= F.col("need")).groupBy("doc_id", "item_id").agg(F.lit(1).alias("one")).drop("one")
     met = scratch.table(met, f"candidates-{k}")
-    by_doc = met.groupBy(F.col("doc_id").alias("c_id")).agg(F.collect_set("item_id").alias("items"), F.max(F.col("item_id").isNull()).alias("null_item"))
+    by_doc = met.groupBy(F.col("doc_id").alias("__c_id")).agg(F.collect_set("item_id").alias("items"), F.max(F.col("item_id").isNull()).alias("null_item"))
     pairs = met.count()
-    rows = docs.select("doc_id", "text").join(small(by_doc, pairs), F.col("doc_id").eqNullSafe(F.col("c_id")))
+    rows = docs.select("doc_id", "text").join(small(by_doc, pairs), F.col("doc_id").eqNullSafe(F.col("__c_id")))
     rows = rows.select("doc_id", "items", "null_item", word_hashes(F.col("text")).alias("w"))
     rows = rows.select("doc_id", shingle_hashes(F.col("w"), k).alias("d"), F.explode(F.when(F.col("null_item"), F.concat("items", F.array(F.lit(None)))).otherwise(F.col("items"))).alias("i"))
     whole = small(items.select(F.col("item_id"), "shingles", "n", "need"), n)
@@ -95,5 +95,5 @@ def op2(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 def kept_documents(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents that hold no test item."""
     scratch = Scratch(docs.sparkSession, "decontaminated")
-    ids = scratch.table(contaminated(docs, benchmark).select(F.col("doc_id").alias("c_id")).distinct(), "ids")
-    return docs.join(small(ids, ids.count()), F.col("doc_id").eqNullSafe(F.col("c_id")), "left_anti")
+    ids = scratch.table(contaminated(docs, benchmark).select(F.col("doc_id").alias("__c_id")).distinct(), "ids")
+    return docs.join(small(ids, ids.count()), F.col("doc_id").eqNullSafe(F.col("__c_id")), "left_anti")
