@@ -162,8 +162,8 @@ def fitted(docs: DataFrame, labels: DataFrame, rows: int = TRAINING_ROWS) -> Mod
     return Model.fit(*training_rows(docs, labels, "toxic", rows))
 
 
-def score(docs: DataFrame, model: Model) -> DataFrame:
-    """``docs`` with a column score."""
+def score(docs: DataFrame, model: Model, into: str = "score") -> DataFrame:
+    """``docs`` with a column of scores."""
     shared = docs.sparkSession.sparkContext.broadcast((model.weights, model.bias))
 
     @F.pandas_udf("double")
@@ -172,7 +172,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
         for batch in texts:
             yield pd.Series(own.scores(batch))
 
-    return docs.withColumn("score", scored("text"))
+    return docs.withColumn(into, scored("text"))
 
 
 def op9(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -183,4 +183,4 @@ def op9(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def kept_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents that are not rejected as toxic."""
-    return score(docs, fitted(docs, labels)).where(F.col("score") < THRESHOLD).select(*docs.columns)
+    return score(docs, fitted(docs, labels), "__toxicity").where(F.col("__toxicity") < THRESHOLD).drop("__toxicity")
