@@ -13,6 +13,9 @@ class and the next. Shingles so common that they stand out in a count over all d
 (a sketch of fixed size) are left out of the parts where a text has enough parts without
 them, so that a passage that very many documents share links none of them up for search.
 
+What is left of false candidates is dropped by a 256-bit sketch of each set before any set
+travels; its bound is so wide that a link lost to it is rarer than a hash collision.
+
 Copies are one node (the hash of the shingle set). Round one searches each text's
 links with one hub, of the texts it shares parts with, and contracts components; near copies, however many, so
 end up in one component without their pairs being formed. Round two searches all candidate
@@ -46,6 +49,9 @@ SKETCH_BITS = 20
 FAN = 64
 SHARD_POSTINGS = 1_000_000
 BATCH_SETS = 4096
+MAX_BITS = 72
+"""Most of 256 sketch bits in which linked texts can differ: 25.6 are expected at similarity 0.8,
+and more than this has a probability under 1e-16, less than that of two hashes being equal."""
 BLOCK_PAIRS = 1024
 HUB_PAIRS = 256
 _NULL_ID = -(1 << 63)
@@ -71,34 +77,56 @@ def _unpack(raw: bytes) -> np.ndarray:
     return out.reshape(-1).view("<u8").astype(np.uint64)
 
 
+def _sketched(hashes: np.ndarray, owner: np.ndarray, rows: int) -> np.ndarray:
+    """One bit of each of 256 bins' smallest hash, as four longs per set (one-permutation MinHash)."""
+    h = mixed(hashes ^ np.uint64(0x5851F42D4C957F2D))
+    cell = owner * 256 + (h >> np.uint64(56)).astype(np.int64)
+    low = (h & np.uint64((1 << 56) - 1)).astype(np.int64)
+    least = np.full(rows * 256, 1 << 60, np.int64)
+    order = np.argsort(-low)  # so that the last one written, the smallest, stays
+    least[cell[order]] = low[order]
+    return np.packbits((least & 1).astype(bool).reshape(rows, 256), axis=1).view(">i8").astype(np.int64)
+
+
 def _sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Rows of documents (kind 0), each new set once in a partition, and its count sketch (kind 1)."""
-    sketch, seen = np.zeros(1 << SKETCH_BITS, np.int64), set()
+    cells = 1 << SKETCH_BITS
+    sketch, seen = np.zeros(cells, np.int64), set()
     for batch in batches:
-        sizes, keys, blobs = [], [], []
+        ids, parts, at_row = batch["doc_id"].to_numpy(), [], 0
         for run in chunks(batch["text"]):
             hashes, at = shingles(run, WORDS)
+            owner = np.repeat(np.arange(len(run)), np.diff(at))
             hashes &= _LOW48
+            order = np.lexsort((hashes, owner))
+            hashes = hashes[order]
+            new = np.ones(len(hashes), bool)
+            new[1:] = (hashes[1:] != hashes[:-1]) | (owner[1:] != owner[:-1])
+            hashes, owner = hashes[new], owner[new]
+            at = np.searchsorted(owner, np.arange(len(run) + 1))
+            packed = _pack(hashes)
+            bits = _sketched(hashes, owner, len(run))
+            keys, blobs, fresh = [], [], np.zeros(len(run), bool)
             for i in range(len(run)):
-                own = np.sort(hashes[at[i] : at[i + 1]])
-                own = own[np.concatenate([[True], own[1:] != own[:-1]])] if len(own) else own
-                blob = _pack(own) if len(own) else b""
-                key = xxhash.xxh3_64_intdigest(blob) - (1 << 63) if len(own) else None
-                fresh = key is not None and key not in seen
-                if fresh:
+                blob = packed[6 * at[i] : 6 * at[i + 1]]
+                key = xxhash.xxh3_64_intdigest(blob) - (1 << 63) if blob else None
+                fresh[i] = key is not None and key not in seen
+                if fresh[i]:
                     seen.add(key)
-                    sketch += np.bincount((own & np.uint64((1 << SKETCH_BITS) - 1)).astype(np.int64), minlength=1 << SKETCH_BITS) if len(own) > 1 << 14 else 0
-                    if len(own) <= 1 << 14:
-                        np.add.at(sketch, (own & np.uint64((1 << SKETCH_BITS) - 1)).astype(np.int64), 1)
-                sizes.append(len(own))
                 keys.append(key)
-                blobs.append(blob if fresh else None)
-        yield pd.DataFrame({"kind": 0, "doc_id": batch["doc_id"], "n": sizes, "node": pd.array(keys, "Int64"), "blob": blobs})
+                blobs.append(blob if fresh[i] else None)
+            once = hashes[fresh[owner]] & np.uint64(cells - 1)
+            cell, n = np.unique(once, return_counts=True)
+            sketch[cell.astype(np.int64)] += n
+            parts.append(pd.DataFrame({"kind": 0, "doc_id": ids[at_row : at_row + len(run)], "n": np.diff(at), "node": pd.array(keys, "Int64"), "bits": list(bits), "blob": blobs}))
+            at_row += len(run)
+        if parts:
+            yield pd.concat(parts, ignore_index=True)
     part = 1 << 16
-    rows = [(i, sketch[i * part : (i + 1) * part].astype("<i8").tobytes()) for i in range(len(sketch) // part) if sketch[i * part : (i + 1) * part].any()]
+    rows = [(i, sketch[i * part : (i + 1) * part].astype("<i8").tobytes()) for i in range(cells // part) if sketch[i * part : (i + 1) * part].any()]
     if rows:
         slot, blob = zip(*rows, strict=True)
-        yield pd.DataFrame({"kind": 1, "doc_id": slot, "n": TaskContext.get().partitionId(), "node": pd.array([None] * len(rows), "Int64"), "blob": blob})
+        yield pd.DataFrame({"kind": 1, "doc_id": slot, "n": TaskContext.get().partitionId(), "node": pd.array([None] * len(rows), "Int64"), "bits": None, "blob": blob})
 
 
 def _heavy(table: DataFrame) -> np.ndarray:
@@ -119,7 +147,7 @@ def _heavy(table: DataFrame) -> np.ndarray:
     for r in parts:
         sketch[r["part"] << 16 : (r["part"] + 1) << 16] = np.frombuffer(r["blob"], np.int64)
     mean = sketch.mean()
-    return sketch > mean + 16 * np.sqrt(mean) + 64
+    return sketch > mean + 5 * np.sqrt(mean) + 16
 
 
 # ---- parts: candidates without loss
@@ -374,8 +402,17 @@ def _search_block(frame: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame(links, columns=["a", "b"])
 
 
-def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def _likely(pairs: DataFrame, bits: DataFrame, rows: int) -> DataFrame:
+    """The pairs whose sketches don't rule a link out: no set travels for any other."""
+    left, right = bits.select(F.col("node").alias("a"), F.col("bits").alias("x")), bits.select(F.col("node").alias("b"), F.col("bits").alias("y"))
+    met = pairs.join(small(left, rows), "a").join(small(right, rows), "b")
+    differ = sum((F.bit_count(F.get("x", i).bitwiseXOR(F.get("y", i))) for i in range(1, 4)), F.bit_count(F.get("x", 0).bitwiseXOR(F.get("y", 0))))
+    return met.where(differ <= MAX_BITS).drop("x", "y")
+
+
+def _verified(scratch: Scratch, pairs: DataFrame, sets: DataFrame, name: str) -> DataFrame:
     """Links (a, b) among candidate pairs; other links that a block happens to show come along."""
+    pairs = scratch.table(pairs, name)
     n = pairs.count()
     blocks = max(1, -(-n // BLOCK_PAIRS))
     hubs = pairs.groupBy("a").agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > HUB_PAIRS)
@@ -392,7 +429,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id."""
     spark = docs.sparkSession
     scratch = Scratch(spark, "jaccard")
-    made = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_NULL_ID)).alias("doc_id"), "text").mapInPandas(_sets, "kind int, doc_id long, n long, node long, blob binary")
+    made = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_NULL_ID)).alias("doc_id"), "text").mapInPandas(_sets, "kind int, doc_id long, n long, node long, bits array<long>, blob binary")
     made = scratch.table(made, "sets")
     rows = made.where("kind = 0").withColumn("doc_id", F.nullif("doc_id", F.lit(_NULL_ID)))
     total = int(made.agg(F.sum(F.when(F.col("blob").isNotNull() & (F.col("kind") == 0), F.col("n")))).first()[0] or 0)
@@ -400,24 +437,25 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         return rows.select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
     heavy = spark.sparkContext.broadcast(np.packbits(_heavy(made)).tobytes())
     shards = max(12, int(total * 0.6) // SHARD_POSTINGS)
-    every = rows.where("blob IS NOT NULL AND n > 0").select("node", "n", "blob")
+    every = rows.where("blob IS NOT NULL AND n > 0").select("node", "n", "bits", "blob")
 
     # each node's hub is the one that it shares most parts with; what that leaves apart is for round two
     pairs = every.mapInPandas(_postings(shards, heavy, False), _POSTINGS).groupBy("shard").applyInPandas(_hub_pairs, "a long, b long, n long")
-    pairs = pairs.groupBy("a", "b").agg(F.sum("n").alias("n")).groupBy("b").agg(F.max_by("a", F.struct("n", "a")).alias("a")).select("a", "b")
-    pairs = scratch.table(pairs, "hub-pairs")
+    pairs = scratch.table(pairs.groupBy("a", "b").agg(F.sum("n").alias("n")), "hub-pairs")
     wanted = scratch.table(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct(), "wanted")
     n_wanted = wanted.count()
-    sets = every.join(small(wanted, n_wanted), "node").groupBy("node").agg(F.first("n").alias("n"), F.first("blob").alias("blob"))
+    sets = every.join(small(wanted, n_wanted), "node").groupBy("node").agg(F.first("n").alias("n"), F.first("bits").alias("bits"), F.first("blob").alias("blob"))
     sets = scratch.table(sets, "wanted-sets")
-    links = scratch.table(_verified(pairs, sets), "links")
+    bits = sets.select("node", "bits")
+    near = _likely(pairs, bits, n_wanted // 2).groupBy("b").agg(F.max_by("a", F.struct("n", "a")).alias("a")).select("a", "b")
+    links = scratch.table(_verified(scratch, near, sets, "near-pairs"), "links")
     labels = components(scratch, links, "hubs")
 
     known = sets.join(labels, "node", "left").select("node", "n", "blob", F.coalesce("label", "node").alias("label"))
-    left = max(12, shards * 4 * n_wanted // max(1, 4 * rows.count()))
-    cross = known.mapInPandas(_postings(left, heavy, True), _POSTINGS).groupBy("shard").applyInPandas(_cross_pairs, "a long, b long").distinct()
-    cross = scratch.table(cross, "cross-pairs")
-    more = scratch.table(_verified(cross, sets), "more-links")
+    left = max(12, int(sets.agg(F.sum("n")).first()[0] * 0.6) // SHARD_POSTINGS)
+    cross = known.mapInPandas(_postings(left, heavy, True), _POSTINGS).groupBy("shard").applyInPandas(_cross_pairs, "a long, b long")
+    cross = _likely(cross, bits, n_wanted // 2).distinct()
+    more = scratch.table(_verified(scratch, cross, sets, "cross-pairs"), "more-links")
     if more.take(1):
         labels = components(scratch, links.unionByName(more), "all")
 

@@ -6,7 +6,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 256 << 10
 """Bytes of text worked on at once; a longer text is worked on alone."""
 
 _SPACE = np.zeros(256, bool)
