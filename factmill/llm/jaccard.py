@@ -13,13 +13,15 @@ class and the next. Shingles so common that they stand out in a count over all d
 (a sketch of fixed size) are left out of the parts where a text has enough parts without
 them, so that a passage that very many documents share links none of them up for search.
 
-What is left of false candidates is dropped by a 256-bit sketch of each set before any set
-travels; its bound is so wide that a link lost to it is rarer than a hash collision.
+False candidates are dropped by a 512-bit sketch of each set before any set travels; a
+link is lost to it with a probability under 1 in 10**10.
 
 Copies are one node (the hash of the shingle set). Round one searches each text's
 links with one hub, of the texts it shares parts with, and contracts components; near copies, however many, so
-end up in one component without their pairs being formed. Round two searches all candidate
-pairs that are left in different components. Hubs with many texts are spread over blocks.
+end up in one component without their pairs being formed. Round two takes the
+candidates that are left in different components; the regions that they connect are searched
+as a whole, in blocks of sets and queries that all meet. Hubs with many texts are spread
+over blocks.
 
 Defined results: null, empty and blank texts are linked with nothing and are their own
 component; a null doc_id is never a component's smallest id unless all its ids are null;
@@ -49,15 +51,25 @@ SKETCH_BITS = 20
 FAN = 64
 SHARD_POSTINGS = 1_000_000
 BATCH_SETS = 4096
-MAX_BITS = 72
-"""Most of 256 sketch bits in which linked texts can differ: 25.6 are expected at similarity 0.8,
-and more than this has a probability under 1e-16, less than that of two hashes being equal."""
+BITS = 512
+BLOCK_SETS, BLOCK_QUERIES = 1024, 2048
+DENSE = 512
 BLOCK_PAIRS = 1024
-HUB_PAIRS = 256
 _NULL_ID = -(1 << 63)
 _LOW48 = np.uint64((1 << 48) - 1)
 
 
+def most_bits(total: int | np.ndarray) -> np.ndarray:
+    """In how many sketch bits two linked sets of so many shingles together can differ.
+
+    They differ in d <= total / 9 shingles, each of which flips a bit with probability one half
+    at most; of full sketches a tenth of the bits differs at similarity 0.8. Both bounds have
+    6.5 standard deviations of room: a loss under 1 in 10**10, and none where d is the bound.
+    """
+    d = np.asarray(total) // 9
+    return np.minimum(np.minimum(d, d / 2 + 3.25 * np.sqrt(d)), BITS / 10 + 6.5 * np.sqrt(BITS * 0.09))
+
+
 def linked(n: int, m: int, shared: int) -> bool:
     """Jaccard similarity of 0.8 or more, in whole numbers."""
     return 100 * shared >= 80 * (n + m - shared)
@@ -78,14 +90,14 @@ def _unpack(raw: bytes) -> np.ndarray:
 
 
 def _sketched(hashes: np.ndarray, owner: np.ndarray, rows: int) -> np.ndarray:
-    """One bit of each of 256 bins' smallest hash, as four longs per set (one-permutation MinHash)."""
+    """One bit of each of 512 bins' smallest hash, as eight longs per set (one-permutation MinHash)."""
     h = mixed(hashes ^ np.uint64(0x5851F42D4C957F2D))
-    cell = owner * 256 + (h >> np.uint64(56)).astype(np.int64)
-    low = (h & np.uint64((1 << 56) - 1)).astype(np.int64)
-    least = np.full(rows * 256, 1 << 60, np.int64)
+    cell = owner * BITS + (h >> np.uint64(55)).astype(np.int64)
+    low = (h & np.uint64((1 << 55) - 1)).astype(np.int64)
+    least = np.full(rows * BITS, 1 << 60, np.int64)
     order = np.argsort(-low)  # so that the last one written, the smallest, stays
     least[cell[order]] = low[order]
-    return np.packbits((least & 1).astype(bool).reshape(rows, 256), axis=1).view(">i8").astype(np.int64)
+    return np.packbits((least & 1).astype(bool).reshape(rows, BITS), axis=1).view(">i8").astype(np.int64)
 
 
 def _sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -221,10 +233,10 @@ def _postings(shards: int, heavy, labelled: bool):
             count = np.fromiter(map(len, sigs), np.int64, len(sigs))
             sig = np.concatenate(sigs)
             node = np.repeat(batch["node"].to_numpy(np.int64), count)
-            label = np.repeat(batch["label"].to_numpy(np.int64), count) if labelled else node
-            size = np.repeat(batch["n"].to_numpy(np.int64), count)
+            if labelled:  # by node: label, size and the eight longs of the sketch
+                known = pd.DataFrame(np.concatenate([batch[["label", "n"]].to_numpy(np.int64), np.stack(batch["bits"].to_list()).astype(np.int64)], axis=1), index=batch["node"].to_numpy(np.int64))
             order = np.lexsort((node, sig))
-            sig, node, label, size = sig[order], node[order], label[order], size[order]
+            sig, node = sig[order], node[order]
             rows = []
             if not labelled:
                 new = np.concatenate([[True], sig[1:] != sig[:-1]])
@@ -232,7 +244,7 @@ def _postings(shards: int, heavy, labelled: bool):
                 pairs, n = _counted(hub, node)
                 if len(pairs):
                     rows.append((-1 - int(abs(pairs[0, 0]) % shards), pairs[:, 0].tobytes(), pairs[:, 1].tobytes(), n.tobytes(), b""))
-                sig, node, label, size = sig[new], node[new], label[new], size[new]
+                sig, node = sig[new], node[new]
             shard = ((sig >> np.uint64(32)) % np.uint64(shards)).astype(np.int64)
             order = np.argsort(shard, kind="stable")
             at = np.searchsorted(shard[order], np.arange(shards + 1))
@@ -240,7 +252,7 @@ def _postings(shards: int, heavy, labelled: bool):
                 own = order[at[s] : at[s + 1]]
                 if len(own):
                     ids, place = np.unique(node[own], return_inverse=True)
-                    extra = (np.unique(np.stack([node[own], label[own], size[own]], 1), axis=0)[:, 1:].tobytes()) if labelled else b""
+                    extra = known.loc[ids].to_numpy().tobytes() if labelled else b""
                     rows.append((s, (sig[own] & np.uint64(0xFFFFFFFF)).astype(np.uint32).tobytes(), place.astype(np.uint32).tobytes(), ids.tobytes(), extra))
             yield pd.DataFrame(rows, columns=["shard", "sig", "place", "ids", "extra"])
 
@@ -251,17 +263,17 @@ _POSTINGS = "shard long, sig binary, place binary, ids binary, extra binary"
 
 
 def _posted(frame: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Signatures, nodes and (label, size) of a shard's postings, sorted by signature and node."""
+    """Signatures, nodes and (label, size, sketch) of a shard's postings, sorted by signature and node."""
     sigs, nodes, extras = [], [], []
     for sig, place, ids, extra in zip(frame["sig"], frame["place"], frame["ids"], frame["extra"], strict=True):
         where = np.frombuffer(place, np.uint32)
         sigs.append(np.frombuffer(sig, np.uint32))
         nodes.append(np.frombuffer(ids, np.int64)[where])
         if extra:
-            extras.append(np.frombuffer(extra, np.int64).reshape(-1, 2)[where])
+            extras.append(np.frombuffer(extra, np.int64).reshape(-1, 10)[where])
     sig, node = np.concatenate(sigs), np.concatenate(nodes)
     order = np.lexsort((node, sig))
-    return sig[order], node[order], np.concatenate(extras)[order] if extras else np.zeros((0, 2), np.int64)
+    return sig[order], node[order], np.concatenate(extras)[order] if extras else np.zeros((0, 10), np.int64)
 
 
 def _counted(hub: np.ndarray, node: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -285,29 +297,44 @@ def _hub_pairs(frame: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"a": pairs[:, 0], "b": pairs[:, 1], "n": n})
 
 
-def _cross_pairs(frame: pd.DataFrame) -> pd.DataFrame:
-    """Pairs of nodes in different components that share a signature and whose sizes allow a link.
+def _likely_forest(frame: pd.DataFrame) -> pd.DataFrame:
+    """Which nodes of a shard's lists may be linked though their components differ, as a forest.
 
-    Texts of a list's largest component are what the list's other texts are searched among.
+    Nodes of one list are compared by label, size and sketch; of the pairs that pass, only
+    those that join two trees go on, fewer than the shard has nodes.
     """
     sig, node, extra = _posted(frame)
     new = np.flatnonzero(np.concatenate([[True], sig[1:] != sig[:-1]]))
+    root: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        while (up := root.setdefault(x, x)) != x:
+            root[x] = x = root[up]
+        return x
+
     found = []
     for lo, hi in zip(new, [*new[1:], len(sig)], strict=True):
         if hi - lo < 2:
             continue
         ids, at = np.unique(node[lo:hi], return_index=True)
-        label, size = extra[lo:hi][at, 0], extra[lo:hi][at, 1]
-        kinds, counts = np.unique(label, return_counts=True)
-        if len(kinds) < 2:
+        own = extra[lo:hi][at]
+        label, size, bits = own[:, 0], own[:, 1], own[:, 2:].view(np.uint64)
+        if (label == label[0]).all():
             continue
-        most = kinds[np.argmax(counts)]
-        for i in np.flatnonzero(label != most):
-            other = (label != label[i]) & ((label == most) | (ids > ids[i])) & (100 * np.minimum(size, size[i]) >= 80 * np.maximum(size, size[i]))
-            if other.any():
-                found.append(np.stack([np.full(other.sum(), ids[i]), ids[other]], 1))
-    pairs = np.unique(np.concatenate(found), axis=0) if found else np.zeros((0, 2), np.int64)
-    return pd.DataFrame({"a": pairs[:, 0], "b": pairs[:, 1]})
+        trees = np.array([find(int(i)) for i in ids])
+        for i in range(len(ids) - 1):
+            rest = np.flatnonzero((label[i + 1 :] != label[i]) & (trees[i + 1 :] != trees[i])) + i + 1
+            rest = rest[100 * np.minimum(size[rest], size[i]) >= 80 * np.maximum(size[rest], size[i])]
+            if not len(rest):
+                continue
+            differ = sum(np.bitwise_count(bits[rest, k] ^ bits[i, k]).astype(np.int64) for k in range(bits.shape[1]))
+            for k in rest[differ <= most_bits(size[rest] + size[i])]:
+                a, b = find(int(ids[i])), find(int(ids[k]))
+                if a != b:
+                    root[max(a, b)] = min(a, b)
+                    found.append((a, b))
+                    trees[(trees == a) | (trees == b)] = min(a, b)
+    return pd.DataFrame(found, columns=["a", "b"], dtype=np.int64)
 
 
 # ---- T-occurrence search
@@ -342,15 +369,18 @@ class Lists:
         at = at[order]
         n_long = min(int(t / (0.0085 * np.log2(max(2, lengths.max())) + 1)), t - 1)
         long, short = at[:n_long], at[n_long:]
-        counts = self._merged([self.holders[self.starts[i] : self.ends[i]].tolist() for i in short], t - n_long)
-        found = []
-        for holder, shared in counts.items():
-            # shingles numbers are dense, so that (shingle, holder) is one sorted key for binary search
-            lo, hi = self.starts[long], self.ends[long]
-            shared += self._probe(holder, lo, hi)
-            if linked(n, self.sizes[holder], shared):
-                found.append(holder)
-        return found
+        pieces = [self.holders[self.starts[i] : self.ends[i]] for i in short]
+        if sum(map(len, pieces)) <= DENSE:
+            counts = self._merged([x.tolist() for x in pieces], t - n_long)
+        else:  # of many long runs a counting merge gives the same numbers faster than a heap
+            n_times = np.bincount(np.concatenate(pieces), minlength=len(self.sizes))
+            enough = np.flatnonzero(n_times >= t - n_long)
+            counts = dict(zip(enough.tolist(), n_times[enough].tolist(), strict=True))
+        if len(counts) * 16 > sum(lengths[order][:n_long]) / 64 + 64 and n_long:  # too many to look up one by one
+            n_times = np.bincount(np.concatenate([self.holders[self.starts[i] : self.ends[i]] for i in long]), minlength=len(self.sizes))
+            return [h for h, k in counts.items() if linked(n, self.sizes[h], k + int(n_times[h]))]
+        lo, hi = self.starts[long], self.ends[long]
+        return [h for h, k in counts.items() if linked(n, self.sizes[h], k + self._probe(h, lo, hi))]
 
     def _probe(self, holder: int, lo: np.ndarray, hi: np.ndarray) -> int:
         """In how many of the lists the holder is, by one binary search over all of them in step."""
@@ -393,36 +423,52 @@ class Lists:
 
 
 def _search_block(frame: pd.DataFrame) -> pd.DataFrame:
-    """Links between a block's queries and its sets."""
-    asked = frame[frame["query"]]
-    held = frame[~frame["query"]].drop_duplicates("b").sort_values("b")
-    ids = held["b"].to_numpy(np.int64)
+    """Links (a, b) between a block's queries and its sets."""
+    asked, held = frame[frame["query"]].drop_duplicates("node"), frame[~frame["query"]].drop_duplicates("node").sort_values("node")
+    ids = held["node"].to_numpy(np.int64)
     lists = Lists([_unpack(b) for b in held["blob"]])
-    links = [(int(a), int(ids[i])) for a, blob in zip(asked["a"], asked["blob"], strict=True) for i in lists.search(_unpack(blob)) if ids[i] != a]
-    return pd.DataFrame(links, columns=["a", "b"])
-
-
-def _likely(pairs: DataFrame, bits: DataFrame, rows: int) -> DataFrame:
-    """The pairs whose sketches don't rule a link out: no set travels for any other."""
-    left, right = bits.select(F.col("node").alias("a"), F.col("bits").alias("x")), bits.select(F.col("node").alias("b"), F.col("bits").alias("y"))
-    met = pairs.join(small(left, rows), "a").join(small(right, rows), "b")
-    differ = sum((F.bit_count(F.get("x", i).bitwiseXOR(F.get("y", i))) for i in range(1, 4)), F.bit_count(F.get("x", 0).bitwiseXOR(F.get("y", 0))))
-    return met.where(differ <= MAX_BITS).drop("x", "y")
-
-
-def _verified(scratch: Scratch, pairs: DataFrame, sets: DataFrame, name: str) -> DataFrame:
-    """Links (a, b) among candidate pairs; other links that a block happens to show come along."""
-    pairs = scratch.table(pairs, name)
-    n = pairs.count()
-    blocks = max(1, -(-n // BLOCK_PAIRS))
-    hubs = pairs.groupBy("a").agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > HUB_PAIRS)
-    spread = pairs.join(hubs, "a", "left").withColumn("__fan", F.coalesce(F.ceil(F.col("__n") / HUB_PAIRS), F.lit(1)).cast("long"))
-    spread = spread.select("a", "b", F.pmod(F.xxhash64("a", F.pmod(F.xxhash64("b"), F.col("__fan"))), F.lit(blocks)).alias("block"))
-    held = sets.select(F.col("node").alias("b"), "blob")
-    asked = spread.select("block", "a").distinct().join(sets.select(F.col("node").alias("a"), "blob"), "a")
-    # ids are never null here: pandas would turn them into floats
-    rows = spread.join(held, "b").select("block", "a", "b", F.lit(False).alias("query"), "blob").unionByName(asked.select("block", "a", F.col("a").alias("b"), F.lit(True).alias("query"), "blob"))
-    return rows.groupBy("block").applyInPandas(_search_block, "a long, b long")
+    links = [(int(a), int(ids[i])) for a, blob in zip(asked["node"], asked["blob"], strict=True) for i in lists.search(_unpack(blob)) if ids[i] != a]
+    return pd.DataFrame(links, columns=["a", "b"], dtype=np.int64)
+
+
+def _searched(blocks: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links found in blocks: rows (block, node, query)."""
+    return blocks.join(sets.select("node", "blob"), "node").groupBy("block").applyInPandas(_search_block, "a long, b long")
+
+
+def _hub_blocks(scratch: Scratch, pairs: DataFrame, bits: DataFrame, rows: int) -> DataFrame:
+    """Each node's likely hub, in blocks; a hub with very many nodes is spread over several."""
+    left, right = bits.select(F.col("node").alias("a"), F.col("bits").alias("x"), F.col("n").alias("na")), bits.select(F.col("node").alias("b"), F.col("bits").alias("y"), F.col("n").alias("nb"))
+    met = pairs.join(small(left, 4 * rows), "a").join(small(right, 4 * rows), "b")
+    differ = sum((F.bit_count(F.get("x", i).bitwiseXOR(F.get("y", i))) for i in range(1, BITS // 64)), F.bit_count(F.get("x", 0).bitwiseXOR(F.get("y", 0))))
+    d = F.floor((F.col("na") + F.col("nb")) / 9)
+    most = F.least(d, d / 2 + F.sqrt(d) * 3.25, F.lit(float(BITS / 10 + 6.5 * np.sqrt(BITS * 0.09))))
+    near = met.where((differ <= most) & (F.least("na", "nb") * 100 >= F.greatest("na", "nb") * 80)).groupBy("b").agg(F.max_by("a", F.struct("n", "a")).alias("a"))
+    near = scratch.table(near, "near-pairs")
+    blocks = max(1, -(-near.count() // BLOCK_PAIRS))
+    fan = near.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / BLOCK_PAIRS).cast("long").alias("fan")).where("fan > 1")
+    near = near.join(fan, "a", "left").withColumn("block", F.pmod(F.xxhash64("a", F.pmod(F.xxhash64("b"), F.coalesce("fan", F.lit(1)))), F.lit(blocks)))
+    return near.select("block", F.col("b").alias("node"), F.lit(False).alias("query")).unionByName(near.select("block", F.col("a").alias("node"), F.lit(True).alias("query")).distinct())
+
+
+def _region_blocks(scratch: Scratch, forest: DataFrame, labels: DataFrame) -> DataFrame:
+    """Nodes that likely pairs connect, in blocks: all are sets, and those outside a region's
+    largest component are queries. Small regions share blocks; a large one is cut into
+    blocks of sets and blocks of queries that all meet."""
+    nodes = components(scratch, forest, "regions").withColumnRenamed("label", "region")
+    nodes = nodes.join(labels.withColumnRenamed("node", "__n"), F.col("node") == F.col("__n"), "left").select("node", "region", F.coalesce("label", "node").alias("label"))
+    nodes = scratch.table(nodes, "region-nodes")
+    counts = nodes.groupBy("region", "label").agg(F.count(F.lit(1)).alias("n")).groupBy("region").agg(F.sum("n").alias("size"), F.max_by("label", F.struct("n", "label")).alias("most"), F.max("n").alias("n_most"))
+    rows = nodes.join(counts, "region").withColumn("query", F.col("label") != F.col("most"))
+    shared = max(1, nodes.count() // BLOCK_SETS)
+    rows = rows.withColumn("n_set", F.ceil(F.col("size") / BLOCK_SETS).cast("long")).withColumn("n_ask", F.greatest(F.ceil((F.col("size") - F.col("n_most")) / BLOCK_QUERIES), F.lit(1)).cast("long"))
+    large = F.col("size") > BLOCK_SETS
+    own = lambda n: F.array(F.pmod(F.xxhash64("node", F.lit(7)), n))
+    every = lambda n: F.sequence(F.lit(0).cast("long"), n - 1)
+    sets = rows.select("node", "region", large.alias("large"), F.explode(own(F.col("n_set"))).alias("i"), "n_ask").select("node", "region", "large", "i", F.explode(every(F.col("n_ask"))).alias("j"), F.lit(False).alias("query"))
+    asked = rows.where("query").select("node", "region", large.alias("large"), F.explode(own(F.col("n_ask"))).alias("j"), "n_set").select("node", "region", "large", F.explode(every(F.col("n_set"))).alias("i"), "j", F.lit(True).alias("query"))
+    both = sets.unionByName(asked)
+    return both.select("node", "query", F.when(F.col("large"), F.xxhash64("region", "i", "j")).otherwise(F.pmod(F.xxhash64("region"), F.lit(shared))).alias("block"))
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -446,16 +492,14 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     n_wanted = wanted.count()
     sets = every.join(small(wanted, n_wanted), "node").groupBy("node").agg(F.first("n").alias("n"), F.first("bits").alias("bits"), F.first("blob").alias("blob"))
     sets = scratch.table(sets, "wanted-sets")
-    bits = sets.select("node", "bits")
-    near = _likely(pairs, bits, n_wanted // 2).groupBy("b").agg(F.max_by("a", F.struct("n", "a")).alias("a")).select("a", "b")
-    links = scratch.table(_verified(scratch, near, sets, "near-pairs"), "links")
+    links = scratch.table(_searched(_hub_blocks(scratch, pairs, sets.select("node", "n", "bits"), n_wanted), sets), "links")
     labels = components(scratch, links, "hubs")
 
-    known = sets.join(labels, "node", "left").select("node", "n", "blob", F.coalesce("label", "node").alias("label"))
+    known = sets.join(labels, "node", "left").select("node", "n", "bits", "blob", F.coalesce("label", "node").alias("label"))
     left = max(12, int(sets.agg(F.sum("n")).first()[0] * 0.6) // SHARD_POSTINGS)
-    cross = known.mapInPandas(_postings(left, heavy, True), _POSTINGS).groupBy("shard").applyInPandas(_cross_pairs, "a long, b long")
-    cross = _likely(cross, bits, n_wanted // 2).distinct()
-    more = scratch.table(_verified(scratch, cross, sets, "cross-pairs"), "more-links")
+    forest = known.mapInPandas(_postings(left, heavy, True), _POSTINGS).groupBy("shard").applyInPandas(_likely_forest, "a long, b long")
+    forest = scratch.table(forest, "forest")
+    more = scratch.table(_searched(_region_blocks(scratch, forest, labels), sets), "more-links")
     if more.take(1):
         labels = components(scratch, links.unionByName(more), "all")
 
