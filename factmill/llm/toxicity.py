@@ -13,7 +13,7 @@ logit is the text's. A toxic phrase so counts alike in a short text and in a ver
 
 Defined results: null and empty texts get the score of a text without features; repeated
 rows get equal scores; extra columns are ignored; without any labelled rows of both classes
-all scores are 0.
+all scores are that class, or 0.5 if there are none.
 """
 
 from __future__ import annotations
