@@ -49,8 +49,8 @@ from factmill.llm.textkit import chunks, mixed, shingles
 WORDS = 5
 SKETCH_BITS = 20
 FAN = 64
-SHARD_POSTINGS = 1_000_000
-BATCH_SETS = 4096
+SHARD_POSTINGS = 600_000
+BATCH_SETS = 3072
 BITS = 512
 BLOCK_SETS, BLOCK_QUERIES = 1024, 2048
 DENSE = 512
@@ -262,18 +262,19 @@ def _postings(shards: int, heavy, labelled: bool):
 _POSTINGS = "shard long, sig binary, place binary, ids binary, extra binary"
 
 
-def _posted(frame: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Signatures, nodes and (label, size, sketch) of a shard's postings, sorted by signature and node."""
-    sigs, nodes, extras = [], [], []
-    for sig, place, ids, extra in zip(frame["sig"], frame["place"], frame["ids"], frame["extra"], strict=True):
-        where = np.frombuffer(place, np.uint32)
+def _posted(frame: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Signatures and nodes of a shard's postings, sorted by both; the distinct nodes, and what
+    is told of each (label, size, sketch) once rather than for each posting."""
+    sigs, nodes = [], []
+    for sig, place, ids in zip(frame["sig"], frame["place"], frame["ids"], strict=True):
         sigs.append(np.frombuffer(sig, np.uint32))
-        nodes.append(np.frombuffer(ids, np.int64)[where])
-        if extra:
-            extras.append(np.frombuffer(extra, np.int64).reshape(-1, 10)[where])
+        nodes.append(np.frombuffer(ids, np.int64)[np.frombuffer(place, np.uint32)])
     sig, node = np.concatenate(sigs), np.concatenate(nodes)
+    del sigs, nodes
     order = np.lexsort((node, sig))
-    return sig[order], node[order], np.concatenate(extras)[order] if extras else np.zeros((0, 10), np.int64)
+    told = np.frombuffer(b"".join(frame["extra"]), np.int64).reshape(-1, 10)
+    every, at = np.unique(np.frombuffer(b"".join(frame["ids"]), np.int64), return_index=True) if len(told) else (np.zeros(0, np.int64), np.zeros(0, np.int64))
+    return sig[order], node[order], every, told[at]
 
 
 def _counted(hub: np.ndarray, node: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -290,7 +291,7 @@ def _hub_pairs(frame: pd.DataFrame) -> pd.DataFrame:
         read = lambda c: np.frombuffer(b"".join(frame[c]), np.int64)
         return pd.DataFrame({"a": read("sig"), "b": read("place"), "n": read("ids")})
     else:
-        sig, node, _ = _posted(frame)
+        sig, node, _, _ = _posted(frame)
         new = np.concatenate([[True], sig[1:] != sig[:-1]])
         hub = node[np.flatnonzero(new)][np.cumsum(new) - 1]
         pairs, n = _counted(hub, node)
@@ -303,7 +304,7 @@ def _likely_forest(frame: pd.DataFrame) -> pd.DataFrame:
     Nodes of one list are compared by label, size and sketch; of the pairs that pass, only
     those that join two trees go on, fewer than the shard has nodes.
     """
-    sig, node, extra = _posted(frame)
+    sig, node, every, told = _posted(frame)
     new = np.flatnonzero(np.concatenate([[True], sig[1:] != sig[:-1]]))
     root: dict[int, int] = {}
 
@@ -316,8 +317,8 @@ def _likely_forest(frame: pd.DataFrame) -> pd.DataFrame:
     for lo, hi in zip(new, [*new[1:], len(sig)], strict=True):
         if hi - lo < 2:
             continue
-        ids, at = np.unique(node[lo:hi], return_index=True)
-        own = extra[lo:hi][at]
+        ids = np.unique(node[lo:hi])
+        own = told[np.searchsorted(every, ids)]
         label, size, bits = own[:, 0], own[:, 1], own[:, 2:].view(np.uint64)
         if (label == label[0]).all():
             continue
