@@ -8,10 +8,11 @@ Distinct names are scored, not rows, so a name that many rows bear is compared o
 
 from __future__ import annotations
 
+import tempfile
 from functools import lru_cache
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 THRESHOLD = 90.0
@@ -84,6 +85,12 @@ def islands(events: DataFrame, key: str, at: str, gap_days: int = DAYS) -> DataF
     return events.withColumn("__new", late).withColumn("island", F.sum("__new").over(w.rowsBetween(Window.unboundedPreceding, 0))).drop("__new")
 
 
+def shared_checkpoints(spark: SparkSession) -> None:
+    """Checkpoints go to the folder the cluster names; to a temporary one only where none is set."""
+    if not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="factmill-"))
+
+
 def components(edges: DataFrame, rounds: int = 30) -> DataFrame:
     """node, label: the smallest node of each component, for the nodes of edges (a, b).
 
