@@ -236,3 +236,13 @@ def test_vocabulary_edges(spark):
     for gold, made, kind, want in [("100", "100.9", "numeric", True), ("100", "102", "numeric", False), ("0", "0.0", "numeric", True), ("None", "", "enum", True), ("a", None, "enum", False), ("usd", "USD", "enum", True)]:
         assert one(spark, vocab.equal(s(gold), s(made), kind)) is want
     assert one(spark, vocab.shown_multiple(F.lit(2.5), s("CALCULATED"))) == "2.50"
+
+
+def test_articles():
+    contents = "ARTICLE I\nDEFINITIONS\nARTICLE II\nMERGER CONSIDERATION\nARTICLE III\nTERMINATION\n"
+    body = "This agreement dated as of March 3, 2024.\nWHEREAS one; NOW, THEREFORE two.\n" + contents.replace("\nARTICLE", "\nwords of the article\nARTICLE") + "end"
+    text_ = contents + body
+    kinds = [(k, text_[a:b]) for k, _, a, b, _ in scanners.article_rows(text_)]
+    assert [k for k, _ in kinds] == ["RECITALS", "DEFINITIONS", "CONSIDERATION", "TERMINATION_FEES"]
+    assert kinds[0][1].startswith("This agreement") and all(a >= len(contents) for _, _, a, _, _ in scanners.article_rows(text_))
+    assert scanners.article_rows(AGREEMENT) == scanners.section_rows(AGREEMENT)
