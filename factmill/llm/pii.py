@@ -362,7 +362,10 @@ def told(spans: list[Span]) -> str:
 
 def fitted(docs: DataFrame, texts: int = TRAINING_TEXTS) -> Tagger:
     """Trained on windows of a bounded sample: the texts of smallest hash among those not too long."""
-    rows = docs.select("text").where(F.col("text").isNotNull() & (F.length("text") <= TRAINING_CHARS)).withColumn("h", F.xxhash64("text")).orderBy("h").limit(texts).collect()
+    rows = docs.select("text").where(F.col("text").isNotNull() & (F.length("text") <= TRAINING_CHARS)).withColumn("h", F.xxhash64("text"))
+    # hashes first: a task that offers whole texts would send the driver more with every task there is
+    least = rows.select("h").distinct().orderBy("h").limit(texts).agg(F.max("h")).first()[0]
+    rows = rows.where(F.col("h") <= F.lit(least)).groupBy("h").agg(F.min("text").alias("text")).orderBy("h").limit(texts).collect() if least is not None else []
     return Tagger.fit(training_windows([r["text"] for r in rows]))
 
 
