@@ -43,14 +43,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from factmill.llm.components import components
-from factmill.llm.scratch import Scratch, small
+from factmill.llm.scratch import Scratch, arrow_rows, small
 from factmill.llm.textkit import chunks, mixed, shingles
 
 WORDS = 5
 SKETCH_BITS = 20
 FAN = 64
 SHARD_POSTINGS = 600_000
-BATCH_SETS = 3072
+BATCH_SETS = 2000
 BITS = 512
 BLOCK_SETS, BLOCK_QUERIES = 1024, 2048
 DENSE = 512
@@ -253,7 +253,7 @@ def _postings(shards: int, heavy, labelled: bool):
                 if len(own):
                     ids, place = np.unique(node[own], return_inverse=True)
                     extra = known.loc[ids].to_numpy().tobytes() if labelled else b""
-                    rows.append((s, (sig[own] & np.uint64(0xFFFFFFFF)).astype(np.uint32).tobytes(), place.astype(np.uint32).tobytes(), ids.tobytes(), extra))
+                    rows.append((s, (sig[own] & np.uint64(0xFFFFFFFF)).astype(np.uint32).tobytes(), place.astype(np.uint16).tobytes(), ids.tobytes(), extra))
             yield pd.DataFrame(rows, columns=["shard", "sig", "place", "ids", "extra"])
 
     return run
@@ -268,7 +268,7 @@ def _posted(frame: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray, np
     sigs, nodes = [], []
     for sig, place, ids in zip(frame["sig"], frame["place"], frame["ids"], strict=True):
         sigs.append(np.frombuffer(sig, np.uint32))
-        nodes.append(np.frombuffer(ids, np.int64)[np.frombuffer(place, np.uint32)])
+        nodes.append(np.frombuffer(ids, np.int64)[np.frombuffer(place, np.uint16)])
     sig, node = np.concatenate(sigs), np.concatenate(nodes)
     del sigs, nodes
     order = np.lexsort((node, sig))
@@ -474,6 +474,12 @@ def _region_blocks(scratch: Scratch, forest: DataFrame, labels: DataFrame) -> Da
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id."""
+    with arrow_rows(docs.sparkSession, BATCH_SETS):
+        return _components_of(docs)
+
+
+def _components_of(docs: DataFrame) -> DataFrame:
+    """All that runs Python is written to tables in here; what is returned only joins them."""
     spark = docs.sparkSession
     scratch = Scratch(spark, "jaccard")
     made = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_NULL_ID)).alias("doc_id"), "text").mapInPandas(_sets, "kind int, doc_id long, n long, node long, bits array<long>, blob binary")

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -39,6 +41,18 @@ class Scratch:
             path.getFileSystem(conf).delete(path, True)
 
 
+@contextmanager
+def arrow_rows(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Arrow batches of so many rows at most for what runs inside, to bound a Python worker's memory."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, rows)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def small(df: DataFrame, rows: int) -> DataFrame:
     """``df`` with a broadcast hint if its counted rows are within the bound, else as it is."""
     from pyspark.sql import functions as F
