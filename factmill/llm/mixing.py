@@ -10,6 +10,10 @@
 4. The j-th slot of a source takes the block that the source's own permutation of its
    indexes gives for j, starting again after each pass. No block, and so no document, is
    taken more than ``MAX_EPOCHS`` times. Blocks and documents join by (source, index).
+5. Whole documents (``mix`` and the pipeline's stage): the words that blocks take of a document,
+   over its size, give its copies: the whole part, and one more with the fractional part as
+   probability, drawn from a seeded hash of the document's place in its source. Expected words
+   are the words taken, whatever the length; no document has more than ``MAX_EPOCHS`` copies.
 
 Only DataFrame expressions are used. A hot source is spread by (source, bucket); see
 ``ranks``. Reruns agree, as every choice is a function of the rows and the seed.
@@ -95,8 +99,8 @@ def slots(sources: DataFrame, seed: int = SEED) -> DataFrame:
     )
 
 
-def mix(docs: DataFrame, block: int = BLOCK, seed: int = SEED) -> DataFrame:
-    """doc_id, source, size, source_size, target, taken."""
+def packed(docs: DataFrame, block: int = BLOCK, seed: int = SEED) -> DataFrame:
+    """doc_id, source, size, source_size, target, taken, at: words taken by blocks, and the place of the first word."""
     scratch = Scratch(docs.sparkSession, "mix")
     rows = docs.select("doc_id", "source", F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"))
     rows = scratch.table(rows, "sizes")
@@ -119,12 +123,21 @@ def mix(docs: DataFrame, block: int = BLOCK, seed: int = SEED) -> DataFrame:
     taken = cover.join(uses.withColumn("source", F.coalesce("source", F.lit("\0null"))).hint("merge"), ["source", "block"]).groupBy("__row").agg(F.sum(F.col("__uses") * F.col("__words")).alias("taken"))
     told = small(sources.select(F.col("source").alias("__s"), "source_size", "target"), n_sources)
     return rows.join(taken, "__row", "left").join(told, F.col("source").eqNullSafe(F.col("__s")), "left").select(
-        "doc_id", "source", "size", "source_size", F.coalesce("target", F.lit(0.0)).alias("target"), F.coalesce("taken", F.lit(0)).cast("long").alias("taken"),
+        "doc_id", "source", "size", "source_size", F.coalesce("target", F.lit(0.0)).alias("target"), F.coalesce("taken", F.lit(0)).cast("long").alias("taken"), F.col("__at").alias("at"),
     )
 
 
+def mix(docs: DataFrame, block: int = BLOCK, seed: int = SEED) -> DataFrame:
+    """doc_id, source, size, source_size, target, taken: words taken by whole copies of documents."""
+    size = F.nullif("size", F.lit(0).cast("long"))
+    # at differs between the rows of a source that have words
+    draw = F.pmod(F.xxhash64(F.lit(seed), F.lit("copies"), F.coalesce("source", F.lit("\0null")), "at"), size)
+    copies = F.floor(F.col("taken") / size) + (draw < F.col("taken") % size).cast("long")
+    return packed(docs, block, seed).select("doc_id", "source", "size", "source_size", "target", F.coalesce(copies * F.col("size"), F.lit(0)).cast("long").alias("taken"))
+
+
 def mixed_documents(docs: DataFrame) -> DataFrame:
-    """The documents as the mix repeats them: taken / size copies, rounded; those of no words once."""
+    """The documents as the mix repeats them: taken / size copies, a whole number; those of no words once."""
     names = docs.columns
     made = mix(docs.select("doc_id", "source", "text").withColumn("doc_id", F.col("doc_id")))
     copies = made.select(
@@ -140,4 +153,4 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
 
 def op6(docs: DataFrame) -> DataFrame:
     """The contract's columns."""
-    return mix(docs).select("doc_id", "size", "source_size", "target", "taken", "source")
+    return packed(docs).select("doc_id", "size", "source_size", "target", "taken", "source")

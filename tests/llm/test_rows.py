@@ -68,6 +68,19 @@ def test_mix(docs):
     assert mixed.columns == docs.columns and mixed.count() > 0
 
 
+def test_mixed_documents_deliver_the_targets(spark):
+    rows = [(i, " ".join(["w"] * (1000 + i % 500)), "en", "abc"[i % 3], 0) for i in range(1500)]
+    long = spark.createDataFrame(rows, SCHEMA)
+    want = {r["source"]: r["target"] for r in mixing.op6(long).select("source", "target").distinct().collect()}
+    got = {}
+    for r in mixing.mixed_documents(long).selectExpr("source", "doc_id").collect():
+        got.setdefault(r["source"], []).append(r["doc_id"])
+    for source, target in want.items():
+        words = sum(1000 + i % 500 for i in got[source])
+        assert abs(words / target - 1) < 0.1, (source, words, target)
+        assert max(got[source].count(i) for i in set(got[source])) <= mixing.MAX_EPOCHS
+
+
 def test_shards(docs):
     rows = sharding.op10(docs).collect()
     sizes = {}
