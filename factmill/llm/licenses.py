@@ -5,8 +5,10 @@ template's distinct words. Words are ordered by how many documents hold them, ra
 counted over all documents. In that order a block that qualifies must hold one of a
 template's first n - ceil(SHARE * n) + 1 words (prefix filter), must have enough words
 (length filter), and from the first word met on both sides must have enough words left
-(positional filter); what passes is counted exactly. Short notices are sought in single
-lines, long texts in paragraphs (runs of lines that aren't blank), over the whole text.
+(positional filter); what passes is counted exactly. Every template is sought in lines, in paragraphs (lines up
+to a blank one) and in runs of neighbouring lines, blank ones skipped, over the whole text.
+A run may hold as many words between its first and its last line as the template has, so
+notices are found however they are wrapped or spaced out.
 
 The counts are kept for the templates' vocabulary alone, so their size is fixed by the
 templates, and so is all that goes to the executors.
@@ -15,7 +17,7 @@ Beside the join, base phrases are sought word by word, as whole consecutive word
 
 Defined results: null and empty texts have no words, no labels, no places and score 0; a
 text with a base phrase scores 1, any other the greatest share of a template found in one of
-its blocks that passes the filters, else 0; repeated rows get equal results; extra columns
+its blocks or runs that passes the filters, else 0; repeated rows get equal results; extra columns
 are ignored; an empty table gives no rows.
 """
 
@@ -23,6 +25,7 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -87,12 +90,15 @@ class Index:
     def __init__(self, counts: dict[bytes, int], templates=TEMPLATES):
         order = sorted(vocabulary(templates), key=lambda w: (counts.get(w, 0), w))
         self.place = {w: i for i, w in enumerate(order)}
+        self.lengths, self.prefixes = [], []
         self.templates, self.prefix = [], {"line": {}, "paragraph": {}}
         for label, unit, text in templates:
             own = sorted(self.place[w] for w in set(words(_raw(text))))
             need = -(-SHARE_NUM * len(own) // SHARE_DEN)
             k = len(self.templates)
             self.templates.append((label, frozenset(own), len(own), need))
+            self.lengths.append(len(words(_raw(text))))
+            self.prefixes.append(frozenset(own[: len(own) - need + 1]))
             for i, w in enumerate(own[: len(own) - need + 1]):
                 self.prefix[unit].setdefault(w, []).append((k, i))
         self.any_prefix = {order[w] for unit in self.prefix.values() for w in unit}
@@ -115,6 +121,34 @@ class Index:
                     met.append((label, shared / n))
         return met
 
+    def found_in_runs(self, lines: list[list[bytes]]) -> list[tuple[str, float]]:
+        """Labels and greatest shares of the templates that runs of these neighbouring lines contain.
+
+        The longest run from each line is enough, as all others from there are parts of it.
+        """
+        held = [{self.place[w] for w in line if w in self.place} for line in lines]
+        known = set().union(*held)
+        before = [0, *accumulate(map(len, lines))]
+        met = []
+        for (label, own, n, need), prefix, length in zip(self.templates, self.prefixes, self.lengths, strict=True):
+            if prefix.isdisjoint(known) or len(own & known) < need:
+                continue
+            marked = [(i, own & h) for i, h in enumerate(held) if not own.isdisjoint(h)]
+            counts: Counter[int] = Counter()
+            best = end = 0
+            for first, out in marked:
+                while end < len(marked) and before[marked[end][0]] - before[first + 1] <= length:
+                    counts.update(marked[end][1])
+                    end += 1
+                best = max(best, len(counts))
+                for w in out:
+                    counts[w] -= 1
+                    if not counts[w]:
+                        del counts[w]
+            if best >= need:
+                met.append((label, best / n))
+        return met
+
 
 def blocks(raw: bytes) -> Iterator[tuple[str, list[bytes]]]:
     """All lines, and all paragraphs of the text, as words."""
@@ -162,7 +196,9 @@ def scan(docs: DataFrame, templates=TEMPLATES) -> DataFrame:
         labels = {label for _, label in base}
         joined = []
         if not index.any_prefix.isdisjoint(tokens):
-            joined = [x for unit, own in blocks(raw) for x in index.found(unit, own)]
+            made = list(blocks(raw))
+            joined = [x for _, own in made for unit in index.prefix for x in index.found(unit, own)]
+            joined += index.found_in_runs([own for unit, own in made if unit == "line"])
         starts = [at for at, _ in base]
         return (
             len(tokens), len(base), min(starts, default=None), max(starts, default=None), ",".join(sorted(labels)),

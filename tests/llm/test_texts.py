@@ -141,6 +141,38 @@ def test_license_join_is_exact():
         assert sorted(index.found(unit, block)) == sorted(want)
 
 
+def test_wrapped_and_spaced_notices(spark):
+    texts = {
+        "mpl": "/* This Source Code Form is subject to the terms of the Mozilla Public\n * License, v. 2.0. If a copy of the MPL was not distributed with this\n * file, You can obtain one at http://mozilla.org/MPL/2.0/. */",
+        "cc-by": "some prose\nThis work is licensed under a Creative Commons\nAttribution 4.0 International License.\nmore prose",
+        "bsd": "Redistribution and use in source and binary forms, with or without modification,\nare permitted provided that the following conditions are met:\n\n1. Redistributions of source code must retain the above copyright notice,\n\n   this list of conditions and the following disclaimer.",
+        "apache": "you may not use this file except in compliance with the License.\nYou may obtain a copy of the License at\n\n    http://www.example.org/licenses/LICENSE-2.0\n\nUnless required by applicable law or agreed to in writing, software\ndistributed under the License is distributed on an \"AS IS\" BASIS,\nWITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.",
+        "": "Mozilla Public\n" + "\nfiller words\n" * 40 + "\nThis Source Code Form is subject to\n" + "\nfiller words\n" * 40 + "\nthe terms of the License, v. 2.0.",
+    }
+    frame = spark.createDataFrame(list(enumerate(texts.values())), "doc_id long, text string")
+    got = {r["doc_id"]: r["labels"] for r in licenses.op7(frame).collect()}
+    assert [got[i] for i in range(len(texts))] == list(texts)
+
+
+def test_runs_against_all_runs():
+    index, rng = licenses.Index({w: i % 7 for i, w in enumerate(licenses.vocabulary())}), np.random.default_rng(8)
+    for _ in range(200):
+        _, _, text = licenses.TEMPLATES[rng.integers(len(licenses.TEMPLATES))]
+        tokens = [w for w in licenses.words(text.encode()) if rng.random() < 0.9]
+        for _ in range(rng.integers(0, 60)):
+            tokens.insert(rng.integers(len(tokens) + 1), b"x")
+        cuts = [0, *sorted(rng.integers(0, len(tokens), 6)), len(tokens)]
+        lines = [tokens[a:b] for a, b in zip(cuts, cuts[1:]) if a < b]
+        want = []
+        for label, _, other in licenses.TEMPLATES:
+            t, length = set(licenses.words(other.encode())), len(licenses.words(other.encode()))
+            runs = [lines[a : b + 1] for a in range(len(lines)) for b in range(a, len(lines)) if sum(map(len, lines[a + 1 : b])) <= length]
+            best = max(len(t & {w for line in run for w in line}) for run in runs)
+            if 5 * best >= 4 * len(t):
+                want.append((label, best / len(t)))
+        assert sorted(index.found_in_runs(lines)) == sorted(want)
+
+
 @pytest.fixture(scope="module")
 def tagger():
     rng = np.random.default_rng(6)
