@@ -1,9 +1,9 @@
 """Entity clustering: token-set similarity, blocking without loss, transitive closure.
 
 Two names that score 90 or more share a token or, if they share none, a character 3-gram of
-their sorted tokens. Candidates share one of these and the event family; dates, rounds and
-sizes are gated by native expressions before the similarity, an Arrow function, is asked.
-Distinct names are scored, not rows, so a name that many rows bear is compared once.
+their sorted tokens. Distinct target names are scored by an Arrow function, not rows, so a
+name that many rows bear is compared once. Deals meet by target and family; dates, rounds and
+sizes are gated by native expressions before the acquirers' similarity is asked.
 """
 
 from __future__ import annotations
@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 
 THRESHOLD = 90.0
 DAYS = 3
+FUNDING_DAYS = 30
+FUNDING_TOLERANCE = 0.15
 
 
 @lru_cache(1 << 16)
@@ -78,6 +80,49 @@ def similar_names(names: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     return pairs.where(similarity("a", "b") >= threshold)
 
 
+def round_stage(label: Column) -> Column:
+    """The stage of a round's label; null if it names none."""
+    low = F.lower(label)
+    series = F.regexp_extract(low, r"series\s*([a-k])", 1)
+    return (
+        F.when(series != "", F.concat(F.lit("series_"), series)).when(low.rlike("pre-seed|pre seed|preseed|pre_seed"), "pre_seed")
+        .when(low.contains("seed"), "seed").when(low.contains("angel"), "angel")
+    )
+
+
+def same_deals(deals: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """Pairs (a, b) of ids, a < b, that tell of one deal.
+
+    ``deals`` has id, is_funding, target, acquirer, day and precision (strings), round_label,
+    round_size; names are normalised. Funding never meets other deals. Fundings: like targets, and
+    no conflict of exact dates, stages or sizes. Others: like targets and acquirers, and days at
+    most ``DAYS`` apart if both are told; a told day that can't be read matches none.
+    """
+    told = F.coalesce(F.col("day"), F.lit("")) != ""
+    rows = deals.select(
+        "id", F.coalesce("is_funding", F.lit(False)).alias("is_funding"), "target", "acquirer", told.alias("told"),
+        F.when(F.col("day").rlike(r"^\d{4}-\d{1,2}-\d{1,2}$"), F.expr("try_to_date(day, 'yyyy-M-d')")).alias("on"),
+        F.coalesce(F.col("precision") == "exact", F.lit(False)).alias("exact"),
+        round_stage(F.col("round_label")).alias("stage"), F.nullif(F.col("round_size").cast("double"), F.lit(0.0)).alias("size"),
+    ).where(F.trim(F.coalesce("target", F.lit(""))) != "")
+    names = rows.select(F.col("target").alias("name")).distinct()
+    like = similar_names(names, threshold)
+    like = like.union(like.select("b", "a")).union(names.select("name", F.col("name").alias("b"))).toDF("x_target", "y_target")
+    left, right = (rows.select(*[F.col(c).alias(f"{side}_{c}") for c in rows.columns]) for side in "xy")
+    met = left.join(like, "x_target").join(right, (F.col("x_is_funding") == F.col("y_is_funding")) & (like["y_target"] == right["y_target"]) & (F.col("x_id") < F.col("y_id")))
+    apart = F.abs(F.datediff("x_on", "y_on"))
+    larger = F.greatest("x_size", "y_size")
+    near = F.when(F.col("x_told") & F.col("y_told"), F.coalesce(apart <= DAYS, F.lit(False))).otherwise(True)
+    clash = (
+        F.coalesce(F.col("x_exact") & F.col("y_exact") & (apart > FUNDING_DAYS), F.lit(False))
+        | F.coalesce(F.col("x_stage") != F.col("y_stage"), F.lit(False))
+        | F.coalesce(F.when(F.col("x_size").isNotNull() & F.col("y_size").isNotNull(), F.abs(F.col("x_size") - F.col("y_size")) / larger > FUNDING_TOLERANCE), F.lit(False))
+    )
+    met = met.where(F.when(F.col("x_is_funding"), ~clash).otherwise(near)).select(F.col("x_id").alias("a"), F.col("y_id").alias("b"), "x_is_funding", "x_acquirer", "y_acquirer")
+    funding = met.where("x_is_funding").select("a", "b")
+    return funding.union(met.where("not x_is_funding").where(similarity("x_acquirer", "y_acquirer") >= threshold).select("a", "b"))
+
+
 def islands(events: DataFrame, key: str, at: str, gap_days: int = DAYS) -> DataFrame:
     """Closure of "same key, at most so many days apart": a new island where the gap is larger."""
     w = Window.partitionBy(key).orderBy(at, "event_id")
@@ -91,7 +136,7 @@ def shared_checkpoints(spark: SparkSession) -> None:
         spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="factmill-"))
 
 
-def components(edges: DataFrame, rounds: int = 30) -> DataFrame:
+def components(edges: DataFrame) -> DataFrame:
     """node, label: the smallest node of each component, for the nodes of edges (a, b).
 
     Smallest-label propagation with pointer jumping; each round is checkpointed, and it stops
@@ -99,7 +144,7 @@ def components(edges: DataFrame, rounds: int = 30) -> DataFrame:
     """
     both = edges.select("a", "b").union(edges.select("b", "a")).distinct().checkpoint()
     labels = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("label")).withColumnRenamed("a", "node").checkpoint()
-    for _ in range(rounds):
+    while True:
         near = both.join(labels, F.col("b") == F.col("node")).groupBy("a").agg(F.min("label").alias("seen"))
         step = labels.join(near, F.col("node") == F.col("a")).select("node", F.least("label", "seen").alias("label"))
         onto = step.select(F.col("node").alias("l"), F.col("label").alias("further"))
@@ -107,8 +152,7 @@ def components(edges: DataFrame, rounds: int = 30) -> DataFrame:
         moved = new.alias("n").join(labels.alias("o"), "node").where("n.label <> o.label").take(1)
         labels = new
         if not moved:
-            break
-    return labels
+            return labels
 
 
 def cluster_id(names: Column, day: Column, fallback: Column) -> Column:

@@ -147,6 +147,45 @@ def test_clusters(spark):
     assert {r["label"] for r in cluster.components(edges).collect()} == {0, 100}
 
 
+def test_same_deals_against_all_pairs(spark):
+    rng = random.Random(3)
+    pick = lambda *xs: rng.choice(xs)
+    deals = [
+        (i, rng.random() < 0.5, pick("acme robotics", "robotics acme", "acme robotic", "zenith labs", "zenith lab", "", None), pick("big buyer", "big buyers", "other fund", None),
+         pick("2024-01-01", "2024-01-03", "2024-01-20", "2024-03-09", "soon", "", None), pick("exact", "month", None),
+         pick("Series A", "series a-1", "Series B", "Pre-Seed", "seed", None, "growth"), pick(None, 0.0, 100.0, 110.0, 150.0))
+        for i in range(150)
+    ]
+
+    def stage(label):
+        low = (label or "").lower()
+        return "series_" + low[7] if low.startswith("series") else "pre_seed" if "pre-seed" in low else "seed" if "seed" in low else None
+
+    def days(x, y):
+        try:
+            return abs((datetime.date.fromisoformat(x) - datetime.date.fromisoformat(y)).days)
+        except ValueError:
+            return None
+
+    want = set()
+    for x, y in itertools.combinations(deals, 2):
+        if x[1] != y[1] or cluster.token_set_ratio(x[2], y[2]) < 90:
+            continue
+        apart = days(x[4], y[4]) if x[4] and y[4] else None
+        if x[1]:
+            late = x[5] == y[5] == "exact" and apart is not None and apart > 30
+            other = stage(x[6]) and stage(y[6]) and stage(x[6]) != stage(y[6])
+            uneven = x[7] and y[7] and abs(x[7] - y[7]) / max(x[7], y[7]) > 0.15
+            same = not (late or other or uneven)
+        else:
+            same = cluster.token_set_ratio(x[3], y[3]) >= 90 and (not (x[4] and y[4]) or apart is not None and apart <= 3)
+        if same:
+            want.add((x[0], y[0]))
+    frame = spark.createDataFrame(deals, "id long, is_funding boolean, target string, acquirer string, day string, precision string, round_label string, round_size double")
+    got = [tuple(r) for r in cluster.same_deals(frame).collect()]
+    assert len(got) == len(set(got)) and set(got) == want and want
+
+
 def test_upsert_twice_is_the_same_but_for_the_version(spark):
     old = spark.createDataFrame([(1, "a", "n", 1), (2, "b", "m", 1)], "id long, state string, note string, version int")
     new = spark.createDataFrame([(1, None), (3, "c")], "id long, state string")
