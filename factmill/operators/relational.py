@@ -72,6 +72,32 @@ def profile(df: DataFrame, columns: list[str]) -> DataFrame:
     )
 
 
+LENGTHS = {"p05": 0.05, "p25": 0.25, "p50": 0.5, "p75": 0.75, "p95": 0.95}
+
+
+def full_profile(df: DataFrame, columns: list[str]) -> DataFrame:
+    """One row per column over whole values, trimmed: filled, fill_pct, n_distinct (by hash),
+    distinct_ratio, least, most, mean and nearest-rank percentiles of length, url_pct and
+    date_pct of the filled. Percentiles come from counts by length, so no list of values is kept."""
+    own = [F.regexp_replace(F.coalesce(F.col(c).cast("string"), F.lit("")), r"^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+\z", "").alias(c) for c in columns]
+    long = df.select(*own).unpivot([], columns, "column", "value").select(
+        "column", F.length("value").cast("long").alias("n"), F.sha2("value", 256).alias("hash"), F.col("value").rlike("(?i)^https?://").alias("url"), F.col("value").rlike("^[0-9]{4}-[0-9]{2}-[0-9]{2}").alias("date"),
+    )
+    filled = F.col("n") > 0
+    part = lambda rule, of: F.coalesce(F.round(F.count(F.when(rule, 1)) * 100 / F.nullif(of, F.lit(0).cast("long")), 2), F.lit(0.0))
+    n, rows = F.count(F.when(filled, 1)), F.count(F.lit(1))
+    main = long.groupBy("column").agg(
+        n.alias("filled"), part(filled, rows).alias("fill_pct"), F.count_distinct(F.when(filled, F.col("hash"))).alias("n_distinct"), rows.alias("__rows"),
+        F.min(F.when(filled, F.col("n"))).alias("least"), F.max(F.when(filled, F.col("n"))).alias("most"), F.floor(F.avg(F.when(filled, F.col("n")))).cast("long").alias("mean"),
+        part(filled & F.col("url"), n).alias("url_pct"), part(filled & F.col("date"), n).alias("date_pct"),
+    ).withColumn("distinct_ratio", F.round(F.col("n_distinct") / F.col("__rows"), 4)).drop("__rows")
+    w = Window.partitionBy("column")
+    sizes = long.where(filled).groupBy("column", "n").agg(F.count(F.lit(1)).alias("k"))
+    sizes = sizes.withColumn("upto", F.sum("k").over(w.orderBy("n").rowsBetween(Window.unboundedPreceding, 0))).withColumn("all", F.sum("k").over(w))
+    at = lambda p: F.min(F.when(F.col("upto") > F.bround((F.col("all") - 1) * F.lit(p)), F.col("n")))
+    return main.join(sizes.groupBy("column").agg(*[at(p).alias(k) for k, p in LENGTHS.items()]), "column", "left")
+
+
 def top(df: DataFrame, key: str, k: int) -> DataFrame:
     """The k most frequent values with counts and shares in %; ties by value."""
     counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("n"))

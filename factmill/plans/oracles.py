@@ -311,6 +311,14 @@ SELECT "column", count(*) FILTER (WHERE trim(value) <> '') AS filled, round(coun
   count(DISTINCT value) FILTER (WHERE trim(value) <> '') AS n_distinct, max(length(value)) AS max_length, round(count(*) FILTER (WHERE regexp_matches(value, '^https?://')) * 100 / count(*), 2) AS url_pct
 FROM v GROUP BY "column"
 """
+_AT = "list_sort(list(length(value)) FILTER (WHERE value <> ''))[1 + CAST(round_even((count(*) FILTER (WHERE value <> '') - 1) * {p}, 0) AS INTEGER)]"
+_SHARE = "coalesce(round(count(*) FILTER (WHERE value <> '' AND regexp_matches(value, '{r}')) * 100 / nullif(count(*) FILTER (WHERE value <> ''), 0), 2), 0)"
+SQL["profile_pages"] = "WITH r AS (" + " UNION ALL ".join(_COL.format(n=n, e=n) for n in ("page_id", "url", "html")) + r"""),
+v AS (SELECT "column", regexp_replace(coalesce(value, ''), '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g') AS value FROM r)
+SELECT "column", count(*) FILTER (WHERE value <> '') AS filled, round(count(*) FILTER (WHERE value <> '') * 100 / count(*), 2) AS fill_pct,
+  count(DISTINCT value) FILTER (WHERE value <> '') AS n_distinct, round(count(DISTINCT value) FILTER (WHERE value <> '') / count(*), 4) AS distinct_ratio,
+  min(length(value)) FILTER (WHERE value <> '') AS least, max(length(value)) FILTER (WHERE value <> '') AS most, CAST(floor(avg(length(value)) FILTER (WHERE value <> '')) AS BIGINT) AS mean,
+""" + f"  {_SHARE.format(r='(?i)^https?://')} AS url_pct, {_SHARE.format(r='^[0-9]{4}-[0-9]{2}-[0-9]{2}')} AS date_pct, " + ", ".join(f"{_AT.format(p=p)} AS {k}" for k, p in (("p05", 0.05), ("p25", 0.25), ("p50", 0.5), ("p75", 0.75), ("p95", 0.95))) + ' FROM v GROUP BY "column"'
 _NTH = "list_sort(list(n_chars))[1 + CAST(round_even((count(*) - 1) * {p}, 0) AS INTEGER)]"
 SQL["percentiles_nearest"] = "SELECT source, " + ", ".join(f"{_NTH.format(p=p)} AS p{int(p * 100)}" for p in (0.1, 0.5, 0.9)) + ", min(n_chars) AS least, max(n_chars) AS most, CAST(floor(avg(n_chars)) AS BIGINT) AS mean FROM documents GROUP BY source"
 SQL["topk_hosts"] = """

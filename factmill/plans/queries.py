@@ -336,6 +336,11 @@ def profile_columns(spark, sf_dir):
     return relational.profile(view(spark, sf_dir, "pages").select("page_id", "url", F.substring("html", 1, 40).alias("html")), ["page_id", "url", "html"])
 
 
+@query
+def profile_pages(spark, sf_dir):
+    return relational.full_profile(view(spark, sf_dir, "pages").select("page_id", "url", "html"), ["page_id", "url", "html"])
+
+
 @query
 def percentiles_nearest(spark, sf_dir):
     return view(spark, sf_dir, "documents").groupBy("source").agg(*[relational.nearest_rank("n_chars", p).alias(f"p{int(p * 100)}") for p in (0.1, 0.5, 0.9)], F.min("n_chars").alias("least"), F.max("n_chars").alias("most"), F.floor(F.avg("n_chars")).cast("long").alias("mean"))

@@ -186,6 +186,12 @@ def test_same_deals_against_all_pairs(spark):
     assert len(got) == len(set(got)) and set(got) == want and want
 
 
+def test_profile_tells_whole_values(spark):
+    rows = [(f"{'x' * 50}{i} ",) for i in range(9)] + [("2024-01-02 and on",), (" ",), (None,)]
+    got = relational.full_profile(spark.createDataFrame(rows, "v string"), ["v"]).first().asDict()
+    assert (got["filled"], got["n_distinct"], got["distinct_ratio"], got["least"], got["p50"], got["most"], got["date_pct"]) == (10, 10, 0.8333, 17, 51, 51, 10.0)
+
+
 def test_upsert_twice_is_the_same_but_for_the_version(spark):
     old = spark.createDataFrame([(1, "a", "n", 1), (2, "b", "m", 1)], "id long, state string, note string, version int")
     new = spark.createDataFrame([(1, None), (3, "c")], "id long, state string")
