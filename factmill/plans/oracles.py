@@ -251,6 +251,18 @@ SELECT page_id, CASE WHEN flat = '' THEN 'empty' ELSE coalesce(
 FROM b
 """
 
+SQL["body_quality_whole"] = f"""
+WITH a AS (SELECT page_id, regexp_replace(html, '<[^>]*>', ' ', 'g') AS t, lower({_TITLE}) AS title FROM pages),
+b AS (SELECT *, lower(trim(regexp_replace(t, '[\\x20\\x09-\\x0D]+', ' ', 'g'))) AS flat FROM a)
+SELECT page_id, CASE WHEN t IS NULL OR flat = '' THEN 'empty' ELSE coalesce(
+  {_first_marker("substr(flat, 1, 500)", text.DECISIVE_MARKERS, 'block_page:body:')},
+  CASE WHEN length(flat) < 1500 THEN {_first_marker("substr(flat, 1, 500)", text.GENERIC_MARKERS, 'block_page:short_body_marker:')} END,
+  CASE WHEN length(flat) < 600 THEN {_first_marker("flat", text.WEAK_MARKERS, 'block_page:short_body_marker:')} END,
+  {_first_marker("title", text.DECISIVE_MARKERS + text.GENERIC_MARKERS, 'block_page:title:')},
+  CASE WHEN length(t) < 100 THEN 'too_short:' || length(t) END) END AS reason
+FROM b
+"""
+
 SQL["cluster_islands"] = """
 WITH e AS (SELECT event_id, user_id, CAST(ts AS DATE) AS day FROM events WHERE event_type = 'purchase'),
 a AS (SELECT *, CASE WHEN datediff('day', lag(day) OVER w, day) <= 1 THEN 0 ELSE 1 END AS fresh FROM e WINDOW w AS (PARTITION BY user_id ORDER BY day, event_id)),

@@ -189,6 +189,12 @@ def body_quality(spark, sf_dir):
     return p.select("page_id", text.body_rejection(marker, F.when(c("page_id") % 2 == 0, c("html"))).alias("reason"))
 
 
+@query
+def body_quality_whole(spark, sf_dir):
+    p = view(spark, sf_dir, "pages")
+    return p.select("page_id", text.body_rejection(F.regexp_replace("html", "<[^>]*>", " "), c("html")).alias("reason"))
+
+
 @query
 def html_title(spark, sf_dir):
     return view(spark, sf_dir, "pages").select("page_id", text.html_title(c("html")).alias("title"), F.regexp_extract("url", r"^https?://([^/:?#]+)", 1).alias("host"))

@@ -192,6 +192,14 @@ def test_profile_tells_whole_values(spark):
     assert (got["filled"], got["n_distinct"], got["distinct_ratio"], got["least"], got["p50"], got["most"], got["date_pct"]) == (10, 10, 0.8333, 17, 51, 51, 10.0)
 
 
+def test_body_rejection_judges_the_end_of_the_text(spark):
+    full = "word " * 400
+    bodies = {"": "empty", "too short": "too_short:9", full: None, "Access denied " + full: None, "Attention required! " + full: "block_page:body:attention required!"}
+    frame = spark.createDataFrame([(k,) for k in bodies], "t string")
+    got = {r["t"]: r["reason"] for r in frame.select("t", text.body_rejection(F.col("t"), F.lit(None).cast("string")).alias("reason")).collect()}
+    assert got == bodies
+
+
 def test_upsert_twice_is_the_same_but_for_the_version(spark):
     old = spark.createDataFrame([(1, "a", "n", 1), (2, "b", "m", 1)], "id long, state string, note string, version int")
     new = spark.createDataFrame([(1, None), (3, "c")], "id long, state string")
