@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -9,14 +10,16 @@ from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
-BROADCAST_ROWS = 1_000_000
+BROADCAST_ROWS = 300_000
 """Most rows of at most 32 bytes each that are ever broadcast; larger sides are shuffled."""
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared folder the cluster names; a temporary one only where none is set (tests)."""
+    """The shared folder the cluster names; a temporary one only in local mode, where all share it (tests)."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
+        if not re.match(r"local(\[[^\]]*\])?$", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         root = "file://" + tempfile.mkdtemp(prefix="factmill-checkpoint-")
         spark.conf.set("spark.checkpoint.dir", root)
     return root.rstrip("/")
