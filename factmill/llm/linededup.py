@@ -1,23 +1,25 @@
 """Line dedup by a sharded minimal perfect hash over distinct line hashes.
 
-1. One pass over the texts gives, for each line long enough, a 128-bit hash of its key, the
-   doc_id and the line's place. They travel as packed arrays, dealt to shards by hash; a
-   line that one batch repeats travels once for each of its documents.
-2. Each shard builds a minimal perfect hash over its distinct line hashes (levels of bit
-   arrays, as in BBHash) that indexes a fingerprint array, an array of document counts and
-   an array of first holders. The documents' line hashes probe these arrays; what comes out
-   is only the lines to drop, packed by document.
-3. The drop lists, gathered by document, are joined to the texts, and the rest is joined up.
-
-Lines are never joined to lines, and a very common line costs a few bytes for each
-document that holds it. Such a line would still gather in one shard, so each map task
-first settles what it can: of the holders of a line in its batch only the smallest can keep
-it, so the others' lines are dropped at once and only that holder goes to the shard, with
-the mark that the line is held by two documents.
+1. One pass over the texts gives, for each line long enough, a 128-bit hash of its key. A batch
+   tells two things of it, dealt to shards by hash and packed: for the index, once for each
+   distinct line, how many documents of the batch hold it and the smallest of them; for
+   probing, the lines of that smallest document with their places.
+2. Each shard adds up the first and builds a minimal perfect hash over its distinct line hashes
+   (levels of bits with sampled ranks, as in BBHash) that indexes an array of fingerprints, an
+   array of document counts (one byte, as it need only tell 2 from 1) and an array of first
+   holders. These arrays are written, one row for each shard.
+3. The documents' line hashes probe the arrays of their shard; what comes out is only the
+   lines to drop, packed by document. They are joined to the texts, and the rest is joined up.
+
+Lines are never joined to lines, and all distinct lines are indexed, so that no line outside the
+index is ever taken for one inside. A very common line would gather in one shard, so each batch
+settles what it can: of its holders in the batch only the smallest document can keep it, and the
+others' lines are dropped at once.
 
 Defined results: null and empty texts are one empty line; rows of one doc_id are one
-document for counting, and lose the same lines as if each stood alone in it; a null doc_id
-is ordered before all others and counts as one document; an empty table gives no rows.
+document for counting and holding, and each loses the lines of its own text that another, smaller
+document holds; a null doc_id is ordered before all others and counts as one document; repeated
+rows give equal results; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -52,21 +54,52 @@ def keyed_lines(text: str | None) -> tuple[list[int], list[bytes]]:
     return places, keys
 
 
+SAMPLE = 512
+"""Bits between two sampled ranks."""
+
+
+class Bits:
+    """Packed bits, with the number of set bits before each position."""
+
+    def __init__(self, packed: np.ndarray, size: int):
+        self.packed, self.size = packed, size
+        words = np.zeros(-(-size // SAMPLE) * SAMPLE // 64, "<u8")
+        words.view(np.uint8)[: len(packed)] = packed
+        self.words = words
+        per = np.bitwise_count(words).reshape(-1, SAMPLE // 64).astype(np.int64)
+        self.before = np.concatenate([[0], np.cumsum(per.sum(axis=1))])
+
+    def held(self, at: np.ndarray) -> np.ndarray:
+        return (self.words[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1) == 1
+
+    def rank(self, at: np.ndarray) -> np.ndarray:
+        word = at >> 6
+        out = self.before[at // SAMPLE]
+        for k in range(SAMPLE // 64):  # whole words between the sample and the position's own
+            i = at // SAMPLE * (SAMPLE // 64) + k
+            out = out + np.where(i < word, np.bitwise_count(self.words[np.minimum(i, len(self.words) - 1)]), 0)
+        below = (np.uint64(1) << (at & 63).astype(np.uint64)) - np.uint64(1)
+        return out + np.bitwise_count(self.words[word] & below)
+
+
 class PerfectHash:
-    """A minimal perfect hash of distinct 64-bit keys: levels of bits, ranked by running counts."""
+    """A minimal perfect hash of distinct 64-bit keys: levels of bits, one for each round of placing."""
 
-    def __init__(self, keys: np.ndarray, room: float = 1.7):
-        self.levels: list[tuple[np.ndarray, np.ndarray, int]] = []
-        done = 0
+    def __init__(self, levels: list[Bits]):
+        self.levels = levels
+        self.starts = np.concatenate([[0], np.cumsum([int(b.before[-1]) for b in levels])]).astype(np.int64)
+        self.size = int(self.starts[-1])
+
+    @classmethod
+    def of(cls, keys: np.ndarray, room: float = 1.7) -> PerfectHash:
+        levels = []
         while len(keys):
             size = max(64, int(len(keys) * room))
-            at = self._place(keys, len(self.levels), size)
-            hits = np.bincount(at, minlength=size)
-            bits = hits == 1
-            self.levels.append((bits, np.cumsum(bits) - 1, done))
-            done += int(bits.sum())
-            keys = keys[~bits[at]]
-        self.size = done
+            at = cls._place(keys, len(levels), size)
+            alone = np.bincount(at, minlength=size) == 1
+            levels.append(Bits(np.packbits(alone, bitorder="little"), size))
+            keys = keys[~alone[at]]
+        return cls(levels)
 
     @staticmethod
     def _place(keys: np.ndarray, level: int, size: int) -> np.ndarray:
@@ -75,38 +108,51 @@ class PerfectHash:
 
     def index(self, keys: np.ndarray) -> np.ndarray:
         """0 .. size-1, one to one on the keys it was built from; -1 or any for others."""
-        out = np.full(len(keys), -1, np.int64)
-        todo = np.arange(len(keys))
-        for level, (bits, rank, start) in enumerate(self.levels):
-            at = self._place(keys[todo], level, len(bits))
-            hit = bits[at]
-            out[todo[hit]] = rank[at[hit]] + start
+        out, todo = np.full(len(keys), -1, np.int64), np.arange(len(keys))
+        for level, (bits, start) in enumerate(zip(self.levels, self.starts, strict=False)):
+            at = self._place(keys[todo], level, bits.size)
+            hit = bits.held(at)
+            out[todo[hit]] = bits.rank(at[hit]) + start
             todo = todo[~hit]
         return out
 
 
+_MANY = 2
+
+
 class LineIndex:
     """Fingerprints, document counts and first holders of a shard's distinct lines."""
 
-    def __init__(self, low: np.ndarray, high: np.ndarray, doc: np.ndarray, more: np.ndarray):
-        order = np.lexsort((doc, high, low))
-        low, high, doc, more = low[order], high[order], doc[order], more[order]
-        new = np.concatenate([[True], (low[1:] != low[:-1]) | (high[1:] != high[:-1])])[: len(low)]
-        other = new | np.concatenate([[True], doc[1:] != doc[:-1]])[: len(low)]
-        starts = np.flatnonzero(new)
-        counts = np.add.reduceat(other.astype(np.int64) + more, starts) if len(starts) else starts
-        # of two lines whose joined halves agree (1 in 2**64) the second isn't indexed, and stays
-        self.key, own = np.unique(self.joined(low, high)[starts], return_index=True)
-        starts, counts = starts[own], counts[own]
-        self.hash = PerfectHash(self.key)
-        at = self.hash.index(self.key)
-        self.prints = np.empty(len(starts), np.uint32)
-        self.counts = np.empty(len(starts), np.uint32)
-        self.holders = np.empty(len(starts), np.int64)
-        if len(starts):
-            self.prints[at] = (high[starts] >> np.uint64(32)).astype(np.uint32)
-            self.counts[at] = counts
-            self.holders[at] = doc[starts]
+    def __init__(self, hash_: PerfectHash, prints: np.ndarray, counts: np.ndarray, holders: np.ndarray):
+        self.hash, self.prints, self.counts, self.holders = hash_, prints, counts, holders
+
+    @classmethod
+    def of(cls, low: np.ndarray, high: np.ndarray, count: np.ndarray, least: np.ndarray) -> LineIndex:
+        """From what the batches tell: lines, each with its documents' count and the smallest of them."""
+        key = cls.joined(low, high)
+        # of two lines whose joined halves agree (1 in 2**64) the first is indexed
+        order = np.lexsort((least, high, key))
+        key, high, count, least = key[order], high[order], count[order], least[order]
+        starts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])[: len(key)])
+        total = np.minimum(np.add.reduceat(count.astype(np.int64), starts), _MANY) if len(starts) else starts
+        hash_ = PerfectHash.of(key[starts])
+        at = hash_.index(key[starts])
+        out = cls(hash_, np.zeros(len(starts), "<u4"), np.zeros(len(starts), "<u1"), np.zeros(len(starts), "<i8"))
+        out.prints[at], out.counts[at] = high[starts] >> np.uint64(32), total
+        out.holders[at] = np.minimum.reduceat(least, starts) if len(starts) else starts
+        return out
+
+    def written(self) -> dict[str, object]:
+        levels = self.hash.levels
+        return {"sizes": np.array([b.size for b in levels], "<i8").tobytes(), "bits": b"".join(b.packed.tobytes() for b in levels), "prints": self.prints.tobytes(), "counts": self.counts.tobytes(), "holders": self.holders.tobytes()}
+
+    @classmethod
+    def read(cls, sizes: bytes, bits: bytes, prints: bytes, counts: bytes, holders: bytes) -> LineIndex:
+        levels, at = [], 0
+        for size in np.frombuffer(sizes, "<i8").tolist():
+            levels.append(Bits(np.frombuffer(bits, np.uint8)[at : at + -(-size // 8)], size))
+            at += -(-size // 8)
+        return cls(PerfectHash(levels), np.frombuffer(prints, "<u4"), np.frombuffer(counts, "<u1"), np.frombuffer(holders, "<i8"))
 
     @staticmethod
     def joined(low: np.ndarray, high: np.ndarray) -> np.ndarray:
@@ -116,11 +162,11 @@ class LineIndex:
 
     def dropped(self, low: np.ndarray, high: np.ndarray, doc: np.ndarray) -> np.ndarray:
         """Whether each line is held by two documents at least and this one isn't its first holder."""
-        if not len(low):
-            return np.zeros(0, bool)
+        if not len(low) or not self.hash.size:
+            return np.zeros(len(low), bool)
         at = self.hash.index(self.joined(low, high))
         known = (at >= 0) & (self.prints[at] == (high >> np.uint64(32)).astype(np.uint32))
-        return known & (self.counts[at] >= 2) & (self.holders[at] != doc)
+        return known & (self.counts[at] >= _MANY) & (self.holders[at] != doc)
 
 
 def _whole_id():
@@ -128,11 +174,17 @@ def _whole_id():
     return F.coalesce(F.col("doc_id").cast("long"), F.lit(_NULL_ID)).alias("doc_id")
 
 
+_INDEX, _PROBES, _SETTLED = 0, 1, 2
+_LINES = "kind int, shard long, low binary, high binary, doc binary, row binary, number binary"
+
+
 def _line_batches(shards: int):
+    """Rows for the index (number: documents), for probing and settled (number: places), by shard."""
+
     def lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            low, high, doc, place = [], [], [], []
-            for doc_id, text in zip(batch["doc_id"], batch["text"], strict=True):
+            low, high, doc, row, place = [], [], [], [], []
+            for doc_id, text_hash, text in zip(batch["doc_id"], batch["row"], batch["text"], strict=True):
                 places, keys = keyed_lines(text)
                 for key in keys:
                     h = xxhash.xxh3_128_intdigest(key)
@@ -140,60 +192,90 @@ def _line_batches(shards: int):
                     high.append(h >> 64)
                 place += places
                 doc += [doc_id] * len(places)
+                row += [text_hash] * len(places)
             if not low:
                 continue
             low, high = np.array(low, np.uint64), np.array(high, np.uint64)
-            doc, place = np.array(doc, np.int64), np.array(place, np.int64)
+            doc, row, place = np.array(doc, np.int64), np.array(row, np.int64), np.array(place, np.int64)
             order = np.lexsort((doc, high, low))
-            low, high, doc, place = low[order], high[order], doc[order], place[order]
+            low, high, doc, row, place = low[order], high[order], doc[order], row[order], place[order]
             new = np.concatenate([[True], (low[1:] != low[:-1]) | (high[1:] != high[:-1])])
-            run = np.cumsum(new) - 1
-            least = doc[np.flatnonzero(new)][run]
-            beaten = doc != least
-            several = np.bincount(run, beaten) > 0
+            run, first = np.cumsum(new) - 1, np.flatnonzero(new)
+            beaten = doc != doc[first][run]
+            documents = np.add.reduceat((new | np.concatenate([[True], doc[1:] != doc[:-1]])).astype(np.int64), first)
             shard = ((low >> np.uint64(20)) % np.uint64(shards)).astype(np.int64)
-            keep = ~beaten
             rows = []
-            for s in np.unique(shard[keep]):
-                own = keep & (shard == s)
-                rows.append((int(s), low[own].tobytes(), high[own].tobytes(), doc[own].tobytes(), place[own].tobytes(), several[run[own]].astype(np.int8).tobytes()))
-            if beaten.any():  # settled here: shard -1 rows pass through as they are
-                rows.append((-1 - int(low[0] % np.uint64(shards)), b"", b"", doc[beaten].tobytes(), place[beaten].tobytes(), b""))
-            yield pd.DataFrame(rows, columns=["shard", "low", "high", "doc", "place", "more"])
+            for s in np.unique(shard):
+                own = (shard == s) & ~beaten
+                head = own & new
+                rows.append((_INDEX, int(s), low[head].tobytes(), high[head].tobytes(), doc[head].tobytes(), b"", documents[run[head]].tobytes()))
+                rows.append((_PROBES, int(s), low[own].tobytes(), high[own].tobytes(), doc[own].tobytes(), row[own].tobytes(), place[own].tobytes()))
+            if beaten.any():
+                rows.append((_SETTLED, 0, b"", b"", doc[beaten].tobytes(), row[beaten].tobytes(), place[beaten].tobytes()))
+            yield pd.DataFrame(rows, columns=[c.split()[0] for c in _LINES.split(", ")])
 
     return lines
 
 
-def _drops(doc: np.ndarray, place: np.ndarray) -> pd.DataFrame:
-    order = np.lexsort((place, doc))
-    doc, place = doc[order], place[order]
-    ids, at = np.unique(doc, return_index=True)
-    return pd.DataFrame({"drop_id": ids, "places": [p.astype(np.int32).tobytes() for p in np.split(place, at[1:])] if len(ids) else []})
+_DROPS = "drop_id long, drop_row long, places binary"
+
+
+def _drops(doc: np.ndarray, row: np.ndarray, place: np.ndarray) -> pd.DataFrame:
+    order = np.lexsort((place, row, doc))
+    doc, row, place = doc[order], row[order], place[order]
+    at = np.flatnonzero(np.concatenate([[True], (doc[1:] != doc[:-1]) | (row[1:] != row[:-1])])[: len(doc)])
+    return pd.DataFrame({"drop_id": doc[at], "drop_row": row[at], "places": [p.astype(np.int32).tobytes() for p in np.split(place, at[1:])] if len(at) else []})
+
+
+def _read(frame: pd.DataFrame, column: str, kind=np.int64) -> np.ndarray:
+    return np.frombuffer(b"".join(frame[column]), kind)
 
 
-def _probe(frame: pd.DataFrame) -> pd.DataFrame:
-    read = lambda c, kind: np.frombuffer(b"".join(frame[c]), kind)
-    doc, place = read("doc", np.int64), read("place", np.int64)
-    if int(frame["shard"].iloc[0]) < 0:
-        return _drops(doc, place)
-    low, high = read("low", np.uint64), read("high", np.uint64)
-    gone = LineIndex(low, high, doc, read("more", np.int8)).dropped(low, high, doc)
-    return _drops(doc[gone], place[gone])
+def _built(frame: pd.DataFrame) -> pd.DataFrame:
+    index = LineIndex.of(_read(frame, "low", np.uint64), _read(frame, "high", np.uint64), _read(frame, "number"), _read(frame, "doc"))
+    return pd.DataFrame([{"shard": int(frame["shard"].iloc[0]), **index.written()}])
+
+
+def _probed(lines: pd.DataFrame, index: pd.DataFrame) -> pd.DataFrame:
+    if not len(lines) or not len(index):
+        return _drops(*[np.zeros(0, np.int64)] * 3)
+    arrays = index.iloc[0]
+    low, high, doc = _read(lines, "low", np.uint64), _read(lines, "high", np.uint64), _read(lines, "doc")
+    gone = LineIndex.read(*[arrays[c] for c in ("sizes", "bits", "prints", "counts", "holders")]).dropped(low, high, doc)
+    return _drops(doc[gone], _read(lines, "row")[gone], _read(lines, "number")[gone])
+
+
+def _settled(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for batch in batches:
+        yield _drops(_read(batch, "doc"), _read(batch, "row"), _read(batch, "number"))
 
 
 def dropped_lines(docs: DataFrame) -> DataFrame:
-    """drop_id, places: packed 32-bit places of lines to drop; several rows for a document."""
+    """drop_id, drop_row, places: packed 32-bit places of lines to drop; several rows for a document."""
     scratch = Scratch(docs.sparkSession, "lines")
     size = docs.select(F.sum(F.octet_length("text"))).first()[0] or 0
     shards = max(16, int(size * LINES_PER_BYTE / SHARD_LINES))
-    lines = docs.select(_whole_id(), "text").mapInPandas(_line_batches(shards), "shard long, low binary, high binary, doc binary, place binary, more binary")
-    return scratch.table(lines.groupBy("shard").applyInPandas(_probe, "drop_id long, places binary"), "drops")
+    lines = docs.select(_whole_id(), _row(), "text").mapInPandas(_line_batches(shards), _LINES)
+    lines = scratch.table(lines, "lines")
+    index = lines.where(F.col("kind") == _INDEX).groupBy("shard").applyInPandas(_built, "shard long, sizes binary, bits binary, prints binary, counts binary, holders binary")
+    index = scratch.table(index, "index")
+    probes = lines.where(F.col("kind") == _PROBES).groupBy("shard").cogroup(index.groupBy("shard")).applyInPandas(_probed, _DROPS)
+    settled = lines.where(F.col("kind") == _SETTLED).mapInPandas(_settled, _DROPS)
+    drops = scratch.table(probes.unionByName(settled), "drops")
+    scratch.drop("lines", "index")
+    return drops
+
+
+def _row():
+    """Tells a row from others with its doc_id."""
+    return F.xxhash64("text").alias("row")
 
 
 def dedup_lines(docs: DataFrame) -> DataFrame:
     """doc_id, kept (the text that is left), n_lines, n_dropped."""
-    drops = dropped_lines(docs).groupBy("drop_id").agg(F.collect_list("places").alias("places"))
-    joined = docs.select(_whole_id(), "text").join(drops, F.col("doc_id") == F.col("drop_id"), "left").select("doc_id", "text", "places")
+    drops = dropped_lines(docs).groupBy("drop_id", "drop_row").agg(F.collect_list("places").alias("places"))
+    same = (F.col("doc_id") == F.col("drop_id")) & (F.col("row") == F.col("drop_row"))
+    joined = docs.select(_whole_id(), _row(), "text").join(drops, same, "left").select("doc_id", "text", "places")
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
