@@ -1,16 +1,23 @@
 """PII: base patterns, and a character-level bidirectional LSTM with CRF transitions in numpy.
 
 The base finds e-mail addresses, IPv4 addresses, card numbers and phone numbers by pattern
-and check. The network reads the whole text in overlapping windows of code points; a CRF
-decodes each window (Viterbi), and windows are reconciled over the whole text: each code
-point takes the tag of the window in whose middle it lies deepest, and runs of one tag are
-spans, across window borders. A decoded span is added if it passes its kind's check and
-overlaps no base span; base spans always stay.
-
-The network is trained from labelled spans: windows of a bounded sample of texts with the
-base spans labelled, and windows into which spans of further formats (phones without a
-country code, grouped cards and the like) are written, among unlabelled look-alikes (long
-numbers, hexadecimal keys). Gates are piecewise linear, so that a whole corpus can be read.
+and check. The network reads the whole text in overlapping windows of code points. The windows'
+emissions are laid end to end, each code point's taken from the window in whose middle it
+lies deepest, and the CRF decodes the text as one sequence (Viterbi), so that no path ends at
+a window's border. Tags tell a span's first code point from the others, so spans of one kind may
+touch. A decoded span is added if it passes its kind's check and overlaps no base span; base
+spans always stay.
+
+Where no tag but "outside" can be on the best path, whatever its neighbours are (its emission leads
+by more than transitions can make up), the sequence falls apart without changing the result;
+only the stretches between are decoded.
+
+The network is trained from labelled spans: windows of a bounded sample of texts with the base
+spans labelled, and windows into which spans of further formats (phones without a country
+code, cards grouped by dots or slashes, spelled-out or defanged addresses) are written, among
+unlabelled look-alikes (long numbers, hexadecimal keys). Whatever is labelled passes the check
+that a decoded span must pass. Gates are piecewise linear, so that a whole corpus can be read.
+``scored`` measures a tagger on labelled windows that it hasn't seen.
 
 Defined results: null and empty texts have no spans; repeated rows get equal results; extra
 columns are ignored; an empty table gives no rows; without any text to train on, windows are
@@ -48,6 +55,9 @@ _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _DIGIT = re.compile(r"[0-9]")
 
+TAGS = 2 * len(KINDS) + 1
+"""0 is outside; 2 * kind + 1 starts a span of the kind, 2 * kind + 2 goes on in it."""
+
 Span = tuple[int, int, int]  # kind's number, start, end
 
 
@@ -115,7 +125,7 @@ class Tagger:
 
     @classmethod
     def fresh(cls, seed: int = 19) -> Tagger:
-        rng, tags = np.random.default_rng(seed), len(KINDS) + 1
+        rng, tags = np.random.default_rng(seed), TAGS
         p = {}
         for side in "fb":
             p[f"x{side}"] = rng.normal(0, 0.4, (4 * HIDDEN, SYMBOLS)).astype(np.float32)
@@ -158,28 +168,56 @@ class Tagger:
         out += self.p["b"]
         return out
 
-    def decode(self, codes: np.ndarray) -> np.ndarray:
-        """The best tag path of each window (Viterbi); codes and result are (time, windows)."""
-        e, move = self.emissions(codes), self.p["t"]
-        steps, tags, n = e.shape
-        back = np.zeros((steps, tags, n), np.int8)
-        score = e[0].copy()
-        for t in range(1, steps):
-            new = np.empty_like(score)
-            for j in range(tags):
-                best = score[0] + move[0, j]
-                for i in range(1, tags):
-                    rival = score[i] + move[i, j]
-                    better = rival > best
-                    np.copyto(back[t, j], i, where=better)
-                    np.maximum(best, rival, out=best)
-                new[j] = best
-            score = new + e[t]
-        path, every = np.empty((steps, n), np.int8), np.arange(n)
-        path[-1] = score.argmax(0)
-        for t in range(steps - 1, 0, -1):
-            path[t - 1] = back[t, path[t], every]
-        return path
+    def settled(self, e: np.ndarray, inside: np.ndarray) -> np.ndarray:
+        """Where "outside" is on a best path; e is (positions, tags), texts are parted by positions that aren't inside.
+
+        A stretch of other tags gains, over staying outside, at most the sum of its positions' best
+        margins, plus the best transition between other tags for each step, plus the best way in
+        and out. Positions in no stretch whose sum exceeds what the way in and out costs are settled.
+        """
+        move = self.p["t"].astype(np.float64)
+        step = move[1:, 1:].max() - move[0, 0]
+        ways = move[0, 1:].max() + move[1:, 0].max() - 2 * move[0, 0] - step
+        gain = np.where(inside, (e[:, 1:].max(axis=1) - e[:, 0]) + step, -1e3)
+        # the greatest sums of stretches that end here, and that start here
+        upto = np.concatenate([[0.0], np.cumsum(gain)])
+        ending = upto[1:] - np.minimum.accumulate(upto)[:-1]
+        starting = np.maximum.accumulate(upto[::-1])[::-1][1:] - upto[:-1]
+        return ~inside | (ending + starting - gain + ways <= -1e-4)
+
+    def best_paths(self, e: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> list[np.ndarray]:
+        """The best tags (Viterbi) of each stretch of positions, with "outside" before and after it."""
+        move, out = self.p["t"].astype(np.float64), [np.zeros(0, np.int8)] * len(starts)
+        order, at = np.argsort(ends - starts, kind="stable"), 0
+        while at < len(order):
+            # stretches of like lengths side by side
+            n = max(1, min(4096, (1 << 18) // int(ends[order[min(at + 255, len(order) - 1)]] - starts[order[min(at + 255, len(order) - 1)]])))
+            own = order[at : at + n]
+            at += n
+            lengths = ends[own] - starts[own]
+            steps, every = int(lengths.max()), np.arange(len(own))
+            score, last = None, np.zeros((TAGS, len(own)))
+            back = np.zeros((steps, TAGS, len(own)), np.int8)
+            for t in range(steps):
+                live = t < lengths
+                emitted = e[np.where(live, starts[own] + t, 0)].T
+                if score is None:
+                    score = move[0][:, None] + emitted
+                else:
+                    ways = score[:, None] + move[:, :, None]
+                    back[t] = ways.argmax(axis=0)
+                    score = ways.max(axis=0) + emitted
+                done = t == lengths - 1
+                last[:, done] = score[:, done] + move[:, :1]
+            path = np.zeros((steps, len(own)), np.int8)
+            tag = last.argmax(axis=0)
+            for t in range(steps - 1, -1, -1):
+                tag = np.where(t == lengths - 1, last.argmax(axis=0), tag)
+                path[t] = tag
+                tag = np.where(t < lengths, back[t, tag, every], tag)
+            for i, k in enumerate(own):
+                out[k] = path[: lengths[i], i]
+        return out
 
     def gradients(self, codes: np.ndarray, tags: np.ndarray) -> dict[str, np.ndarray]:
         """Of the mean negative log-likelihood: forward-backward on the CRF, then through time."""
@@ -240,7 +278,9 @@ class Tagger:
             own = symbols(text)[:WINDOW]
             codes[: len(own), i] = own
             for kind, start, end in spans:
-                tags[start:end, i] = kind + 1
+                tags[max(start, 0) : end, i] = 2 * kind + 2
+                if 0 <= start < WINDOW:
+                    tags[start, i] = 2 * kind + 1
         m = {k: np.zeros_like(v) for k, v in net.p.items()}
         v = {k: np.zeros_like(x) for k, x in net.p.items()}
         step = 0
@@ -259,7 +299,7 @@ class Tagger:
         return net
 
     def tagged(self, texts: list[str]) -> list[np.ndarray]:
-        """The tag of each code point of each text, by all its windows."""
+        """The tag of each code point of each text."""
         codes = [symbols(t) for t in texts]
         edge = (WINDOW - STEP) // 2
         n = [max(1, -(-len(c) // STEP)) for c in codes]
@@ -269,56 +309,88 @@ class Tagger:
             padded = np.full(n[i] * STEP + 2 * edge, 129, np.uint8)
             padded[edge : edge + len(own)] = own
             grid[first[i] : first[i + 1]] = np.lib.stride_tricks.sliding_window_view(padded, WINDOW)[::STEP]
-        path = np.concatenate([self.decode(np.ascontiguousarray(grid[i : i + 4096].T)).T for i in range(0, len(grid), 4096)])
-        middle = path[:, edge : edge + STEP]  # of all windows over a code point, this one has it deepest
-        return [middle[first[i] : first[i + 1]].reshape(-1)[: len(c)] for i, c in enumerate(codes)]
+        inside = (grid[:, edge : edge + STEP] < 129).reshape(-1)
+        # of all windows over a code point, this one has it deepest
+        e = np.concatenate([self.emissions(np.ascontiguousarray(grid[i : i + 4096].T))[edge : edge + STEP].transpose(2, 0, 1).reshape(-1, TAGS) for i in range(0, len(grid), 4096)])
+        text = np.repeat(np.arange(len(codes)), np.array(n) * STEP)
+        parted = inside & np.concatenate([[True], text[1:] == text[:-1]])  # a text that fills its windows has no padding
+        tags, at = np.zeros(len(inside), np.int8), np.flatnonzero(~self.settled(e, parted) | (inside & ~parted))
+        if len(at):
+            breaks = np.flatnonzero((np.diff(at) > 1) | (np.diff(text[at]) > 0)) + 1
+            starts, ends = np.concatenate([[0], breaks]), np.concatenate([breaks, [len(at)]])
+            for lo, hi, path in zip(starts, ends, self.best_paths(e[at], starts, ends), strict=True):
+                tags[at[lo:hi]] = path
+        return [tags[first[i] * STEP : first[i] * STEP + len(c)] for i, c in enumerate(codes)]
 
 
 # ---- labelled spans for training
 
 
-def written(rng: np.random.Generator) -> tuple[int, str]:
+def written(rng: np.random.Generator, kind: int | None = None) -> tuple[int, str]:
     """A made-up span and its kind's number, or -1 for a look-alike that is no span."""
     digits = lambda n: "".join(map(str, rng.integers(0, 10, n)))
     letters = lambda n: "".join(chr(97 + x) for x in rng.integers(0, 26, n))
     pick = lambda *xs: xs[rng.integers(len(xs))]
-    kind = int(rng.integers(-1, 4))
+    kind = int(rng.integers(-1, 4)) if kind is None else kind
     if kind == 0:
-        return 0, letters(rng.integers(2, 9)) + pick("", ".", "_", "+", "-") + pick(letters(4), digits(2)) + "@" + letters(rng.integers(3, 9)) + pick("", digits(1)) + pick(".com", ".org", ".net", ".example.com", ".co.uk", ".de")
+        name = letters(rng.integers(2, 9)) + pick("", ".", "_", "+", "-") + pick(letters(4), digits(2))
+        host, top = letters(rng.integers(3, 9)) + pick("", digits(1)), pick("com", "org", "net", "example.com", "co.uk", "de")
+        return 0, pick(f"{name}@{host}.{top}", f"{name}@{host}.{top}", f"{name}(at){host}.{top}", f"{name}[at]{host}.{top}")
     if kind == 1:
-        return 1, ".".join(str(x) for x in rng.integers(0, 256, 4))
+        return 1, pick(".", ".", "[.]").join(str(x) for x in rng.integers(0, 256, 4))
     if kind == 2:
-        gap = pick("", "", " ", "-", ".")
-        return 2, gap.join([digits(4), digits(4), digits(4), digits(4)])
+        number = digits(15)
+        number += next(d for d in "0123456789" if luhn(number + d))
+        return 2, pick("", " ", "-", ".", "/").join(number[i : i + 4] for i in range(0, 16, 4))
     if kind == 3:
         a, b, c = digits(3), digits(3), digits(4)
         return 3, pick(f"+1 ({a}) {b}-{c}", f"({a}) {b}-{c}", f"{a}-{b}-{c}", f"{a}.{b}.{c}", f"+{digits(2)} {a} {b} {c}", f"00{digits(2)} {a} {b} {c}", f"+1-{a}-{b}-{c}")
     return -1, pick(digits(rng.integers(1, 9)), "".join("0123456789abcdef"[x] for x in rng.integers(0, 16, 18)), digits(4) + "-" + digits(2) + "-" + digits(2), digits(2) + ":" + digits(2), digits(1) + "." + digits(1), "$" + digits(3) + "." + digits(2), letters(4) + digits(3))
 
 
-def training_windows(texts: list[str], seed: int = 29) -> list[tuple[str, list[Span]]]:
-    """Windows around base spans, windows with spans written into them, and windows as they come."""
+def written_window(rng: np.random.Generator, text: str, kinds: list[int | None]) -> tuple[str, list[Span]]:
+    """``text`` with made-up spans written into it, in order."""
+    spans: list[Span] = []
+    for wanted in kinds:
+        kind, new = written(rng, wanted)
+        cut = int(rng.integers(spans[-1][2] if spans else 0, len(text) + 1))
+        left, right = rng.choice([" ", " ", "\n", ", ", "("]), rng.choice([" ", " ", ".", ",", "\n", "!! "])
+        start = cut + len(left)
+        text = text[:cut] + left + new + right + text[cut:]
+        spans.append((kind, start, start + len(new)))
+    return text, [x for x in spans if x[0] >= 0]
+
+
+def training_windows(texts: list[str], seed: int = 29, windows: int = TRAINING_WINDOWS) -> list[tuple[str, list[Span]]]:
+    """Windows around base spans, windows with spans written into them, and windows as they come.
+
+    Spans that a window cuts keep their places outside it; the part inside is labelled.
+    """
     rng, out, clean = np.random.default_rng(seed), [], []
     for text in texts:
         spans = base_spans(text)
-        for _, start, _ in spans[:4]:
+        for _, start, _ in spans:
             lo = max(0, start - int(rng.integers(0, WINDOW)))
-            out.append((text[lo : lo + WINDOW], [(k, max(0, s - lo), min(WINDOW, e - lo)) for k, s, e in spans if e > lo and s < lo + WINDOW]))
+            out.append((text[lo : lo + WINDOW], [(k, s - lo, e - lo) for k, s, e in spans if e > lo and s < lo + WINDOW]))
         if not spans and text:
             clean.append(text)
-    out = [out[i] for i in rng.permutation(len(out))[: TRAINING_WINDOWS // 3]]
-    while len(out) < TRAINING_WINDOWS:
+    out = [out[i] for i in rng.permutation(len(out))[: windows // 3]]
+    while len(out) < windows:
         own = clean[rng.integers(len(clean))] if clean else "a "
         at = int(rng.integers(0, len(own)))
-        text, spans = own[at : at + WINDOW], []
-        for _ in range(int(rng.integers(0, 4))):
-            kind, new = written(rng)
-            cut = len(text) if not text else int(rng.integers(spans[-1][2] if spans else 0, len(text) + 1))
-            left, right = rng.choice([" ", " ", "\n", ", ", "("]), rng.choice([" ", " ", ".", ",", "\n", "!! "])
-            start = cut + len(left)
-            text = text[:cut] + left + new + right + text[cut:]
-            spans.append((kind, start, start + len(new)))
-        out.append((text[:WINDOW], [(k, s, min(e, WINDOW)) for k, s, e in spans if k >= 0 and s < WINDOW]))
+        out.append(written_window(rng, own[at : at + WINDOW], [None] * int(rng.integers(0, 4))))
+    return out
+
+
+def scored(tagger: Tagger, windows: list[tuple[str, list[Span]]]) -> dict[str, tuple[float, float, int]]:
+    """Precision, recall and number of labelled spans, by kind, of what the tagger finds alone (without the base) in whole texts."""
+    found = [decoded(text, tags) for (text, _), tags in zip(windows, tagger.tagged([w for w, _ in windows]), strict=True)]
+    out = {}
+    for k, kind in enumerate(KINDS):
+        made = [{x for x in own if x[0] == k} for own in found]
+        true = [{x for x in own if x[0] == k} for _, own in windows]
+        hits, n, m = sum(len(a & b) for a, b in zip(made, true, strict=True)), sum(map(len, made)), sum(map(len, true))
+        out[kind] = (hits / max(n, 1), hits / max(m, 1), m)
     return out
 
 
@@ -329,31 +401,46 @@ def _plausible(kind: str, text: str) -> bool:
     """The check that an added span of a kind must pass."""
     digits = digits_of(text)
     if kind == "email":
-        return bool(re.fullmatch(r"[^\s@]+\s?(?:@|\(at\)|\[at\])\s?[^\s@]+(?:\.|\(dot\)|\[dot\])[^\s@]+", text))
+        return bool(re.fullmatch(r"[^\s@]+\s?(?:@|\(at\)|\[at\])\s?[^\s@]+\s?(?:\.|\(dot\)|\[dot\])\s?[^\s@]+", text))
     if kind == "ip":
-        return bool(re.fullmatch(r"[0-9]+(\.[0-9]+){3}", text)) and _checked("ip", text)
+        return bool(re.fullmatch(r"[0-9]+((\.|\[\.\])[0-9]+){3}", text)) and _checked("ip", text.replace("[.]", "."))
     if kind == "card":
-        return 13 <= len(digits) <= 19 and luhn(digits)
+        return 13 <= len(digits) <= 19 and luhn(digits) and bool(re.fullmatch(r"[0-9][0-9\s./-]*[0-9]", text))
     return 7 <= len(digits) <= 15 and bool(re.fullmatch(r"[+(]?[0-9][0-9\s().-]*[0-9]", text)) and bool(re.search(r"[\s().+-]", text)) and not re.fullmatch(r"[0-9]{4}-[0-9]{2}-[0-9]{2}", text)
 
 
+_EDGES = " \t\n\r.,;:!?"
+
+
+def decoded(text: str, tags: np.ndarray) -> list[Span]:
+    """The spans that tags tell and that pass their kind's check, by place."""
+    found = []
+    at = np.flatnonzero(tags)
+    if not len(at):
+        return found
+    kind = (tags.astype(np.int64) - 1) >> 1
+    # a span starts at its first tag, where another kind or a gap comes before, or at any tag without
+    starts = at[(tags[at] % 2 == 1) | (np.concatenate([[-2], at[:-1]]) != at - 1) | (kind[at] != kind[np.maximum(at - 1, 0)])]
+    for start, stop in zip(starts.tolist(), [*starts[1:].tolist(), len(tags)], strict=True):
+        end = start
+        while end < stop and tags[end] and kind[end] == kind[start]:
+            end += 1
+        own = int(kind[start])
+        while start < end and text[start] in _EDGES:
+            start += 1
+        while end > start and text[end - 1] in _EDGES + "(":
+            end -= 1
+        if start < end and _plausible(KINDS[own], text[start:end]):
+            found.append((own, start, end))
+    return found
+
+
 def all_spans(text: str, tags: np.ndarray, base: list[Span]) -> list[Span]:
-    """Base spans and the decoded ones that pass, by kind and start."""
+    """Base spans and the decoded ones that overlap none of them, by kind and start."""
     if not tags.any():
         return base
-    edges = np.flatnonzero(np.diff(tags)) + 1
-    taken, added = sorted((s, e) for _, s, e in base), []
-    for start, end in zip([0, *edges], [*edges, len(tags)], strict=True):
-        if not tags[start]:
-            continue
-        while start < end and text[start] in " \t\n\r.,;:!?":
-            start += 1
-        while end > start and text[end - 1] in " \t\n\r.,;:!?(":
-            end -= 1
-        kind = int(tags[min(start, len(tags) - 1)]) - 1
-        if kind >= 0 and start < end and _plausible(KINDS[kind], text[start:end]) and not any(s < end and start < e for s, e in taken):
-            added.append((kind, int(start), int(end)))
-    return sorted(base + added)
+    taken = sorted((s, e) for _, s, e in base)
+    return sorted(base + [x for x in decoded(text, tags) if not any(s < x[2] and x[1] < e for s, e in taken)])
 
 
 def told(spans: list[Span]) -> str:
