@@ -10,8 +10,9 @@ to a blank one) and in runs of neighbouring lines, blank ones skipped, over the
 A run may hold as many words between its first and its last line as the template has, so
 notices are found however they are wrapped or spaced out.
 
-The counts are kept for the templates' vocabulary alone, so their size is fixed by the
-templates, and so is all that goes to the executors.
+Templates are a parameter: a list as in ``notices``, which holds public notices in full, or a table.
+The counts are kept for their vocabulary alone, so its size is fixed by the templates, and so is
+all that goes to the executors.
 
 Beside the join, base phrases are sought word by word, as whole consecutive words.
 
@@ -31,6 +32,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from factmill.llm.notices import TEMPLATES
+
 SHARE_NUM, SHARE_DEN = 4, 5
 
 # Base phrases and their labels.
@@ -40,21 +43,8 @@ PHRASES = {
     "general public license": "gpl",
 }
 
-# Templates as (label, unit, text); public license notices and opening passages.
-TEMPLATES = [
-    ("mit", "line", "Released under the MIT License."),
-    ("apache", "line", "Licensed under the Apache License, Version 2.0"),
-    ("gpl", "line", "This work is licensed under the GNU General Public License, version 3."),
-    ("cc-by-nc", "line", "Licensed under CC BY-NC 4.0."),
-    ("cc-by", "line", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
-    ("bsd", "line", "Use of this source code is governed by a BSD-style license"),
-    ("mpl", "line", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
-    ("mit", "paragraph", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files, to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software"),
-    ("bsd", "paragraph", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer."),
-    ("apache", "paragraph", "You may not use this file except in compliance with the License. You may obtain a copy of the License. Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an AS IS BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied."),
-    ("gpl", "paragraph", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or at your option any later version."),
-    ("unlicense", "paragraph", "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, for any purpose, commercial or non-commercial, and by any means."),
-]
+MOST_TEMPLATES = 10_000
+"""Templates that a table may hold: they and their vocabulary go to every executor."""
 
 _TO_WORDS = bytes(b if 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A or b >= 0x80 else b + 32 if 0x41 <= b <= 0x5A else 0x20 for b in range(256))
 
@@ -80,6 +70,19 @@ def places(tokens: list[bytes], phrase: tuple[bytes, ...]) -> list[int]:
         return found
 
 
+def from_table(table: DataFrame) -> list[tuple[str, str, str]]:
+    """Templates from a table of (label, text), whole notices; rows without label or words are left out.
+
+    Each is told as a line or a paragraph by whether it has a line break or over 30 words. More
+    than ``MOST_TEMPLATES`` are an error, as every executor holds them.
+    """
+    rows = table.where("label IS NOT NULL AND text IS NOT NULL").select("label", "text").distinct().limit(MOST_TEMPLATES + 1).collect()
+    if len(rows) > MOST_TEMPLATES:
+        raise ValueError(f"more than {MOST_TEMPLATES} templates")
+    rows = sorted((r["label"], r["text"]) for r in rows if words(_raw(r["text"])))
+    return [(label, "paragraph" if "\n" in text.strip() or len(words(_raw(text))) > 30 else "line", text) for label, text in rows]
+
+
 def vocabulary(templates=TEMPLATES) -> list[bytes]:
     return sorted({w for _, _, text in templates for w in words(_raw(text))})
 
@@ -185,7 +188,9 @@ _SCAN = "n_words long, n_base long, first_word long, last_word long, base_labels
 
 
 def scan(docs: DataFrame, templates=TEMPLATES) -> DataFrame:
-    """``docs`` with a struct column ``scan``."""
+    """``docs`` with a struct column ``scan``; ``templates`` as in ``notices`` or a table of (label, text)."""
+    if isinstance(templates, DataFrame):
+        templates = from_table(templates)
     index = Index(document_counts(docs, vocabulary(templates)), templates)
     phrases = [(tuple(p.encode().split()), label) for p, label in PHRASES.items()]
 
