@@ -3,18 +3,18 @@
 from __future__ import annotations
 
 TOP_K = """
-WITH v AS (
-    SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v
+WITH v AS MATERIALIZED (
+    SELECT row_number() OVER () AS row, vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v
     FROM embeddings
     WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
       AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
 ), s AS (
-    SELECT a.vec_id AS query_id, b.vec_id AS vec_id,
+    SELECT a.row AS query_row, a.vec_id AS query_id, b.vec_id AS vec_id,
            list_sum(list_transform(list_zip(a.v, b.v), lambda z: z[1] * z[2]))::BIGINT AS score
-    FROM v a JOIN v b ON a.vec_id <> b.vec_id
+    FROM v a JOIN v b ON a.row <> b.row
     WHERE a.vec_id % 50 = 0
 ), r AS (
-    SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s
+    SELECT *, row_number() OVER (PARTITION BY query_row ORDER BY score DESC, vec_id) AS rank FROM s
 )
 SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM r WHERE rank <= 5
 """
