@@ -12,8 +12,9 @@ overlapping windows of ``WINDOW`` bytes that cover the whole text, and the windo
 logit is the text's. A toxic phrase so counts alike in a short text and in a very long one.
 
 Defined results: null and empty texts get the score of a text without features; repeated
-rows get equal scores; extra columns are ignored; without any labelled rows of both classes
-all scores are that class, or 0.5 if there are none.
+rows get equal scores; extra columns are ignored; without labelled rows of both classes all
+scores are that class's, or 0.5 if there are none at all, and ``kept_documents``, which then has
+nothing to tell toxic texts by, keeps every row.
 """
 
 from __future__ import annotations
@@ -101,6 +102,11 @@ class Model:
     def __init__(self, weights: np.ndarray, bias: float):
         self.weights, self.bias = weights, bias
 
+    @property
+    def informed(self) -> bool:
+        """Whether it was fitted on both classes."""
+        return bool(self.weights.any())
+
     @classmethod
     def fit(cls, texts: list[str], labels: list[int]) -> Model:
         """Log-count ratios over documents, then logistic regression on each document's top window.
@@ -182,5 +188,8 @@ def op9(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def kept_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The documents that are not rejected as toxic."""
-    return score(docs, fitted(docs, labels), "__toxicity").where(F.col("__toxicity") < THRESHOLD).drop("__toxicity")
+    """The documents that are not rejected as toxic; all of them if no model can be fitted."""
+    model = fitted(docs, labels)
+    if not model.informed:
+        return docs
+    return score(docs, model, "__toxicity").where(F.col("__toxicity") < THRESHOLD).drop("__toxicity")
