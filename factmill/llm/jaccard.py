@@ -56,7 +56,7 @@ FAN = 64
 SHARD_POSTINGS = 600_000
 BATCH_SETS = 2000
 NEAR_BITS, BITS = 128, 512
-BLOCK_SETS, BLOCK_QUERIES = 512, 1024
+BLOCK_SETS, BLOCK_QUERIES = 256, 512
 BLOCK_PAIRS = 256
 DENSE = 1 << 15
 PROBES = 64
@@ -532,9 +532,15 @@ def _search_block(frame: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame(links, columns=["a", "b"], dtype=np.int64)
 
 
+def _tasks(rows: int) -> int:
+    """Tasks for so many rows in blocks: a named number isn't coalesced, as blocks are much work for few bytes."""
+    return max(1, min(4096, rows // BLOCK_PAIRS))
+
+
 def _searched(blocks: DataFrame, rows: int, sets: DataFrame) -> DataFrame:
     """Links found in so many rows (block, node, query)."""
-    return small(blocks.select("block", "node", "query"), rows).join(sets.select("node", "blob"), "node").groupBy("block").applyInPandas(_search_block, "a long, b long")
+    met = small(blocks.select("block", "node", "query"), rows).join(sets.select("node", "blob"), "node")
+    return met.repartition(_tasks(rows), "block").groupBy("block").applyInPandas(_search_block, "a long, b long")
 
 
 def _leader_blocks(near: DataFrame, rows: int) -> DataFrame:
@@ -584,7 +590,7 @@ def _likely(scratch: Scratch, sets: DataFrame, labels: DataFrame, heavy) -> Data
     n_rows = int(counts.agg(F.sum("size")).first()[0])
     blocks = _group_blocks(posted, small(counts, n_lists), n_rows)
     bits = scratch.table(sets.mapInPandas(_told_bits, "node long, n long, bits binary"), "bits")
-    met = blocks.join(bits, "node").groupBy("block").applyInPandas(_likely_forest, "a long, b long")
+    met = blocks.join(bits, "node").repartition(_tasks(n_rows // 4), "block").groupBy("block").applyInPandas(_likely_forest, "a long, b long")
     return scratch.table(met, "forest")
 
 
