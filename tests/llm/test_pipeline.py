@@ -7,6 +7,8 @@ import pytest
 import corpus_pipeline
 from factmill.llm import mixing
 
+DOCUMENTS = "doc_id long, text string, lang string, source string, n_chars long"
+
 LOW = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
@@ -27,7 +29,7 @@ def stages(spark, tmp_path_factory):
         rows.append((i, body, "en", f"s{i % 4}", len(body)))
     rows += [(500 + k, rows[1][1] + " tail" * (k % 2), "en", "s0", 9) for k in range(6)]
     rows += [(600, LONG + item + " " + LONG, "en", "s1", 9), (601, None, "en", None, 0), (602, "", None, "s1", 0)]
-    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{root}/documents.parquet")
+    spark.createDataFrame(rows, DOCUMENTS).write.parquet(f"{root}/documents.parquet")
     spark.createDataFrame([(i, 1, int(i % 5 == 0)) for i in range(0, 400)], "doc_id long, quality int, toxic int").write.parquet(f"{root}/labels.parquet")
     spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{root}/benchmark.parquet")
     docs, out = spark.read.parquet(f"{root}/documents.parquet"), []
@@ -62,10 +64,33 @@ def test_each_stage_keeps_what_it_should(spark, stages):
             kept.append(d)
     assert ids(out["ngram_jaccard"]) == kept
     assert ids(out["decontamination"]) == [d for d in kept if d != 600]
-    made = {r["doc_id"]: r for r in mixing.mix(out["decontamination"]).collect()}
-    copies = [d for d, r in made.items() for _ in range(1 if r["size"] == 0 else int(r["taken"] / r["size"] + 0.5))]
-    assert ids(out["mixing"]) == sorted(copies)
+    made = mixing.mix(out["decontamination"]).collect()
+    copies = [r["doc_id"] for r in made for _ in range(r["copies"])]
+    assert ids(out["mixing"]) == sorted(copies) and {601, 602} <= set(copies)
+    for source in {r["source"] for r in made}:
+        own = [r for r in made if r["source"] == source]
+        longest = max(r["size"] for r in own)
+        assert abs(sum(r["copies"] * r["size"] for r in own) - own[0]["target"]) <= longest + 3 * mixing.BLOCK
+        assert all(r["copies"] * r["size"] <= 3 * r["size"] for r in own)
     assert ids(out["sharding"]) == sorted(copies)
     counts = [r["count"] for r in out["sharding"].groupBy("shard").count().collect()]
     assert max(counts) - min(counts) <= 1
     assert ids(corpus_pipeline.run(spark, root)) == sorted(copies)
+
+
+def test_stages_take_empty_and_odd_tables(spark, tmp_path):
+    root = str(tmp_path)
+    spark.createDataFrame([(1, 1, 0), (2, 1, 1)], "doc_id long, quality int, toxic int").write.parquet(f"{root}/labels.parquet")
+    spark.createDataFrame([(1, "some test item of seven words here")], "item_id long, text string").write.parquet(f"{root}/benchmark.parquet")
+    none = spark.createDataFrame([], DOCUMENTS)
+    odd = [(None, None, None, None, None), (None, "", "en", None, 0), (7, "one", "en", "s", 3), (7, "one", "en", "s", 3), (7, "two words", None, "s", 9), (8, "x " * 30000, "en", "t", 60000)]
+    clash = spark.createDataFrame(odd, DOCUMENTS).selectExpr("*", "1 AS score", "2 AS key", "3 AS size", "4 AS copies", "5 AS shard", "6 AS node", "7 AS item_id", "8 AS target", "9 AS rank")
+    for docs, kept in ((none, 0), (clash, 5)):
+        for name, stage in corpus_pipeline.STAGES:
+            out = stage(spark, docs, root)
+            if name != "sharding":
+                assert out.columns == docs.columns
+                # of the rows that repeat in full one stays; the mix takes those with words as often as it needs
+                assert out.count() == {"toxicity": docs.count(), "ngram_jaccard": kept, "decontamination": docs.count()}.get(name, out.count())
+            else:
+                assert out.count() == docs.count()

@@ -77,7 +77,7 @@ def test_mixed_documents_deliver_the_targets(spark):
         got.setdefault(r["source"], []).append(r["doc_id"])
     for source, target in want.items():
         words = sum(1000 + i % 500 for i in got[source])
-        assert abs(words / target - 1) < 0.1, (source, words, target)
+        assert abs(words / target - 1) < 0.005, (source, words, target)
         assert max(got[source].count(i) for i in set(got[source])) <= mixing.MAX_EPOCHS
 
 

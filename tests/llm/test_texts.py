@@ -60,7 +60,7 @@ def test_lines(docs):
 def test_perfect_hash():
     keys = np.random.default_rng(1).integers(0, 1 << 63, 20_000).astype(np.uint64)
     keys = np.unique(keys)
-    index = linededup.PerfectHash(keys)
+    index = linededup.PerfectHash.of(keys)
     assert sorted(index.index(keys)) == list(range(len(keys))) and index.size == len(keys)
 
 
@@ -204,7 +204,7 @@ def test_windows_are_reconciled(tagger):
     for at in range(100, 160, 3):  # across a window's border
         text = "word " * 60
         text = text[:at] + " jane.doe77@mail.example.org " + text[at:]
-        hits += any(k == 0 for k, *_ in [(int(t) - 1, 0) for t in tagger.tagged([text])[0][at + 1 : at + 20]])
+        hits += any(t in (1, 2) for t in tagger.tagged([text])[0][at + 1 : at + 20])
     assert hits >= 18 and rng is not None
 
 
