@@ -33,6 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from factmill.llm.notices import TEMPLATES
+from factmill.llm.scratch import bounded_texts
 
 SHARE_NUM, SHARE_DEN = 4, 5
 
@@ -191,6 +192,7 @@ def scan(docs: DataFrame, templates=TEMPLATES) -> DataFrame:
     """``docs`` with a struct column ``scan``; ``templates`` as in ``notices`` or a table of (label, text)."""
     if isinstance(templates, DataFrame):
         templates = from_table(templates)
+    bounded_texts(docs.sparkSession)
     index = Index(document_counts(docs, vocabulary(templates)), templates)
     phrases = [(tuple(p.encode().split()), label) for p, label in PHRASES.items()]
 

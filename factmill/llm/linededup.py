@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from factmill.llm.scratch import Scratch
+from factmill.llm.scratch import Scratch, bounded_texts
 from factmill.llm.textkit import mixed
 
 MIN_CODE_POINTS = 10
@@ -252,6 +252,7 @@ def _settled(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def dropped_lines(docs: DataFrame) -> DataFrame:
     """drop_id, drop_row, places: packed 32-bit places of lines to drop; several rows for a document."""
+    bounded_texts(docs.sparkSession, 4000)
     scratch = Scratch(docs.sparkSession, "lines")
     size = docs.select(F.sum(F.octet_length("text"))).first()[0] or 0
     shards = max(16, int(size * LINES_PER_BYTE / SHARD_LINES))

@@ -49,23 +49,24 @@ SEED = 77
 WORD = r"[^\x20\x09-\x0D]+"
 
 
-def permuted(j: Column, n: Column, key: Column) -> Column:
-    """A permutation of 0 .. n-1, for each key, applied to j; all longs, n >= 1.
+def permuted(rows: DataFrame, j: Column, n: Column, key: Column, into: str) -> DataFrame:
+    """``into``: a permutation of 0 .. n-1, for each key, applied to j; all longs, n >= 1.
 
     Two affine steps whose multiplier is a prime that does not divide n, with a swap of low
-    and high part between them: each is one to one, and so is the whole.
+    and high part between them: each is one to one, and so is the whole. Each step is a column of
+    its own, so that none is written out more than once in the generated code.
     """
-    def affine(x: Column, salt: int) -> Column:
-        primes = [1_000_003, 999_983, 999_979, 999_961, 999_959, 999_953]
-        a = F.coalesce(*[F.when(n % p != 0, F.lit(p)) for p in primes], F.lit(1)).cast("long")
-        return (x * a + F.pmod(F.xxhash64(F.lit(salt), key), n)) % n
-
-    side = F.greatest(F.floor(F.sqrt(n.cast("double"))).cast("long"), F.lit(1).cast("long"))
-    x = affine(j, 1)
-    low, high = x % side, F.floor(x / side).cast("long")
-    mixed = high * side + F.pmod(low + F.pmod(F.xxhash64(F.lit(2), key, high), side), side)
-    x = F.when(x < F.floor(n / side).cast("long") * side, mixed).otherwise(x)
-    return affine(x, 3)
+    names = [f"__p{k}" for k in range(6)]
+    pj, pn, pk, pa, px, side = names
+    primes = [1_000_003, 999_983, 999_979, 999_961, 999_959, 999_953]
+    multiplier = F.coalesce(*[F.when(F.col(pn) % p != 0, F.lit(p)) for p in primes], F.lit(1)).cast("long")
+    affine = lambda x, salt: (x * F.col(pa) + F.pmod(F.xxhash64(F.lit(salt), F.col(pk)), F.col(pn))) % F.col(pn)
+    rows = rows.withColumns({pj: j.cast("long"), pn: n.cast("long"), pk: key}).withColumn(pa, multiplier)
+    rows = rows.withColumn(side, F.greatest(F.floor(F.sqrt(F.col(pn).cast("double"))).cast("long"), F.lit(1).cast("long"))).withColumn(px, affine(F.col(pj), 1))
+    low, high = F.col(px) % F.col(side), F.floor(F.col(px) / F.col(side)).cast("long")
+    mixed = high * F.col(side) + F.pmod(low + F.pmod(F.xxhash64(F.lit(2), F.col(pk), high), F.col(side)), F.col(side))
+    rows = rows.withColumn(px, F.when(F.col(px) < F.floor(F.col(pn) / F.col(side)).cast("long") * F.col(side), mixed).otherwise(F.col(px)))
+    return rows.withColumn(into, affine(F.col(px), 3)).drop(*names)
 
 
 def targets(sizes: DataFrame) -> DataFrame:
@@ -107,8 +108,8 @@ def drawn(sources: DataFrame, n_slots: int, shards: int = OUTPUT_SHARDS, seed: i
     order = Window.orderBy(F.col("source").asc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)
     rows = sources.select("source", "n_slots", F.coalesce(F.sum("n_slots").over(order), F.lit(0)).cast("long").alias("__first"))
     total = F.lit(max(n_slots, 1)).cast("long")
-    at = permuted(F.col("__first") + F.col("__j"), total, F.lit(seed).cast("long"))
-    rows = _pieces(rows, "n_slots", n_slots).select(F.floor(at * F.lit(shards) / total).cast("int").alias("shard"), "source")
+    rows = permuted(_pieces(rows, "n_slots", n_slots), F.col("__first") + F.col("__j"), total, F.lit(seed).cast("long"), "__at")
+    rows = rows.select(F.floor(F.col("__at") * F.lit(shards) / total).cast("int").alias("shard"), "source")
     return rows.groupBy("shard", "source").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -120,9 +121,9 @@ def slots(counts: DataFrame, sources: DataFrame, n_slots: int, seed: int = SEED)
     before = Window.partitionBy("source").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     rows = counts.withColumn("__start", F.coalesce(F.sum("n").over(before), F.lit(0)).cast("long"))
     rows = rows.join(sources.select(F.col("source").alias("__s"), "n_blocks"), F.col("source").eqNullSafe(F.col("__s"))).drop("__s")
-    j = F.col("__start") + F.col("__j")
-    key = F.xxhash64(F.lit(seed), F.coalesce("source", F.lit("\0null")), F.floor(j / F.col("n_blocks")))
-    return _pieces(rows, "n", n_slots).select("shard", "source", permuted(j % F.col("n_blocks"), F.col("n_blocks"), key).alias("block"))
+    rows = _pieces(rows, "n", n_slots).withColumn("__j", F.col("__start") + F.col("__j"))
+    key = F.xxhash64(F.lit(seed), F.coalesce("source", F.lit("\0null")), F.floor(F.col("__j") / F.col("n_blocks")))
+    return permuted(rows, F.col("__j") % F.col("n_blocks"), F.col("n_blocks"), key, "block").select("shard", "source", "block")
 
 
 def packed(docs: DataFrame, block: int = BLOCK, seed: int = SEED) -> DataFrame:

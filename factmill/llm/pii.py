@@ -35,6 +35,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from factmill.llm.scratch import bounded_texts
+
 KINDS = ("email", "ip", "card", "phone")
 TRAINING_TEXTS = 1500
 """Most texts that training windows are cut from."""
@@ -461,6 +463,7 @@ _FOUND = "n_email long, n_ip long, n_card long, n_phone long, base_sha256 string
 
 def find(docs: DataFrame, tagger: Tagger) -> DataFrame:
     """``docs`` with a struct column ``found``: base counts, digest of base spans, and all spans."""
+    bounded_texts(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(tagger.p)
 
     @F.pandas_udf(_FOUND)

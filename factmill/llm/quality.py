@@ -24,6 +24,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from factmill.llm.labelled import held_out, training_rows
+from factmill.llm.scratch import bounded_texts
+from factmill.llm.textkit import chunks
 
 CHUNK, OVERLAP, WIDTH, STRIDE = 512, 32, 8, 2
 FILTERS, HIDDEN = 16, 12
@@ -163,12 +165,11 @@ def fitted(docs: DataFrame, labels: DataFrame, rows: int = TRAINING_ROWS) -> Net
 
 def score(docs: DataFrame, network: Network) -> DataFrame:
     """``docs`` with a column score."""
+    bounded_texts(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(network.p)
 
     @F.pandas_udf("double")
     def scored(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        from factmill.llm.textkit import chunks
-
         own = Network(shared.value)
         for batch in batches:
             yield pd.Series(np.concatenate([own.scores(run) for run in chunks(batch)]) if len(batch) else np.zeros(0))

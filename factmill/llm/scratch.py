@@ -56,6 +56,21 @@ def arrow_rows(spark: SparkSession, rows: int) -> Iterator[None]:
         spark.conf.set(key, before)
 
 
+TEXT_ROWS = 1000
+"""Most rows of an Arrow batch of whole texts."""
+
+
+def bounded_texts(spark: SparkSession, rows: int = TEXT_ROWS) -> None:
+    """Arrow batches of so many rows at most, from here on in the session.
+
+    For functions on whole texts that run only when their result is read: a batch of the usual 10,000
+    texts takes both sides of the pipe tens of megabytes, and far more where texts are long.
+    """
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    now = int(spark.conf.get(key))
+    spark.conf.set(key, min(now, rows) if now > 0 else rows)
+
+
 def small(df: DataFrame, rows: int) -> DataFrame:
     """``df`` with a broadcast hint if its counted rows are within the bound, else as it is."""
     from pyspark.sql import functions as F

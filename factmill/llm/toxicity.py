@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from factmill.llm.labelled import TRAINING_ROWS, held_out, training_rows
+from factmill.llm.scratch import bounded_texts
 from factmill.llm.textkit import _LOWER, _SPACE, chunks
 
 SIZES = (4, 6, 8)
@@ -170,6 +171,7 @@ def fitted(docs: DataFrame, labels: DataFrame, rows: int = TRAINING_ROWS) -> Mod
 
 def score(docs: DataFrame, model: Model, into: str = "score") -> DataFrame:
     """``docs`` with a column of scores."""
+    bounded_texts(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast((model.weights, model.bias))
 
     @F.pandas_udf("double")

@@ -48,7 +48,7 @@ def test_targets_fill_like_water(spark):
 
 def test_permutation_is_one_to_one(spark):
     for n in (1, 2, 3, 10, 97, 1000):
-        got = spark.range(n).select(mixing.permuted(F.col("id"), F.lit(n).cast("long"), F.lit(5).cast("long")).alias("x"))
+        got = mixing.permuted(spark.range(n), F.col("id"), F.lit(n).cast("long"), F.lit(5).cast("long"), "x")
         assert sorted(r["x"] for r in got.collect()) == list(range(n))
 
 
@@ -152,7 +152,7 @@ def test_network_gradients_match_differences():
         p = net.combine(net.pool(chunks), first)[-1].astype(np.float64)
         return -np.sum(y * np.log(p) + (1 - y) * np.log(1 - p))
 
-    for name in ("b2", "w2", "w1", "bias"):
+    for name in ("b2", "w2", "w1", "bias", "taps"):
         flat, g = net.p[name].reshape(-1), np.asarray(grads[name]).reshape(-1)
         for i in rng.integers(0, len(flat), 3):
             old = flat[i]
