@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from factmill.functions.scanners import bound
+
 _WS = r"[\x20\x09-\x0D]+"
 
 # Markers of interstitial pages, in the order in which they are tried.
@@ -141,10 +143,8 @@ def round_stage(canonical: Column) -> Column:
 
 
 def _first(text: Column, markers: list[str], prefix: str) -> Column:
-    out = F.lit(None).cast("string")
-    for m in reversed(markers):
-        out = F.when(text.contains(m), F.lit(prefix + m)).otherwise(out)
-    return out
+    """The first marker, in order, that the text holds."""
+    return F.concat(F.lit(prefix), F.get(F.filter(F.array(*map(F.lit, markers)), lambda m: F.contains(text, m)), 0))
 
 
 def html_title(html: Column) -> Column:
@@ -155,16 +155,20 @@ def html_title(html: Column) -> Column:
 
 def body_rejection(text: Column, html: Column) -> Column:
     """Why a body can't be used: empty, block_page:..., too_short:n; null if it can."""
-    flat = F.lower(squeezed(text))
-    head, title = F.substring(flat, 1, 500), F.lower(html_title(html))
-    blocked = F.coalesce(
-        _first(head, DECISIVE_MARKERS, "block_page:body:"),
-        F.when(F.length(flat) < 1500, _first(head, GENERIC_MARKERS, "block_page:short_body_marker:")),
-        F.when(F.length(flat) < 600, _first(flat, WEAK_MARKERS, "block_page:short_body_marker:")),
-        _first(title, DECISIVE_MARKERS + GENERIC_MARKERS, "block_page:title:"),
-    )
-    short = F.when(F.length(text) < 100, F.concat(F.lit("too_short:"), F.length(text)))
-    return F.when(text.isNull() | (flat == ""), F.lit("empty")).otherwise(F.coalesce(blocked, short))
+
+    def judged(c: Column) -> Column:
+        flat, head = c["flat"], c["head"]
+        blocked = F.coalesce(
+            _first(head, DECISIVE_MARKERS, "block_page:body:"),
+            F.when(F.length(flat) < 1500, _first(head, GENERIC_MARKERS, "block_page:short_body_marker:")),
+            F.when(F.length(flat) < 600, _first(flat, WEAK_MARKERS, "block_page:short_body_marker:")),
+            _first(c["title"], DECISIVE_MARKERS + GENERIC_MARKERS, "block_page:title:"),
+        )
+        short = F.when(c["n"] < 100, F.concat(F.lit("too_short:"), c["n"]))
+        return F.when(c["n"].isNull() | (flat == ""), F.lit("empty")).otherwise(F.coalesce(blocked, short))
+
+    whole = F.struct(F.lower(squeezed(text)).alias("flat"), F.length(text).alias("n"), F.lower(html_title(html)).alias("title"))
+    return bound(whole, lambda c: bound(F.struct(c["flat"].alias("flat"), F.substring(c["flat"], 1, 500).alias("head"), c["n"].alias("n"), c["title"].alias("title")), judged))
 
 
 def money(text: Column) -> Column:
@@ -186,6 +190,16 @@ def precision(period_end: Column) -> Column:
     return F.when(t.rlike("^[0-9]{4}$"), "year").when(F.length(t) == 7, "month").when(F.length(t) >= 10, "exact")
 
 
+# Joiners that make a list of names ambiguous, and pieces that belong to the name before a comma.
+UNSAFE_JOINERS = r"(?i)\b(together with|alongside|including|plus|led by|consisting of|comprised of)\b|/"
+SUFFIX_PIECES = ["co", "company", "corp", "corporation", "inc", "incorporated", "llc", "lp", "llp", "ltd", "limited", "plc"]
+
+
+def clean_name(name: Column) -> Column:
+    """Squeezed, without quotes around it; null for blank."""
+    return F.nullif(F.regexp_replace(squeezed(name), r"^[ '\"]+|[ '\"]+$", ""), F.lit(""))
+
+
 def _safe_piece(p: Column) -> Column:
     bare = F.regexp_replace(p, "[^A-Za-z0-9]", "")
     words = F.size(F.filter(F.split(F.regexp_replace(p, "[^A-Za-z0-9]+", " "), " "), lambda w: w != ""))
@@ -193,25 +207,24 @@ def _safe_piece(p: Column) -> Column:
 
 
 def name_list(value: Column) -> Column:
-    """Struct(names, status): a flat list of names, split only where that is safe."""
-    name = squeezed(value)
-    cut = lambda by: F.filter(F.transform(F.split(name, by), lambda p: F.trim(p)), lambda p: p != "")
-    many, one = F.lit("UNREVIEWED"), F.array(name)
-    suffix = lambda p: F.lower(F.regexp_replace(p, "[^A-Za-z0-9]", "")).isin("inc", "llc", "lp", "llp", "ltd", "corp", "co", "plc", "gmbh", "sa", "ag")
-
-    def parts(by: str, fallback: str) -> Column:
-        p = cut(by)
-        safe = (F.size(p) > 1) & F.forall(p, _safe_piece)
-        return F.when(safe, F.struct(p.alias("names"), many.alias("status"))).otherwise(F.struct(one.alias("names"), F.lit(fallback).alias("status")))
-
-    commas = cut(",")
-    with_suffix = F.exists(F.slice(commas, 2, 1000), suffix)
-    ands = cut("(?i) and ")
+    """Struct(names, status, reason): a flat list of names, split only where that is safe."""
+    name = clean_name(value)
+    cut = lambda by: F.filter(F.transform(F.split(name, by), clean_name), lambda p: p.isNotNull())
+    suffix = lambda p: F.lower(F.regexp_replace(p, "[^A-Za-z0-9]", "")).isin(SUFFIX_PIECES)
+    told = lambda names, reason=None: F.struct(names.alias("names"), F.lit("UNREVIEWED" if reason is None else "NEEDS_REVIEW").alias("status"), F.lit(reason).cast("string").alias("reason"))
+    whole = F.array(name)
+
+    def parts(p: Column, otherwise: Column) -> Column:
+        return F.when((F.size(p) > 1) & F.forall(p, _safe_piece), told(p)).otherwise(otherwise)
+
+    commas, ands = cut(","), cut(r"(?i)\s+and\s+")
     return (
-        F.when(name.isNull() | (name == ""), F.struct(F.array().cast("array<string>").alias("names"), many.alias("status")))
-        .when(name.contains(";"), parts(";", "NEEDS_REVIEW"))
-        .when(name.contains(",") & with_suffix, F.struct(one.alias("names"), F.when(F.size(commas) == 2, many).otherwise(F.lit("NEEDS_REVIEW")).alias("status")))
-        .when(name.contains(","), parts(",", "NEEDS_REVIEW"))
-        .when(F.size(ands) > 2, F.struct(one.alias("names"), F.lit("NEEDS_REVIEW").alias("status")))
-        .otherwise(parts("(?i) and ", "UNREVIEWED"))
+        F.when(name.isNull(), told(F.array().cast("array<string>")))
+        .when(name.rlike(UNSAFE_JOINERS), told(whole, "ambiguous joiner"))
+        .when(name.contains(";"), parts(cut(";"), told(whole, "unsafe list by semicolon")))
+        .when(name.contains(",") & (F.size(commas) == 2) & suffix(F.get(commas, 1)), told(whole))
+        .when(name.contains(",") & F.exists(F.slice(commas, 2, 1 << 20), suffix), told(whole, "comma before a legal suffix"))
+        .when(name.contains(","), parts(commas, told(whole, "unsafe list by comma")))
+        .when(F.size(ands) > 2, told(whole, "list of several by and"))
+        .otherwise(parts(ands, told(whole)))
     )

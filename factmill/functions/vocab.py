@@ -73,3 +73,53 @@ def merged_notes(notes: Column, key: str, value: Column) -> Column:
     text = F.map_filter(F.from_json(notes, "map<string,string>"), lambda k, v: k != key)
     old = F.coalesce(text, F.when(F.trim(notes) != "", F.create_map(F.lit("raw"), notes)), F.create_map().cast("map<string,string>"))
     return F.to_json(F.map_concat(old, F.create_map(F.lit(key), value.cast("string"))))
+
+
+def shown_number(value: Column) -> Column:
+    """Whole numbers without a fraction, blank for null."""
+    return F.when(value.isNull(), "").when(value == F.floor(value), F.floor(value).cast("long").cast("string")).otherwise(value.cast("string"))
+
+
+def shown_flag(value: Column) -> Column:
+    """Y, N or blank."""
+    return F.when(value.isNull(), "").when(value.cast("int") != 0, "Y").otherwise("N")
+
+
+def shown_pair(kind: Column, end: Column) -> Column:
+    """A period as its kind and end, as far as they are told."""
+    return F.concat_ws(" / ", F.nullif(F.trim(kind), F.lit("")), F.nullif(F.trim(end), F.lit("")))
+
+
+def shown_multiples(ltm: Column, ntm: Column) -> Column:
+    """``LTM=x.x`` and ``NTM=x.x``, as far as they are told."""
+    one = lambda name, v: F.when(v.isNotNull(), F.concat(F.lit(f"{name}="), F.format_string("%.1f", F.round(v, 1)), F.lit("x")))
+    return F.concat_ws(" | ", one("LTM", ltm), one("NTM", ntm))
+
+
+def shown_period(kind: Column, end: Column) -> Column:
+    """A period as gold labels write it: FY2024, CY2024, LTM and NTM with the day, Q3 2024."""
+    k, year = F.upper(kind), F.substring(end, 1, 4)
+    month = F.substring(end, 6, 2).try_cast("int")
+    quarter = F.when(month.isNotNull(), F.concat(F.lit("Q"), (F.floor((month - 1) / 3) + 1).cast("string"), F.lit(" "), year)).otherwise(F.concat(F.lit("Q "), end))
+    told = (
+        F.when(k.isin("FY", "FISCAL_YEAR"), F.concat(F.lit("FY"), year)).when(k.isin("CY", "CALENDAR_YEAR"), F.concat(F.lit("CY"), year))
+        .when(k.isin("LTM", "TTM", "NTM"), F.concat(k, F.lit(" "), end)).when(k == "QUARTER", quarter).otherwise(F.concat(kind, F.lit(" "), end))
+    )
+    return F.when(F.coalesce(kind, F.lit("")).isin("", "UNKNOWN"), end).when(F.coalesce(end, F.lit("")) == "", kind).otherwise(told)
+
+
+def canonical_json(text: Column) -> Column:
+    """JSON with its keys in order, so that equal values are equal texts; other texts as they are."""
+    return F.coalesce(F.to_json(F.try_parse_json(text)), text)
+
+
+def notes_with(notes: Column, key: str, value: Column) -> Column:
+    """Notes, a JSON object, with one entry set to a JSON value; nested values stay as they are.
+
+    Notes that aren't an object are kept under ``raw``.
+    """
+    v = F.try_parse_json(notes)
+    own = F.when(F.schema_of_variant(v).startswith("OBJECT"), F.try_variant_get(v, "$", "map<string,variant>"))
+    raw = F.when(F.trim(notes) != "", F.create_map(F.lit("raw"), F.try_variant_get(F.try_parse_json(F.to_json(F.array(notes))), "$[0]", "variant")))
+    old, new = F.coalesce(F.map_filter(own, lambda k, x: k != key), raw), F.create_map(F.lit(key), F.try_parse_json(value))
+    return canonical_json(F.to_json(F.when(old.isNull(), new).otherwise(F.map_concat(old, new))))
