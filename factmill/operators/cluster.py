@@ -15,6 +15,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from factmill.functions.text import company_name
+
 THRESHOLD = 90.0
 DAYS = 3
 FUNDING_DAYS = 30
@@ -131,9 +133,12 @@ def islands(events: DataFrame, key: str, at: str, gap_days: int = DAYS) -> DataF
 
 
 def shared_checkpoints(spark: SparkSession) -> None:
-    """Checkpoints go to the folder the cluster names; to a temporary one only where none is set."""
+    """Checkpoints go to the folder the cluster names; to a temporary one only in local mode, where all share it."""
     if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="factmill-"))
+        root = spark.conf.get("spark.checkpoint.dir", None)
+        if not root and not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster") and not root:
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        spark.sparkContext.setCheckpointDir(root or tempfile.mkdtemp(prefix="factmill-"))
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -160,3 +165,27 @@ def cluster_id(names: Column, day: Column, fallback: Column) -> Column:
     kept = F.array_sort(F.array_distinct(F.filter(names, lambda n: F.coalesce(n, F.lit("")) != "")))
     seed = F.concat(F.array_join(kept, "|"), F.lit("|"), F.coalesce(day, F.concat(F.lit("ext_"), fallback.cast("string"))))
     return F.concat(F.lit("tc_"), F.substring(F.sha2(seed, 256), 1, 12))
+
+
+# Fixed value: events whose rounds are told without a buyer.
+FUNDING = ["VC_ROUND", "GROWTH_EQUITY", "VENTURE_DEBT"]
+
+
+def clustered(staging: DataFrame) -> DataFrame:
+    """extraction, cluster_id, n_members: clusters of the rows that have none yet; old clusters aren't opened again.
+
+    ``staging`` has extraction, event, target, acquirer, day, precision, round_label, round_size and cluster.
+    A row needs a target, and a buyer unless it is a funding. The id is made of the members' names
+    and their earliest day, or the least extraction if none has a day.
+    """
+    shared_checkpoints(staging.sparkSession)
+    funding = F.coalesce(F.col("event").isin(FUNDING), F.lit(False))
+    there = lambda c: F.coalesce(F.col(c), F.lit("")) != ""
+    rows = staging.where(F.col("cluster").isNull() & there("target") & (there("acquirer") | funding))
+    rows = rows.select(F.col("extraction").alias("id"), funding.alias("is_funding"), company_name(F.col("target")).alias("target"), company_name(F.col("acquirer")).alias("acquirer"), "day", "precision", "round_label", "round_size")
+    labels = components(same_deals(rows).checkpoint())
+    own = rows.join(labels, F.col("id") == F.col("node"), "left").withColumn("label", F.coalesce("label", "id"))
+    names = own.select("label", F.explode(F.array("target", "acquirer")).alias("name")).distinct().groupBy("label").agg(F.collect_list("name").alias("names"))
+    told = own.groupBy("label").agg(F.min(F.nullif("day", F.lit(""))).alias("first"), F.min("id").alias("least"), F.count(F.lit(1)).alias("n_members"))
+    made = told.join(names, "label").select("label", cluster_id(F.col("names"), F.col("first"), F.col("least")).alias("cluster_id"), "n_members")
+    return own.join(made, "label").select(F.col("id").alias("extraction"), "cluster_id", "n_members")

@@ -6,6 +6,8 @@ seq, the claim's place in insertion order. ``seq`` settles every "first" and "la
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -51,6 +53,41 @@ def _rank(confidence: Column) -> Column:
     return F.when(confidence == "HIGH", 0).when(confidence == "LOW", 2).otherwise(1)
 
 
+def _resolved(ledger: DataFrame, keys: list[str], value: str, boolean: bool, manual: Column | None) -> DataFrame:
+    """keys, value, flagged, n_seen, __tier: see ``resolved``."""
+    v = F.col(value)
+    counts = v.isNotNull() & ((v != 0) if boolean else F.lit(True))
+    by_hand = (manual & v.isNotNull()) if manual is not None else F.lit(False)
+    rows = ledger.select(*keys, v.alias("v"), F.when(counts, F.col("tier")).alias("t"), _rank(F.col("confidence")).alias("r"), "seq", by_hand.alias("m"))
+    aggregates = [F.count(F.lit(1)).alias("n_seen"), F.max(F.when(F.col("m"), 1)).alias("m"), F.max_by("v", F.when(F.col("m"), F.col("seq"))).alias("by_hand"), F.max(F.col("v").isNotNull()).alias("any")]
+    for t in TIERS:
+        here = F.col("t") == t
+        aggregates += [F.min(F.when(here, F.col("v"))).alias(f"low_{t}"), F.min_by("v", F.when(here, F.col("seq"))).alias(f"first_{t}")]
+        for r in range(3):
+            own = here & (F.col("r") == r)
+            aggregates += [F.count(F.when(own, 1)).alias(f"n_{t}{r}"), F.max(F.when(own, F.col("v"))).alias(f"top_{t}{r}")]
+    wide = rows.groupBy(*keys).agg(*aggregates)
+    tops = lambda t: F.greatest(*[F.col(f"top_{t}{r}") for r in range(3)])
+    any_of = lambda t: F.col(f"low_{t}").isNotNull()
+    agree = lambda t: F.col(f"low_{t}") == tops(t)
+
+    def best(t: str) -> Column:
+        """The value of the only claim of best confidence, null if there are several."""
+        out = F.lit(None)
+        for r in (2, 1, 0):
+            out = F.when(F.col(f"n_{t}{r}") > 0, F.when(F.col(f"n_{t}{r}") == 1, F.col(f"top_{t}{r}"))).otherwise(out)
+        return out
+
+    silent = F.when(F.col("any"), 0).cast("double") if boolean else F.lit(None)
+    chosen, clash, tier = silent, F.lit(0), F.lit(None).cast("string")
+    for t in reversed(TIERS):
+        chosen = F.when(any_of(t), F.when(agree(t), F.col(f"low_{t}")).otherwise(F.coalesce(best(t), F.col(f"first_{t}")))).otherwise(chosen)
+        clash = F.when(any_of(t), F.when(agree(t) | best(t).isNotNull(), 0).otherwise(1)).otherwise(clash)
+        tier = F.when(any_of(t), F.lit(t)).otherwise(tier)
+    said = F.col("m").isNotNull()
+    return wide.select(*keys, F.when(said, F.col("by_hand")).otherwise(chosen).alias(value), F.when(said, 0).otherwise(clash).cast("int").alias("flagged"), "n_seen", tier.alias("__tier"))
+
+
 def resolved(ledger: DataFrame, keys: list[str], value: str = "value", boolean: bool = False, manual: Column | None = None) -> DataFrame:
     """One row per key: value, flagged (1 for a conflict settled by first come), n_seen.
 
@@ -59,32 +96,42 @@ def resolved(ledger: DataFrame, keys: list[str], value: str = "value", boolean:
     flagged. The latest manual value, if any, comes before all. Zeros of a boolean state
     nothing but that the answer may be 0.
 
-    One shuffle on the keys: a partial aggregate per (keys, tier, rank, value) keeps the
-    smallest seq and a count, so equal claims collapse before they travel.
+    One aggregate on the keys, combined before its only shuffle: each tier's least and first
+    value, and each of its confidence ranks' count and greatest value, so a key's claims are
+    never gathered however many there are.
     """
-    v = F.col(value)
-    tier = F.when(F.col("tier").isin(TIERS), F.col("tier"))
-    counts = v.isNotNull() & tier.isNotNull() & ((v != 0) if boolean else F.lit(True))
-    by_hand = (manual & v.isNotNull()) if manual is not None else F.lit(False)
-    rows = ledger.select(*keys, v.alias("v"), F.when(counts, tier).alias("t"), _rank(F.col("confidence")).alias("r"), "seq", by_hand.alias("m"))
-    best = rows.groupBy(*keys, "t", "r", "v").agg(F.count(F.lit(1)).alias("n"), F.min("seq").alias("first"), F.max(F.when(F.col("m"), F.col("seq"))).alias("m"))
-    by_tier = best.groupBy(*keys).agg(
-        F.min("t").alias("t"),
-        F.sort_array(F.collect_list(F.when(F.col("t").isNotNull(), F.struct("t", "r", "first", "n", "v")))).alias("items"),
-        F.max_by("v", "m").alias("by_hand"), F.max("m").alias("m"), F.sum("n").alias("n_seen"), F.max(F.col("v").isNotNull()).alias("any"),
-    )
-    own = F.filter("items", lambda x: x["t"] == F.col("t"))
-    top = F.filter(own, lambda x: x["r"] == F.get(own, 0)["r"])
-    agree = F.size(F.array_distinct(F.transform(own, lambda x: x["v"]))) == 1
-    unique = (F.size(top) == 1) & (F.get(top, 0)["n"] == 1)
-    first = F.get(F.sort_array(F.transform(own, lambda x: F.struct(x["first"].alias("f"), x["v"].alias("v")))), 0)["v"]
-    silent = F.when(F.col("any"), 0).cast("double") if boolean else F.lit(None)
-    chosen = (
-        F.when(F.col("m").isNotNull(), F.col("by_hand")).when(F.col("t").isNull(), silent)
-        .when(agree, F.get(own, 0)["v"]).when(unique, F.get(top, 0)["v"]).otherwise(first)
-    )
-    flagged = F.col("m").isNull() & F.col("t").isNotNull() & ~agree & ~unique
-    return by_tier.select(*keys, chosen.alias(value), flagged.cast("int").alias("flagged"), "n_seen")
+    return _resolved(ledger, keys, value, boolean, manual).drop("__tier")
+
+
+def resolved_by(ledger: DataFrame, keys: list[str], resolver: Callable[[DataFrame], DataFrame], value: str = "value") -> tuple[DataFrame, DataFrame]:
+    """As ``resolved``, with a resolver for conflicts; and the conflicts: keys, severity, n_claims, chosen.
+
+    ``resolver`` gets the claims in conflict (those of the deciding tier) and answers with rows
+    (keys, value) for the keys that it can settle. Others keep their first value, stay flagged
+    and are MATERIAL.
+    """
+    won = _resolved(ledger, keys, value, False, None)
+    open_ = won.where("flagged = 1").select(*keys, "__tier")
+    claims = ledger.join(open_, keys).where((F.col("tier") == F.col("__tier")) & F.col(value).isNotNull()).drop("__tier")
+    answers = resolver(claims).select(*keys, F.col(value).alias("__answer"), F.lit(True).alias("__settled"))
+    out = won.join(answers, keys, "left")
+    settled = (F.col("flagged") == 1) & F.coalesce("__settled", F.lit(False))
+    out = out.select(*keys, F.when(settled, F.col("__answer")).otherwise(F.col(value)).alias(value), F.when(settled, 0).otherwise(F.col("flagged")).cast("int").alias("flagged"), "n_seen", settled.alias("__by"), (F.col("flagged") == 1).alias("__open"))
+    n = claims.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_claims"))
+    conflicts = out.where("__open").join(n, keys).select(*keys, F.when(F.col("__by"), "RESOLVED").otherwise("MATERIAL").alias("severity"), "n_claims", F.col(value).alias("chosen"))
+    return out.select(*keys, value, "flagged", "n_seen"), conflicts
+
+
+def inputs(observations: DataFrame, staging: DataFrame, sources: DataFrame, ready: list[str]) -> DataFrame:
+    """Observations of rows that are ready, with their transaction and provenance.
+
+    Tier and date fall back to the source's, confidence to MEDIUM.
+    """
+    rows = staging.where(F.col("status").isin(ready)).select(F.col("extraction").alias("__e"), F.col("txn").alias("__txn"), F.col("source").alias("__s"))
+    told = sources.select(F.col("source").alias("__src"), F.col("tier").alias("__tier"), F.col("published").alias("__published"))
+    joined = observations.join(rows, F.col("extraction") == F.col("__e")).join(told, F.col("__s") == F.col("__src"), "left")
+    kept = [x for x in observations.columns if x not in ("txn", "tier", "confidence", "published")]
+    return joined.select(F.col("__txn").alias("txn"), F.coalesce("tier", "__tier").alias("tier"), F.coalesce("confidence", F.lit("MEDIUM")).alias("confidence"), F.col("__published").alias("published"), *kept)
 
 
 def by_sibling(ledger: DataFrame, amount: str, qualifier: str, wanted: str) -> DataFrame:

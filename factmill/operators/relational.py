@@ -7,6 +7,8 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from factmill.functions.text import content_hash
+
 
 def first_by(df: DataFrame, key: list[Column | str], order: list[Column | str]) -> DataFrame:
     """The first row of each key."""
@@ -55,10 +57,24 @@ def joined_list(value: Column | str, order: Column | str, sep: str = "|") -> Col
     return F.array_join(F.array_distinct(F.transform(pairs, lambda p: p["v"])), sep)
 
 
-def nearest_rank(value: Column | str, p: float) -> Column:
-    """Aggregate: the value at index round(p * (n - 1)), halves to even, of the sorted values."""
-    values = F.sort_array(F.collect_list(value))
-    return F.get(values, F.bround((F.size(values) - 1) * F.lit(p)).cast("int"))
+def first_seen_list(df: DataFrame, keys: list[str], value: Column, order: Column, into: str, sep: str = "|") -> DataFrame:
+    """keys, ``into``: as ``joined_list``, but values are counted once before they travel, so that a
+    key's rows are never gathered, only its distinct values."""
+    rows = df.select(*keys, value.alias("__v"), order.alias("__o")).where("__v IS NOT NULL").groupBy(*keys, "__v").agg(F.min("__o").alias("__o"))
+    listed = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("__o", "__v"))), lambda p: p["__v"]), sep)
+    return rows.groupBy(*keys).agg(listed.alias(into))
+
+
+def nearest_ranks(df: DataFrame, key: str, value: str, ranks: dict[str, float]) -> DataFrame:
+    """key and, for each p, the value at index round(p * (n - 1)), halves to even, of the sorted values.
+
+    From counts by distinct value, so that no list of a key's rows is kept.
+    """
+    counts = df.where(F.col(value).isNotNull()).groupBy(key, value).agg(F.count(F.lit(1)).alias("__n"))
+    w = Window.partitionBy(key)
+    counts = counts.withColumn("__upto", F.sum("__n").over(w.orderBy(value).rowsBetween(Window.unboundedPreceding, 0))).withColumn("__all", F.sum("__n").over(w))
+    at = lambda p: F.min(F.when(F.col("__upto") > F.bround((F.col("__all") - 1) * F.lit(p)), F.col(value)))
+    return counts.groupBy(key).agg(*[at(p).alias(k) for k, p in ranks.items()])
 
 
 def profile(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -105,15 +121,108 @@ def top(df: DataFrame, key: str, k: int) -> DataFrame:
     return counts.withColumn("share_pct", share).orderBy(F.desc("n"), key).limit(k)
 
 
+def any_row(df: DataFrame, keys: list[str], order: str) -> DataFrame:
+    """One whole row of each key, the first in order: a bare grouping made definite."""
+    others = [c for c in df.columns if c not in keys]
+    return df.groupBy(*keys).agg(F.min_by(F.struct(*others), order).alias("__r")).select(*keys, "__r.*")
+
+
+def top_seen(df: DataFrame, key: str, seq: str, k: int) -> DataFrame:
+    """The k most frequent values with their counts; ties by first seen."""
+    return df.groupBy(key).agg(F.count(F.lit(1)).alias("n"), F.min(seq).alias("__first")).orderBy(F.desc("n"), "__first").limit(k).drop("__first")
+
+
 def stratified(df: DataFrame, strata: Iterable[tuple[str, Column, int]], id_column: str) -> DataFrame:
     """Priority-ordered sample without replacement: each stratum takes up to its cap of the rows
-    that earlier strata left, in the order of a hash. A top-k per stratum, so no full sort."""
-    left, picked = df.withColumn("__h", F.sha2(F.col(id_column).cast("string"), 256)), None
-    for name, rule, cap in strata:
-        own = left.where(rule).orderBy("__h").limit(cap).withColumn("stratum", F.lit(name))
-        picked = own if picked is None else picked.unionByName(own)
-        left = left.join(own.select(id_column), id_column, "left_anti")
-    return picked.drop("__h")
+    that earlier strata left, in the order of a hash.
+
+    One pass: earlier strata take no more rows than their caps together, so of each stratum as many
+    more rows by hash are enough to choose from. Only these few, bounded by the caps, are
+    chosen from on the driver.
+    """
+    strata = list(strata)
+    rows = df.withColumn("__h", F.sha2(F.col(id_column).cast("string"), 256))
+    fits = F.array_compact(F.array(*[F.when(rule, F.lit(i)) for i, (_, rule, _) in enumerate(strata)]))
+    total = sum(cap for *_, cap in strata)
+    nth = F.row_number().over(Window.partitionBy("__i").orderBy("__h", id_column))
+    few = rows.select(id_column, "__h", F.explode(fits).alias("__i")).withColumn("__nth", nth).where(F.col("__nth") <= total).select(id_column, "__h", "__i")
+    offered: dict[int, list] = {}
+    for r in few.collect():
+        offered.setdefault(r["__i"], []).append((r["__h"], r[id_column]))
+    taken: dict = {}
+    for i, (name, _, cap) in enumerate(strata):
+        for _, key in [x for x in sorted(offered.get(i, [])) if x[1] not in taken][:cap]:
+            taken[key] = name
+    kind = df.schema[id_column].dataType.simpleString()
+    picked = df.sparkSession.createDataFrame(list(taken.items()), f"__id {kind}, stratum string")
+    return df.join(F.broadcast(picked), F.col(id_column) == F.col("__id")).drop("__id")
+
+
+def review_sample(df: DataFrame, id_column: str, code: str, thin: int, first: list[tuple[str, Column, int]], catch_all: list[tuple[str, int]], floor: int, target: int, share: float, least: int) -> DataFrame:
+    """A sample for review, the most telling rows first: id, stratum.
+
+    The ``first`` strata up to their caps; every row of codes that hold ``thin`` rows at most; catch-all
+    codes up to their caps; ``floor`` rows of every other code; and of these a reserved budget, the
+    greater of ``least`` and ``share`` of the target, in proportion to their rows, three at least.
+    No row is taken twice; rows come in the order of a hash.
+    """
+    codes = df.groupBy(code).agg(F.count(F.lit(1)).alias("__k"))
+    caught = [name for name, _ in catch_all]
+    usual = (F.col("__k") > thin) & ~F.col(code).isin(caught)
+    total = codes.agg(F.sum(F.when(usual, F.col("__k"))).alias("__total"))
+    rows = df.join(F.broadcast(codes), code).join(F.broadcast(total)).withColumn("__h", F.sha2(F.col(id_column).cast("string"), 256))
+    reserve = max(least, round(share * target))
+    steps = [(F.lit(f"1:{name}"), rule, F.lit(cap), []) for name, rule, cap in first]
+    steps.append((F.concat(F.lit("2:census:"), F.col(code)), (F.col("__k") <= thin) & ~F.col(code).isin(caught), None, []))
+    steps += [(F.lit(f"3:catch_all:{name}"), F.col(code) == name, F.lit(cap), []) for name, cap in catch_all]
+    steps.append((F.concat(F.lit("4:floor:"), F.col(code)), usual, F.lit(floor), [code]))
+    steps.append((F.concat(F.lit("5:reserve:"), F.col(code)), usual, F.greatest(F.lit(3), F.bround(F.col("__k") * reserve / F.col("__total"))), [code]))
+    out = None
+    for label, rule, cap, by in steps:
+        own = rows.where(rule)
+        if cap is not None:
+            own = own.withColumn("__nth", F.row_number().over(Window.partitionBy(*by).orderBy("__h", id_column))).where(F.col("__nth") <= cap)
+        own = own.select(id_column, label.alias("stratum"))
+        out = own if out is None else out.unionByName(own)
+        rows = rows.join(own.select(id_column), id_column, "left_anti")
+    return out
+
+
+# What a column's name tells of its role.
+ROLE_NAMES = {
+    "id": r"(?i)(^|_)(id|uuid|guid|key|hash)($|_)", "title": r"(?i)(title|headline|subject|name)", "body": r"(?i)(body|text|content|article|story|description|summary)",
+    "url": r"(?i)(url|link|href|domain|site|source)", "date": r"(?i)(date|time|published|created|found|_at$)",
+}
+
+
+def column_roles(profiled: DataFrame, k: int = 3) -> DataFrame:
+    """role, column, score, position: the columns that may be the id, title, body, link and date of a table.
+
+    ``profiled`` is a full profile. Scores add what names, distinct values, lengths and shapes tell;
+    only scores above zero count.
+    """
+    named = lambda role, n: F.when(F.col("column").rlike(ROLE_NAMES[role]), n).otherwise(0.0)
+    ratio, p50, full = F.col("distinct_ratio"), F.coalesce("p50", F.lit(0)), F.col("fill_pct") == 100
+    when = lambda rule, n: F.when(rule, n).otherwise(0.0)
+    scores = {
+        "id": ratio * 2 + named("id", 1.5) + when(full, 0.5) - when(p50 > 120, 3.0),
+        "title": named("title", 1.5) + when(p50.between(20, 250), 1.0) + when(ratio > 0.5, 0.5) - when(F.col("url_pct") > 20, 2.0),
+        "body": named("body", 1.0) + F.when(p50 > 400, 2.0).when(p50 > 200, 1.0).otherwise(0.0),
+        "url": F.col("url_pct") / 50 + named("url", 0.5), "date": F.col("date_pct") / 50 + named("date", 0.5),
+    }
+    rows = profiled.select("column", F.explode(F.array(*[F.struct(F.lit(r).alias("role"), F.round(s, 2).alias("score")) for r, s in scores.items()])).alias("x")).select("x.role", "column", "x.score").where("score > 0")
+    nth = F.row_number().over(Window.partitionBy("role").orderBy(F.desc("score"), "column"))
+    return rows.withColumn("position", nth).where(F.col("position") <= k)
+
+
+def duplicates(df: DataFrame, roles: dict[str, str], body: str | None = None) -> DataFrame:
+    """role, n_values, n_distinct, repeated, rows_in_repeats for each role's column, and for whole bodies by hash."""
+    low = {r: F.nullif(F.lower(F.trim(F.col(c).cast("string"))), F.lit("")) for r, c in roles.items()}
+    if body:
+        low["body_exact"] = F.when(F.trim(body) != "", content_hash(F.col(body)))
+    long = df.select(*[v.alias(r) for r, v in low.items()]).unpivot([], list(low), "role", "v").where("v IS NOT NULL").groupBy("role", "v").agg(F.count(F.lit(1)).alias("n"))
+    many = F.col("n") > 1
+    return long.groupBy("role").agg(F.sum("n").alias("n_values"), F.count(F.lit(1)).alias("n_distinct"), F.count(F.when(many, 1)).alias("repeated"), F.coalesce(F.sum(F.when(many, F.col("n"))), F.lit(0)).alias("rows_in_repeats"))
 
 
 def disagreements(left: DataFrame, right: DataFrame) -> DataFrame:

@@ -74,12 +74,12 @@ FROM ({WORDS})
 def shown_multiples(spark, sf_dir):
     d = deals(spark, sf_dir)
     quality = F.when(c("deal_id") % 5 == 0, "NM").otherwise("CALCULATED")
-    return d.select("deal_id", vocab.shown_multiple(F.when(c("deal_id") % 7 != 0, (c("deal_id") % 40) / 8), quality).alias("shown"), vocab.equal(c("value_currency"), F.lower("financials_currency"), "enum").cast("int").alias("same_currency"), vocab.equal(c("revenue"), c("revenue") * F.lit(1.004), "numeric").cast("int").alias("close"))
+    return d.select("deal_id", vocab.shown_multiple(F.when(c("deal_id") % 7 != 0, (c("deal_id") % 40) / 8), quality).alias("shown"), vocab.equal(c("value_currency"), F.lower("financials_currency"), "enum").cast("int").alias("same_currency"), vocab.equal(c("revenue"), c("revenue") * F.when(c("deal_id") % 2 == 0, 1.004).otherwise(1.02), "numeric").cast("int").alias("close"))
 
 
 SQL["shown_multiples"] = f"""
 SELECT deal_id, CASE WHEN deal_id % 7 = 0 THEN '' WHEN deal_id % 5 = 0 THEN 'NM' ELSE printf('%.2f', floor((deal_id % 40) / 8 * 100 + 0.5 + 1e-9) / 100) END AS shown,
-  CAST(coalesce(value_currency = financials_currency, FALSE) AS INTEGER) AS same_currency, CASE WHEN revenue IS NULL THEN 1 ELSE 1 END AS close
+  CAST(coalesce(value_currency = financials_currency, FALSE) AS INTEGER) AS same_currency, CASE WHEN revenue IS NULL OR revenue = 0 OR deal_id % 2 = 0 THEN 1 ELSE 0 END AS close
 FROM ({DEALS})
 """
 
@@ -168,8 +168,10 @@ SELECT o_orderkey AS id, CASE WHEN a THEN o_totalprice END AS price, CASE WHEN o
 @query
 def content_duplicates_profile(spark, sf_dir):
     d = view(spark, sf_dir, "documents")
-    n = d.groupBy(F.sha2("text", 256).alias("hash")).agg(F.count(F.lit(1)).alias("n"), relational.joined_list("lang", "doc_id").alias("langs"), F.min("doc_id").alias("doc_id"))
-    return n.where("n > 1").select("doc_id", "n", "langs")
+    d = d.select("doc_id", "lang", F.sha2("text", 256).alias("hash"))
+    n = d.groupBy("hash").agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("doc_id")).where("n > 1")
+    langs = relational.first_seen_list(d, ["hash"], c("lang"), c("doc_id"), "langs")
+    return n.join(langs, "hash").select("doc_id", "n", "langs")
 
 
 SQL["content_duplicates_profile"] = """

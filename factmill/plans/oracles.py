@@ -239,10 +239,10 @@ _TITLE = "nullif(trim(regexp_replace(regexp_replace(regexp_extract(html, '(?is)<
 SQL["html_title"] = f"SELECT page_id, {_TITLE} AS title, regexp_extract(url, '^https?://([^/:?#]+)', 1) AS host FROM pages"
 SQL["body_quality"] = f"""
 WITH a AS (
-  SELECT page_id, CASE page_id % 7 WHEN 0 THEN 'Access denied ' || substr(html, 1, 200) WHEN 1 THEN '' WHEN 2 THEN 'We use cookies here' WHEN 3 THEN 'Attention Required! now' WHEN 4 THEN 'too short' ELSE regexp_replace(html, '<[^>]*>', ' ', 'g') END AS t,
+  SELECT page_id, CASE page_id % 7 WHEN 0 THEN 'Access denied ' WHEN 2 THEN 'We use cookies here ' WHEN 3 THEN 'Attention Required! now ' ELSE '' END || regexp_replace(html, '<[^>]*>', ' ', 'g') AS t,
     CASE WHEN page_id % 2 = 0 THEN lower({_TITLE}) END AS title FROM pages
 ), b AS (SELECT *, lower(trim(regexp_replace(t, '[\\x20\\x09-\\x0D]+', ' ', 'g'))) AS flat FROM a)
-SELECT page_id, CASE WHEN flat = '' THEN 'empty' ELSE coalesce(
+SELECT page_id, CASE WHEN t IS NULL OR flat = '' THEN 'empty' ELSE coalesce(
   {_first_marker("substr(flat, 1, 500)", text.DECISIVE_MARKERS, 'block_page:body:')},
   CASE WHEN length(flat) < 1500 THEN {_first_marker("substr(flat, 1, 500)", text.GENERIC_MARKERS, 'block_page:short_body_marker:')} END,
   CASE WHEN length(flat) < 600 THEN {_first_marker("flat", text.WEAK_MARKERS, 'block_page:short_body_marker:')} END,
@@ -318,7 +318,7 @@ SELECT o_custkey AS txn, 'Parent ' || (max(o_orderkey) % 3) AS parent, count(DIS
 """
 
 _COL = "SELECT '{n}' AS \"column\", CAST({e} AS VARCHAR) AS value FROM pages"
-SQL["profile_columns"] = "WITH v AS (" + " UNION ALL ".join(_COL.format(n=n, e=e) for n, e in (("page_id", "page_id"), ("url", "url"), ("html", "substr(html, 1, 40)"))) + """)
+SQL["profile_columns"] = "WITH v AS (" + " UNION ALL ".join(_COL.format(n=n, e=e) for n, e in (("page_id", "page_id"), ("url", "url"), ("html", "html"))) + """)
 SELECT "column", count(*) FILTER (WHERE trim(value) <> '') AS filled, round(count(*) FILTER (WHERE trim(value) <> '') * 100 / count(*), 2) AS fill_pct,
   count(DISTINCT value) FILTER (WHERE trim(value) <> '') AS n_distinct, max(length(value)) AS max_length, round(count(*) FILTER (WHERE regexp_matches(value, '^https?://')) * 100 / count(*), 2) AS url_pct
 FROM v GROUP BY "column"

@@ -185,8 +185,9 @@ def dedup_url_then_hash(spark, sf_dir):
 @query
 def body_quality(spark, sf_dir):
     p = view(spark, sf_dir, "pages")
-    marker = F.when(c("page_id") % 7 == 0, F.concat(F.lit("Access denied "), F.substring("html", 1, 200))).when(c("page_id") % 7 == 1, F.lit("")).when(c("page_id") % 7 == 2, F.lit("We use cookies here")).when(c("page_id") % 7 == 3, F.lit("Attention Required! now")).when(c("page_id") % 7 == 4, F.lit("too short")).otherwise(F.regexp_replace("html", "<[^>]*>", " "))
-    return p.select("page_id", text.body_rejection(marker, F.when(c("page_id") % 2 == 0, c("html"))).alias("reason"))
+    body = F.regexp_replace("html", "<[^>]*>", " ")
+    marker = F.when(c("page_id") % 7 == 0, "Access denied ").when(c("page_id") % 7 == 2, "We use cookies here ").when(c("page_id") % 7 == 3, "Attention Required! now ").otherwise("")
+    return p.select("page_id", text.body_rejection(F.concat(marker, body), F.when(c("page_id") % 2 == 0, c("html"))).alias("reason"))
 
 
 @query
@@ -265,7 +266,9 @@ def flag_pivot(spark, sf_dir):
 
 @query
 def uniqlist(spark, sf_dir):
-    return view(spark, sf_dir, "conversations").groupBy("conv_id").agg(relational.joined_list("role", "turn").alias("roles"), F.count(F.lit(1)).alias("n_turns"))
+    t = view(spark, sf_dir, "conversations")
+    n = t.groupBy("conv_id").agg(F.count(F.lit(1)).alias("n_turns"))
+    return relational.first_seen_list(t, ["conv_id"], c("role"), c("turn"), "roles").join(n, "conv_id")
 
 
 @query
@@ -339,7 +342,7 @@ def parent_names(spark, sf_dir):
 
 @query
 def profile_columns(spark, sf_dir):
-    return relational.profile(view(spark, sf_dir, "pages").select("page_id", "url", F.substring("html", 1, 40).alias("html")), ["page_id", "url", "html"])
+    return relational.profile(view(spark, sf_dir, "pages").select("page_id", "url", "html"), ["page_id", "url", "html"])
 
 
 @query
@@ -349,7 +352,9 @@ def profile_pages(spark, sf_dir):
 
 @query
 def percentiles_nearest(spark, sf_dir):
-    return view(spark, sf_dir, "documents").groupBy("source").agg(*[relational.nearest_rank("n_chars", p).alias(f"p{int(p * 100)}") for p in (0.1, 0.5, 0.9)], F.min("n_chars").alias("least"), F.max("n_chars").alias("most"), F.floor(F.avg("n_chars")).cast("long").alias("mean"))
+    d = view(spark, sf_dir, "documents")
+    rest = d.groupBy("source").agg(F.min("n_chars").alias("least"), F.max("n_chars").alias("most"), F.floor(F.avg("n_chars")).cast("long").alias("mean"))
+    return relational.nearest_ranks(d, "source", "n_chars", {f"p{int(p * 100)}": p for p in (0.1, 0.5, 0.9)}).join(rest, "source")
 
 
 @query
