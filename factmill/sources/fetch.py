@@ -34,6 +34,25 @@ def allowed(robots: str, path: str, agent: str = "*") -> bool:
     return verdict
 
 
+def crawl_delay(robots: str, agent: str = "*") -> float | None:
+    """The delay that rules ask of the agent, in seconds."""
+    ours, fresh, delay = False, True, None
+    for line in robots.splitlines():
+        key, _, value = line.split("#")[0].partition(":")
+        key, value = key.strip().lower(), value.strip()
+        if key == "user-agent":
+            ours = (value == "*" or value.lower() in agent.lower()) or (ours and not fresh)
+            fresh = False
+        elif key:
+            fresh = True
+            if key == "crawl-delay" and ours:
+                try:
+                    delay = float(value)
+                except ValueError:
+                    continue
+    return delay
+
+
 @dataclass
 class Politeness:
     transport: Transport
@@ -42,13 +61,19 @@ class Politeness:
     limit: int = 5
     refused: int = 0
     robots: dict[str, str] = field(default_factory=dict)
+    between: float = 0.0
+    asked: set[str] = field(default_factory=set)
 
     def get(self, url: str) -> tuple[int, str]:
         if self.refused >= self.limit:
             raise Stopped(url)
         host = urlsplit(url)
-        if not allowed(self.robots.get(host.netloc, ""), host.path or "/"):
+        rules = self.robots.get(host.netloc, "")
+        if not allowed(rules, host.path or "/"):
             return 403, ""
+        if host.netloc in self.asked:  # the longer of our own pause and the one asked for
+            self.wait(max(self.between, crawl_delay(rules) or 0.0))
+        self.asked.add(host.netloc)
         for attempt in (0, 1):
             try:
                 status, body = self.transport(url)

@@ -5,14 +5,15 @@ from __future__ import annotations
 import io
 import re
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from xml.etree import ElementTree
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from factmill.functions.text import content_hash, html_title
+from factmill.functions.vocab import symbol
 from factmill.operators.relational import first_by
 
 INVESTOR_FIRST = ["invests_into"]
@@ -42,10 +43,12 @@ def ingested(new: DataFrame, known: DataFrame) -> DataFrame:
 
 
 def event_feed(spark: SparkSession, path: str) -> DataFrame:
-    """TSV event feed: short bodies and rows without URL dropped, roles by category."""
-    raw = spark.read.option("header", True).option("sep", "\t").csv(path)
+    """TSV event feed: short bodies and rows without URL dropped, the first of each URL and body kept, roles by category."""
+    raw = spark.read.option("header", True).option("sep", "\t").csv(path).withColumn("__seq", F.monotonically_increasing_id())
     swap = F.col("category").isin(INVESTOR_FIRST)
     rows = raw.where(_blank(F.col("source_url")).isNotNull() & (F.length(F.trim("source_body_lite")) >= MIN_BODY))
+    rows = first_by(rows.withColumn("__url", F.trim("source_url")), ["__url"], ["__seq"])
+    rows = first_by(rows.withColumn("__hash", content_hash(F.col("source_body_lite"))), ["__hash"], ["__seq"])
     return rows.select(
         "id", "category", F.trim("source_url").alias("url"), F.col("source_title").alias("title"), F.col("source_body_lite").alias("body"),
         F.when(swap, F.trim("company2_name")).otherwise(F.trim("company1_name")).alias("recipient"), F.when(swap, F.trim("company1_name")).otherwise(F.trim("company2_name")).alias("investor"),
@@ -129,3 +132,55 @@ def listing(pages: DataFrame, html: str = "html") -> DataFrame:
     day = F.coalesce(*[F.try_to_date(F.regexp_extract(stamp, r"([A-Za-z]{3,9} [0-9]{1,2}, [0-9]{4})", 1), f) for f in ("MMM dd, yyyy", "MMM d, yyyy", "MMMM d, yyyy")], F.try_to_date(F.substring(stamp, 1, 10), "yyyy-MM-dd"))
     title = plain(F.regexp_replace(F.col("card"), r"(?is)<small[^>]*>.*?</small>", " "))
     return rows.select(title.alias("title"), F.regexp_extract("card", "href=[\"']([^\"']+)", 1).alias("url"), day.alias("day")).where("title <> '' AND url <> ''")
+
+
+# Days that a filing may lie before and after a deal's day, and further ahead for some forms.
+BEFORE, AFTER, FORM_AFTER = 30, 7, 180
+FILINGS = 10
+
+
+def filings_near(deals: DataFrame, filings: DataFrame, forms: list[str] | None = None) -> DataFrame:
+    """Filings that may tell of a deal: by ticker if the deal has one, else by company name, near its day.
+
+    ``deals`` has deal, ticker, company and day; ``filings`` has filing, ticker, company, form and filed. Days
+    are cut into buckets as wide as the window, so that key and bucket are an equi-join and a company
+    of many filings is spread by time. Each deal's latest ten count.
+    """
+    after = AFTER if forms is None else FORM_AFTER
+    width = BEFORE + after
+    bucket = lambda d: F.floor(F.datediff(d, F.lit("1970-01-01")) / width).cast("long")
+    own = symbol(F.upper("ticker"))
+    rows = deals.withColumn("__key", F.when(F.coalesce(own, F.lit("")) != "", F.concat(F.lit("t:"), own)).otherwise(F.concat(F.lit("c:"), F.col("company"))))
+    rows = rows.withColumn("__b", F.explode(F.sequence(bucket(F.date_sub("day", BEFORE)), bucket(F.date_add("day", after)))))
+    kept = filings if forms is None else filings.where(F.col("form").isin(forms))
+    keyed = kept.select("filing", "form", "filed", F.explode(F.array(F.concat(F.lit("t:"), F.upper("ticker")), F.concat(F.lit("c:"), F.col("company")))).alias("__key")).where("__key IS NOT NULL").withColumn("__b", bucket(F.col("filed")))
+    met = rows.join(keyed, ["__key", "__b"]).where(F.col("filed").between(F.date_sub("day", BEFORE), F.date_add("day", after)))
+    nth = F.row_number().over(Window.partitionBy("deal").orderBy(F.desc("filed"), "filing"))
+    return met.withColumn("position", nth).where(F.col("position") <= FILINGS).select("deal", "position", "filing", "form", "filed")
+
+
+def filed_documents(spark: SparkSession, path: str, least: int = MIN_BODY, extractors: dict[str, Callable[[bytes], str]] | None = None) -> DataFrame:
+    """path, kind, status (FETCHED, SKIP, UNREADABLE), body of documents in a folder.
+
+    HTML and text are read natively; other kinds need an extractor by extension, given by the
+    user, and are UNREADABLE without one or if it fails. Texts shorter than ``least`` are skipped.
+    """
+    raw = spark.read.format("binaryFile").load(path).select("path", F.lower(F.regexp_extract("path", r"\.([A-Za-z0-9]+)$", 1)).alias("kind"), "content")
+    text = F.decode("content", "UTF-8")
+    shown = F.regexp_replace(F.regexp_replace(text, r"(?is)<(script|style)[^>]*>.*?</\1>", " "), "(?s)<[^>]+>", " ")
+    body = F.when(F.col("kind").isin("htm", "html"), F.trim(F.regexp_replace(shown, r"[ \t\x0B\f\r]+", " "))).when(F.col("kind").isin("txt", "text", ""), text)
+    if extractors:
+        @F.pandas_udf("string")
+        def extracted(kinds: pd.Series, contents: pd.Series) -> pd.Series:
+            def one(kind: str, content: bytes) -> str | None:
+                try:
+                    return extractors[kind](bytes(content)) if kind in extractors else None
+                except Exception:
+                    return None
+
+            return pd.Series([one(k, x) for k, x in zip(kinds, contents, strict=True)])
+
+        body = F.coalesce(body, extracted("kind", "content"))
+    rows = raw.withColumn("body", body)
+    status = F.when(F.col("body").isNull(), "UNREADABLE").when(F.length(F.trim("body")) < least, "SKIP").otherwise("FETCHED")
+    return rows.select("path", "kind", status.alias("status"), F.when(status == "FETCHED", F.col("body")).alias("body"))
