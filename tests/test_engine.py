@@ -10,7 +10,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from factmill.functions import derive, scanners, text, vocab
+from factmill.functions import derive, scanners, signals, text, vocab
 from factmill.operators import cluster, ledger, participants, relational
 from factmill.sources import fetch, files, sinks
 from factmill.streaming import ingest
@@ -88,10 +88,11 @@ def test_rounds(spark, label, canonical, stage):
 
 @pytest.mark.parametrize(("names", "want", "status"), [
     ("Acme Capital, Beta Partners", ["Acme Capital", "Beta Partners"], "UNREVIEWED"), ("Acme, Inc.", ["Acme, Inc."], "UNREVIEWED"), ("Acme; Beta", ["Acme; Beta"], "NEEDS_REVIEW"), ("KKR and TPG", ["KKR", "TPG"], "UNREVIEWED"), ("", [], "UNREVIEWED"),
+    ("Fund A together with Fund B", ["Fund A together with Fund B"], "NEEDS_REVIEW"), (' "Acme One" ', ["Acme One"], "UNREVIEWED"), ("One Co, Inc, Two Co", ["One Co, Inc, Two Co"], "NEEDS_REVIEW"),
 ])
 def test_name_lists(spark, names, want, status):
     got = one(spark, text.name_list(F.lit(names)))
-    assert (got["names"], got["status"]) == (want, status)
+    assert (got["names"], got["status"]) == (want, status) and (got["reason"] is None) == (status == "UNREVIEWED")
 
 
 @pytest.mark.parametrize(("body", "html", "want"), [
@@ -216,13 +217,14 @@ AGREEMENT = "RECITALS\nWHEREAS the parties agree to this dated as of March 3, 20
 
 
 def test_scanners(spark):
-    kinds = [(k, sure) for k, _, _, _, sure in scanners.section_rows(AGREEMENT)]
-    assert kinds == [("RECITALS", "HIGH"), ("CONSIDERATION", "MEDIUM"), ("TERMINATION_FEES", "HIGH")]
-    df = spark.createDataFrame([(1, AGREEMENT), (2, None)], "id long, body string")
-    assert scanners.sections(df, "id", "body").count() == 3
+    df = spark.createDataFrame([(1, AGREEMENT), (2, None), (3, "")], "id long, body string")
+    got = scanners.sections(df, "id", "body").collect()
+    assert [(r["section_type"], r["confidence"]) for r in got] == [("RECITALS", "HIGH"), ("CONSIDERATION", "MEDIUM"), ("TERMINATION_FEES", "HIGH")]
+    assert all(AGREEMENT[r["start"] : r["end"]] == r["excerpt"] and r["excerpt"].startswith(r["heading"]) for r in got)
     assert one(spark, scanners.dated_as_of(F.lit(AGREEMENT))) == datetime.date(2024, 3, 3)
-    assert scanners.structure("", "It closed a $75 million PIPE.") == "ACRONYM" and scanners.structure("", "PIPE welding financing news") is None
-    assert scanners.structure("", "A private investment in public equity.") == "EXPANDED"
+    told = lambda body: one(spark, signals.structure(F.lit("News"), F.lit(body)))
+    assert told("It closed a $75 million PIPE. End.") == ("ACRONYM", "News\nIt closed a $75 million PIPE.") and told("PIPE welding financing news") is None
+    assert told("A private investment in public equity.")["form"] == "EXPANDED" and told("One PIPE here, a PIPE deal there.")["form"] == "ACRONYM" and told("PIPELINE financing") is None
     assert one(spark, scanners.document_title(F.lit("UNITED STATES\nAGREEMENT AND PLAN OF MERGER\nx"))) == "AGREEMENT AND PLAN OF MERGER"
     assert one(spark, scanners.item_codes(F.lit("Item 1.01: Entry, Item 9.01: x, Item 1.01"))) == ["1.01", "9.01"]
     assert one(spark, scanners.exhibit_kind(F.lit("EX-2.1"))) == "MERGER_AGREEMENT" and one(spark, scanners.exhibit_kind(F.lit("EX-21.1"))) is None
@@ -291,11 +293,94 @@ def test_vocabulary_edges(spark):
     assert one(spark, vocab.shown_multiple(F.lit(2.5), s("CALCULATED"))) == "2.50"
 
 
-def test_articles():
+def test_articles(spark):
     contents = "ARTICLE I\nDEFINITIONS\nARTICLE II\nMERGER CONSIDERATION\nARTICLE III\nTERMINATION\n"
     body = "This agreement dated as of March 3, 2024.\nWHEREAS one; NOW, THEREFORE two.\n" + contents.replace("\nARTICLE", "\nwords of the article\nARTICLE") + "end"
-    text_ = contents + body
-    kinds = [(k, text_[a:b]) for k, _, a, b, _ in scanners.article_rows(text_)]
-    assert [k for k, _ in kinds] == ["RECITALS", "DEFINITIONS", "CONSIDERATION", "TERMINATION_FEES"]
-    assert kinds[0][1].startswith("This agreement") and all(a >= len(contents) for _, _, a, _, _ in scanners.article_rows(text_))
-    assert scanners.article_rows(AGREEMENT) == scanners.section_rows(AGREEMENT)
+    whole = contents + body
+    df = spark.createDataFrame([(1, whole), (2, AGREEMENT)], "id long, body string")
+    got = [r for r in scanners.sections(df, "id", "body", by_article=True).collect()]
+    one_, two = [r for r in got if r["id"] == 1], [r for r in got if r["id"] == 2]
+    assert [r["section_type"] for r in one_] == ["RECITALS", "CONSIDERATION", "TERMINATION_FEES"]
+    assert one_[0]["excerpt"].startswith("This agreement") and all(r["start"] >= len(contents) and whole[r["start"] : r["end"]] == r["excerpt"] for r in one_)
+    assert [r["section_type"] for r in two] == ["RECITALS", "CONSIDERATION", "TERMINATION_FEES"]  # without articles the headings decide
+
+
+def test_packets_hold_subsections_and_definitions(spark):
+    text_ = (
+        "ARTICLE I\nDEFINITIONS\n\u201cMerger Consideration\u201d means cash.\n\u201cPurchase Price\u201d has the meaning below.\nARTICLE II\nTHE MERGERS; CLOSING\nSection 2.01 Closing. Later.\nSection 2.02 Merger Consideration. As said.\n"
+        "Section 2.03.Consideration\nMore.\nARTICLE III\nREPRESENTATIONS AND WARRANTIES OF THE COMPANY\n3.1 Organization. Fine.\nSection 3.2 Capitalization.\n(a) Ten shares.\n(b) None else.\nSection 3.3 Other.\nARTICLE IV\nREPRESENTATIONS AND WARRANTIES OF THE PARENT\n4.1 Capitalization. Not ours.\n"
+        "ARTICLE V\nTERMINATION\n5.1 Termination. Grounds.\n5.2 Effect of Termination. None.\n1\n"
+    )
+    rows = {r["section_type"]: r for r in scanners.sections(spark.createDataFrame([(1, text_)], "id long, body string"), "id", "body", by_article=True).collect()}
+    assert rows["CONSIDERATION"]["excerpt"] == "[Merger Consideration]\nSection 2.02 Merger Consideration. As said.\n\n[Consideration]\nSection 2.03.Consideration\nMore.\n\n[Definition: \"Merger Consideration\"]\n\u201cMerger Consideration\u201d means cash."
+    assert rows["CAPITALIZATION"]["excerpt"] == "Section 3.2 Capitalization.\n(a) Ten shares.\n" and rows["TERMINATION_FEES"]["heading"] == "Effect of Termination"
+
+
+def test_signals(spark):
+    wall = lambda html, status=200: one(spark, signals.wall(F.lit(html).cast("string"), F.lit(status)))
+    assert wall("<article>" + "x" * 10) is None and wall("short") == "no article structure and only 5 bytes" and wall("x" * 3000) is None
+    assert wall("", 200) == "empty body" and wall("fine", 429) == "status 429" and wall("Please solve the CAPTCHA") == "marker: captcha"
+    amount = lambda body: one(spark, signals.round_amount(F.lit("T"), F.lit(body)))["classification"]
+    assert amount("It raised $250 million at a $3.2 billion post-money valuation.") == "ROUND_SIZE_CANDIDATE"
+    assert amount("Valued at a $3.2 billion post-money valuation.") == "NOT_ROUND_VALUATION" and amount("It raised $3 million to $5 million in funding.") == "NON_EXACT_AMOUNT"
+    assert amount("It acquired the 5% stake held by X for $3 million.") == "NOT_ROUND_SECONDARY" and amount("Nothing.") == "NO_AMOUNT_DISCLOSED"
+
+
+def test_filings_and_documents(spark, tmp_path):
+    d = lambda s: datetime.date.fromisoformat(s)
+    deals = spark.createDataFrame([(1, "NYSE: AAA", "Alpha", d("2024-03-10")), (2, None, "Beta", d("2024-03-10"))], "deal long, ticker string, company string, day date")
+    filed = spark.createDataFrame([(1, "aaa", "x", "8-K", d("2024-02-09")), (2, "AAA", "x", "8-K", d("2024-03-17")), (3, "AAA", "x", "8-K", d("2024-03-18")), (4, None, "Beta", "S-4", d("2024-06-01")), (5, "ZZZ", "Alpha", "8-K", d("2024-03-10")), (6, None, "Beta", "8-K", d("2024-02-08"))], "filing long, ticker string, company string, form string, filed date")
+    assert sorted((r["deal"], r["filing"]) for r in files.filings_near(deals, filed).collect()) == [(1, 1), (1, 2)]
+    assert [(r["deal"], r["filing"]) for r in files.filings_near(deals, filed, ["S-4"]).collect()] == [(2, 4)]
+    (tmp_path / "a.html").write_text("<html><script>no</script><p>" + "word " * 40 + "</p></html>")
+    (tmp_path / "b.pdf").write_bytes(b"%PDF")
+    (tmp_path / "c.txt").write_text("short")
+    got = {r["kind"]: (r["status"], (r["body"] or "")[:4]) for r in files.filed_documents(spark, str(tmp_path)).collect()}
+    assert got == {"html": ("FETCHED", "word"), "pdf": ("UNREADABLE", ""), "txt": ("SKIP", "")}
+    read = {r["kind"]: r["status"] for r in files.filed_documents(spark, str(tmp_path), extractors={"pdf": lambda raw: "page " * 50}).collect()}
+    assert read["pdf"] == "FETCHED"
+
+
+def test_workbooks_go_round(spark, tmp_path):
+    path = str(tmp_path / "out.xlsx")
+    sinks.workbook(spark.createDataFrame([("http://a?x=1&y=<2>", 1.5), ("http://b", None)], "url string, n double"), ["n", "url", "gone"], path)
+    assert [r["url"] for r in files.workbooks(spark, path).collect()] == ["http://a?x=1&y=<2>", "http://b"]
+    sinks.export_csv(spark.createDataFrame([("t", 2.0, "NM")], "transaction_id string, ev_to_revenue_ltm double, multiple_quality string"), str(tmp_path / "csv"))
+    back = spark.read.option("header", True).csv(str(tmp_path / "csv"))
+    assert back.columns == sinks.EXPORT and back.first()["ev_to_revenue_ltm"] == "NM"
+    assert sinks.run_log(spark.range(1), str(tmp_path / "log")) and not sinks.run_log(spark.range(1), "nosuchscheme://x/y")
+    assert sinks.scorecard(spark.range(600), "S").count("\n") == 604
+
+
+def test_robots_delay():
+    rules = "User-agent: other\nCrawl-delay: 9\n\nUser-agent: *\nCrawl-delay: 2.5\nDisallow: /no\n"
+    waits = []
+    client = fetch.Politeness(lambda url: (200, "ok"), wait=waits.append, robots={"h": rules}, between=1.0)
+    assert fetch.crawl_delay(rules) == 2.5 and fetch.crawl_delay("") is None
+    client.get("http://h/a"), client.get("http://h/b"), client.get("http://i/a"), client.get("http://i/b")
+    assert waits == [2.5, 1.0]
+
+
+def test_strata_leave_rows_for_later_ones(spark):
+    rows = [(i, "a" if i % 3 else "b") for i in range(200)]
+    df = spark.createDataFrame(rows, "id long, kind string")
+    import hashlib
+    strata = [("a", F.col("kind") == "a", 7), ("all", F.lit(True), 9), ("b", F.col("kind") == "b", 300)]
+    left, want = sorted(rows, key=lambda r: hashlib.sha256(str(r[0]).encode()).hexdigest()), {}
+    for name, _, cap in strata:
+        fit = [r for r in left if name == "all" or r[1] == name][:cap]
+        want |= {r[0]: name for r in fit}
+        left = [r for r in left if r not in fit]
+    assert {r["id"]: r["stratum"] for r in relational.stratified(df, strata, "id").collect()} == want
+
+
+def test_lists_and_ranks_without_gathering(spark):
+    rng = random.Random(4)
+    rows = [(rng.randrange(4), rng.choice([None, 1.0, 2.5, 7.0, 9.0]), rng.choice("abc"), i) for i in range(300)]
+    df = spark.createDataFrame(rows, "k long, v double, w string, seq long")
+    got = {r["k"]: (r["p10"], r["p50"], r["p90"]) for r in relational.nearest_ranks(df, "k", "v", {"p10": 0.1, "p50": 0.5, "p90": 0.9}).collect()}
+    for k in range(4):
+        own = sorted(r[1] for r in rows if r[0] == k and r[1] is not None)
+        assert got[k] == tuple(own[round(p * (len(own) - 1))] for p in (0.1, 0.5, 0.9))
+    lists = {r["k"]: r["s"] for r in relational.first_seen_list(df, ["k"], F.col("w"), F.col("seq"), "s").collect()}
+    assert lists == {k: "|".join(dict.fromkeys(r[2] for r in rows if r[0] == k)) for k in range(4)}
