@@ -179,19 +179,30 @@ def best_item(codes: Column, event: Column) -> Column:
 # ---- financing rounds
 
 
+def money_mentions(text: Column) -> Column:
+    """array<struct<qualifier, currency, amount>> of a text's amounts of money, in order."""
+    group = lambda k: F.regexp_extract_all(text, F.lit(MONEY), F.lit(k))
+    rows = F.arrays_zip(group(1).alias("q"), group(2).alias("c"), group(3).alias("n"), group(4).alias("m"))
+    code = lambda c: F.when(c.isin("$", "US$"), "USD").when(c == "€", "EUR").when(c == "£", "GBP").otherwise("JPY")
+    return F.transform(rows, lambda x: F.struct(F.nullif(F.trim(x["q"]), F.lit("")).alias("qualifier"), code(F.upper(x["c"])).alias("currency"), (F.regexp_replace(x["n"], ",", "").try_cast("double") * _scale(x["m"])).alias("amount")))
+
+
+def _scale(unit: Column) -> Column:
+    u = F.lower(F.trim(unit))
+    return F.when(u.isin("billion", "bn"), 1e9).when(u.isin("million", "mm", "m"), 1e6).when(u.isin("k", "thousand"), 1e3).otherwise(1.0)
+
+
 def _judged(sentence: Column) -> Column:
     """Each amount of a sentence: struct(sentence, amount, qualifier, span, reason, total, check); reason is null for a candidate."""
     group = lambda k: F.regexp_extract_all(sentence, F.lit(MONEY), k)
     rows = F.arrays_zip(spans(sentence, MONEY, "<AMT>").alias("span"), group(F.lit(1)).alias("q"), group(F.lit(3)).alias("n"), group(F.lit(4)).alias("m"))
 
     def one(x: Column) -> Column:
-        unit = F.lower(F.trim(x["m"]))
-        scale = F.when(unit.isin("billion", "bn"), 1e9).when(unit.isin("million", "mm", "m"), 1e6).when(unit.isin("k", "thousand"), 1e3).otherwise(1.0)
         scope = F.coalesce(*[F.when(_any(x["span"], [p]), name) for name, p in SCOPES.items()])
         reason = F.when(_any(sentence, [SECONDARY]), "NOT_ROUND_SECONDARY").when(_any(sentence, [FACILITY]), "NOT_ROUND_FACILITY").when(scope.isNotNull(), scope).when(~_any(x["span"], BINDING), "AMBIGUOUS")
         check = _any(x["span"], CHECK_SHAPED)
         return F.struct(
-            sentence.alias("sentence"), (F.regexp_replace(x["n"], ",", "").try_cast("double") * scale).alias("amount"), F.nullif(F.trim(x["q"]), F.lit("")).alias("qualifier"),
+            sentence.alias("sentence"), (F.regexp_replace(x["n"], ",", "").try_cast("double") * _scale(x["m"])).alias("amount"), F.nullif(F.trim(x["q"]), F.lit("")).alias("qualifier"),
             x["span"].alias("span"), reason.alias("reason"), (_any(x["span"], ROUND_TOTAL) & ~check).alias("total"),
         )
 

@@ -11,6 +11,9 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from factmill.functions.derive import unanimous
+from factmill.functions.vocab import canonical_json
+
 TIERS = ["T1", "T2", "T3", "T4"]
 
 
@@ -32,6 +35,10 @@ def decoded(text: Column, number: Column, kind: str) -> Column:
         return F.coalesce(number, text.try_cast("double"))
     if kind == "boolean":
         return F.coalesce(number, text.try_cast("double")).cast("int")
+    if kind == "json":
+        return F.when(F.try_parse_json(text).isNotNull(), canonical_json(text))
+    if kind == "date":
+        return F.try_to_date(F.substring(text, 1, 10), "yyyy-MM-dd")
     return F.when(F.trim(text) != "", text)
 
 
@@ -146,6 +153,35 @@ def anchored(ledger: DataFrame, winners: DataFrame, amount: str, qualifier: str)
     return ledger.where(F.col("field") == qualifier).join(sources, ["txn", "source"], "left_semi")
 
 
+def anchored_qualifiers(ledger: DataFrame, amounts: list[str], qualifier: str) -> DataFrame:
+    """txn, each amount's own qualifier (``<amount>_<qualifier>``) and the shared one, where all that are told agree.
+
+    A qualifier is resolved anew from the sources of the amount that won. The amounts are
+    resolved together, and so are their qualifiers.
+    """
+    rows = ledger.where(F.col("field").isin(amounts))
+    won = resolved(rows, ["txn", "field"]).select(F.col("txn").alias("__t"), F.col("field").alias("__amount"), F.col("value").alias("__won"))
+    own = rows.select("txn", "source", "field", "value")
+    sources = own.join(won, (F.col("field") == F.col("__amount")) & (F.col("txn") == F.col("__t")) & (F.col("value") == F.col("__won"))).select("txn", "source", "__amount").distinct()
+    told = ledger.where(F.col("field") == qualifier).join(sources, ["txn", "source"])
+    best = resolved(told.drop("value").withColumnRenamed("text", "__q"), ["txn", "__amount"], value="__q")
+    wide = best.groupBy("txn").agg(*[F.max(F.when(F.col("__amount") == a, F.col("__q"))).alias(f"{a}_{qualifier}") for a in amounts])
+    return wide.withColumn(qualifier, unanimous(*[F.col(f"{a}_{qualifier}") for a in amounts]))
+
+
+def histories(ledger: DataFrame, documents: DataFrame, rejected: list[str]) -> DataFrame:
+    """txn, field, history: of fields with several values, what was told when, as JSON in order of day and document.
+
+    Equal tellings are one, so a field's claims are gathered only as far as they differ.
+    """
+    live = ledger.where(~F.coalesce(F.col("text").isin(rejected), F.lit(False)))
+    named = documents.select(F.col("document").alias("__d"), F.col("title").alias("title"))
+    rows = live.join(named, F.col("document") == F.col("__d"), "left").groupBy("txn", "field", F.coalesce("filed", F.lit("")).alias("__filed"), "document", "text", "title").agg(F.count(F.lit(1)).alias("n"))
+    told = F.struct(F.col("__filed").alias("filed"), "document", F.col("text").alias("value"), "title")
+    out = rows.groupBy("txn", "field").agg(F.count_distinct("text").alias("__k"), F.to_json(F.sort_array(F.collect_list(told)), {"ignoreNullFields": "false"}).alias("history"))
+    return out.where("__k > 1").drop("__k")
+
+
 def differences(ledger: DataFrame, rejected: list[str]) -> DataFrame:
     """Fields with several values: first and last by date, delta, delta in %, and kind of change."""
     live = ledger.where(~F.coalesce(F.col("text").isin(rejected), F.lit(False)))

@@ -261,6 +261,18 @@ SELECT id, CASE id % 12 WHEN 0 THEN 'ROUND_SIZE_CANDIDATE' WHEN 1 THEN 'LOWER_BO
 """
 
 
+@query
+def money_mentions(spark, sf_dir):
+    d = news(spark, sf_dir).select("id", signals.money_mentions(F.concat(c("body"), F.when(c("id") % 2 == 0, " or about £2,500 thousand").otherwise(" or €7"))).alias("m"), scanners.source_character(F.when(c("id") % 3 == 0, " original_reporting ").when(c("id") % 3 == 1, "odd")).alias("character"))
+    return d.select("id", F.size("m").cast("long").alias("n"), F.get("m", 0)["qualifier"].alias("first_qualifier"), F.element_at("m", -1)["qualifier"].alias("qualifier"), F.element_at("m", -1)["currency"].alias("currency"), F.element_at("m", -1)["amount"].alias("amount"), "character")
+
+
+SQL["money_mentions"] = f"""
+SELECT id, CASE WHEN id % 12 IN (0, 6, 8) THEN 3 WHEN id % 12 = 5 THEN 1 ELSE 2 END AS n, CASE id % 12 WHEN 1 THEN 'more than' WHEN 2 THEN 'approximately' WHEN 10 THEN 'over' END AS first_qualifier, CASE WHEN id % 2 = 0 THEN 'about' END AS qualifier,
+  CASE WHEN id % 2 = 0 THEN 'GBP' ELSE 'EUR' END AS currency, CASE WHEN id % 2 = 0 THEN 2500000 ELSE 7 END::DOUBLE AS amount, CASE WHEN id % 3 = 0 THEN 'ORIGINAL_REPORTING' ELSE 'UNKNOWN' END AS character FROM ({NEWS})
+"""
+
+
 @query
 def structure_routing(spark, sf_dir):
     return news(spark, sf_dir).select("id", signals.routed(c("event"), c("title"), c("body")).alias("r")).select("id", "r.event", "r.status", "r.form", c("r.corroborated").cast("int").alias("corroborated"))

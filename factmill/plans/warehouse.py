@@ -585,6 +585,69 @@ SELECT role, CAST(sum(n) AS BIGINT) AS n_values, count(*) AS n_distinct, count(*
 """
 
 
+# ---- more of the ledger
+
+def _anchored_sql(amount: str) -> str:
+    body = SQL["anchor_qualifiers"].replace("price AS value", f"{amount} AS value").replace("l.price = a.value", f"l.{amount} = a.value")
+    return f"({body})"
+
+
+@query
+def anchor_shared(spark, sf_dir):
+    rows = claims_ledger(spark, sf_dir)
+    keep = ["txn", "source", "tier", "confidence", "seq"]
+    amounts = [rows.select(*keep, F.lit(f).alias("field"), c(f).alias("value"), F.lit(None).cast("string").alias("text")) for f in ("price", "quantity")]
+    kinds = rows.select(*keep, F.lit("currency").alias("field"), F.lit(None).cast("double").alias("value"), c("currency").alias("text"))
+    return ledger.anchored_qualifiers(amounts[0].unionByName(amounts[1]).unionByName(kinds), ["price", "quantity"], "currency")
+
+
+SQL["anchor_shared"] = f"""
+SELECT p.txn, p.currency AS price_currency, q.currency AS quantity_currency, CASE WHEN p.currency = q.currency THEN p.currency END AS currency FROM {_anchored_sql("price")} p JOIN {_anchored_sql("quantity")} q ON q.txn = p.txn
+"""
+
+
+@query
+def ledger_history(spark, sf_dir):
+    rows = claims_ledger(spark, sf_dir).select(c("part").alias("txn"), F.lit("quantity").alias("field"), c("quantity").cast("int").cast("string").alias("text"), "filed", c("source").alias("document"))
+    return ledger.histories(rows, view(spark, sf_dir, "supplier").where("s_suppkey % 3 > 0").select(c("s_suppkey").alias("document"), c("s_name").alias("title")), ["1"])
+
+
+SQL["ledger_history"] = f"""
+WITH l AS (SELECT DISTINCT part AS txn, filed, source, CAST(CAST(quantity AS INTEGER) AS VARCHAR) AS text, s_name FROM ({LEDGER}) LEFT JOIN supplier ON s_suppkey = source AND s_suppkey % 3 > 0 WHERE quantity <> 1)
+SELECT txn, 'quantity' AS field, '[' || string_agg('{{"filed":"' || filed || '","document":' || source || ',"value":"' || text || '","title":' || coalesce('"' || s_name || '"', 'null') || '}}', ',' ORDER BY filed, source, text) || ']' AS history FROM l GROUP BY txn HAVING count(DISTINCT text) > 1
+"""
+
+
+@query
+def resolve_json(spark, sf_dir):
+    from factmill.functions.vocab import canonical_json
+    text = F.when(c("part") % 2 == 0, F.concat(F.lit('{"b": 1, "a": '), c("source") % 2, F.lit("}"))).otherwise(F.concat(F.lit('{"a":'), c("source") % 2, F.lit(',"b":1}')))
+    rows = claims_ledger(spark, sf_dir).withColumn("doc", canonical_json(text)).withColumn("field", F.lit("doc"))
+    when = F.when(c("part") % 4 == 0, "2024-02-30").otherwise(c("filed"))
+    won = ledger.resolved(rows, ["txn"], value="doc")
+    days = rows.groupBy("txn").agg(F.max(ledger.decoded(when, F.lit(None).cast("double"), "date")).cast("string").alias("last_day"), F.count(ledger.decoded(F.when(c("part") % 3 == 0, F.substring(text, 1, 5)).otherwise(text), F.lit(None).cast("double"), "json")).alias("n_json"))
+    return won.select("txn", "doc", "flagged").join(days, "txn")
+
+
+SQL["resolve_json"] = f"""
+WITH ledger AS ({LEDGER}), {_resolve("SELECT txn, tier, confidence, seq, '{' || chr(34) || 'a' || chr(34) || ':' || (source % 2) || ',' || chr(34) || 'b' || chr(34) || ':1}' AS value FROM ledger", 'txn')},
+d AS (SELECT txn, CAST(max(CASE WHEN part % 4 <> 0 THEN CAST(filed AS DATE) END) AS VARCHAR) AS last_day, count(*) FILTER (WHERE part % 3 <> 0) AS n_json FROM ledger GROUP BY txn)
+SELECT a.txn, a.value AS doc, flagged, last_day, n_json FROM answers a JOIN d ON d.txn = a.txn
+"""
+
+
+@query
+def export_joined(spark, sf_dir):
+    labels = view(spark, sf_dir, "labels")
+    current = lambda rule, col, name: labels.where(rule).select(c("doc_id").alias("__d"), c(col).alias(name))
+    d = view(spark, sf_dir, "documents").select("doc_id", "source")
+    out = d.join(current("quality = 1", "quality", "summary"), c("doc_id") == c("__d"), "left").drop("__d")
+    return out.join(current("toxic = 1", "toxic", "rationale"), c("doc_id") == c("__d"), "left").drop("__d")
+
+
+SQL["export_joined"] = "SELECT d.doc_id, source, a.quality AS summary, b.toxic AS rationale FROM documents d LEFT JOIN labels a ON a.doc_id = d.doc_id AND a.quality = 1 LEFT JOIN labels b ON b.doc_id = d.doc_id AND b.toxic = 1"
+
+
 # ---- clusters
 
 TOLD = """
