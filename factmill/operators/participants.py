@@ -131,8 +131,9 @@ def would_insert(planned: dict[str, DataFrame], existing: dict[str, DataFrame])
     """table, planned, would_insert: a dry run against the tables that are there."""
     out = None
     for name, rows in planned.items():
-        new = rows.join(existing[name].select(*KEYS[name]).distinct(), KEYS[name], "left_anti") if name in existing else rows
-        one = rows.agg(F.count(F.lit(1)).alias("planned")).join(new.agg(F.count(F.lit(1)).alias("would_insert"))).select(F.lit(name).alias("table"), "planned", "would_insert")
+        there = existing[name].select(*KEYS[name]).distinct().withColumn("__there", F.lit(True)) if name in existing else None
+        rows = rows.withColumn("__there", F.lit(None).cast("boolean")) if there is None else rows.join(there, KEYS[name], "left")
+        one = rows.agg(F.count(F.lit(1)).alias("planned"), F.count(F.when(F.col("__there").isNull(), 1)).alias("would_insert")).select(F.lit(name).alias("table"), "planned", "would_insert")
         out = one if out is None else out.unionByName(one)
     return out
 

@@ -82,11 +82,12 @@ def record_checks(records: DataFrame, retired: list[str], counted: list[str]) ->
 
 def cardinality(sources: DataFrame, extractions: DataFrame, records: DataFrame) -> DataFrame:
     """check, n_left, n_right: sources against extractions, and clusters against records."""
-    n = lambda df, c, name: df.agg(F.count_distinct(c).alias(name))
-    one = n(sources, "source", "a").join(extractions.agg(F.count(F.lit(1)).alias("b"), F.count_distinct("txn").alias("c"))).join(records.agg(F.count(F.lit(1)).alias("d")))
-    return one.select(F.explode(F.array(
-        F.struct(F.lit("sources_extractions").alias("check"), F.col("a").alias("n_left"), F.col("b").alias("n_right")), F.struct(F.lit("clusters_records").alias("check"), F.col("c").alias("n_left"), F.col("d").alias("n_right")),
-    )).alias("x")).select("x.*")
+    n = lambda df, count, check, side: df.agg(count.alias("n")).select(F.lit(check).alias("check"), F.lit(side).alias("side"), "n")
+    parts = [
+        n(sources, F.count_distinct("source"), "sources_extractions", 0), n(extractions, F.count(F.lit(1)), "sources_extractions", 1),
+        n(extractions, F.count_distinct("txn"), "clusters_records", 0), n(records, F.count(F.lit(1)), "clusters_records", 1),
+    ]
+    return _all(parts).groupBy("check").agg(F.max(F.when(F.col("side") == 0, F.col("n"))).alias("n_left"), F.max(F.when(F.col("side") == 1, F.col("n"))).alias("n_right"))
 
 
 def currency_gap(records: DataFrame) -> DataFrame:
@@ -155,8 +156,8 @@ def remediation(rows: DataFrame, approvals: DataFrame, unresolved: DataFrame, ev
     """
     scope = rows.where(F.col("event").isin(events) & F.col("round_size").isNull() & F.col("staged").isNotNull())
     name = F.lower(F.trim("target"))
-    a = F.broadcast(approvals.select(F.lower(F.trim("key")).alias("__k"), F.col("staged").alias("__staged"), F.col("round_size").alias("__size"), F.col("note").alias("__note"), "seq"))
-    u = F.broadcast(unresolved.select(F.lower(F.trim("key")).alias("__k"), F.col("reason").alias("__why"), "seq"))
+    a = approvals.select(F.lower(F.trim("key")).alias("__k"), F.col("staged").alias("__staged"), F.col("round_size").alias("__size"), F.col("note").alias("__note"), "seq")
+    u = unresolved.select(F.lower(F.trim("key")).alias("__k"), F.col("reason").alias("__why"), "seq")
     first = lambda df, cols: scope.join(df, F.contains(name, F.col("__k"))).groupBy("txn").agg(F.min_by(F.struct(*cols), "seq").alias("__m")).select(F.col("txn").alias("__t"), "__m.*")
     out = scope.join(first(a, ["__staged", "__size", "__note"]), F.col("txn") == F.col("__t"), "left").drop("__t").join(first(u, ["__why"]), F.col("txn") == F.col("__t"), "left")
     state = F.when(F.col("__why").isNotNull(), "unresolved").when(F.col("__size").isNull(), "not_approved").when(F.abs(F.col("staged") - F.col("__staged")) > tolerance, "staged_changed").otherwise("planned")

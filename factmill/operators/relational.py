@@ -169,14 +169,14 @@ def review_sample(df: DataFrame, id_column: str, code: str, thin: int, first: li
     codes = df.groupBy(code).agg(F.count(F.lit(1)).alias("__k"))
     caught = [name for name, _ in catch_all]
     usual = (F.col("__k") > thin) & ~F.col(code).isin(caught)
-    total = codes.agg(F.sum(F.when(usual, F.col("__k"))).alias("__total"))
-    rows = df.join(F.broadcast(codes), code).join(F.broadcast(total)).withColumn("__h", F.sha2(F.col(id_column).cast("string"), 256))
+    total = codes.agg(F.sum(F.when(usual, F.col("__k")))).first()[0] or 1
+    rows = df.join(codes, code).withColumn("__h", F.sha2(F.col(id_column).cast("string"), 256))
     reserve = max(least, round(share * target))
     steps = [(F.lit(f"1:{name}"), rule, F.lit(cap), []) for name, rule, cap in first]
     steps.append((F.concat(F.lit("2:census:"), F.col(code)), (F.col("__k") <= thin) & ~F.col(code).isin(caught), None, []))
     steps += [(F.lit(f"3:catch_all:{name}"), F.col(code) == name, F.lit(cap), []) for name, cap in catch_all]
     steps.append((F.concat(F.lit("4:floor:"), F.col(code)), usual, F.lit(floor), [code]))
-    steps.append((F.concat(F.lit("5:reserve:"), F.col(code)), usual, F.greatest(F.lit(3), F.bround(F.col("__k") * reserve / F.col("__total"))), [code]))
+    steps.append((F.concat(F.lit("5:reserve:"), F.col(code)), usual, F.greatest(F.lit(3), F.bround(F.col("__k") * reserve / total)), [code]))
     out = None
     for label, rule, cap, by in steps:
         own = rows.where(rule)
