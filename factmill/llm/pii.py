@@ -41,7 +41,11 @@ KINDS = ("email", "ip", "card", "phone")
 TRAINING_TEXTS = 1500
 """Most texts that training windows are cut from."""
 TRAINING_CHARS = 10_000
-WINDOW, STEP = 160, 128
+WINDOW = 160
+"""Code points of a training window."""
+READ, STEP = 288, 256
+"""Code points of a window that is read, and from one window to the next."""
+AT_ONCE = 2048
 HIDDEN, SYMBOLS = 8, 130
 EPOCHS, BATCH, RATE = 14, 128, 0.02
 TRAINING_WINDOWS = 2400
@@ -303,17 +307,17 @@ class Tagger:
     def tagged(self, texts: list[str]) -> list[np.ndarray]:
         """The tag of each code point of each text."""
         codes = [symbols(t) for t in texts]
-        edge = (WINDOW - STEP) // 2
+        edge = (READ - STEP) // 2
         n = [max(1, -(-len(c) // STEP)) for c in codes]
         first = np.concatenate([[0], np.cumsum(n)])
-        grid = np.full((first[-1], WINDOW), 129, np.uint8)
+        grid = np.full((first[-1], READ), 129, np.uint8)
         for i, own in enumerate(codes):
             padded = np.full(n[i] * STEP + 2 * edge, 129, np.uint8)
             padded[edge : edge + len(own)] = own
-            grid[first[i] : first[i + 1]] = np.lib.stride_tricks.sliding_window_view(padded, WINDOW)[::STEP]
+            grid[first[i] : first[i + 1]] = np.lib.stride_tricks.sliding_window_view(padded, READ)[::STEP]
         inside = (grid[:, edge : edge + STEP] < 129).reshape(-1)
         # of all windows over a code point, this one has it deepest
-        e = np.concatenate([self.emissions(np.ascontiguousarray(grid[i : i + 4096].T))[edge : edge + STEP].transpose(2, 0, 1).reshape(-1, TAGS) for i in range(0, len(grid), 4096)])
+        e = np.concatenate([self.emissions(np.ascontiguousarray(grid[i : i + AT_ONCE].T))[edge : edge + STEP].transpose(2, 0, 1).reshape(-1, TAGS) for i in range(0, len(grid), AT_ONCE)])
         text = np.repeat(np.arange(len(codes)), np.array(n) * STEP)
         parted = inside & np.concatenate([[True], text[1:] == text[:-1]])  # a text that fills its windows has no padding
         tags, at = np.zeros(len(inside), np.int8), np.flatnonzero(~self.settled(e, parted) | (inside & ~parted))
