@@ -192,7 +192,11 @@ def _searched(scratch: Scratch, rows: DataFrame, asked: DataFrame, k: int) -> Da
         best, _ = read_in_order(list(frame["q"].iloc[0]), frame["vec_id"].to_numpy(np.int64), frame["v"].to_list(), frame["upper"].to_numpy(), k)
         return pd.DataFrame({"query_id": int(frame["query_id"].iloc[0]), "rank": range(1, len(best) + 1), "vec_id": [v for v, _ in best], "score": [s for _, s in best]})
 
-    return scratch.table(exact.join(own, "query").groupBy("query").applyInPandas(read, "query_id long, rank int, vec_id long, score long"), "best")
+    # a named number of tasks isn't coalesced, as a query is some work for few bytes
+    by_query = exact.join(own, "query").repartition(max(1, min(4000, n_asked // 128)), "query").groupBy("query")
+    best = scratch.table(by_query.applyInPandas(read, "query_id long, rank int, vec_id long, score long"), "best")
+    scratch.drop("rows", "asked", "candidates", "files", "queries", "near")
+    return best
 
 
 def op8(embeddings: DataFrame) -> DataFrame:
