@@ -6,7 +6,7 @@ cut into shards whose counts differ by at most one, so that every shard holds ea
 in the proportion of the whole.
 
 Ranks are taken in buckets (see ``ranks``): a source that holds a third of all rows is
-spread over as many tasks as any other. Texts are never shuffled, only their size and CRC.
+spread over as many tasks as any other. Texts are read once and never shuffled, only their size and CRC.
 
 Defined results: a null text has size 8 and the CRC of the empty string; a null source is
 a source of its own; null or repeated doc_id values are ordinary rows, and rows equal in
@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from factmill.llm.ranks import running, spread
-from factmill.llm.scratch import small
+from factmill.llm.scratch import Scratch, small
 
 SHARDS = 24
 SEED = 20240117
@@ -33,13 +33,14 @@ def shard(docs: DataFrame, shards: int = SHARDS, seed: int = SEED) -> DataFrame:
         (F.coalesce(F.octet_length("text"), F.lit(0)) + 8).cast("long").alias("size"),
         F.crc32(text).alias("text_crc32"),
     ).withColumn("__h", F.xxhash64(F.lit(seed), "doc_id", "text_crc32", "size"))
-    n = docs.count()
+    rows = Scratch(docs.sparkSession, "shards").table(rows, "rows")
+    n = rows.count()
     buckets = spread(n)
     # the bucket is the top of the hash, so buckets in order are rows in hash order
     rows = rows.withColumn("__b", F.floor((F.shiftrightunsigned("__h", 11) / F.lit(float(1 << 53))) * buckets).cast("long"))
     unsigned = F.col("__h").bitwiseXOR(F.lit(-(1 << 63)))
     order = [unsigned, F.col("doc_id"), F.col("text_crc32"), F.col("size")]
-    sizes = docs.groupBy(F.col("source").alias("__s")).agg(F.count(F.lit(1)).alias("__n"))
+    sizes = rows.groupBy(F.col("source").alias("__s")).agg(F.count(F.lit(1)).alias("__n"))
     rows = running(rows, ["source"], "__b", order, F.lit(1).cast("long"), "__rank")
     rows = rows.join(small(sizes, sizes.count()), F.col("source").eqNullSafe(F.col("__s")), "left").drop("__s", "__b")
     rows = rows.withColumn("__f", (F.col("__rank") * 2 + 1) / (F.col("__n") * 2))
