@@ -359,3 +359,43 @@ def test_touching_spans_and_long_texts(net, spark):
     got = {r["doc_id"]: r["found"] for r in pii.find(docs, net).collect()}
     assert got[1] == got[2] and got[1]["n_email"] == 1 and "email:100000:100009" in got[1]["spans"]
     assert got[1]["base_sha256"] == hashlib.sha256(b"email:100000:100009").hexdigest() and got[3]["spans"] == ""
+
+
+# ---- whole rows of the contract
+
+
+def test_every_column_of_pii_rows(net, spark):
+    rng = random.Random(21)
+    pieces = ["a.b1@c-d.org", "x@y", "10.0.0.255", "10.0.0.256", "1.2.3.4.5", "4111 1111 1111 1111", "4111-1111-1111-1112", "+1 (555) 010-9999", "+12", "words", "é", "12 34", "+49 30 1234567"]
+    rows = [(i, rng.choice([" ", "", ", "]).join(rng.choice(pieces) for _ in range(rng.randint(0, 12)))) for i in range(150)] + [(900, None)]
+    got = {r["doc_id"]: r["found"] for r in pii.find(spark.createDataFrame(rows, DOCS), net).collect()}
+    patterns = [r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", r"[0-9]([\x20-]?[0-9])+", r"\+[0-9][\x20().0-9-]+[0-9]"]
+
+    def fits(k, s):
+        d = re.sub("[^0-9]", "", s)
+        luhn = sum((x := int(c) * (1 + i % 2)) - 9 * (x > 9) for i, c in enumerate(reversed(d))) % 10 == 0
+        return [True, k == 1 and all(int(p) <= 255 for p in s.split(".")), 13 <= len(d) <= 19 and luhn, 9 <= len(d) <= 15][k]
+
+    for d, text in rows:
+        base = [(k, *m.span()) for k, p in enumerate(patterns) for m in re.finditer(p, text or "") if fits(k, m[0])]
+        told = ",".join(f"{pii.KINDS[k]}:{s}:{e}" for k, s, e in base)
+        assert [got[d][f"n_{k}"] for k in pii.KINDS] == [sum(k == j for k, *_ in base) for j in range(4)]
+        assert got[d]["base_sha256"] == hashlib.sha256(told.encode()).hexdigest() and set(told.split(",")) - {""} <= set(got[d]["spans"].split(","))
+
+
+def test_every_column_of_mix_and_shard_rows(spark):
+    import zlib
+
+    from factmill.llm import sharding
+
+    rng = random.Random(22)
+    rows = [(i if i % 50 else None, rng.choice([None, "", "é x", " ".join(["w"] * rng.randint(1, 90))]), rng.choice(["a", "b", None, "c"])) for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").withColumn("rank", F.lit(0))
+    words = lambda t: len(re.findall(r"[^\x20\x09-\x0D]+", t or ""))
+    totals = {s: sum(words(t) for _, t, x in rows if x == s) for s in ("a", "b", "c", None)}
+    got = mixing.op6(docs).collect()
+    assert sorted((str(r["doc_id"]), str(r["source"]), r["size"], r["source_size"]) for r in got) == sorted((str(d), str(s), words(t), totals[s]) for d, t, s in rows)
+    shards = sharding.op10(docs).collect()
+    want = sorted((str(d), len((t or "").encode()) + 8, zlib.crc32((t or "").encode()), "rows") for d, t, _ in rows)
+    assert sorted((str(r["doc_id"]), r["size"], r["text_crc32"], r["law"]) for r in shards) == want and {r["grown_shard"] for r in shards} == {None}
+    assert [(r["shard"], r["slot"]) for r in sorted(shards, key=lambda r: (r["shard"], r["slot"]))] == [(s, k) for s in range(24) for k in range(sum(x["shard"] == s for x in shards))]
