@@ -3,6 +3,12 @@
 Each stage takes (spark, docs, sf_dir) and works on all that its predecessor kept. All but
 the last return the columns of documents; the last returns the shard manifest (doc_id,
 source, size, text_crc32, shard, slot), which needs no text.
+
+Defined results of the stages, beside their operators': a null or empty text is no toxic one, no copy
+and holds no test item, so its row stays, and the mix takes it once; rows with null or repeated
+doc_id are judged row by row, and of rows equal in doc_id and text one stays as a copy's keeper; ties go to
+the smaller doc_id; extra columns, whatever their names, come through all stages but the last; empty
+tables give empty ones, and without labels of both classes nothing is rejected as toxic.
 """
 
 from __future__ import annotations
