@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from factmill.functions.scanners import bound
 from factmill.functions.vocab import mapped
 
 # Vocabularies of the deal classifier's answers.
@@ -128,7 +129,10 @@ def _resolved_event(event: Column, legacy: Column, mechanism: Column) -> Column:
 
 def classification_reason(answer: Column) -> Column:
     """Why a deal classification can't be used: vocabularies, and what only some events may carry."""
-    v = parsed(answer)
+    return bound(parsed(answer), lambda v: _classification_reason(answer, v))
+
+
+def _classification_reason(answer: Column, v: Column) -> Column:
     event, legacy = word(v, "$.v2_event_type"), word(v, "$.deal_type")
     resolved = _resolved_event(event, legacy, word(v, "$.distribution_mechanism"))
     old = word(v, "$.event_type")
@@ -151,7 +155,10 @@ def classification_reason(answer: Column) -> Column:
 
 def deal_reason(answer: Column) -> Column:
     """Why a deal extraction can't be used. Items of lists aren't judged here: bad ones are dropped when cleaned."""
-    v = parsed(answer)
+    return bound(parsed(answer), lambda v: _deal_reason(answer, v))
+
+
+def _deal_reason(answer: Column, v: Column) -> Column:
     values = items(v, "$.value_observations")
     flags = [F.coalesce(kind(v, f"$.features.{f}"), F.lit("VOID")) for f in ("is_secondary_buyout", "is_merger_of_equals", "is_going_private_outcome")]
     not_list = lambda path: ~F.coalesce(kind(v, path) == "ARRAY", F.lit(False))
@@ -257,7 +264,10 @@ def subordinate(answer: Column, target_type: Column, event: Column) -> Column:
 
 
 def funding_reason(answer: Column) -> Column:
-    v = parsed(answer)
+    return bound(parsed(answer), lambda v: _funding_reason(answer, v))
+
+
+def _funding_reason(answer: Column, v: Column) -> Column:
     undisclosed = lambda f: ~F.coalesce(word(v, f"$.{f}").isin(DISCLOSURES), F.lit(False))
     return _reasons(
         ("not_json", v.isNull()), ("missing", _missing(answer, FUNDING_KEYS)), ("financials_disclosure", undisclosed("financials_disclosure_status")),
@@ -268,7 +278,10 @@ def funding_reason(answer: Column) -> Column:
 
 
 def terms_reason(answer: Column) -> Column:
-    v = parsed(answer)
+    return bound(parsed(answer), lambda v: _terms_reason(answer, v))
+
+
+def _terms_reason(answer: Column, v: Column) -> Column:
     not_list = lambda path: ~F.coalesce(kind(v, path) == "ARRAY", F.lit(False))
     parts = items(v, "$.consideration_components")
     no_shop = ~F.coalesce(F.try_variant_get(v, "$.go_shop.has_go_shop", "boolean"), F.lit(False))

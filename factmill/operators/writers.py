@@ -218,7 +218,8 @@ def agreement_observations(results: DataFrame) -> DataFrame:
     Scalars as they are, but for unknown structures; securities, components and parties under compound
     names. Names that are defined terms or blanks to fill in aren't observed.
     """
-    v = parsed(F.col("answer"))
+    results = results.withColumn("__v", parsed(F.col("answer")))  # a column of its own, so that it is read once
+    v = F.col("__v")
 
     def scalar(e: Column) -> Column:
         k = kind(e["value"], "$")
@@ -261,7 +262,8 @@ def applied(record: DataFrame, results: DataFrame, ranks: dict[str, dict[str, in
     (``ranks``: column to filing type to rank; none is worst), then the latest; columns without
     ranks take the latest.
     """
-    v = parsed(F.col("answer"))
+    results = results.withColumn("__v", parsed(F.col("answer")))  # a column of its own, so that it is read once
+    v = F.col("__v")
     flag = lambda path: F.when(kind(v, path) == "BOOLEAN", F.try_variant_get(v, path, "boolean").cast("int").cast("string"))
     amount = lambda path: plain(number(v, path))
     subs = F.filter(items(v, "$.parties"), lambda x: word(x, "$.role") == "MERGER_SUB")
