@@ -90,5 +90,111 @@ FROM words LEFT JOIN sizes USING (doc_id) LEFT JOIN least ON a = doc_id
 """
 
 
+def _lloyd(rounds: int = 6) -> str:
+    """Plain Lloyd rounds: every part is compared with every entry, one pair of subqueries a round."""
+    nearest = """
+n{i} AS MATERIALIZED (
+    SELECT row, p, any_value(part) AS part, min_by(c, (d, c)) AS c, min(d) AS d
+    FROM (SELECT s.row, s.p, s.part, b.c, list_sum(list_transform(list_zip(s.part, b.e), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT AS d
+          FROM parts s JOIN b{i} b ON s.p = b.p)
+    GROUP BY row, p
+)"""
+    replaced = """
+b{j} AS MATERIALIZED (
+    SELECT b.p, b.c, coalesce(m.e, b.e) AS e FROM b{i} b LEFT JOIN (
+        SELECT p, c, list(x ORDER BY k) AS e FROM (
+            SELECT p, c, k, floor(sum(x) / count(*))::BIGINT AS x
+            FROM (SELECT p, c, unnest(part) AS x, generate_subscripts(part, 1) AS k FROM n{i}) GROUP BY p, c, k)
+        GROUP BY p, c) m ON b.p = m.p AND b.c = m.c
+)"""
+    steps = [nearest.replace("{i}", str(i)) + "," + replaced.replace("{i}", str(i)).replace("{j}", str(i + 1)) for i in range(rounds)]
+    return f"""
+WITH kept AS MATERIALIZED (
+    SELECT row_number() OVER (ORDER BY vec_id, embedding) AS row, vec_id, label, list_transform(embedding, lambda x: floor(4096 * x::DOUBLE)::BIGINT) AS v
+    FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), parts AS MATERIALIZED (
+    SELECT row, p, v[p * (len(v) // 8) + 1:(p + 1) * (len(v) // 8)] AS part FROM kept, range(8) AS r(p)
+), b0 AS (
+    SELECT p, row - 1 AS c, part AS e FROM parts WHERE row <= 16
+), {",".join(steps)}, {nearest.replace("{i}", str(rounds))}, books AS (
+    SELECT sha256(string_agg(x::VARCHAR, ',' ORDER BY p, c, k)) AS digest
+    FROM (SELECT p, c, unnest(e) AS x, generate_subscripts(e, 1) AS k FROM b{rounds})
+), coded AS (
+    SELECT row, string_agg(printf('%02x', c::INTEGER), '' ORDER BY p) AS code, sum(d)::BIGINT AS error FROM n{rounds} GROUP BY row
+)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, digest AS codebooks_sha256
+FROM kept JOIN coded USING (row), books
+"""
+
+
+CHAT = """
+WITH said AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'
+), sized AS (
+    SELECT *, CASE role WHEN 'user' THEN 13 WHEN 'system' THEN 11 WHEN 'assistant' THEN 7
+                        ELSE 19 + length(regexp_replace(role, '([<\\[])(\\\\*(?:/?s>|/?INST\\]|/?SYS\\]|/?TEXT\\]|ROLE\\]))', '\\1-\\2', 'g')) END
+              + length(regexp_replace(text, '([<\\[])(\\\\*(?:/?s>|/?INST\\]|/?SYS\\]|/?TEXT\\]|ROLE\\]))', '\\1-\\2', 'g')) AS chars
+    FROM said
+)
+SELECT conv_id, count(*)::BIGINT AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+       sum(chars)::BIGINT AS formatted_chars
+FROM sized GROUP BY conv_id
+"""
+"""The lengths of a turn's control strings, and one character more for each escape."""
+
+_FOLD = """list_reduce(list_prepend({{'h': {h}, 's': NULL, 'odd': 0}}, {siblings}), lambda a, x: {{
+    'h': CASE WHEN x.s IS NULL THEN sha256(a.h) WHEN x.odd = 1 THEN sha256(x.s || a.h) ELSE sha256(a.h || x.s) END, 's': NULL, 'odd': 0}}).h"""
+_ABOVE = "list_transform(range((len(nodes) + 1) // 2), lambda i: sha256(nodes[2 * i + 1] || coalesce(nodes[2 * i + 2], '')))"
+
+
+def _leaf(n_chars: str) -> str:
+    return " || ".join(f"coalesce(strlen(({f})::VARCHAR) || ':' || ({f})::VARCHAR, '-')" for f in ("doc_id", "source", "lang", n_chars, "text"))
+
+
+
+MERKLE = f"""
+WITH RECURSIVE leaves AS MATERIALIZED (
+    SELECT doc_id, lang, sha256({_leaf("n_chars")}) AS leaf, sha256({_leaf("n_chars + 1")}) AS changed,
+           list_reduce(list_prepend(4294967295, flatten(list_transform(string_split(doc_id::VARCHAR, ''), lambda c: [ascii(c)::BIGINT, 0, 0, 0, 0, 0, 0, 0]))),
+               lambda a, x: CASE WHEN xor(a, x) % 2 = 1 THEN xor(xor(a, x) // 2, 3988292384) ELSE xor(a, x) // 2 END) AS register
+    FROM documents
+), placed AS MATERIALIZED (
+    SELECT doc_id, lang, leaf, CASE WHEN xor(register, 4294967295) % 7 = 0 THEN changed ELSE leaf END AS told,
+           row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i
+    FROM leaves
+), trees AS (
+    SELECT lang, 0 AS level, list(leaf ORDER BY i) AS nodes FROM placed GROUP BY lang
+    UNION ALL SELECT lang, level + 1, {_ABOVE} FROM trees WHERE len(nodes) > 1
+), subroots AS MATERIALIZED (
+    SELECT lang, nodes[1] AS subroot, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS j FROM trees WHERE len(nodes) = 1
+), tops AS (
+    SELECT 0 AS level, list(subroot ORDER BY j) AS nodes FROM subroots
+    UNION ALL SELECT level + 1, {_ABOVE} FROM tops WHERE len(nodes) > 1
+), above AS MATERIALIZED (
+    SELECT s.lang, s.subroot, (SELECT nodes[1] FROM tops WHERE len(nodes) = 1) AS root,
+           coalesce(list({{'h': NULL::VARCHAR, 's': t.nodes[xor(s.j >> t.level, 1) + 1], 'odd': (s.j >> t.level) & 1}} ORDER BY t.level) FILTER (WHERE t.level IS NOT NULL), []) AS path
+    FROM subroots s LEFT JOIN tops t ON len(t.nodes) > 1 GROUP BY ALL
+), paths AS MATERIALIZED (
+    SELECT p.doc_id, p.lang, p.leaf, p.told, p.i,
+           coalesce(list({{'h': NULL::VARCHAR, 's': t.nodes[xor(p.i >> t.level, 1) + 1], 'odd': (p.i >> t.level) & 1}} ORDER BY t.level) FILTER (WHERE t.level IS NOT NULL), []) AS path
+    FROM placed p LEFT JOIN trees t ON t.lang IS NOT DISTINCT FROM p.lang AND len(t.nodes) > 1 GROUP BY ALL
+), folded AS (
+    SELECT p.doc_id, p.leaf, a.subroot, a.root, a.path AS upper, p.path, {_FOLD.format(h="p.told", siblings="p.path || a.path")} AS folded_root
+    FROM paths p JOIN above a ON a.lang IS NOT DISTINCT FROM p.lang
+)
+SELECT doc_id, leaf, subroot, root, sha256(array_to_string(list_filter(list_transform(path || upper, lambda x: x.s), lambda x: x IS NOT NULL), '')) AS proof_sha256,
+       folded_root, folded_root = root AS verified
+FROM folded
+"""
+"""The register is the CRC's, bit by bit; a tree is a list of nodes a level, a proof a list of siblings."""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_line_dedup": LINES, "op2_decontaminate": LEAKS, "op5_ngram_jaccard": NEAR, "op8_topk": TOP_K}
+    return {
+        "op1_line_dedup": LINES, "op2_decontaminate": LEAKS, "op5_ngram_jaccard": NEAR, "op8_topk": TOP_K,
+        "op11_codes": _lloyd(), "op12_chat": CHAT, "op13_merkle": MERKLE,
+    }

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from factmill.llm import decontamination, jaccard, licenses, linededup, mixing, pii, quality, sharding, topk, toxicity
+from factmill.llm import chat, codes, decontamination, jaccard, licenses, linededup, merkle, mixing, pii, quality, sharding, topk, toxicity
 from factmill.llm.scratch import table
 
 
@@ -30,4 +30,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_topk": lambda spark, sf_dir: topk.op8(table(spark, sf_dir, "embeddings")),
         "op9_toxicity": _labelled(toxicity.op9),
         "op10_shard": _docs(sharding.op10),
+        "op11_codes": lambda spark, sf_dir: codes.op11(table(spark, sf_dir, "embeddings")),
+        "op12_chat": lambda spark, sf_dir: chat.op12(table(spark, sf_dir, "conversations")),
+        "op13_merkle": _docs(merkle.op13),
     }
