@@ -59,13 +59,13 @@ def sketched(words: DataFrame) -> DataFrame:
     return rows.join(F.broadcast(lengths), "part").withColumn("sketch", F.slice("shingles", F.lit(1), F.col("length"))).drop("length")
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """doc_id, item_id, n_shingles (of the item), n_shared: one row for each test item found in a document."""
+def found_rows(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """doc_id, text_hash, item_id, n_shingles (of the item), n_shared: one row for each test item found in a row of docs."""
     scratch = Scratch(docs.sparkSession, "decontaminate")
     items = scratch.table(sketched(scratch.table(benchmark.select("item_id", word_hashes(F.col("text")).alias("w")), "words")), "items")
     sizes = items.groupBy("k").agg(F.sum("n").alias("n"), F.sum(F.size("sketch")).alias("s"), F.min("need").alias("need")).collect()
     if not sizes:
-        fields = [docs.schema["doc_id"], benchmark.schema["item_id"], T.StructField("n_shingles", T.IntegerType()), T.StructField("n_shared", T.IntegerType())]
+        fields = [docs.schema["doc_id"], T.StructField("text_hash", T.LongType()), benchmark.schema["item_id"], T.StructField("n_shingles", T.IntegerType()), T.StructField("n_shared", T.IntegerType())]
         return docs.sparkSession.createDataFrame([], T.StructType(fields))
     ks = sorted(r["k"] for r in sizes)
     sketch = items.select("item_id", F.col("k").alias("item_k"), "need", F.explode("sketch").alias("h"))
@@ -82,12 +82,17 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     met = scratch.table(met, "candidates")
     by_doc = met.groupBy(F.col("doc_id").alias("__c_id")).agg(F.collect_set("item_id").alias("items"), F.max(F.col("item_id").isNull()).alias("null_item"))
     rows = docs.select("doc_id", "text").join(small(by_doc, met.count()), F.col("doc_id").eqNullSafe(F.col("__c_id")))
-    rows = rows.select("doc_id", "items", "null_item", word_hashes(F.col("text")).alias("w"))
-    rows = rows.select("doc_id", F.array(*[shingle_hashes(F.col("w"), k) for k in ks]).alias("d"), F.explode(F.when(F.col("null_item"), F.concat("items", F.array(F.lit(None)))).otherwise(F.col("items"))).alias("i"))
+    rows = rows.select("doc_id", F.xxhash64("text").alias("text_hash"), "items", "null_item", word_hashes(F.col("text")).alias("w"))
+    rows = rows.select("doc_id", "text_hash", F.array(*[shingle_hashes(F.col("w"), k) for k in ks]).alias("d"), F.explode(F.when(F.col("null_item"), F.concat("items", F.array(F.lit(None)))).otherwise(F.col("items"))).alias("i"))
     whole = small(items.select(F.col("item_id"), "k", "shingles", "n", "need"), sum(r["n"] for r in sizes))
     shared = F.size(F.array_intersect("shingles", F.get("d", F.array_position(F.array(*map(F.lit, ks)), F.col("k")).cast("int") - 1)))
-    rows = rows.join(whole, F.col("i").eqNullSafe(F.col("item_id"))).select("doc_id", "item_id", F.col("n").alias("n_shingles"), "need", shared.alias("n_shared"))
-    return rows.where(F.col("n_shared") >= F.col("need")).groupBy("doc_id", "item_id").agg(F.max("n_shingles").alias("n_shingles"), F.max("n_shared").alias("n_shared"))
+    rows = rows.join(whole, F.col("i").eqNullSafe(F.col("item_id"))).select("doc_id", "text_hash", "item_id", F.col("n").alias("n_shingles"), "need", shared.alias("n_shared"))
+    return rows.where(F.col("n_shared") >= F.col("need")).drop("need")
+
+
+def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """doc_id, item_id, n_shingles (of the item), n_shared: one row for each test item found in a document."""
+    return found_rows(docs, benchmark).groupBy("doc_id", "item_id").agg(F.max("n_shingles").alias("n_shingles"), F.max("n_shared").alias("n_shared"))
 
 
 def op2(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -96,7 +101,7 @@ def op2(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def kept_documents(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The documents that hold no test item."""
+    """The rows of docs that hold no test item; of rows that share a doc_id, or have none, only those with an item go."""
     scratch = Scratch(docs.sparkSession, "decontaminated")
-    ids = scratch.table(contaminated(docs, benchmark).select(F.col("doc_id").alias("__c_id")).distinct(), "ids")
-    return docs.join(small(ids, ids.count()), F.col("doc_id").eqNullSafe(F.col("__c_id")), "left_anti")
+    held = scratch.table(found_rows(docs, benchmark).select(F.col("doc_id").alias("__c_id"), F.col("text_hash").alias("__c_text")).distinct(), "rows")
+    return docs.join(small(held, held.count()), F.col("doc_id").eqNullSafe(F.col("__c_id")) & (F.xxhash64("text") == F.col("__c_text")), "left_anti")

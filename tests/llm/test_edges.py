@@ -2,10 +2,12 @@
 
 import hashlib
 import itertools
+import os
 import random
 import re
 
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -272,15 +274,26 @@ def test_base_places_against_brute_force(spark):
 def net():
     rng = np.random.default_rng(11)
     texts = [" ".join("".join(chr(97 + x) for x in rng.integers(0, 26, rng.integers(2, 8))) for _ in range(120)) for _ in range(60)]
-    return pii.Tagger.fit(pii.training_windows(texts, windows=1600))
+    return pii.Tagger.fit(pii.training_windows(texts))
 
 
-def test_held_out_spans_are_found(net):
-    rng = np.random.default_rng(12)
+@pytest.mark.parametrize("seed", [12, 13, 14, 15, 16])
+def test_held_out_spans_are_found(net, seed):
+    rng = np.random.default_rng(seed)
     own = ["".join(chr(97 + x) if x < 26 else " " for x in rng.integers(0, 30, 150)) for _ in range(300)]
     windows = [pii.written_window(rng, text, [k % 4, None]) for k, text in enumerate(own)]
     for kind, (precision, recall, n) in pii.scored(net, windows).items():
-        assert n > 60 and recall >= 0.85 and precision >= 0.85, (kind, precision, recall)
+        assert n > 60 and recall >= 0.9 and precision >= 0.9, (kind, precision, recall)
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.001"), reason="no test tables")
+def test_held_out_spans_are_found_in_documents():
+    texts = [t for t in pq.read_table("/root/testdata/sf0.001/documents.parquet")["text"].to_pylist() if t]
+    net, rest = pii.Tagger.fit(pii.training_windows(texts[::2])), texts[1::2]
+    for seed in (1, 2, 3):
+        windows = [w for w in pii.training_windows(rest, seed=seed, windows=600) if all(0 <= s and e <= len(w[0]) for _, s, e in w[1])]
+        for kind, (precision, recall, n) in pii.scored(net, windows).items():
+            assert n > 60 and recall >= 0.9 and precision >= 0.9, (seed, kind, precision, recall, n)
 
 
 def test_written_spans_pass_their_own_check():

@@ -5,7 +5,7 @@ import re
 import pytest
 
 import corpus_pipeline
-from factmill.llm import mixing
+from factmill.llm import decontamination, mixing
 
 DOCUMENTS = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -94,3 +94,15 @@ def test_stages_take_empty_and_odd_tables(spark, tmp_path):
                 assert out.count() == {"toxicity": docs.count(), "ngram_jaccard": kept, "decontamination": docs.count()}.get(name, out.count())
             else:
                 assert out.count() == docs.count()
+
+
+def test_rows_of_null_or_repeated_id_are_judged_alone(spark):
+    item = " ".join(f"q{i}" for i in range(20))
+    long = "so it goes on and on " * 30
+    rows = [(None, "x " + item, 1), (None, "clean one two three four five", 2), (7, long + item, 3), (7, "quite clean text of seven words here", 4), (None, None, 5), (8, "", 6), (7, long + item, 7), (9, long, 8)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, item_id int")
+    tests = spark.createDataFrame([(1, item), (None, "q1 q2 q3"), (3, None)], "item_id int, text string")
+    for _ in range(2):
+        kept = decontamination.kept_documents(docs, tests)
+        assert kept.columns == docs.columns and sorted(r["item_id"] for r in kept.collect()) == [2, 4, 5, 6, 8]
+    assert decontamination.kept_documents(docs, tests.limit(0)).count() == len(rows)
