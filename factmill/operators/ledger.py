@@ -60,20 +60,51 @@ def _rank(confidence: Column) -> Column:
     return F.when(confidence == "HIGH", 0).when(confidence == "LOW", 2).otherwise(1)
 
 
-def _resolved(ledger: DataFrame, keys: list[str], value: str, boolean: bool, manual: Column | None) -> DataFrame:
-    """keys, value, flagged, n_seen, __tier: see ``resolved``."""
+def _per_tier() -> list[tuple[str, str]]:
+    """Name and kind of each tier's columns in a state; a kind tells how two of them make one."""
+    out = []
+    for t in TIERS:
+        out += [(f"low_{t}", "min"), (f"first_{t}", "first"), (f"seq_{t}", "min")]
+        out += [x for r in range(3) for x in ((f"n_{t}{r}", "sum"), (f"top_{t}{r}", "max"))]
+    return out
+
+
+STATE = [("n_seen", "sum"), ("stated", "max"), ("by_hand", "last"), ("seq_hand", "max"), *_per_tier()]
+"""A key's state: n_seen, stated (some value isn't null), the latest manual value, and each tier's least and first value and
+counts and greatest values by rank of confidence. ``first`` and ``last`` go by the column that follows."""
+
+
+def states(ledger: DataFrame, keys: list[str], value: str = "value", boolean: bool = False, manual: Column | None = None) -> DataFrame:
+    """keys and ``STATE``: what claims tell, small however many they are, and enough to resolve them or to add others."""
     v = F.col(value)
     counts = v.isNotNull() & ((v != 0) if boolean else F.lit(True))
     by_hand = (manual & v.isNotNull()) if manual is not None else F.lit(False)
-    rows = ledger.select(*keys, v.alias("v"), F.when(counts, F.col("tier")).alias("t"), _rank(F.col("confidence")).alias("r"), "seq", by_hand.alias("m"))
-    aggregates = [F.count(F.lit(1)).alias("n_seen"), F.max(F.when(F.col("m"), 1)).alias("m"), F.max_by("v", F.when(F.col("m"), F.col("seq"))).alias("by_hand"), F.max(F.col("v").isNotNull()).alias("any")]
+    rows = ledger.select(*keys, v.alias("v"), F.when(counts, F.col("tier")).alias("t"), _rank(F.col("confidence")).alias("r"), "seq", F.when(by_hand, F.col("seq")).alias("m"))
+    aggregates = [F.count(F.lit(1)).alias("n_seen"), F.max(F.col("v").isNotNull()).alias("stated"), F.max_by("v", "m").alias("by_hand"), F.max("m").alias("seq_hand")]
     for t in TIERS:
         here = F.col("t") == t
-        aggregates += [F.min(F.when(here, F.col("v"))).alias(f"low_{t}"), F.min_by("v", F.when(here, F.col("seq"))).alias(f"first_{t}")]
+        at = F.when(here, F.col("seq"))
+        aggregates += [F.min(F.when(here, F.col("v"))).alias(f"low_{t}"), F.min_by("v", at).alias(f"first_{t}"), F.min(at).alias(f"seq_{t}")]
         for r in range(3):
             own = here & (F.col("r") == r)
             aggregates += [F.count(F.when(own, 1)).alias(f"n_{t}{r}"), F.max(F.when(own, F.col("v"))).alias(f"top_{t}{r}")]
-    wide = rows.groupBy(*keys).agg(*aggregates)
+    return rows.groupBy(*keys).agg(*aggregates)
+
+
+def merged_states(parts: DataFrame, keys: list[str]) -> DataFrame:
+    """One state per key from several, as ``states`` makes it from all their claims; claims must not be in two of them."""
+    how = {"min": F.min, "max": F.max, "sum": F.sum}
+    aggregates = []
+    for i, (name, kind) in enumerate(STATE):
+        at = STATE[(i + 1) % len(STATE)][0]
+        # a null of an extreme seq can't win: with no seq there is no value
+        made = F.min_by(name, at) if kind == "first" else F.max_by(name, at) if kind == "last" else how[kind](name)
+        aggregates.append(made.alias(name))
+    return parts.groupBy(*keys).agg(*aggregates)
+
+
+def decided(state: DataFrame, keys: list[str], value: str = "value", boolean: bool = False) -> DataFrame:
+    """keys, value, flagged, n_seen and __tier (that which decides) from states; a projection."""
     tops = lambda t: F.greatest(*[F.col(f"top_{t}{r}") for r in range(3)])
     any_of = lambda t: F.col(f"low_{t}").isNotNull()
     agree = lambda t: F.col(f"low_{t}") == tops(t)
@@ -85,14 +116,19 @@ def _resolved(ledger: DataFrame, keys: list[str], value: str, boolean: bool, man
             out = F.when(F.col(f"n_{t}{r}") > 0, F.when(F.col(f"n_{t}{r}") == 1, F.col(f"top_{t}{r}"))).otherwise(out)
         return out
 
-    silent = F.when(F.col("any"), 0).cast("double") if boolean else F.lit(None)
+    silent = F.when(F.col("stated"), 0).cast("double") if boolean else F.lit(None)
     chosen, clash, tier = silent, F.lit(0), F.lit(None).cast("string")
     for t in reversed(TIERS):
         chosen = F.when(any_of(t), F.when(agree(t), F.col(f"low_{t}")).otherwise(F.coalesce(best(t), F.col(f"first_{t}")))).otherwise(chosen)
         clash = F.when(any_of(t), F.when(agree(t) | best(t).isNotNull(), 0).otherwise(1)).otherwise(clash)
         tier = F.when(any_of(t), F.lit(t)).otherwise(tier)
-    said = F.col("m").isNotNull()
-    return wide.select(*keys, F.when(said, F.col("by_hand")).otherwise(chosen).alias(value), F.when(said, 0).otherwise(clash).cast("int").alias("flagged"), "n_seen", tier.alias("__tier"))
+    said = F.col("seq_hand").isNotNull()
+    return state.select(*keys, F.when(said, F.col("by_hand")).otherwise(chosen).alias(value), F.when(said, 0).otherwise(clash).cast("int").alias("flagged"), "n_seen", tier.alias("__tier"))
+
+
+def _resolved(ledger: DataFrame, keys: list[str], value: str, boolean: bool, manual: Column | None) -> DataFrame:
+    """keys, value, flagged, n_seen, __tier: see ``resolved``."""
+    return decided(states(ledger, keys, value, boolean, manual), keys, value, boolean)
 
 
 def resolved(ledger: DataFrame, keys: list[str], value: str = "value", boolean: bool = False, manual: Column | None = None) -> DataFrame:
