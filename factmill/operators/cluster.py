@@ -1,14 +1,13 @@
 """Entity clustering: token-set similarity, blocking without loss, transitive closure.
 
-Two names that score 90 or more share a token or, if they share none, a character 3-gram of
-their sorted tokens. Distinct target names are scored by an Arrow function, not rows, so a
-name that many rows bear is compared once. Deals meet by target and family; dates, rounds and
+Names meet by an exact join on rare tokens and 2-grams (see ``similar``). Distinct target names
+are scored by an Arrow function, not rows, so a name that many rows bear is compared once. Deals meet by target and family; dates, rounds and
 sizes are gated by native expressions before the acquirers' similarity is asked.
 """
 
 from __future__ import annotations
 
-import tempfile
+import uuid
 from functools import lru_cache
 
 import pandas as pd
@@ -16,6 +15,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from factmill.functions.text import company_name
+from factmill.operators.shared import shared_root
+from factmill.operators.similar import candidates
 
 THRESHOLD = 90.0
 DAYS = 3
@@ -67,19 +68,10 @@ def similarity(left: Column | str, right: Column | str) -> Column:
     return scored(left, right)
 
 
-def blocks(name: Column) -> Column:
-    """Tokens of a name, and 3-grams of its sorted tokens."""
-    tokens = F.filter(F.split(name, " "), lambda t: t != "")
-    line = F.array_join(F.array_sort(tokens), " ")
-    grams = F.transform(F.sequence(F.lit(1), F.greatest(F.length(line) - 2, F.lit(1))), lambda i: F.concat(F.lit("\x01"), F.substring(line, i, F.lit(3))))
-    return F.array_distinct(F.concat(tokens, grams))
-
-
 def similar_names(names: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """Pairs (a, b) of distinct names, a < b, that score the threshold or more."""
-    keyed = names.select("name").distinct().select("name", F.explode(blocks(F.col("name"))).alias("block"))
-    pairs = keyed.alias("x").join(keyed.alias("y"), "block").where("x.name < y.name").select(F.col("x.name").alias("a"), F.col("y.name").alias("b")).distinct()
-    return pairs.where(similarity("a", "b") >= threshold)
+    """Pairs (a, b) of distinct names, a < b, that score the threshold or more; see ``similar`` for how they meet."""
+    shared_checkpoints(names.sparkSession)
+    return candidates(names, threshold).where(similarity("a", "b") >= threshold)
 
 
 def round_stage(label: Column) -> Column:
@@ -135,29 +127,82 @@ def islands(events: DataFrame, key: str, at: str, gap_days: int = DAYS) -> DataF
 def shared_checkpoints(spark: SparkSession) -> None:
     """Checkpoints go to the folder the cluster names; to a temporary one only in local mode, where all share it."""
     if not spark.sparkContext.getCheckpointDir():
-        root = spark.conf.get("spark.checkpoint.dir", None)
-        if not root and not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster") and not root:
-            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
-        spark.sparkContext.setCheckpointDir(root or tempfile.mkdtemp(prefix="factmill-"))
+        spark.sparkContext.setCheckpointDir(shared_root(spark))
+
+
+HUB = 4_096
+"""Edges of a node from which on they are dealt to several tasks."""
+HUBS = 16_384
+"""Most nodes that are dealt so; with more, only those of most edges, as the others' share is small then."""
+
+
+def _to_least(both: DataFrame, n: int) -> DataFrame:
+    """a, b and m, the least of a and its neighbours: edges of both directions joined with their node's least.
+
+    A node's edges are combined before they travel. The edges of hubs are dealt to several tasks: a hub has more
+    than 1 / ``HUBS`` of all edges, so there are no more than twice as many, and their list can go to every task.
+    """
+    least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"), F.count(F.lit(1)).alias("k"))
+    size = max(HUB, -(-2 * n // HUBS))
+    dealt = least.withColumn("ways", F.ceil(F.col("k") / size).cast("int"))
+    hubs = F.broadcast(dealt.where("ways > 1").select(F.col("a").alias("h"), "ways"))
+    edges = both.join(hubs, F.col("a") == F.col("h"), "left").select("a", "b", F.when(F.col("ways") > 1, F.pmod(F.xxhash64("b"), F.col("ways"))).otherwise(0).cast("int").alias("way"))
+    return edges.join(dealt.select("a", "m", F.explode(F.sequence(F.lit(0), F.col("ways") - 1)).alias("way")), ["a", "way"]).select("a", "b", "m")
 
 
-def components(edges: DataFrame) -> DataFrame:
+def components(edges: DataFrame, told: dict | None = None) -> DataFrame:
     """node, label: the smallest node of each component, for the nodes of edges (a, b).
 
-    Smallest-label propagation with pointer jumping; each round is checkpointed, and it stops
-    when nothing changes.
+    Large-star and small-star steps in turn: every node hangs its greater neighbours on the least node it
+    knows, then itself and its lesser ones. Least is by a hash, so that no order of ids makes for many rounds. After each round, nodes that hang on one other and bear none are
+    settled: they leave the edges, which so become fewer from round to round, and get their label at the end
+    from what they hang on. Each round is written to the shared folder and the edges of the one before
+    are deleted; ``told`` gets the number of edges of each round.
     """
-    both = edges.select("a", "b").union(edges.select("b", "a")).distinct().checkpoint()
-    labels = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("label")).withColumnRenamed("a", "node").checkpoint()
-    while True:
-        near = both.join(labels, F.col("b") == F.col("node")).groupBy("a").agg(F.min("label").alias("seen"))
-        step = labels.join(near, F.col("node") == F.col("a")).select("node", F.least("label", "seen").alias("label"))
-        onto = step.select(F.col("node").alias("l"), F.col("label").alias("further"))
-        new = step.join(onto, F.col("label") == F.col("l"), "left").select("node", F.coalesce("further", "label").alias("label")).checkpoint()
-        moved = new.alias("n").join(labels.alias("o"), "node").where("n.label <> o.label").take(1)
-        labels = new
-        if not moved:
-            return labels
+    spark = edges.sparkSession
+    root = f"{shared_root(spark)}/factmill/components-{uuid.uuid4().hex}"
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = path(root).getFileSystem(spark._jsc.hadoopConfiguration())
+    sizes: list[int] = [] if told is None else told.setdefault("edges", [])
+
+    def kept(df: DataFrame, name: str) -> DataFrame:
+        df.write.parquet(f"{root}/{name}")
+        return spark.read.schema(df.schema).parquet(f"{root}/{name}")
+
+    # nodes are their hash and themselves as text; (a, b) with a > b from here on
+    mixed = lambda x: F.concat(F.lpad(F.hex(F.xxhash64(x)), 16, "0"), F.col(x).cast("string"))
+    kind = edges.schema["a"].dataType
+    now = edges.where("a <> b").select(mixed("a").alias("a"), mixed("b").alias("b"))
+    now = kept(now.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges-0")
+    n, settled = now.count(), []
+    while n:
+        i = len(settled)
+        sizes.append(n)
+        both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        large = _to_least(both, n).where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+        # edges point down, so a node's neighbours here are its lesser ones
+        small = _to_least(large, n).select(F.explode(F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("e"))
+        hung = kept(small.select("e.*").where("a <> b").distinct(), f"hung-{i}")
+        alone = hung.groupBy("a").agg(F.min("b").alias("to"), F.count(F.lit(1)).alias("k")).where("k = 1")
+        alone = alone.join(hung.select(F.col("b").alias("a")).distinct(), "a", "left_anti")
+        settled.append(kept(alone.select(F.col("a").alias("node"), "to"), f"settled-{i}"))
+        now = kept(hung.join(settled[-1].select(F.col("node").alias("a")), "a", "left_anti"), f"edges-{i + 1}")
+        n = now.count()
+        for name in (f"edges-{i}", f"hung-{i}"):
+            fs.delete(path(f"{root}/{name}"), True)
+    plain = lambda x: F.substr(F.col(x), F.lit(17)).cast(kind)
+    if not settled:
+        return now.select(plain("a").alias("node"), plain("b").alias("label"))
+    # from the last round to the first; each step is written, as the next reads it twice
+    labels, last = settled[-1].select("node", F.col("to").alias("label")), f"settled-{len(settled) - 1}"
+    for i in range(len(settled) - 2, -1, -1):
+        onto = labels.select(F.col("node").alias("to"), "label")
+        labels = kept(labels.unionByName(settled[i].join(onto, "to", "left").select("node", F.coalesce("label", "to").alias("label"))), f"labels-{i}")
+        for name in (last, f"settled-{i}"):
+            fs.delete(path(f"{root}/{name}"), True)
+        last = f"labels-{i}"
+    labels = labels.unionByName(labels.select(F.col("label").alias("node"), "label").distinct()).select(plain("node").alias("node"), "label")
+    return labels.join(labels.groupBy("label").agg(F.min("node").alias("least")), "label").select("node", F.col("least").alias("label"))
 
 
 def cluster_id(names: Column, day: Column, fallback: Column) -> Column:

@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from factmill.operators import ledger, relational
+from factmill.operators.isolation import same_keys
 from factmill.sources.versions import Versions
 
 CLAIM = ["tier", "confidence", "seq"]
@@ -46,15 +47,6 @@ class Resolution:
         others = [c for c in states.columns if c not in self.keys]
         return states.groupBy(*self.keys).agg(F.max_by(F.struct(*others), "changed_in").alias("s")).select(*self.keys, "s.*")
 
-    def _same(self, left: DataFrame, right: DataFrame, on: list[str], how: str) -> DataFrame:
-        """A join in which null keys are equal."""
-        other = right.select(*[F.col(c).alias(f"__{c}") for c in on]).distinct()
-        rule = None
-        for c in on:
-            one = F.col(c).eqNullSafe(F.col(f"__{c}"))
-            rule = one if rule is None else rule & one
-        return left.join(other, rule, how)
-
     def apply(self, claims: DataFrame, retracted: DataFrame | None = None, note: dict | None = None) -> int:
         """Adds claims, takes back those that ``retracted`` (keys, id) names, and returns the version.
 
@@ -71,7 +63,7 @@ class Resolution:
             came = came.unionByName(retracted.select(*known).distinct().select(*blank, F.lit(False).alias("live")))
         touched = versions.buckets_of(came, *keys)
         old = versions.read("claims", base, touched, came.schema)
-        news = self._same(came, old, [*known, "live"], "left_anti").select(*came.columns)
+        news = same_keys(came, old, [*known, "live"], "left_anti").select(*came.columns)
         new = versions.stage("claims", news, *keys)
         try:
             if not new.written:
@@ -79,17 +71,17 @@ class Resolution:
                 return base
             added, gone = new.frame.where("live"), new.frame.where("NOT live")
             dead = old.where("NOT live").unionByName(gone)
-            fresh = self._states(self._same(added, dead, known, "left_anti"))
-            again = self._same(old.where("live"), gone, known, "left_semi").select(*keys).distinct()
-            whole = self._same(old.where("live").unionByName(added), again, keys, "left_semi")
-            whole = self._states(self._same(whole, dead, known, "left_anti"))
+            fresh = self._states(same_keys(added, dead, known, "left_anti"))
+            again = same_keys(old.where("live"), gone, known, "left_semi").select(*keys).distinct()
+            whole = same_keys(old.where("live").unionByName(added), again, keys, "left_semi")
+            whole = self._states(same_keys(whole, dead, known, "left_anti"))
             changed = new.frame.select(*keys).distinct()
             before = versions.read("states", base, touched, fresh.withColumn("changed_in", F.lit(0).cast("long")).schema)
-            before = self._latest(self._same(before, changed, keys, "left_semi")).drop("changed_in")
-            kept = self._same(before.unionByName(fresh), again, keys, "left_anti")
+            before = self._latest(same_keys(before, changed, keys, "left_semi")).drop("changed_in")
+            kept = same_keys(before.unionByName(fresh), again, keys, "left_anti")
             merged = ledger.merged_states(kept, keys).unionByName(whole)
             # a key of which nothing is left has a state that saw nothing, which hides the older ones
-            left = self._same(again, whole, keys, "left_anti").select(*keys, *[F.lit(0 if kind == "sum" else None).cast(merged.schema[c].dataType).alias(c) for c, kind in ledger.STATE])
+            left = same_keys(again, whole, keys, "left_anti").select(*keys, *[F.lit(0 if kind == "sum" else None).cast(merged.schema[c].dataType).alias(c) for c, kind in ledger.STATE])
             after = merged.unionByName(left).withColumn("changed_in", F.lit(base + 1).cast("long"))
             state = versions.stage("states", after, *keys)
         except BaseException:

@@ -6,13 +6,15 @@ seq, the claim's place in insertion order. ``seq`` settles every "first" and "la
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from factmill.functions.derive import unanimous
 from factmill.functions.vocab import canonical_json
+from factmill.operators.isolation import each_key, same_keys
 
 TIERS = ["T1", "T2", "T3", "T4"]
 
@@ -165,6 +167,46 @@ def resolved_by(ledger: DataFrame, keys: list[str], resolver: Callable[[DataFram
     return out.select(*keys, value, "flagged", "n_seen"), conflicts
 
 
+def resolved_each(ledger: DataFrame, keys: list[str], id: str, resolver: Callable[[dict, Iterator[dict]], dict | None], value: str = "value", tries: int = 2) -> tuple[DataFrame, DataFrame]:
+    """As ``resolved``, with a resolver that is asked about one conflict at a time and may fail; and the conflicts.
+
+    ``resolver`` gets the key and its claims in conflict, by seq, and answers with a dict: ``chosen`` (the id of a claim),
+    ``value``, and maybe ``severity``, ``flagged`` and ``reasoning``. If it raises, answers nothing, or chooses what is no claim
+    of the conflict, the key keeps its first value, is flagged and MATERIAL, and the reason is told; other
+    keys are as they would be. The conflicts: keys, severity, flagged, n_claims, chosen, chosen_id, reasoning, reason, attempts.
+    """
+    won = _resolved(ledger, keys, value, False, None)
+    open_ = won.where("flagged = 1").select(*[F.col(k).alias(f"__{k}") for k in keys], "__tier")
+    same = F.lit(True)
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"__{k}"))
+    claims = ledger.join(open_, same & (F.col("tier") == F.col("__tier"))).where(F.col(value).isNotNull()).select(*ledger.columns)
+    kind, named = ledger.schema[value].dataType, ledger.schema[id].dataType
+    shape = T.StructType([T.StructField("chosen_id", named), T.StructField("answer", kind), T.StructField("severity", T.StringType()), T.StructField("review", T.BooleanType()), T.StructField("reasoning", T.StringType())])
+
+    def asked(key: dict, own: Iterator[dict]) -> list[dict]:
+        got = resolver(key, own)
+        if got is None:
+            raise ValueError("no answer")
+        return [{"chosen_id": got["chosen"], "answer": got["value"], "severity": got.get("severity"), "review": bool(got.get("flagged")), "reasoning": got.get("reasoning")}]
+
+    answers, failures = each_key(claims, keys, ["seq", id], asked, shape, tries)
+    said = same_keys(answers.withColumn("__id", F.col("chosen_id")), claims.withColumn("__id", F.col(id)), [*keys, "__id"], "left_semi").drop("__id")
+    strays = same_keys(answers, said, keys, "left_anti").select(*keys, F.lit("the answer names no claim of the conflict").alias("reason"), F.lit(1).alias("attempts"))
+    told = said.withColumn("reason", F.lit(None).cast("string")).withColumn("attempts", F.lit(None).cast("int")).unionByName(failures.unionByName(strays), allowMissingColumns=True)
+    n = claims.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_claims"))
+    told = told.join(n.select(*[F.col(k).alias(f"__{k}") for k in keys], "n_claims"), same).drop(*[f"__{k}" for k in keys])
+    own = told.select(*[F.col(k).alias(f"__{k}") for k in keys], "n_claims", "chosen_id", "answer", "severity", "review", "reasoning", "reason", "attempts")
+    out = won.join(own, same, "left")
+    settled = F.col("n_claims").isNotNull() & F.col("reason").isNull()
+    out = out.select(
+        *keys, F.when(settled, F.col("answer")).otherwise(F.col(value)).alias(value), F.when(settled, F.col("review").cast("int")).otherwise(F.col("flagged")).cast("int").alias("flagged"),
+        "n_seen", "n_claims", "chosen_id", F.when(settled, F.coalesce("severity", F.lit("RESOLVED"))).otherwise("MATERIAL").alias("severity"), "reasoning", "reason", "attempts",
+    )
+    conflicts = out.where("n_claims IS NOT NULL").select(*keys, "severity", "flagged", "n_claims", F.col(value).alias("chosen"), "chosen_id", "reasoning", "reason", "attempts")
+    return out.select(*keys, value, "flagged", "n_seen"), conflicts
+
+
 def inputs(observations: DataFrame, staging: DataFrame, sources: DataFrame, ready: list[str]) -> DataFrame:
     """Observations of rows that are ready, with their transaction and provenance.
 

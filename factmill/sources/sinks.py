@@ -35,6 +35,12 @@ def run_log(df: DataFrame, path: str) -> bool:
     return True
 
 
+def failure_log(failures: DataFrame, keys: list[str], stage: str, path: str) -> bool:
+    """Appends failures (keys, reason, attempts) to a log of rows: stage, key as JSON, reason, attempts, logged_at."""
+    key = F.to_json(F.struct(*keys), {"ignoreNullFields": "false"})
+    return run_log(failures.select(F.lit(stage).alias("stage"), key.alias("key"), "reason", F.col("attempts").cast("int").alias("attempts")), path)
+
+
 def scorecard(scores: DataFrame, title: str) -> str:
     """Markdown of a table of scores (one row per field), read a partition at a time."""
     head = f"# {title}\n\n| " + " | ".join(scores.columns) + " |\n|" + "---|" * len(scores.columns) + "\n"
