@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from factmill.functions.scanners import bound
+from factmill.functions.scanners import bound, last_of_each
 
 # Exchanges, phrases of regulated companies and of public ones.
 EXCHANGE_TICKER = r"(?i)\b(NYSE|NASDAQ|NYSE American|OTCQB|OTCQX|AMEX)\s*[:]\s*([A-Z]{1,5})\b"
@@ -80,9 +80,13 @@ RUMOURED = r"(reportedly|rumou?red|is\s+said\s+to|are\s+said\s+to|said\s+to\s+ha
 ACRONYM_BINDING = [
     r"<PIPE>\s+(?:financing|offering|transaction|investment|placement|deal|round|subscription|purchase\s+agreement|securities\s+purchase)",
     r"<PIPE>\s+(?:investors?|purchasers?|participants?|shares?|units?|proceeds|commitments?)",
+    r"[(\[]\s*[\"'“‘]?<PIPE>[\"'”’]?\s*[)\]]",
+]
+# Not fixed values but a departure: the acronym after a preposition or an amount counts whatever follows it. With a word
+# boundary behind the mark, which ends in no word character, these would hold only where a letter follows at once.
+ACRONYM_AFTER = [
     r"(?:in|through|via|by\s+way\s+of)\s+(?:a\s+|the\s+)?<PIPE>",
     r"(?:\$|US\$|€|£)\s?\d[\d,]*(?:\.\d+)?\s*(?:billion|bn|million|mm|m)?\s+<PIPE>",
-    r"[(\[]\s*[\"'“‘]?<PIPE>[\"'”’]?\s*[)\]]",
 ]
 LONG_FORM = r"(?i)private\s+investments?\s+in\s+public\s+equit(?:y|ies)"
 OVERRIDABLE = ["UNKNOWN", "VC_ROUND", "GROWTH_EQUITY", "VENTURE_DEBT"]
@@ -244,7 +248,7 @@ def _round(c: Column) -> Column:
 
 def structure(title: Column, body: Column) -> Column:
     """struct(form, evidence): EXPANDED or ACRONYM and the sentence that says so; null if none does."""
-    binding = "|".join(f"(?:{p})" for p in ACRONYM_BINDING)
+    binding = "|".join(f"(?:{p})" for p in ACRONYM_BINDING + ACRONYM_AFTER)
 
     def told(said: Column) -> Column:
         long = F.get(F.filter(said, lambda s: s.rlike(LONG_FORM)), 0)
@@ -307,8 +311,7 @@ def metadata(html: Column) -> Column:
     tag = r"(?i)<meta[^>]+(?:property|name)=[\"']([^\"']+)[\"'][^>]+content=[\"']([^\"']*)[\"']"
     pairs = F.arrays_zip(F.regexp_extract_all(html, F.lit(tag), 1).alias("k"), F.regexp_extract_all(html, F.lit(tag), 2).alias("v"))
     kept = F.filter(pairs, lambda p: F.lower(p["k"]).isin(META_KEYS))
-    last = F.filter(kept, lambda p, i: ~F.exists(F.slice(kept, i + 2, F.size(kept)), lambda q: q["k"] == p["k"]))
-    return F.map_from_entries(last)
+    return F.map_from_entries(last_of_each(kept, "k"))
 
 
 def best_text(candidates: Column, whole: Column) -> Column:

@@ -68,13 +68,6 @@ def lenient_json(text: Column) -> Column:
     return F.when(F.from_json(body, "map<string,string>").isNotNull() & (body != ""), body)
 
 
-def merged_notes(notes: Column, key: str, value: Column) -> Column:
-    """Notes as a JSON map with one entry set; notes that aren't JSON are kept under raw."""
-    text = F.map_filter(F.from_json(notes, "map<string,string>"), lambda k, v: k != key)
-    old = F.coalesce(text, F.when(F.trim(notes) != "", F.create_map(F.lit("raw"), notes)), F.create_map().cast("map<string,string>"))
-    return F.to_json(F.map_concat(old, F.create_map(F.lit(key), value.cast("string"))))
-
-
 def shown_number(value: Column) -> Column:
     """Whole numbers without a fraction, blank for null."""
     return F.when(value.isNull(), "").when(value == F.floor(value), F.floor(value).cast("long").cast("string")).otherwise(value.cast("string"))

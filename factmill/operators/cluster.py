@@ -11,11 +11,11 @@ import uuid
 from functools import lru_cache
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from factmill.functions.text import company_name
-from factmill.operators.shared import shared_root
+from factmill.operators.shared import shared_checkpoints, shared_root
 from factmill.operators.similar import candidates
 
 THRESHOLD = 90.0
@@ -124,12 +124,6 @@ def islands(events: DataFrame, key: str, at: str, gap_days: int = DAYS) -> DataF
     return events.withColumn("__new", late).withColumn("island", F.sum("__new").over(w.rowsBetween(Window.unboundedPreceding, 0))).drop("__new")
 
 
-def shared_checkpoints(spark: SparkSession) -> None:
-    """Checkpoints go to the folder the cluster names; to a temporary one only in local mode, where all share it."""
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(shared_root(spark))
-
-
 HUB = 4_096
 """Edges of a node from which on they are dealt to several tasks."""
 HUBS = 16_384

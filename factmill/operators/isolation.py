@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from factmill.operators.cluster import shared_checkpoints
+from factmill.operators.shared import shared_checkpoints
 
 REASON_CHARS = 2000
 

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -46,7 +46,7 @@ def decoded(text: Column, number: Column, kind: str) -> Column:
 
 def inserted(ledger: DataFrame, new: DataFrame, key: list[str]) -> DataFrame:
     """Insert-or-ignore on a key: new rows whose key is neither there nor earlier in the batch."""
-    first = new.withColumn("__nth", F.row_number().over(Window.partitionBy(*key).orderBy("seq"))).where("__nth = 1").drop("__nth")
+    first = new.groupBy(*key).agg(F.min_by(F.struct(*[c for c in new.columns if c not in key]), "seq").alias("__r")).select(*key, "__r.*").select(*new.columns)
     return ledger.unionByName(first.join(ledger.select(*key).distinct(), key, "left_anti"), allowMissingColumns=True)
 
 
@@ -272,7 +272,12 @@ def differences(ledger: DataFrame, rejected: list[str]) -> DataFrame:
     return rows.select("txn", "field", "n_values", "first_value", "last_value", F.round(delta, 2).alias("delta"), F.round(delta / F.nullif("first_value", F.lit(0.0)) * 100, 2).alias("delta_pct"), kind.alias("change_type"))
 
 
-def by_priority(rows: DataFrame, keys: list[str], priority: Column, order: list[Column]) -> DataFrame:
-    """The last write among those of best priority: lower rank first, then the latest in order."""
-    w = Window.partitionBy(*keys).orderBy(priority, *order)
-    return rows.withColumn("__nth", F.row_number().over(w)).where("__nth = 1").drop("__nth")
+def by_priority(rows: DataFrame, keys: list[str], priority: Column, latest: list[Column]) -> DataFrame:
+    """The last write among those of best priority: lower rank first, then the greatest of ``latest``, nulls being least.
+
+    Two aggregates, each combined before it travels, so no key is sorted in one task.
+    """
+    others = F.struct(*[c for c in rows.columns if c not in keys])
+    last = rows.groupBy(*keys, priority.alias("__p")).agg(F.max_by(others, F.struct(*latest)).alias("__r"))
+    # a null priority comes first, as nulls do
+    return last.groupBy(*keys).agg(F.min_by("__r", F.struct(F.col("__p").isNotNull(), "__p")).alias("__r")).select(*keys, "__r.*").select(*rows.columns)

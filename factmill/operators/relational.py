@@ -8,12 +8,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from factmill.functions.text import content_hash
+from factmill.operators.shared import shared_checkpoints
 
 
-def first_by(df: DataFrame, key: list[Column | str], order: list[Column | str]) -> DataFrame:
-    """The first row of each key."""
-    w = Window.partitionBy(*key).orderBy(*order)
-    return df.withColumn("__nth", F.row_number().over(w)).where("__nth = 1").drop("__nth")
+def first_by(df: DataFrame, key: list[str], order: list[str]) -> DataFrame:
+    """The first row of each key, nulls of order first; combined before it travels, so no key is sorted in one task."""
+    others = [c for c in df.columns if c not in key]
+    return df.groupBy(*key).agg(F.min_by(F.struct(*others), F.struct(*order)).alias("__r")).select(*key, "__r.*").select(*df.columns)
 
 
 def upserted(existing: DataFrame, new: DataFrame, key: str, owned: list[str], version: str) -> DataFrame:
@@ -132,30 +133,50 @@ def top_seen(df: DataFrame, key: str, seq: str, k: int) -> DataFrame:
     return df.groupBy(key).agg(F.count(F.lit(1)).alias("n"), F.min(seq).alias("__first")).orderBy(F.desc("n"), "__first").limit(k).drop("__first")
 
 
+def _offered(rows: DataFrame, id_column: str, groups: Column, most: int) -> DataFrame:
+    """id, __h, __g and what rows tell of a group by __-names: of each group that a row belongs to the first ``most`` rows by hash.
+
+    Each task keeps no more than that of a group before rows travel. Written, as every round reads it.
+    """
+    told = [c for c in rows.columns if c.startswith("__")]
+    long = rows.withColumn("__h", F.sha2(F.col(id_column).cast("string"), 256)).select(id_column, "__h", *told, F.explode(groups).alias("__g"))
+    nth = F.row_number().over(Window.partitionBy("__g").orderBy("__h", id_column))
+    return long.withColumn("__nth", nth).where(F.col("__nth") <= most).drop("__nth").checkpoint()
+
+
+def _settled(offered: DataFrame, id_column: str, steps: list[tuple[Column, Column, Column | None]]) -> DataFrame:
+    """id, stratum: step after step, (label, rule, cap), the first rows of each group that no earlier step took."""
+    taken = None
+    for label, rule, cap in steps:
+        own = offered.where(rule)
+        if taken is not None:
+            own = own.join(taken.select(id_column), id_column, "left_anti")
+        if cap is not None:
+            own = own.withColumn("__nth", F.row_number().over(Window.partitionBy("__g").orderBy("__h", id_column))).where(F.col("__nth") <= cap)
+        own = own.select(id_column, label.alias("stratum"))
+        taken = (own if taken is None else taken.unionByName(own)).checkpoint()
+    return taken
+
+
+PICKED = 300_000
+"""Most rows of a sample that are sent to every task; more are joined by a shuffle."""
+
+
 def stratified(df: DataFrame, strata: Iterable[tuple[str, Column, int]], id_column: str) -> DataFrame:
     """Priority-ordered sample without replacement: each stratum takes up to its cap of the rows
     that earlier strata left, in the order of a hash.
 
-    One pass: earlier strata take no more rows than their caps together, so of each stratum as many
-    more rows by hash are enough to choose from. Only these few, bounded by the caps, are
-    chosen from on the driver.
+    One pass over the rows: earlier strata take no more rows than their caps together, so of each stratum as many
+    more rows by hash are enough to choose from. The rounds read only these.
     """
+    shared_checkpoints(df.sparkSession)
     strata = list(strata)
-    rows = df.withColumn("__h", F.sha2(F.col(id_column).cast("string"), 256))
-    fits = F.array_compact(F.array(*[F.when(rule, F.lit(i)) for i, (_, rule, _) in enumerate(strata)]))
     total = sum(cap for *_, cap in strata)
-    nth = F.row_number().over(Window.partitionBy("__i").orderBy("__h", id_column))
-    few = rows.select(id_column, "__h", F.explode(fits).alias("__i")).withColumn("__nth", nth).where(F.col("__nth") <= total).select(id_column, "__h", "__i")
-    offered: dict[int, list] = {}
-    for r in few.collect():
-        offered.setdefault(r["__i"], []).append((r["__h"], r[id_column]))
-    taken: dict = {}
-    for i, (name, _, cap) in enumerate(strata):
-        for _, key in [x for x in sorted(offered.get(i, [])) if x[1] not in taken][:cap]:
-            taken[key] = name
-    kind = df.schema[id_column].dataType.simpleString()
-    picked = df.sparkSession.createDataFrame(list(taken.items()), f"__id {kind}, stratum string")
-    return df.join(F.broadcast(picked), F.col(id_column) == F.col("__id")).drop("__id")
+    fits = F.array_compact(F.array(*[F.when(rule, F.lit(i)) for i, (_, rule, _) in enumerate(strata)]))
+    offered = _offered(df.select(id_column, *[c for c in df.columns if c != id_column]), id_column, fits, total)
+    picked = _settled(offered.select(id_column, "__h", "__g"), id_column, [(F.lit(name), F.col("__g") == i, F.lit(cap)) for i, (name, _, cap) in enumerate(strata)])
+    picked = picked.select(F.col(id_column).alias("__id"), "stratum")
+    return df.join(F.broadcast(picked) if total <= PICKED else picked, F.col(id_column) == F.col("__id")).drop("__id")
 
 
 def review_sample(df: DataFrame, id_column: str, code: str, thin: int, first: list[tuple[str, Column, int]], catch_all: list[tuple[str, int]], floor: int, target: int, share: float, least: int) -> DataFrame:
@@ -164,28 +185,29 @@ def review_sample(df: DataFrame, id_column: str, code: str, thin: int, first: li
     The ``first`` strata up to their caps; every row of codes that hold ``thin`` rows at most; catch-all
     codes up to their caps; ``floor`` rows of every other code; and of these a reserved budget, the
     greater of ``least`` and ``share`` of the target, in proportion to their rows, three at least.
-    No row is taken twice; rows come in the order of a hash.
+    No row is taken twice; rows come in the order of a hash. Rows are read twice, to count the codes and to offer
+    each group's first rows, of which the parameters tell how many can be asked for.
     """
-    codes = df.groupBy(code).agg(F.count(F.lit(1)).alias("__k"))
+    shared_checkpoints(df.sparkSession)
+    codes = df.groupBy(code).agg(F.count(F.lit(1)).alias("__k")).checkpoint()
     caught = [name for name, _ in catch_all]
     usual = (F.col("__k") > thin) & ~F.col(code).isin(caught)
     total = codes.agg(F.sum(F.when(usual, F.col("__k")))).first()[0] or 1
-    rows = df.join(codes, code).withColumn("__h", F.sha2(F.col(id_column).cast("string"), 256))
     reserve = max(least, round(share * target))
-    steps = [(F.lit(f"1:{name}"), rule, F.lit(cap), []) for name, rule, cap in first]
-    steps.append((F.concat(F.lit("2:census:"), F.col(code)), (F.col("__k") <= thin) & ~F.col(code).isin(caught), None, []))
-    steps += [(F.lit(f"3:catch_all:{name}"), F.col(code) == name, F.lit(cap), []) for name, cap in catch_all]
-    steps.append((F.concat(F.lit("4:floor:"), F.col(code)), usual, F.lit(floor), [code]))
-    steps.append((F.concat(F.lit("5:reserve:"), F.col(code)), usual, F.greatest(F.lit(3), F.bround(F.col("__k") * reserve / total)), [code]))
-    out = None
-    for label, rule, cap, by in steps:
-        own = rows.where(rule)
-        if cap is not None:
-            own = own.withColumn("__nth", F.row_number().over(Window.partitionBy(*by).orderBy("__h", id_column))).where(F.col("__nth") <= cap)
-        own = own.select(id_column, label.alias("stratum"))
-        out = own if out is None else out.unionByName(own)
-        rows = rows.join(own.select(id_column), id_column, "left_anti")
-    return out
+    taken_before = sum(cap for *_, cap in first)
+    most = max([thin, taken_before + floor + max(3, reserve), *[taken_before + cap for _, cap in catch_all]])
+    groups = [F.when(rule, F.lit(f"1:{name}")) for name, rule, _ in first]
+    groups += [F.when((F.col("__k") <= thin) & ~F.col(code).isin(caught), F.concat(F.lit("2:"), F.col(code)))]
+    groups += [F.when(F.col(code) == name, F.lit(f"3:{name}")) for name in caught] + [F.when(usual, F.concat(F.lit("4:"), F.col(code)))]
+    offered = _offered(df.join(codes, code), id_column, F.array_compact(F.array(*groups)), most)
+    in_group = lambda g: F.col("__g") == g
+    named = lambda prefix: F.concat(F.lit(prefix), F.substr("__g", F.lit(3)))
+    steps = [(F.lit(f"1:{name}"), in_group(f"1:{name}"), F.lit(cap)) for name, _, cap in first]
+    steps += [(named("2:census:"), F.col("__g").startswith("2:"), None)]
+    steps += [(F.lit(f"3:catch_all:{name}"), in_group(f"3:{name}"), F.lit(cap)) for name, cap in catch_all]
+    steps += [(named("4:floor:"), F.col("__g").startswith("4:"), F.lit(floor))]
+    steps += [(named("5:reserve:"), F.col("__g").startswith("4:"), F.greatest(F.lit(3), F.bround(F.col("__k") * reserve / total)))]
+    return _settled(offered, id_column, steps)
 
 
 # What a column's name tells of its role.

@@ -177,7 +177,9 @@ def observations(staging: DataFrame, stage: str, classified: bool = False, deal:
         parts += [consideration(F.col("consideration_components"))] if there("consideration_components") else []
         groups += [_staged(p, own("LC_EXTRACT"), F.col("lc_version")) for p in parts]
     same = lambda a, b: (a["field"] == b["field"]) & (a["text"] == b["text"]) & a["fact_key"].eqNullSafe(b["fact_key"])
-    once = lambda all_: F.filter(all_, lambda c, i: ~F.exists(F.slice(all_, 1, i), lambda e: same(e, c)))
+    # only the round's size, which two groups have, and equal components can come twice: other claims needn't be looked for
+    twice = lambda c: (c["field"] == "round_size") | c["field"].startswith("consideration.")
+    once = lambda all_: F.filter(all_, lambda c, i: ~twice(c) | ~F.exists(F.slice(all_, 1, i), lambda e: same(e, c)))
     keys = ["txn", "extraction", "source", "tier", "source_type", "published"]
     rows = staging.select(*keys, "confidence", F.explode(bound(F.concat(*groups), once)).alias("c"))
     confidence = F.when(F.col("c.field") == MARKER, F.coalesce("confidence", F.lit("MEDIUM"))).otherwise(F.col("confidence"))

@@ -85,7 +85,7 @@ def ledger_diff(spark, sf_dir):
 @query
 def field_priority(spark, sf_dir):
     o = view(spark, sf_dir, "orders").select("o_custkey", "o_orderkey", "o_orderpriority", "o_orderdate", "o_totalprice")
-    return ledger.by_priority(o, ["o_custkey"], F.substring("o_orderpriority", 1, 1), [c("o_orderdate").desc_nulls_last(), c("o_orderkey").desc()]).select("o_custkey", "o_orderkey", "o_totalprice")
+    return ledger.by_priority(o, ["o_custkey"], F.substring("o_orderpriority", 1, 1), [c("o_orderdate"), c("o_orderkey")]).select("o_custkey", "o_orderkey", "o_totalprice")
 
 
 @query

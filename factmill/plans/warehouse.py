@@ -222,7 +222,7 @@ def balance_inputs(spark, sf_dir):
     none = F.lit(None).cast("double")
     b = derived.balance_sheet(c("debt"), c("debt_currency"), c("debt_as_of"), c("cash"), c("cash_currency"), c("cash_as_of"), {"total_debt": c("old_debt"), "total_debt_currency": c("old_currency"), "cash_st": none, "cash_st_currency": c("old_currency"), "as_of": c("old_as_of")})
     ev = derived.stated_enterprise_value(c("value_amount"), c("value_type"))
-    return f.select("txn", b.alias("b"), derived.percentage(c("pct")).alias("p"), derived.explicit(c("equals_flag")).alias("is_merger_of_equals"), ev.alias("v"), derived.investment_amount(c("txn")).alias("investment_amount")).select("txn", "b.*", "p.*", "is_merger_of_equals", c("v.value").alias("ev"), c("v.basis").alias("ev_basis"), "investment_amount")
+    return f.select("txn", b.alias("b"), derived.percentage(c("pct")).alias("p"), derived.explicit(c("equals_flag")).alias("is_merger_of_equals"), ev.alias("v"), derived.investment_amount().alias("investment_amount")).select("txn", "b.*", "p.*", "is_merger_of_equals", c("v.value").alias("ev"), c("v.basis").alias("ev_basis"), "investment_amount")
 
 
 SQL["balance_inputs"] = f"""

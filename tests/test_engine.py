@@ -285,9 +285,6 @@ def test_vocabulary_edges(spark):
     s = lambda v: F.lit(v).cast("string")
     assert one(spark, vocab.lenient_json(s('said ```json\n{"a": 1}\n``` ok'))) == '{"a": 1}'
     assert one(spark, vocab.lenient_json(s("no braces"))) is None and one(spark, vocab.lenient_json(s("{broken"))) is None
-    assert one(spark, vocab.merged_notes(s('{"a":"x"}'), "k", F.lit(5))) == '{"a":"x","k":"5"}'
-    assert one(spark, vocab.merged_notes(s("plain"), "k", F.lit("v"))) == '{"raw":"plain","k":"v"}'
-    assert one(spark, vocab.merged_notes(s(None), "k", F.lit("v"))) == '{"k":"v"}'
     for gold, made, kind, want in [("100", "100.9", "numeric", True), ("100", "102", "numeric", False), ("0", "0.0", "numeric", True), ("None", "", "enum", True), ("a", None, "enum", False), ("usd", "USD", "enum", True)]:
         assert one(spark, vocab.equal(s(gold), s(made), kind)) is want
     assert one(spark, vocab.shown_multiple(F.lit(2.5), s("CALCULATED"))) == "2.50"

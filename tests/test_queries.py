@@ -10,7 +10,7 @@ duckdb = pytest.importorskip("duckdb")
 if not os.path.isdir(SF):
     pytest.skip("no test tables", allow_module_level=True)
 
-from factmill.plans import extraction, more, oracles, queries, warehouse  # noqa: E402, F401
+from factmill.plans import extraction, growing, more, oracles, queries, warehouse  # noqa: E402, F401
 from factmill.plans.domain import TABLES  # noqa: E402
 
 
