@@ -65,6 +65,12 @@ def equity_value(event: Column, value_type: Column, amount: Column) -> Column:
     return F.when(~F.coalesce(event.isin(FUNDING), F.lit(False)) & (value_type == "EQUITY_VALUE") & (amount > 0), amount)
 
 
+def equity_with_basis(event: Column, value_type: Column, amount: Column) -> Column:
+    """struct(value, basis): the equity value of the stake, and STATED where there is one."""
+    value = equity_value(event, value_type, amount).cast("double")
+    return F.struct(value.alias("value"), F.when(value.isNotNull(), "STATED").alias("basis"))
+
+
 def implied_equity(equity: Column, pct: Column) -> Column:
     """Grossed up to the whole company by a stated percentage."""
     return F.when((equity > 0) & (pct > 0), F.when(pct < 100, F.round(equity / (pct / 100), 2)).otherwise(equity))

@@ -7,7 +7,9 @@ its catch-all. Arrays come back as arrays of structs, empty where the answer has
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from factmill.functions.scanners import bound
@@ -99,7 +101,16 @@ def number(v: Column, path: str) -> Column:
 
 def items(v: Column, path: str) -> Column:
     """The elements of an array, as variants; empty if it isn't one."""
-    return F.coalesce(F.when(kind(v, path) == "ARRAY", F.try_variant_get(v, path, "array<variant>")), F.array().cast("array<variant>"))
+    return F.coalesce(F.try_variant_get(v, path, "array<variant>"), F.array().cast("array<variant>"))
+
+
+def entries(v: Column, path: str) -> Column:
+    """An object's members, as a map; null if it isn't one."""
+    return F.try_variant_get(v, path, "map<string,variant>")
+
+
+def not_list(v: Column, path: str) -> Column:
+    return F.try_variant_get(v, path, "array<variant>").isNull()
 
 
 def _outside(value: Column, words: list[str]) -> Column:
@@ -111,8 +122,14 @@ def _reasons(*rules: tuple[str, Column]) -> Column:
     return F.coalesce(*[F.when(rule, name) for name, rule in rules])
 
 
-def _missing(answer: Column, keys: list[str]) -> Column:
-    return F.size(F.array_except(F.array(*map(F.lit, keys)), F.coalesce(F.json_object_keys(answer), F.array().cast("array<string>")))) > 0
+def _missing(v: Column, keys: list[str]) -> Column:
+    return F.size(F.array_except(F.array(*map(F.lit, keys)), F.coalesce(F.map_keys(entries(v, "$")), F.array().cast("array<string>")))) > 0
+
+
+def judged(rows: DataFrame, answers: dict[str, tuple[str, Callable[[Column], Column]]]) -> DataFrame:
+    """rows with a reason for each of ``answers``: name to the column of an answer and its rules; every answer is read once, as a column of its own."""
+    rows = rows.select("*", *[parsed(F.col(a)).alias(f"__{name}") for name, (a, _) in answers.items()])
+    return rows.select("*", *[rules(F.col(f"__{name}")).alias(name) for name, (_, rules) in answers.items()]).drop(*[f"__{n}" for n in answers])
 
 
 # ---- classification
@@ -129,10 +146,10 @@ def _resolved_event(event: Column, legacy: Column, mechanism: Column) -> Column:
 
 def classification_reason(answer: Column) -> Column:
     """Why a deal classification can't be used: vocabularies, and what only some events may carry."""
-    return bound(parsed(answer), lambda v: _classification_reason(answer, v))
+    return bound(parsed(answer), classification_rules)
 
 
-def _classification_reason(answer: Column, v: Column) -> Column:
+def classification_rules(v: Column) -> Column:
     event, legacy = word(v, "$.v2_event_type"), word(v, "$.deal_type")
     resolved = _resolved_event(event, legacy, word(v, "$.distribution_mechanism"))
     old = word(v, "$.event_type")
@@ -155,32 +172,31 @@ def _classification_reason(answer: Column, v: Column) -> Column:
 
 def deal_reason(answer: Column) -> Column:
     """Why a deal extraction can't be used. Items of lists aren't judged here: bad ones are dropped when cleaned."""
-    return bound(parsed(answer), lambda v: _deal_reason(answer, v))
+    return bound(parsed(answer), deal_rules)
 
 
-def _deal_reason(answer: Column, v: Column) -> Column:
+def deal_rules(v: Column) -> Column:
     values = items(v, "$.value_observations")
     flags = [F.coalesce(kind(v, f"$.features.{f}"), F.lit("VOID")) for f in ("is_secondary_buyout", "is_merger_of_equals", "is_going_private_outcome")]
-    not_list = lambda path: ~F.coalesce(kind(v, path) == "ARRAY", F.lit(False))
     odd_flag = F.lit(False)
     for f in flags:
         odd_flag = odd_flag | ~f.isin("VOID", "BOOLEAN")
     parties = F.lit(False)
     for key in PARTY_ARRAYS:
-        parties = parties | not_list(f"$.{key}")
+        parties = parties | not_list(v, f"$.{key}")
     dates = F.lit(False)
     for f in ("announced", "closed", "signing"):
         dates = dates | _outside(word(v, f"$.dates.{f}_date_precision"), PRECISIONS)
     undisclosed = lambda f: ~F.coalesce(word(v, f"$.{f}").isin(DISCLOSURES), F.lit(False))
-    keys = lambda x: F.json_object_keys(F.to_json(x))
+    keys = lambda x: F.map_keys(entries(x, "$"))
     return _reasons(
-        ("not_json", v.isNull()), ("missing", _missing(answer, DEAL_KEYS)), ("value_type", _outside(word(v, "$.value.type"), VALUE_TYPES)),
-        ("value_list", not_list("$.value_observations")),
-        ("value_item", F.exists(values, lambda x: kind(x, "$") != "OBJECT")),
+        ("not_json", v.isNull()), ("missing", _missing(v, DEAL_KEYS)), ("value_type", _outside(word(v, "$.value.type"), VALUE_TYPES)),
+        ("value_list", not_list(v, "$.value_observations")),
+        ("value_item", F.exists(values, lambda x: entries(x, "$").isNull())),
         ("value_keys", F.exists(values, lambda x: F.size(F.array_except(F.coalesce(keys(x), F.array().cast("array<string>")), F.array(*map(F.lit, VALUE_KEYS)))) > 0)),
         ("value_item_type", F.exists(values, lambda x: F.coalesce(_outside(word(x, "$.type"), VALUE_TYPES), F.lit(False)))),
-        ("party_list", parties), ("multiple_list", not_list("$.reported_multiples")),
-        ("features", ~F.coalesce(kind(v, "$.features") == "OBJECT", F.lit(False))), ("feature_flag", odd_flag),
+        ("party_list", parties), ("multiple_list", not_list(v, "$.reported_multiples")),
+        ("features", entries(v, "$.features").isNull()), ("feature_flag", odd_flag),
         ("financials_disclosure", undisclosed("financials_disclosure_status")), ("terms_disclosure", undisclosed("transaction_terms_disclosure_status")),
         ("transition", _outside(word(v, "$.deal.stake_transition_type"), TRANSITIONS)), ("offer", _outside(word(v, "$.deal.offer_mechanism"), ["TENDER_OFFER"])),
         ("sponsor_role", _outside(word(v, "$.deal.sponsor_transaction_role"), ["PLATFORM", "ADD_ON"])), ("asset_type", _outside(word(v, "$.target.asset_type"), ASSET_TYPES)),
@@ -264,13 +280,13 @@ def subordinate(answer: Column, target_type: Column, event: Column) -> Column:
 
 
 def funding_reason(answer: Column) -> Column:
-    return bound(parsed(answer), lambda v: _funding_reason(answer, v))
+    return bound(parsed(answer), funding_rules)
 
 
-def _funding_reason(answer: Column, v: Column) -> Column:
+def funding_rules(v: Column) -> Column:
     undisclosed = lambda f: ~F.coalesce(word(v, f"$.{f}").isin(DISCLOSURES), F.lit(False))
     return _reasons(
-        ("not_json", v.isNull()), ("missing", _missing(answer, FUNDING_KEYS)), ("financials_disclosure", undisclosed("financials_disclosure_status")),
+        ("not_json", v.isNull()), ("missing", _missing(v, FUNDING_KEYS)), ("financials_disclosure", undisclosed("financials_disclosure_status")),
         ("terms_disclosure", undisclosed("transaction_terms_disclosure_status")), ("investor_list", ~F.coalesce(kind(v, "$.investors") == "ARRAY", F.lit(False))),
         ("investor_type", F.exists(items(v, "$.investors"), lambda x: F.coalesce(_outside(word(x, "$.investor_type"), INVESTOR_TYPES), F.lit(False)))),
         ("price_direction", _outside(word(v, "$.round.round_price_direction"), PRICE_DIRECTIONS)),
@@ -278,15 +294,14 @@ def _funding_reason(answer: Column, v: Column) -> Column:
 
 
 def terms_reason(answer: Column) -> Column:
-    return bound(parsed(answer), lambda v: _terms_reason(answer, v))
+    return bound(parsed(answer), terms_rules)
 
 
-def _terms_reason(answer: Column, v: Column) -> Column:
-    not_list = lambda path: ~F.coalesce(kind(v, path) == "ARRAY", F.lit(False))
+def terms_rules(v: Column) -> Column:
     parts = items(v, "$.consideration_components")
     no_shop = ~F.coalesce(F.try_variant_get(v, "$.go_shop.has_go_shop", "boolean"), F.lit(False))
     return _reasons(
-        ("not_json", v.isNull()), ("missing", _missing(answer, TERMS_KEYS)), ("advisor_list", not_list("$.advisors")), ("component_list", not_list("$.consideration_components")),
+        ("not_json", v.isNull()), ("missing", _missing(v, TERMS_KEYS)), ("advisor_list", not_list(v, "$.advisors")), ("component_list", not_list(v, "$.consideration_components")),
         ("component", F.exists(parts, lambda x: F.coalesce(kind(x, "$") != "OBJECT", F.lit(True)))),
         ("form", F.exists(parts, lambda x: ~F.coalesce(word(x, "$.form").isin(FORMS), F.lit(False)))),
         ("go_shop", no_shop & word(v, "$.go_shop.go_shop_period_days").isNotNull()),
@@ -322,7 +337,7 @@ def rationale(answer: Column) -> Column:
     v = parsed(answer)
     first = word(v, "$.rationale")
     reason = _reasons(
-        ("not_json", v.isNull()), ("missing", _missing(answer, RATIONALE_KEYS)), ("rationale", ~F.coalesce(first.isin(RATIONALES), F.lit(False))),
+        ("not_json", v.isNull()), ("missing", _missing(v, RATIONALE_KEYS)), ("rationale", ~F.coalesce(first.isin(RATIONALES), F.lit(False))),
         ("secondary_list", ~F.coalesce(kind(v, "$.secondary_rationales"), F.lit("VOID")).isin("VOID", "ARRAY")),
     )
     others = F.filter(F.transform(items(v, "$.secondary_rationales"), lambda x: word(x, "$")), lambda w: w.isin(RATIONALES) & (w != first))

@@ -8,7 +8,7 @@ order and its nulls.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from factmill.functions import extracted
@@ -255,14 +255,14 @@ def agreement_observations(results: DataFrame) -> DataFrame:
     return rows.withColumn("tier", F.lit("T1")).withColumn("stage", F.lit("AGREEMENT_EXTRACT")).distinct()
 
 
-def applied(record: DataFrame, results: DataFrame, ranks: dict[str, dict[str, int]]) -> tuple[DataFrame, DataFrame]:
-    """The record with what agreements say of its columns, and the conflicts: (txn, field, old, new).
+def applied_rows(record: DataFrame, results: DataFrame, ranks: dict[str, dict[str, int]]) -> DataFrame:
+    """The record with what agreements say of its columns, and conflicts: array<struct<field, old, new>>.
 
     ``results`` as above with section_type. Recitals give the structure and the first merger
     subsidiary with a legal name, termination and conditions their own columns, consideration its
     components whole. Of several documents the best-ranked filing type for the column counts
     (``ranks``: column to filing type to rank; none is worst), then the latest; columns without
-    ranks take the latest.
+    ranks take the latest. One aggregate tells all columns of a record, combined before its shuffle.
     """
     results = results.withColumn("__v", parsed(F.col("answer")))  # a column of its own, so that it is read once
     v = F.col("__v")
@@ -280,19 +280,28 @@ def applied(record: DataFrame, results: DataFrame, ranks: dict[str, dict[str, in
         "CONDITIONS_TO_CLOSING": {"regulatory_approvals_required": flag("$.regulatory_approvals_required")},
         "CONSIDERATION": {"consideration_components": whole},
     }
-    updates = [F.struct(F.lit(c).alias("field"), F.when(F.col("section_type") == s, value).alias("new")) for s, own in told.items() for c, value in own.items()]
-    rows = results.select("txn", "document", "section", "filed", "filing_type", F.explode(F.filter(F.array(*updates), lambda u: u["new"].isNotNull())).alias("u")).select("txn", "document", "section", "filed", "filing_type", "u.*")
-    rank = F.coalesce(*[F.when((F.col("field") == c) & (F.col("filing_type") == t), n) for c, own in ranks.items() for t, n in own.items()], F.when(F.col("field").isin(list(ranks)), 1 << 30), F.lit(0))
-    order = Window.partitionBy("txn", "field").orderBy(rank, F.col("filed").desc_nulls_last(), F.col("document").desc(), F.col("section").desc())
-    last = rows.withColumn("__nth", F.row_number().over(order)).where("__nth = 1").select("txn", "field", "new")
     names = [c for own in told.values() for c in own if c in record.columns]
-    wide = last.groupBy(F.col("txn").alias("__t")).agg(*[F.max(F.when(F.col("field") == c, F.col("new"))).alias(f"__{c}") for c in names])
+    values = {c: F.when(F.col("section_type") == s, value) for s, own in told.items() for c, value in own.items() if c in names}
+    rows = results.select("txn", "document", "section", "filed", "filing_type", *[v.alias(f"__{c}") for c, v in values.items()])
+
+    def last(column: str) -> Column:
+        own = ranks.get(column)
+        rank = F.coalesce(*[F.when(F.col("filing_type") == t, n) for t, n in own.items()], F.lit(1 << 30)) if own is not None else F.lit(0)
+        at = F.struct((-rank).alias("rank"), "filed", "document", "section")
+        return F.max_by(f"__{column}", F.when(F.col(f"__{column}").isNotNull(), at)).alias(f"__{column}")
+
+    wide = rows.groupBy(F.col("txn").alias("__t")).agg(*[last(c) for c in names])
     joined = record.join(wide, F.col("txn") == F.col("__t"), "left")
-    out = joined.select(*[F.coalesce(F.col(f"__{c}").try_cast(record.schema[c].dataType.simpleString()), F.col(c)).alias(c) if c in names else F.col(c) for c in record.columns])
     text = lambda c: plain(F.col(c)) if record.schema[c].dataType.typeName() not in ("string", "boolean") else F.col(c).cast("string")
     pairs = [F.struct(F.lit(c).alias("field"), text(c).alias("old"), F.col(f"__{c}").alias("new")) for c in names]
-    conflicts = joined.select("txn", F.explode(F.filter(F.array(*pairs), lambda p: p["old"].isNotNull() & p["new"].isNotNull() & (p["old"] != p["new"]))).alias("p")).select("txn", "p.*")
-    return out, conflicts
+    clash = F.filter(F.array(*pairs), lambda p: p["old"].isNotNull() & p["new"].isNotNull() & (p["old"] != p["new"]))
+    return joined.select(*[F.coalesce(F.col(f"__{c}").try_cast(record.schema[c].dataType.simpleString()), F.col(c)).alias(c) if c in names else F.col(c) for c in record.columns], clash.alias("conflicts"))
+
+
+def applied(record: DataFrame, results: DataFrame, ranks: dict[str, dict[str, int]]) -> tuple[DataFrame, DataFrame]:
+    """The record as ``applied_rows`` gives it, and the conflicts as rows: (txn, field, old, new)."""
+    rows = applied_rows(record, results, ranks)
+    return rows.drop("conflicts"), rows.select("txn", F.explode("conflicts").alias("p")).select("txn", "p.*")
 
 
 def securities(results: DataFrame) -> DataFrame:

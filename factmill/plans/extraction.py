@@ -51,7 +51,7 @@ classified = _of(CLASSIFIED, "orders")
 
 @query
 def classification_rejects(spark, sf_dir):
-    return classified(spark, sf_dir).select("id", extracted.classification_reason(c("answer")).alias("reason"), extracted.spin_type(c("spin")).alias("spin"))
+    return extracted.judged(classified(spark, sf_dir), {"reason": ("answer", extracted.classification_rules)}).select("id", "reason", extracted.spin_type(c("spin")).alias("spin"))
 
 
 SQL["classification_rejects"] = f"""
@@ -94,7 +94,7 @@ answered = _of(ANSWERED, "orders")
 
 @query
 def deal_rejects(spark, sf_dir):
-    return answered(spark, sf_dir).select("id", extracted.deal_reason(c("answer")).alias("reason"))
+    return extracted.judged(answered(spark, sf_dir), {"reason": ("answer", extracted.deal_rules)}).select("id", "reason")
 
 
 _ITEMS = "CASE WHEN json_type(j, '$.{0}') = 'ARRAY' THEN CAST(json_extract(j, '$.{0}') AS JSON[]) ELSE [] END"
@@ -187,7 +187,9 @@ terms = _of(TERMS, "customer")
 
 @query
 def funding_and_terms_rejects(spark, sf_dir):
-    return terms(spark, sf_dir).select("id", extracted.funding_reason(c("funding")).alias("funding"), extracted.terms_reason(c("terms")).alias("terms"), extracted.is_group_label(c("party")).cast("int").alias("group_label"))
+    rows = terms(spark, sf_dir).withColumnsRenamed({"funding": "funding_answer", "terms": "terms_answer"})
+    rows = extracted.judged(rows, {"funding": ("funding_answer", extracted.funding_rules), "terms": ("terms_answer", extracted.terms_rules)})
+    return rows.select("id", "funding", "terms", extracted.is_group_label(c("party")).cast("int").alias("group_label"))
 
 
 SQL["funding_and_terms_rejects"] = f"""

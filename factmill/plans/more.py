@@ -178,3 +178,29 @@ SQL["content_duplicates_profile"] = """
 WITH h AS (SELECT sha256(text) AS hash, lang, min(doc_id) AS first_id, count(*) AS k FROM documents GROUP BY ALL)
 SELECT min(first_id) AS doc_id, sum(k)::BIGINT AS n, string_agg(lang, '|' ORDER BY first_id) AS langs FROM h GROUP BY hash HAVING sum(k) > 1
 """
+
+
+FILES = """
+SELECT l_orderkey AS filing, ((l_partkey * 1000 + l_suppkey) * 10 + l_linenumber % 10) * 100 + CAST(l_quantity AS BIGINT) AS pos, CASE l_partkey % 5 WHEN 0 THEN '' WHEN 1 THEN NULL ELSE ' https://f.example/' || CAST(l_suppkey % 4 AS VARCHAR(10)) || ' ' END AS url,
+  CASE l_partkey % 7 WHEN 0 THEN 'EX-2.1' WHEN 1 THEN 'EX-99.1' WHEN 2 THEN ' Exhibit 2.01 agreement' WHEN 3 THEN 'EX-21' WHEN 4 THEN '10-K' ELSE NULL END AS type, CASE l_suppkey % 3 WHEN 0 THEN 'EX-99.2 press release' WHEN 1 THEN '2.1 plan of merger' ELSE 'graphic' END AS description
+FROM lineitem
+"""
+
+
+@query
+def filing_exhibits(spark, sf_dir):
+    rows = spark.sql(FILES.replace("FROM lineitem", "FROM {lineitem}"), lineitem=view(spark, sf_dir, "lineitem"))
+    files = F.transform(F.array_sort(F.collect_list(F.struct("pos", "url", "type", "description"))), lambda x: F.struct(x["url"].alias("url"), x["type"].alias("type"), x["description"].alias("description")))
+    filings = rows.groupBy("filing").agg(files.alias("files"))
+    shown = lambda kind: F.array_join(F.transform(scanners.exhibits(c("files"), kind), lambda x: F.concat(x["label"], F.lit("@"), x["url"])), "|")
+    return filings.select("filing", shown("MERGER_AGREEMENT").alias("agreements"), shown("PRESS_EXHIBIT").alias("releases"))
+
+
+SQL["filing_exhibits"] = f"""
+WITH f AS (SELECT filing, pos, trim(url) AS url, trim(coalesce(type, '')) AS type, trim(coalesce(description, '')) AS description FROM ({FILES})),
+k AS (SELECT *, CASE WHEN regexp_matches(type, '^(EX-2\\.1|Exhibit 2\\.01)') THEN type WHEN regexp_matches(description, '^2\\.1 ') THEN description END AS a,
+             CASE WHEN regexp_matches(type, '^EX-99') THEN type WHEN regexp_matches(description, '^EX-99') THEN description END AS r FROM f WHERE url <> ''),
+one AS (SELECT filing, string_agg(a || '@' || url, '|' ORDER BY pos) AS agreements FROM (SELECT *, row_number() OVER (PARTITION BY filing, url ORDER BY pos) AS n FROM k WHERE a IS NOT NULL) WHERE n = 1 GROUP BY filing),
+two AS (SELECT filing, string_agg(r || '@' || url, '|' ORDER BY pos) AS releases FROM (SELECT *, row_number() OVER (PARTITION BY filing, url ORDER BY pos) AS n FROM k WHERE r IS NOT NULL) WHERE n = 1 GROUP BY filing)
+SELECT filing, coalesce(agreements, '') AS agreements, coalesce(releases, '') AS releases FROM (SELECT DISTINCT filing FROM f) LEFT JOIN one USING (filing) LEFT JOIN two USING (filing)
+"""

@@ -131,9 +131,8 @@ def _record(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def agreement_applied(spark, sf_dir):
-    out, conflicts = writers.applied(_record(spark, sf_dir), results(spark, sf_dir), RANKS)
-    n = conflicts.groupBy(c("txn").alias("__t")).agg(F.count(F.lit(1)).alias("n_conflicts"))
-    return out.join(n, c("txn") == c("__t"), "left").drop("__t").withColumn("n_conflicts", F.coalesce("n_conflicts", F.lit(0)))
+    out = writers.applied_rows(_record(spark, sf_dir), results(spark, sf_dir), RANKS)
+    return out.withColumn("n_conflicts", F.size("conflicts").cast("long")).drop("conflicts")
 
 
 SQL["agreement_applied"] = f"""

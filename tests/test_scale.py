@@ -6,7 +6,7 @@ import time
 
 from pyspark.sql import functions as F
 
-from factmill.functions import scanners
+from factmill.functions import derive, scanners
 from factmill.operators import ledger, relational
 
 
@@ -57,5 +57,19 @@ def test_the_last_write_of_best_priority(spark):
     best = {}
     for k, p, at, i in rows:
         rank = (p is None, -(p or 0), at is not None, at or 0, i)
-        best[k] = max(best.get(k, (rank, None)), (rank, (k, p, at, i)))
+        if k not in best or rank > best[k][0]:
+            best[k] = (rank, (k, p, at, i))
     assert sorted(map(tuple, got.collect()), key=str) == sorted((b[1] for b in best.values()), key=str)
+
+
+def test_equity_and_its_basis(spark):
+    rows = [("ACQUISITION", "EQUITY_VALUE", 5.0), ("ACQUISITION", "EQUITY_VALUE", 0.0), ("MERGER", "ENTERPRISE_VALUE", 5.0), ("VC_ROUND", "EQUITY_VALUE", 5.0), (None, "EQUITY_VALUE", 7.0), (None, None, None)]
+    got = spark.createDataFrame(rows, "e string, t string, a double").select(derive.equity_with_basis(F.col("e"), F.col("t"), F.col("a")).alias("x")).collect()
+    assert [tuple(r["x"]) for r in got] == [(5.0, "STATED"), (None, None), (None, None), (None, None), (7.0, "STATED"), (None, None)]
+
+
+def test_each_exhibit_once(spark):
+    files = [(" u1 ", "EX-2.1", None), ("u1", "EX-2.01", None), ("u2", "x", "Exhibit 2.1 plan"), ("", "EX-2.1", None), (None, "EX-2.1", None), ("u3", "EX-21", "EX-2"), ("u4", "EX-99.1", None), ("u4", "EX-2.1", None)]
+    frame = spark.createDataFrame([(1, files), (2, []), (3, None)], "id int, files array<struct<url:string,type:string,description:string>>")
+    got = {r["id"]: [tuple(x) for x in r["x"]] for r in frame.select("id", scanners.exhibits(F.col("files"), "MERGER_AGREEMENT").alias("x")).collect()}
+    assert got == {1: [("EX-2.1", "u1"), ("Exhibit 2.1 plan", "u2"), ("EX-2.1", "u4")], 2: [], 3: []}
