@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from factmill.llm.scratch import Scratch, bounded_texts
+from factmill.llm.scratch import bounded_texts
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.json"
 TURNS = 1024
@@ -212,14 +212,37 @@ def formatted(turns: DataFrame, template: Template = LLAMA_LIKE, vocabulary: str
     return rows.mapInArrow(run, schema)
 
 
+def trained_runs(pieces: DataFrame) -> DataFrame:
+    """conv_id, block, piece, formatted, starts and ends (the runs of characters under the loss mask), n_tokens, n_loss_tokens."""
+    bounded_texts(pieces.sparkSession)
+    rows = pieces.select("conv_id", "block", "piece", "formatted", "token_start", "token_end", "loss_mask")
+    kept = ["conv_id", "block", "piece", "formatted"]
+    runs = T.ArrayType(T.IntegerType())
+    schema = T.StructType([*[T.StructField(n, rows.schema[n].dataType) for n in kept], T.StructField("starts", runs), T.StructField("ends", runs), T.StructField("n_tokens", T.LongType()), T.StructField("n_loss_tokens", T.LongType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            starts, ends, n, m = [], [], [], []
+            for i, text in enumerate(b.column("formatted").to_pylist()):
+                start, end, loss = (b.column(c)[i].values.to_numpy(zero_copy_only=False) for c in ("token_start", "token_end", "loss_mask"))
+                own = list(under_mask(text, start, end, loss))
+                starts.append([x for x, _ in own])
+                ends.append([x for _, x in own])
+                n.append(len(loss))
+                m.append(int((loss > 0).sum()))
+            out = [*[b.column(c) for c in kept], pa.array(starts, pa.list_(pa.int32())), pa.array(ends, pa.list_(pa.int32())), pa.array(n, pa.int64()), pa.array(m, pa.int64())]
+            yield pa.RecordBatch.from_arrays(out, schema.names)
+
+    return rows.mapInArrow(run, schema)
+
+
 def read_back(pieces: DataFrame, template: Template = LLAMA_LIKE) -> DataFrame:
     """conv_id, n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars, n_tokens, n_loss_tokens, from formatted conversations.
 
-    A conversation's pieces are read one after another, and no more than one batch is held.
+    The masks become runs of characters before pieces travel. A conversation's pieces are read one after another, and no
+    more than one batch is held.
     """
-    bounded_texts(pieces.sparkSession)
-    rows = pieces.select("conv_id", "block", "piece", "formatted", "token_start", "token_end", "loss_mask")
-    rows = rows.repartition("conv_id").sortWithinPartitions("conv_id", "block", "piece")
+    rows = trained_runs(pieces).repartition("conv_id").sortWithinPartitions("conv_id", "block", "piece")
     out = ["n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars", "n_tokens", "n_loss_tokens"]
     kinds = [pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.int64()]
     types = [T.StringType() if n.endswith("sha256") else T.LongType() for n in out]
@@ -237,21 +260,20 @@ def read_back(pieces: DataFrame, template: Template = LLAMA_LIKE) -> DataFrame:
 
         for b in batches:
             kind = b.schema.field("conv_id").type
-            masks = [[b.column(n)[i].values.to_numpy(zero_copy_only=False) for n in ("token_start", "token_end", "loss_mask")] for i in range(b.num_rows)]
-            for (own, text), (start, end, loss) in zip(_rows([b], ["conv_id", "formatted"]), masks, strict=True):
+            for own, text, starts, ends, n, m in _rows([b], ["conv_id", "formatted", "starts", "ends", "n_tokens", "n_loss_tokens"]):
                 if counts is None or own != conv:
                     close()
                     conv, counts, said, learned = own, [0, 0, 0, 0, 0], hashlib.sha256(), hashlib.sha256()
                 for role, turn in template.parsed(text):
                     counts[0] += 1
                     said.update(f"{role}\n{turn}\n".encode())
-                for a, z in under_mask(text, start, end, loss):
+                for a, z in zip(starts, ends, strict=True):
                     part = template.unescaped(text[a:z])
                     counts[1] += len(part)
                     learned.update(part.encode())
                 counts[2] += len(text)
-                counts[3] += len(loss)
-                counts[4] += int((loss > 0).sum())
+                counts[3] += n
+                counts[4] += m
             if done:
                 yield batch()
                 done.clear()
@@ -270,4 +292,4 @@ def op12(conversations: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
     spark = conversations.sparkSession
     own = spark.createDataFrame([(-7, 0, "user", CONTROLS_IN_TEXT), (-7, 1, "assistant", CONTROLS_IN_TEXT)], "conv_id long, turn long, role string, text string")
     turns = conversations.select("conv_id", "turn", "role", "text").unionByName(own)
-    return read_back(Scratch(spark, "chat").table(formatted(turns, vocabulary=vocabulary), "formatted"))
+    return read_back(formatted(turns, vocabulary=vocabulary))
