@@ -222,7 +222,7 @@ def clustered(staging: DataFrame) -> DataFrame:
     there = lambda c: F.coalesce(F.col(c), F.lit("")) != ""
     rows = staging.where(F.col("cluster").isNull() & there("target") & (there("acquirer") | funding))
     rows = rows.select(F.col("extraction").alias("id"), funding.alias("is_funding"), company_name(F.col("target")).alias("target"), company_name(F.col("acquirer")).alias("acquirer"), "day", "precision", "round_label", "round_size")
-    labels = components(same_deals(rows).checkpoint())
+    labels = components(same_deals(rows))
     own = rows.join(labels, F.col("id") == F.col("node"), "left").withColumn("label", F.coalesce("label", "id"))
     names = own.select("label", F.explode(F.array("target", "acquirer")).alias("name")).distinct().groupBy("label").agg(F.collect_list("name").alias("names"))
     told = own.groupBy("label").agg(F.min(F.nullif("day", F.lit(""))).alias("first"), F.min("id").alias("least"), F.count(F.lit(1)).alias("n_members"))

@@ -1,4 +1,4 @@
-"""Queries over what grows: states kept up to date, streams, committed tables, resolvers that fail."""
+"""Queries over what grows and what comes from outside: states kept up to date, streams, committed tables, resolvers that fail, pages."""
 
 from __future__ import annotations
 
@@ -13,7 +13,7 @@ from factmill.operators.shared import shared_root
 from factmill.plans.domain import view
 from factmill.plans.oracles import SQL, _resolve
 from factmill.plans.queries import query
-from factmill.sources import versions
+from factmill.sources import pages, versions
 from factmill.streaming import resolution
 
 c = F.col
@@ -141,3 +141,9 @@ WITH RECURSIVE r AS (SELECT DISTINCT l_orderkey, l_partkey, CAST(l_shipdate AS D
 reach(a, b) AS (SELECT a, b FROM e UNION SELECT reach.a, e.b FROM reach JOIN e ON reach.b = e.a), least AS (SELECT a, least(a, min(b)) AS least_order FROM reach GROUP BY a)
 SELECT least_order, count(*) AS n_orders, max(a) AS greatest_order FROM least GROUP BY least_order
 """
+
+
+@query
+def page_texts(spark, sf_dir):
+    """The best text of every whole page. SQL can't read pages; tests hold it against a tree walked in Python."""
+    return pages.page_texts(view(spark, sf_dir, "pages"))

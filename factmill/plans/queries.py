@@ -216,7 +216,7 @@ def cluster_fuzzy(spark, sf_dir):
     names = view(spark, sf_dir, "part").select(F.lower("p_name").alias("name"), "p_partkey")
     typo = names.unionByName(names.where("p_partkey % 5 = 0").withColumn("name", F.concat(F.col("name"), F.lit("s"))))
     cluster.shared_checkpoints(spark)
-    labels = cluster.components(cluster.similar_names(typo).checkpoint())
+    labels = cluster.components(cluster.similar_names(typo))
     own = typo.groupBy("name").agg(F.min("p_partkey").alias("first_part"), F.count(F.lit(1)).alias("n_rows"))
     joined = own.join(labels, own.name == labels.node, "left").withColumn("cluster", F.coalesce("label", "name"))
     return joined.groupBy("cluster").agg(F.count(F.lit(1)).alias("n_names"), F.sum("n_rows").alias("n_rows"), F.min("first_part").alias("first_part"), cluster.cluster_id(F.collect_set("name"), F.lit(None).cast("string"), F.min("first_part")).alias("cluster_id"))
