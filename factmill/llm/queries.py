@@ -9,6 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from factmill.llm import chat, codes, decontamination, jaccard, licenses, linededup, merkle, mixing, pii, quality, sharding, topk, toxicity
 from factmill.llm.scratch import table
 
+# the columns of these queries' SQL; their operators tell more
+CHATS = ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"]
+
 
 def _docs(op: Callable[[DataFrame], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     return lambda spark, sf_dir: op(table(spark, sf_dir, "documents"))
@@ -31,6 +34,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_toxicity": _labelled(toxicity.op9),
         "op10_shard": _docs(sharding.op10),
         "op11_codes": lambda spark, sf_dir: codes.op11(table(spark, sf_dir, "embeddings")),
-        "op12_chat": lambda spark, sf_dir: chat.op12(table(spark, sf_dir, "conversations")),
+        "op12_chat": lambda spark, sf_dir: chat.op12(table(spark, sf_dir, "conversations")).select(*CHATS),
         "op13_merkle": _docs(merkle.op13),
     }
