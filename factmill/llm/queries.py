@@ -11,6 +11,7 @@ from factmill.llm.scratch import table
 
 # the columns of these queries' SQL; their operators tell more
 CHATS = ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"]
+PROOFS = ["doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified"]
 
 
 def _docs(op: Callable[[DataFrame], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -35,5 +36,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op10_shard": _docs(sharding.op10),
         "op11_codes": lambda spark, sf_dir: codes.op11(table(spark, sf_dir, "embeddings")),
         "op12_chat": lambda spark, sf_dir: chat.op12(table(spark, sf_dir, "conversations")).select(*CHATS),
-        "op13_merkle": _docs(merkle.op13),
+        "op13_merkle": lambda spark, sf_dir: merkle.op13(table(spark, sf_dir, "documents")).select(*PROOFS),
     }

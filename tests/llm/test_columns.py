@@ -5,7 +5,7 @@ import pytest
 
 from factmill.llm import oracles, queries
 
-TABLES = {"op12_chat": "conversations"}
+TABLES = {"op12_chat": "conversations", "op13_merkle": "documents"}
 
 
 @pytest.mark.parametrize("name", TABLES)
