@@ -14,7 +14,9 @@ the version it commits, so a batch that comes again after a failure changes noth
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
+from functools import cached_property
 
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
@@ -26,6 +28,8 @@ from factmill.operators.incremental import Resolution
 
 ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 _NAMES = [n for n, _ in ledger.STATE]
+_BLANK = tuple(0 if n.startswith("n_") else False if n == "stated" else None for n in _NAMES)
+BUCKETS = 1 << 14
 
 
 def state_fields(value: T.DataType) -> list[T.StructField]:
@@ -54,51 +58,80 @@ def told(state: dict, value: object, tier: str | None, confidence: str | None, s
 
 
 class KeyStates(StatefulProcessor):
-    """The state of a key, its last event, its revision and its timer."""
+    """A bucket's keys, each with its state, its last event and its revision, as one value; and one timer, for the key that closes first.
 
-    def __init__(self, keys: list[str], fields: list[T.StructField], value: str, at: str, ttl_ms: int, boolean: bool, manual: str | None):
-        self.keys, self.fields, self.value, self.at, self.ttl_ms, self.boolean, self.manual = keys, fields, value, at, ttl_ms, boolean, manual
+    A call of the state store costs much more than a claim does, so it is paid for a bucket and not for each key.
+    """
+
+    def __init__(self, keys: list[str], value: str, ttl_ms: int, boolean: bool, manual: str | None):
+        self.keys, self.value, self.ttl_ms, self.boolean, self.manual = keys, value, ttl_ms, boolean, manual
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        own = [*self.fields, T.StructField("last_at", T.LongType()), T.StructField("revision", T.LongType())]
-        self.state = handle.getValueState("resolution", T.StructType(own))
+        self.state = handle.getValueState("resolution", T.StructType([T.StructField("held", T.BinaryType()), T.StructField("timer", T.LongType())]))
+
+    def _held(self) -> tuple[dict, int | None]:
+        """The keys' (values of the state, last event, revision), and the timer."""
+        found = self.state.get()
+        return (pickle.loads(found[0]), found[1]) if found else ({}, None)
+
+    def _kept(self, held: dict, timer: int | None) -> None:
+        first = min((last for _, last, _ in held.values()), default=None)
+        due = None if first is None else first + self.ttl_ms
+        if due != timer:
+            if timer is not None:
+                self.handle.deleteTimer(timer)
+            if due is not None:
+                self.handle.registerTimer(due)
+        if held:
+            self.state.update((pickle.dumps(held, pickle.HIGHEST_PROTOCOL), due))
+        else:
+            self.state.clear()
 
-    def _row(self, key: tuple, state: dict, last: int, revision: int, closed: bool) -> Row:
-        return Row(**dict(zip(self.keys, key, strict=True)), **state, last_at=last, revision=revision, closed=closed)
+    def _row(self, key: tuple, values: tuple, last: int, revision: int, closed: bool) -> Row:
+        return self.row(*key, *values, last, revision, closed)
+
+    @cached_property
+    def row(self) -> Row:
+        return Row(*self.keys, *_NAMES, "last_at", "revision", "closed")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        if self.state.exists():
-            *values, before, revision = self.state.get()
-            state, last = dict(zip(_NAMES, values, strict=True)), before
-        else:
-            state = {n: 0 if n.startswith("n_") else False if n == "stated" else None for n in _NAMES}
-            before, last, revision = None, -(1 << 62), 0
+        held, timer = self._held()
+        now: dict[tuple, tuple[dict, int]] = {}
         for r in rows:
+            own = tuple([r[k] for k in self.keys])
+            if own not in now:
+                values, last, _ = held.get(own, (None, -(1 << 62), 0))
+                now[own] = dict(zip(_NAMES, values or _BLANK, strict=True)), last
+            state, last = now[own]
             told(state, r[self.value], r["tier"], r["confidence"], r["seq"], bool(self.manual and r[self.manual]), self.boolean)
-            last = max(last, r["__ms"])
-        if before != last:
-            if before is not None:
-                self.handle.deleteTimer(before + self.ttl_ms)
-            self.handle.registerTimer(last + self.ttl_ms)
-        self.state.update((*[state[n] for n in _NAMES], last, revision + 1))
-        yield self._row(key, state, last, revision + 1, False)
+            if r["__ms"] > last:
+                now[own] = state, r["__ms"]
+        for own, (state, last) in now.items():
+            held[own] = tuple(state.values()), last, (held[own][2] if own in held else 0) + 1
+        self._kept(held, timer)
+        for own in now:
+            yield self._row(own, *held[own], False)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        if self.state.exists():
-            *values, last, revision = self.state.get()
-            self.state.clear()
-            yield self._row(key, dict(zip(_NAMES, values, strict=True)), last, revision + 1, True)
+        held, _ = self._held()
+        due = max(expiredTimerInfo.getExpiryTimeInMs(), timerValues.getCurrentWatermarkInMs()) - self.ttl_ms
+        over = [own for own, (_, last, _) in held.items() if last <= due]
+        closed = [self._row(own, values, last, revision + 1, True) for own in over for values, last, revision in [held.pop(own)]]
+        self._kept(held, None)  # the timer that went off is gone
+        yield from closed
 
     def close(self) -> None:
         pass
 
 
-def resolved_stream(claims: DataFrame, keys: list[str], id: str = "id", value: str = "value", at: str = "at", late: str = "1 day", ttl_seconds: int = 7 * 86_400, boolean: bool = False, manual: str | None = None) -> DataFrame:
+def resolved_stream(claims: DataFrame, keys: list[str], id: str = "id", value: str = "value", at: str = "at", late: str = "1 day", ttl_seconds: int = 7 * 86_400, boolean: bool = False, manual: str | None = None, buckets: int = BUCKETS) -> DataFrame:
     """A stream of states: keys, the state's columns, last_at (ms), revision and closed, one row per key and batch that tells of it.
 
     ``claims`` has keys, id, value, tier, confidence, seq (a long) and an event time ``at``; claims later than ``late`` or
     without a time are dropped. ``ttl_seconds`` must be longer than ``late``, or a key could close before its late claims.
+    Keys are plain values. The store holds them by bucket of their hash: a batch rewrites the buckets that it tells of, so there should be some
+    hundred keys in one; a checkpoint holds for its number of ``buckets``.
     """
     fields = state_fields(claims.schema[value].dataType)
     claims.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKS)
@@ -106,7 +139,8 @@ def resolved_stream(claims: DataFrame, keys: list[str], id: str = "id", value: s
     rows = claims.select(*own).where(F.col(at).isNotNull()).withWatermark(at, late).dropDuplicatesWithinWatermark([*keys, id])
     rows = rows.withColumn("__ms", F.unix_millis(F.col(at).cast("timestamp")))
     out = T.StructType([*[claims.schema[k] for k in keys], *fields, T.StructField("last_at", T.LongType()), T.StructField("revision", T.LongType()), T.StructField("closed", T.BooleanType())])
-    return rows.groupBy(*keys).transformWithState(KeyStates(keys, fields, value, at, ttl_seconds * 1000, boolean, manual), out, "Append", "EventTime")
+    rows = rows.withColumn("__bucket", F.pmod(F.xxhash64(*keys), F.lit(buckets)))
+    return rows.groupBy("__bucket").transformWithState(KeyStates(keys, value, ttl_seconds * 1000, boolean, manual), out, "Append", "EventTime")
 
 
 def newest(rows: DataFrame, keys: list[str]) -> DataFrame:

@@ -92,3 +92,17 @@ def test_maintained_states_take_each_batch_once(spark, tmp_path):
         left = batch(spark, [r for r in rows if r not in back])
         assert told(kept.resolved()) == told(ledger.resolved(left, KEYS, manual=F.col("manual")))
     assert kept.versions.latest() == 2
+
+
+def test_keys_of_one_bucket_have_states_and_closings_of_their_own(spark, tmp_path):
+    root = str(tmp_path)
+    claim = lambda txn, i, v, hour: (txn, "a", i, v, "T1", "HIGH", i, False, (START + datetime.timedelta(hours=hour)).isoformat(), None)
+    filed(f"{root}/in", 0, [claim(t, t, float(t), t / 10) for t in range(20)])
+    filed(f"{root}/in", 1, [claim(t, 100 + t, float(t), 2) for t in (3, 4)])
+    filed(f"{root}/in", 2, [claim(50, 200, 1.0, 9)])  # the watermark reaches hour 6: those last told of up to hour 1 close
+    stream = resolution.resolved_stream(resolution.claims_stream(spark, f"{root}/in", SCHEMA), KEYS, late="3 hours", ttl_seconds=5 * 3600, buckets=1)
+    resolution.written(stream, f"{root}/out", f"{root}/check").awaitTermination()
+    out = spark.read.parquet(f"{root}/out")
+    assert {(r["txn"], r["revision"]) for r in out.where("closed").collect()} == {(t, 2) for t in range(11) if t not in (3, 4)}
+    assert {(r["txn"], r["n_seen"]) for r in out.where("revision = 2 AND NOT closed").collect()} == {(3, 2), (4, 2)}
+    assert resolution.answers(out, KEYS).count() == 21
