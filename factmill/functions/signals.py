@@ -6,6 +6,8 @@ k-th match are all that belongs to it, so nothing needs positions or Python.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -119,6 +121,16 @@ DEAL_HEADLINE = (
     r"joint venture|jv|recapitali\w*|series\s+[a-z]\b|seed round|funding round|raises?|raised|investment|invests?|backs?|definitive agreement|letter of intent)\b"
 )
 _SENTENCE = r"(?<=[.!?])\s+"
+_WORD = "[0-9A-Za-z_]"
+# what RE2 makes of escapes, sets and letters where case doesn't count: the long s is an s, the Kelvin sign a k
+_RE2 = {
+    r"\b": f"(?:(?<={_WORD})(?!{_WORD})|(?<!{_WORD})(?={_WORD}))", r"\w": "[0-9A-Za-z_\u017f\u212a]", r"\s": r"[\t\n\f\r ]", "[a-z]": "[a-z\u017f\u212a]", "s": "[s\u017f]", "k": "[k\u212a]",
+}
+
+
+def as_sql_reads(pattern: str) -> str:
+    """A pattern that begins with (?i) as DuckDB's expressions read it: only ASCII makes words, where Java's ``\\b`` takes letters of any script."""
+    return "(?i)" + re.sub(r"\\.|\[[^\]]*\]|[sk]", lambda m: _RE2.get(m[0], m[0]), pattern.removeprefix("(?i)"))
 
 
 def _first_of(text: Column, phrases: list[str]) -> Column:

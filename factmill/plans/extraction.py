@@ -353,7 +353,7 @@ def keyword_scan(spark, sf_dir):
     d = view(spark, sf_dir, "conversations")
     text = F.when(c("conv_id") % 3 == 0, F.concat(c("text"), F.lit(" with Total Debt of 5"))).when(c("conv_id") % 5 == 0, F.concat(c("text"), F.lit(" raises money"))).otherwise(c("text"))
     rows = d.withColumn("text", text).where("text IS NOT NULL")
-    hit, deal = c("text").rlike(signals.BALANCE_SHEET), c("text").rlike(signals.DEAL_HEADLINE)
+    hit, deal = (c("text").rlike(signals.as_sql_reads(p)) for p in (signals.BALANCE_SHEET, signals.DEAL_HEADLINE))
     return rows.groupBy("role").agg(F.count(F.lit(1)).alias("n"), F.count(F.when(hit, 1)).alias("candidates"), F.count(F.when(deal, 1)).alias("deal_language"), F.coalesce(F.sum(F.when(hit, F.floor(F.length("text") / 4))), F.lit(0)).alias("tokens"))
 
 

@@ -1,6 +1,7 @@
 """Every query of the engine against its SQL, on the smallest tables."""
 
 import os
+import random
 
 import pytest
 
@@ -37,3 +38,17 @@ def test_query_matches_sql(spark, db, name):
 
 def test_every_query_is_checked():
     assert set(oracles.SQL) <= set(queries.FOUND) and set(queries.FOUND) - set(oracles.SQL) <= {"cluster_fuzzy", "page_texts"}
+
+
+def test_keywords_beside_letters_of_any_script_are_found_as_by_sql(spark, tmp_path):
+    rng = random.Random(5)
+    words = ["total debt", "leverage", "net debt", "buys", "stake", "series b", "take-private", "spin out", "jv", "raised", "credit facility", "cash on hand", "backs", "sold"]
+    odd = ["", " ", "é", "é", "ж", "_", "9", "ſ", "K", "ı", "İ", "\x0b", "\x0c", "\xa0", "\x85", "中", "-", "‍", "😀"]
+    text = lambda w: "".join(rng.choice(odd) if x in " -" and rng.random() < 0.4 else "ſ" if x == "s" and rng.random() < 0.2 else "K" if x == "k" and rng.random() < 0.2 else x.upper() if rng.random() < 0.3 else x for x in w)
+    rows = [(i * 15 + 1, i, f"r{i}", rng.choice(odd) + text(rng.choice(words)) + rng.choice(odd) + rng.choice(["", "x"])) for i in range(3000)]
+    spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").coalesce(1).write.parquet(f"{tmp_path}/conversations.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW conversations AS SELECT * FROM '{tmp_path}/conversations.parquet/*.parquet'")
+    got = queries.FOUND["keyword_scan"](spark, str(tmp_path))
+    want = con.execute(oracles.SQL["keyword_scan"]).fetchall()
+    assert sorted(map(tuple, got.collect())) == sorted(want) and 0 < sum(r[2] for r in want) < 3000
