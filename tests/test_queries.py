@@ -52,3 +52,8 @@ def test_keywords_beside_letters_of_any_script_are_found_as_by_sql(spark, tmp_pa
     got = queries.FOUND["keyword_scan"](spark, str(tmp_path))
     want = con.execute(oracles.SQL["keyword_scan"]).fetchall()
     assert sorted(map(tuple, got.collect())) == sorted(want) and 0 < sum(r[2] for r in want) < 3000
+
+
+def test_claims_of_the_flagship_travel_once(spark):
+    plan = queries.FOUND["resolve_flagship"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(txn" in plan and "field" not in "".join(x for x in plan.splitlines() if "Exchange hashpartitioning" in x)
