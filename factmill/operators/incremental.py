@@ -1,11 +1,13 @@
-"""Resolution kept up to date: states per key, merged with new claims only.
+"""Resolution kept up to date: states per key, of which a batch makes only those anew that it touches.
 
 Two tables share each version: the claims, which are only added to, and the states of keys
-(see ``ledger.states``), of which the newest counts. Applying a batch reads the claims and states
-of the buckets that its keys fall in, drops claims that are known by id, and adds the new
-claims and one new state for each key they touch: the old state merged with that of the new
-claims. Minima and counts can't be undone, so a key with a retracted claim is resolved again from
-its remaining claims. Keys that a batch doesn't touch aren't written.
+(see ``ledger.states``), of which the newest counts. Applying a batch reads the claims of the
+buckets that its keys fall in, drops claims that are known by id, and adds the new claims and one
+new state for each key they touch, made of all claims of the key that aren't retracted. Keys that
+a batch doesn't touch aren't written.
+
+Known ids meet new claims by key and id. Claims are then dealt by key once, as they are: a few of
+them, as keys have, are less than their states, and retractions meet them where they lie.
 
 A claim is known by key and id: the same id under the same key is the same claim, however often and
 in whatever batch it comes. A retraction counts whenever it comes, before its claim too. Claims and
@@ -17,8 +19,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from factmill.operators import ledger, relational
-from factmill.operators.isolation import same_keys
+from factmill.operators import ledger
 from factmill.sources.versions import Versions
 
 CLAIM = ["tier", "confidence", "seq"]
@@ -35,17 +36,41 @@ class Resolution:
         self.versions = Versions(spark, root, buckets)
         self.keys, self.id, self.value, self.boolean, self.manual = keys, id, value, boolean, manual
 
-    def _claims(self, claims: DataFrame) -> DataFrame:
-        own = [*self.keys, self.id, self.value, *CLAIM, *([self.manual] if self.manual else [])]
-        return relational.any_row(claims.select(*own), [*self.keys, self.id], "seq")
-
-    def _states(self, claims: DataFrame) -> DataFrame:
-        return ledger.states(claims, self.keys, self.value, self.boolean, F.coalesce(F.col(self.manual), F.lit(False)) if self.manual else None)
+    def _own(self) -> list[str]:
+        return [*self.keys, self.id, self.value, *CLAIM, *([self.manual] if self.manual else [])]
+
+    def _news(self, old: DataFrame, came: DataFrame) -> DataFrame:
+        """What came and isn't known: of several rows of a claim or retraction the first by seq. Old rows travel as ids."""
+        known = [*self.keys, self.id, "live"]
+        others = [c for c in came.columns if c not in known]
+        ids = old.select(*known, *[F.lit(None).cast(came.schema[c].dataType).alias(c) for c in others], F.lit(True).alias("__old"))
+        # dealt before they are grouped, as hardly any two rows of a task are one claim
+        rows = ids.unionByName(came.withColumn("__old", F.lit(False))).repartition(*self.keys, self.id)
+        first = rows.groupBy(*known).agg(F.max("__old").alias("__old"), F.min_by(F.struct(*others), "seq").alias("__r"))
+        return first.where("NOT __old").select(*known, "__r.*").select(*came.columns)
+
+    def _changed(self, old: DataFrame, new: DataFrame) -> DataFrame:
+        """The states of all keys of ``new``, of old and new claims that aren't retracted; a key without any has one that saw nothing, which hides the older ones."""
+        tier = F.array_position(F.array(*map(F.lit, ledger.TIERS)), F.col("tier")).cast("int")
+        rank = ledger.confidence_rank(F.col("confidence"))
+        parts = [c for c in self._own() if c not in (*self.keys, self.id, *CLAIM)]
+        told = lambda rows, came: rows.select(*self.keys, self.id, "live", *parts, tier.alias("__t"), rank.alias("__c"), "seq", F.lit(came).alias("__came"))
+        rows = told(old, False).unionByName(told(new, True)).withColumn("__part", self.versions.part(*self.keys)).repartition("__part")
+        # a claim and its retraction are at most two rows, and the latter's values are null
+        claim = [F.max(F.when(F.col("live"), F.col(c))).alias(c) for c in (*parts, "__t", "__c", "seq")]
+        each = rows.groupBy("__part", *self.keys, self.id).agg(F.min("live").alias("live"), F.max("__came").alias("__came"), *claim)
+        names = lambda of, at: F.coalesce(*[F.when(at == i, F.lit(x)) for i, x in of])
+        live = each.select(
+            "__part", *self.keys, "live", "__came", *[F.when(F.col("live"), F.col(c)).alias(c) for c in (*parts, "seq")],
+            F.when(F.col("live"), names(enumerate(ledger.TIERS, 1), F.col("__t"))).alias("tier"), names(enumerate(["HIGH", "MEDIUM", "LOW"]), F.col("__c")).alias("confidence"),
+        )
+        manual = F.coalesce(F.col(self.manual), F.lit(False)) if self.manual else None
+        return ledger.states(live, ["__part", *self.keys], self.value, self.boolean, manual, F.col("live"), ["__came"]).where("__came").drop("__came")
 
     def _latest(self, states: DataFrame) -> DataFrame:
-        """The newest state of each key."""
+        """The newest state of each key. Dealt before they are grouped, as versions lie in files of their own."""
         others = [c for c in states.columns if c not in self.keys]
-        return states.groupBy(*self.keys).agg(F.max_by(F.struct(*others), "changed_in").alias("s")).select(*self.keys, "s.*")
+        return states.repartition(*self.keys).groupBy(*self.keys).agg(F.max_by(F.struct(*others), "changed_in").alias("s")).select(*self.keys, "s.*")
 
     def apply(self, claims: DataFrame, retracted: DataFrame | None = None, note: dict | None = None) -> int:
         """Adds claims, takes back those that ``retracted`` (keys, id) names, and returns the version.
@@ -56,33 +81,19 @@ class Resolution:
         base = versions.latest()
         if note and any(versions.manifest(v)["note"] == note for v in range(base, max(0, base - 16), -1)):
             return base
-        came = self._claims(claims).withColumn("live", F.lit(True))
+        came = claims.select(*self._own()).withColumn("live", F.lit(True))
         if retracted is not None:
             # a retraction is a row without a value: it needs no look at the claim, which may not be there yet
             blank = [F.lit(None).cast(f.dataType).alias(f.name) if f.name not in known else F.col(f.name) for f in came.schema.fields if f.name != "live"]
-            came = came.unionByName(retracted.select(*known).distinct().select(*blank, F.lit(False).alias("live")))
+            came = came.unionByName(retracted.select(*known).select(*blank, F.lit(False).alias("live")))
         touched = versions.buckets_of(came, *keys)
         old = versions.read("claims", base, touched, came.schema)
-        news = same_keys(came, old, [*known, "live"], "left_anti").select(*came.columns)
-        new = versions.stage("claims", news, *keys)
+        new = versions.stage("claims", self._news(old, came), *keys)
         try:
             if not new.written:
                 versions.forget([new])
                 return base
-            added, gone = new.frame.where("live"), new.frame.where("NOT live")
-            dead = old.where("NOT live").unionByName(gone)
-            fresh = self._states(same_keys(added, dead, known, "left_anti"))
-            again = same_keys(old.where("live"), gone, known, "left_semi").select(*keys).distinct()
-            whole = same_keys(old.where("live").unionByName(added), again, keys, "left_semi")
-            whole = self._states(same_keys(whole, dead, known, "left_anti"))
-            changed = new.frame.select(*keys).distinct()
-            before = versions.read("states", base, touched, fresh.withColumn("changed_in", F.lit(0).cast("long")).schema)
-            before = self._latest(same_keys(before, changed, keys, "left_semi")).drop("changed_in")
-            kept = same_keys(before.unionByName(fresh), again, keys, "left_anti")
-            merged = ledger.merged_states(kept, keys).unionByName(whole)
-            # a key of which nothing is left has a state that saw nothing, which hides the older ones
-            left = same_keys(again, whole, keys, "left_anti").select(*keys, *[F.lit(0 if kind == "sum" else None).cast(merged.schema[c].dataType).alias(c) for c, kind in ledger.STATE])
-            after = merged.unionByName(left).withColumn("changed_in", F.lit(base + 1).cast("long"))
+            after = self._changed(old, new.frame).withColumn("changed_in", F.lit(base + 1).cast("long"))
             state = versions.stage("states", after, *keys)
         except BaseException:
             versions.forget([new])

@@ -6,7 +6,7 @@ seq, the claim's place in insertion order. ``seq`` settles every "first" and "la
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -57,7 +57,7 @@ def exploded(rows: DataFrame, ids: list[str], array: str, prefix: str, attribute
     return unpivot(flat, [*ids, "fact_key"], attributes)
 
 
-def _rank(confidence: Column) -> Column:
+def confidence_rank(confidence: Column) -> Column:
     """HIGH 0, MEDIUM 1, LOW 2; null counts as MEDIUM, anything else too."""
     return F.when(confidence == "HIGH", 0).when(confidence == "LOW", 2).otherwise(1)
 
@@ -76,13 +76,16 @@ STATE = [("n_seen", "sum"), ("stated", "max"), ("by_hand", "last"), ("seq_hand",
 counts and greatest values by rank of confidence. ``first`` and ``last`` go by the column that follows."""
 
 
-def states(ledger: DataFrame, keys: list[str], value: str = "value", boolean: bool = False, manual: Column | None = None) -> DataFrame:
-    """keys and ``STATE``: what claims tell, small however many they are, and enough to resolve them or to add others."""
+def states(ledger: DataFrame, keys: list[str], value: str = "value", boolean: bool = False, manual: Column | None = None, counted: Column | None = None, carried: Sequence[str] = ()) -> DataFrame:
+    """keys and ``STATE``: what claims tell, small however many they are, and enough to resolve them or to add others.
+
+    Rows that aren't ``counted`` don't add to n_seen; they must have no tier and no value. Of ``carried`` columns the greatest value stays.
+    """
     v = F.col(value)
     counts = v.isNotNull() & ((v != 0) if boolean else F.lit(True))
     by_hand = (manual & v.isNotNull()) if manual is not None else F.lit(False)
-    rows = ledger.select(*keys, v.alias("v"), F.when(counts, F.col("tier")).alias("t"), _rank(F.col("confidence")).alias("r"), "seq", F.when(by_hand, F.col("seq")).alias("m"))
-    aggregates = [F.count(F.lit(1)).alias("n_seen"), F.max(F.col("v").isNotNull()).alias("stated"), F.max_by("v", "m").alias("by_hand"), F.max("m").alias("seq_hand")]
+    rows = ledger.select(*keys, v.alias("v"), F.when(counts, F.col("tier")).alias("t"), confidence_rank(F.col("confidence")).alias("r"), "seq", F.when(by_hand, F.col("seq")).alias("m"), (F.lit(True) if counted is None else counted).alias("__n"), *carried)
+    aggregates = [F.count(F.when(F.col("__n"), 1)).alias("n_seen"), F.max(F.col("v").isNotNull()).alias("stated"), F.max_by("v", "m").alias("by_hand"), F.max("m").alias("seq_hand")]
     for t in TIERS:
         here = F.col("t") == t
         at = F.when(here, F.col("seq"))
@@ -90,7 +93,7 @@ def states(ledger: DataFrame, keys: list[str], value: str = "value", boolean: bo
         for r in range(3):
             own = here & (F.col("r") == r)
             aggregates += [F.count(F.when(own, 1)).alias(f"n_{t}{r}"), F.max(F.when(own, F.col("v"))).alias(f"top_{t}{r}")]
-    return rows.groupBy(*keys).agg(*aggregates)
+    return rows.groupBy(*keys).agg(*aggregates, *[F.max(x).alias(x) for x in carried])
 
 
 def merged_states(parts: DataFrame, keys: list[str]) -> DataFrame:

@@ -142,11 +142,17 @@ class Versions:
 
     # ---- writing
 
+    def part(self, *key: str) -> Column:
+        """Finer parts than buckets, each within one: rows dealt by them can be grouped by key, and needn't be dealt again to be staged."""
+        return F.pmod(F.xxhash64(*key), F.lit(self.buckets * max(1, 512 // self.buckets))).cast("int")
+
     def stage(self, table: str, rows: DataFrame, *key: str) -> Staged:
-        """Writes rows by bucket of their key; a commit makes them part of a version."""
+        """Writes rows by bucket of their key; a commit makes them part of a version. Rows that were dealt by ``part``, as a column ``__part``, stay where they are."""
         folder = f"data/{uuid.uuid4().hex}/{table}"
         path = f"{self.root}/{folder}"
-        rows.withColumn("__bucket", self.bucket(*key)).hint("rebalance", "__bucket").write.partitionBy("__bucket").parquet(path)
+        dealt, rows = "__part" in rows.columns, rows.drop("__part")
+        own = rows.withColumn("__bucket", self.bucket(*key))
+        (own if dealt else own.hint("rebalance", "__bucket")).write.partitionBy("__bucket").parquet(path)
         names = [f.getPath().getName() for f in self._fs.listStatus(self._path(path)) if f.isDirectory()]
         written = {int(n.partition("=")[2]): f"{folder}/{n}" for n in names if n.startswith("__bucket=")}
         frame = self.spark.read.schema(rows.schema).parquet(*[f"{self.root}/{p}" for p in written.values()]) if written else self.spark.createDataFrame([], rows.schema)

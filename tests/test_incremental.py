@@ -119,3 +119,20 @@ def test_a_manifest_can_be_published_by_rename(spark, tmp_path):
     rows = spark.createDataFrame([(1, "a")], "id long, name string")
     assert [versions.replace_children(store, "c", rows, "id") for _ in range(2)] == [1, 2]
     assert not store._published(2, {}) and store.manifest(2)["version"] == 2
+
+
+def test_claims_are_dealt_once_for_each_table(spark, tmp_path, monkeypatch):
+    kept = Resolution(spark, f"file://{tmp_path}/r", KEYS, manual="manual", buckets=2)
+    rows, plans = made(60, 7), []
+    kept.apply(spark.createDataFrame(rows[:40], SCHEMA))
+    stage = kept.versions.stage
+
+    def watched(table, df, *a, **k):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return stage(table, df, *a, **k)
+
+    monkeypatch.setattr(kept.versions, "stage", watched)
+    gone = spark.createDataFrame([(r[0], r[1], r[2]) for r in rows[30:50]], "txn long, field string, id long")
+    kept.apply(spark.createDataFrame(rows, SCHEMA), gone)
+    assert [p.count("Exchange hashpartitioning") for p in plans] == [1, 1], plans
+    assert told(kept.resolved()) == told(ledger.resolved(spark.createDataFrame(rows[:30] + rows[50:], SCHEMA), KEYS, manual=F.col("manual")))
