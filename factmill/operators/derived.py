@@ -32,8 +32,10 @@ def multiple_rows(resolved: DataFrame, kept: DataFrame) -> DataFrame:
     ``resolved`` has txn, field, value and flagged; flagged keys give none. ``kept`` has txn, seq and text, the
     multiples kept whole; of several that state the value the first counts.
     """
-    v = parsed(F.col("text"))
-    said = kept.select("txn", "seq", multiple_key(word(v, "$.multiple_type"), word(v, "$.period_basis"), word(v, "$.period_end_date")).alias("field"), number(v, "$.multiple_value").alias("value"), word(v, "$.as_reported_text").alias("words"))
+    v = F.col("__v")
+    told = F.struct(multiple_key(word(v, "$.multiple_type"), word(v, "$.period_basis"), word(v, "$.period_end_date")).alias("field"), number(v, "$.multiple_value").alias("value"), word(v, "$.as_reported_text").alias("words"))
+    # a generator: the conditions of the join below it would read the text again, each for itself
+    said = kept.select("txn", "seq", parsed(F.col("text")).alias("__v")).select("txn", "seq", F.inline(F.array(told)))
     words = said.groupBy("txn", "field", "value").agg(F.min_by(F.struct("words"), "seq")["words"].alias("as_reported"))
     part = lambda i: F.nullif(F.regexp_extract("field", r"^multiple\.([^.]*)\.([^.]*)\.(.*)$", i), F.lit(""))
     rows = resolved.where(F.col("field").rlike(r"^multiple\.[^.]*\.[^.]*\.") & (F.col("flagged") == 0) & F.col("value").isNotNull()).join(words, ["txn", "field", "value"], "left")

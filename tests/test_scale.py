@@ -7,7 +7,7 @@ import time
 from pyspark.sql import functions as F
 
 from factmill.functions import derive, scanners
-from factmill.operators import ledger, relational
+from factmill.operators import derived, ledger, relational
 
 
 def test_places_of_many_matches(spark):
@@ -73,3 +73,12 @@ def test_each_exhibit_once(spark):
     frame = spark.createDataFrame([(1, files), (2, []), (3, None)], "id int, files array<struct<url:string,type:string,description:string>>")
     got = {r["id"]: [tuple(x) for x in r["x"]] for r in frame.select("id", scanners.exhibits(F.col("files"), "MERGER_AGREEMENT").alias("x")).collect()}
     assert got == {1: [("EX-2.1", "u1"), ("Exhibit 2.1 plan", "u2"), ("EX-2.1", "u4")], 2: [], 3: []}
+
+
+def test_multiples_are_read_once(spark):
+    won = spark.createDataFrame([(1, "multiple.PE.LTM.", 7.0, 0)], "txn long, field string, value double, flagged int")
+    text = '{"multiple_type":"PE","period_basis":"LTM","multiple_value":%s,"as_reported_text":"%s"}'
+    kept = spark.createDataFrame([(1, 2, text % (7.0, "later")), (1, 1, text % (7.0, "first")), (1, 0, text % (8.0, "other")), (1, 0, "no json")], "txn long, seq long, text string")
+    rows = derived.multiple_rows(won, kept)
+    assert rows._jdf.queryExecution().optimizedPlan().toString().count("parse_json") == 1
+    assert [(r["multiple_type"], r["value"], r["period_end"], r["as_reported"]) for r in rows.collect()] == [("PE", 7.0, None, "first")]
