@@ -18,10 +18,13 @@ from factmill.plans.queries import query
 c = F.col
 
 
-def _of(sql: str, table: str):
+def _of(sql: str, table: str, key: str | None = None):
+    """The SQL's rows. With a ``key``, which must tell rows apart, they are dealt first: a small file is one task's, however long its texts take."""
     def rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         plain = sql.replace("{", "{{").replace("}", "}}")
-        return spark.sql(plain.replace(f"FROM {table}", f"FROM {{{table}}}"), **{table: view(spark, sf_dir, table)})
+        own = view(spark, sf_dir, table)
+        own = own.repartition(4 * spark.sparkContext.defaultParallelism, key) if key else own
+        return spark.sql(plain.replace(f"FROM {table}", f"FROM {{{table}}}"), **{table: own})
 
     return rows
 
@@ -375,7 +378,7 @@ SELECT c_custkey AS id, chr(10) AS nl,
   || 'ARTICLE IV' || chr(10) || 'REPRESENTATIONS AND WARRANTIES OF THE COMPANY' || chr(10) || 'Section 4.01 Capitalization. Ten shares.' || chr(10) || 'Section 4.02 Other. End.' || chr(10) AS body
 FROM customer
 """
-agreed = _of(AGREED, "customer")
+agreed = _of(AGREED, "customer", "c_custkey")
 
 
 @query

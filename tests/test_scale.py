@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from factmill.functions import derive, scanners
 from factmill.operators import derived, ledger, relational
+from factmill.plans import extraction
 
 
 def test_places_of_many_matches(spark):
@@ -80,5 +81,11 @@ def test_multiples_are_read_once(spark):
     text = '{"multiple_type":"PE","period_basis":"LTM","multiple_value":%s,"as_reported_text":"%s"}'
     kept = spark.createDataFrame([(1, 2, text % (7.0, "later")), (1, 1, text % (7.0, "first")), (1, 0, text % (8.0, "other")), (1, 0, "no json")], "txn long, seq long, text string")
     rows = derived.multiple_rows(won, kept)
-    assert rows._jdf.queryExecution().optimizedPlan().toString().count("parse_json") == 1
+    assert rows._jdf.queryExecution().optimizedPlan().toString().count("parseJson") == 1
     assert [(r["multiple_type"], r["value"], r["period_end"], r["as_reported"]) for r in rows.collect()] == [("PE", 7.0, None, "first")]
+
+
+def test_texts_of_a_small_file_are_many_tasks(spark):
+    rows = extraction.agreed(spark, "/root/testdata/sf0.001")
+    assert rows.rdd.getNumPartitions() == 4 * spark.sparkContext.defaultParallelism
+    assert rows.select("id").distinct().count() == rows.count() == spark.read.parquet("/root/testdata/sf0.001/customer.parquet").count()
