@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def shared_root(spark: SparkSession) -> str:
@@ -23,3 +24,20 @@ def shared_checkpoints(spark: SparkSession) -> None:
     """Checkpoints go to the folder the cluster names; to a temporary one only in local mode, where all share it."""
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(shared_root(spark))
+
+
+def dealt(df: DataFrame, *keys: str) -> DataFrame:
+    """The rows by key, as they are, in as many parts as a shuffle has.
+
+    Before a grouping of rows of which few are one group: a partial grouping of a whole file's rows saves nothing
+    and holds them all, and parts that are merged by their bytes hold far more as groups.
+    """
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+
+
+def left_joined(rows: DataFrame, other: DataFrame, key: str, its: str) -> DataFrame:
+    """A left join by one key; rows without it, which meet nothing, are spread over the tasks instead of being one's."""
+    spread = F.when(F.col(key).isNull(), F.pmod(F.xxhash64(*rows.columns), F.lit(1 << 20))).otherwise(F.lit(0).cast("long"))
+    # of no constant, which would make the second key a filter
+    mate = other.withColumn("__mate", F.pmod(F.xxhash64(its), F.lit(1)))
+    return rows.withColumn("__spread", spread).join(mate, (F.col(key) == F.col(its)) & (F.col("__spread") == F.col("__mate")), "left").drop("__spread", "__mate")

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from factmill.functions import derive, text
 from factmill.operators import cluster, ledger, participants, relational
+from factmill.operators.shared import dealt
 from factmill.plans.domain import claims, deals, view
 from factmill.plans.domain import ledger as claims_ledger
 
@@ -259,7 +260,7 @@ def scalar_counts(spark, sf_dir):
 
 @query
 def having_dupes(spark, sf_dir):
-    return view(spark, sf_dir, "lineitem").groupBy("l_orderkey", "l_linenumber").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("l_partkey").alias("n_parts")).where("n > 1 AND n_parts > 1")
+    return dealt(view(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey"), "l_orderkey").groupBy("l_orderkey", "l_linenumber").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("l_partkey").alias("n_parts")).where("n > 1 AND n_parts > 1")
 
 
 @query

@@ -7,8 +7,9 @@ import time
 from pyspark.sql import functions as F
 
 from factmill.functions import derive, scanners
-from factmill.operators import derived, ledger, relational
+from factmill.operators import derived, ledger, quality, relational, shared
 from factmill.plans import extraction
+from factmill.plans.queries import FOUND
 
 
 def test_places_of_many_matches(spark):
@@ -89,3 +90,36 @@ def test_texts_of_a_small_file_are_many_tasks(spark):
     rows = extraction.agreed(spark, "/root/testdata/sf0.001")
     assert rows.rdd.getNumPartitions() == 4 * spark.sparkContext.defaultParallelism
     assert rows.select("id").distinct().count() == rows.count() == spark.read.parquet("/root/testdata/sf0.001/customer.parquet").count()
+
+
+def test_lines_are_dealt_before_they_are_grouped(spark):
+    rows = FOUND["having_dupes"](spark, "/root/testdata/sf0.001")
+    assert rows._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+
+
+def test_rows_without_a_key_are_spread(spark):
+    before = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")}
+    try:
+        for k, v in zip(before, ("false", "-1"), strict=True):
+            spark.conf.set(k, v)
+        rows = spark.range(2000).select("id", F.when(F.col("id") < 3, F.col("id")).alias("k"))
+        out = shared.left_joined(rows, spark.createDataFrame([(1, "one"), (7, "seven")], "its long, name string"), "k", "its")
+        parts = out.groupBy(F.spark_partition_id().alias("p")).count().agg(F.max("count")).first()[0]
+        assert parts < 1500 and out.count() == 2000 and out.columns == ["id", "k", "its", "name"]
+        assert [tuple(r) for r in out.where("its IS NOT NULL").collect()] == [(1, 1, 1, "one")]
+        e = spark.range(1000).select(F.lit(1).alias("source"), F.col("id").alias("extraction"), F.lit("A").alias("status"), F.lit("B").alias("event"), F.when(F.col("id") == 5, 5).alias("txn"))
+        sources = spark.createDataFrame([(1, "u"), (2, "v")], "source int, url string")
+        got = quality.trace(sources, e, spark.createDataFrame([(5, 1), (6, 0)], "txn int, is_current int"))
+        assert got.count() == 1001 and [r["extraction"] for r in got.where("txn = 5").collect()] == [5]
+        assert [tuple(r)[3:] for r in got.where("source = 2").collect()] == [("(no staging row)", None, None, None)]
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def test_seats_are_looked_up_once(spark):
+    records = spark.createDataFrame([(1, "T", "Buyer Group", None, ""), (2, "T", "B", "S", None), (None, "T", None, None, None)], "txn long, target_name string, acquirer_name string, parent_seller_name string, acquirer_sponsor_name string")
+    seated = spark.createDataFrame([(1, "TARGET", "TARGET", 1), (2, "BUYER", "ACQUIRER", 1), (2, "TARGET", "TARGET", 0), (2, "BUYER", None, 1)], "txn long, side string, role string, is_current int")
+    found = quality.missing_seats(records, seated)
+    assert found._jdf.queryExecution().executedPlan().toString().count("Scan ExistingRDD") == 2
+    assert sorted(map(tuple, found.collect()), key=str) == sorted([("acquirer_group_label", "1", "Buyer Group"), ("target_name_without_seat", "2", "T"), ("parent_seller_name_without_seat", "2", "S"), ("target_name_without_seat", None, "T")], key=str)
