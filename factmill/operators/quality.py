@@ -15,6 +15,7 @@ from factmill.functions import vocab
 from factmill.functions.extracted import is_group_label
 from factmill.operators.cluster import similarity
 from factmill.operators.relational import joined_list
+from factmill.operators.shared import dealt, left_joined
 
 SEATS = {"target_name": ("TARGET", ["TARGET"]), "acquirer_name": ("BUYER", ["ACQUIRER", "BUYER_PLATFORM"]), "parent_seller_name": ("SELLER", ["PARENT_SELLER"]), "acquirer_sponsor_name": ("BUYER", ["BUYER_SPONSOR"])}
 # Fixed value: names that stand for a group.
@@ -33,20 +34,20 @@ def _all(parts: Iterable[DataFrame]) -> DataFrame:
 
 def missing_seats(records: DataFrame, participants: DataFrame) -> DataFrame:
     """Named parties of a record that no current participant takes; a group's generic label is an exception of its own."""
-    out = []
-    for column, (side, roles) in SEATS.items():
-        seated = participants.where((F.col("side") == side) & F.col("role").isin(roles) & (F.col("is_current") == 1)).select(F.col("txn").alias("__t")).distinct()
-        lost = records.where(F.trim(F.coalesce(column, F.lit(""))) != "").join(seated, F.col("txn") == F.col("__t"), "left_anti")
-        label = is_group_label(F.col(column)) if column == "acquirer_name" else F.lit(False)
-        out += [_found(f"{column}_without_seat", lost.where(~label), F.col(column))]
-        if column == "acquirer_name":
-            out += [_found("acquirer_group_label", lost.where(label), F.col(column))]
-    return _all(out)
+    at = lambda column, side, roles: F.max((F.col("side") == side) & F.col("role").isin(roles)).alias(f"__{column}")
+    seated = dealt(participants.where("is_current = 1").select(F.col("txn").alias("__t"), "side", "role"), "__t").groupBy("__t").agg(*[at(column, *seat) for column, seat in SEATS.items()])
+    rules = []
+    for column in SEATS:
+        name = F.when(is_group_label(F.col(column)), "acquirer_group_label").otherwise(f"{column}_without_seat") if column == "acquirer_name" else F.lit(f"{column}_without_seat")
+        lost = (F.trim(F.coalesce(column, F.lit(""))) != "") & ~F.coalesce(f"__{column}", F.lit(False))
+        rules += [F.when(lost, F.struct(name.alias("check"), F.col(column).cast("string").alias("detail")))]
+    rows = records.select("txn", *SEATS).join(seated, F.col("txn") == F.col("__t"), "left").select("txn", F.explode(F.array_compact(F.array(*rules))).alias("r"))
+    return rows.select("r.check", F.col("txn").cast("string").alias("txn"), "r.detail")
 
 
 def repeated(rows: DataFrame, name: str, keys: list[str]) -> DataFrame:
     """Keys that more than one row bears; nulls are equal."""
-    n = rows.groupBy("txn", *keys).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    n = dealt(rows.select("txn", *keys), "txn").groupBy("txn", *keys).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     return _found(name, n, F.concat_ws("|", *[F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys], F.col("n").cast("string")))
 
 
@@ -110,8 +111,8 @@ def family_integrity(records: DataFrame) -> DataFrame:
 def trace(sources: DataFrame, extractions: DataFrame, records: DataFrame) -> DataFrame:
     """source, url, extraction, status, event, cluster, txn: from each source to its record; a source without rows stays."""
     e = extractions.select(F.col("source").alias("__s"), "extraction", "status", "event", F.col("txn").alias("cluster"))
-    r = records.where("is_current = 1").select("txn").distinct()
-    rows = sources.join(e, F.col("source") == F.col("__s"), "left").join(r, F.col("cluster") == F.col("txn"), "left")
+    r = dealt(records.where("is_current = 1").select("txn"), "txn").distinct()
+    rows = left_joined(sources.join(dealt(e, "__s"), F.col("source") == F.col("__s"), "left"), r, "cluster", "txn")
     return rows.select("source", "url", "extraction", F.coalesce("status", F.lit("(no staging row)")).alias("status"), "event", "cluster", "txn")
 
 
