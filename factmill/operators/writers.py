@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from factmill.functions import extracted
 from factmill.functions.extracted import items, kind, number, parsed, word
 from factmill.functions.scanners import bound, dated_as_of
+from factmill.operators.shared import dealt, left_joined
 
 # The fields of each extraction stage, in the order in which they are written.
 CLASSIFIED_FIELDS = [
@@ -194,14 +195,14 @@ def backfilled(staging: DataFrame) -> DataFrame:
 
 def with_transactions(ledger: DataFrame, staging: DataFrame) -> DataFrame:
     """Observations without a transaction take that of their extraction."""
-    known = staging.select(F.col("extraction").alias("__e"), F.col("txn").alias("__t"))
+    known = dealt(staging.select(F.col("extraction").alias("__e"), F.col("txn").alias("__t")), "__e")
     return ledger.join(known, F.col("extraction") == F.col("__e"), "left").withColumn("txn", F.coalesce("txn", "__t")).drop("__e", "__t")
 
 
 def with_provenance(ledger: DataFrame, documents: DataFrame) -> DataFrame:
     """What observations from documents lack of provenance: filing type, source type, tier, stage, the agreement's date."""
     docs = documents.select(F.col("document").alias("__d"), F.col("filing_type").alias("__f"), dated_as_of(F.col("raw_text")).cast("string").alias("__a"))
-    rows = ledger.join(docs, F.col("document") == F.col("__d"), "left")
+    rows = left_joined(ledger, docs, "document", "__d")
     there = F.col("document").isNotNull()
     fill = {"filing_type": F.col("__f"), "source_type": F.col("__f"), "tier": F.lit("T1"), "stage": F.lit("AGREEMENT_EXTRACT"), "agreement_dated_as_of": F.col("__a")}
     return rows.select(*[F.coalesce(F.col(c), F.when(there, fill[c])).alias(c) if c in fill else F.col(c) for c in ledger.columns])
