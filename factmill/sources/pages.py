@@ -2,7 +2,8 @@
 
 ``nodes`` reads each page once and gives a row per element and text, with its place and the place where its
 contents end, so that "inside" is a comparison of numbers: the rest are joins and aggregates on the page's id. Nothing
-is cut off; a page that never closes its elements is read as far as it goes.
+is cut off; a page that never closes its elements is read as far as it goes. ``kept`` writes the table, so that what asks
+it several times doesn't read the pages as often, and deals pages first, as a file of few parts would be few tasks'.
 
 An element that has no contents (br, img, ...) closes at once; p, li, dt, dd, tr, td, th and option close where the next such
 element or an outer block begins; an end tag closes everything inside its element and is ignored without one.
@@ -12,6 +13,7 @@ script, style, noscript, svg and template are no text. Null and empty pages have
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Iterator
 from functools import reduce
 from html.parser import HTMLParser
@@ -22,6 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from factmill.functions import signals
+from factmill.operators.shared import dealt, shared_root
 
 # HTML's elements without contents, those whose contents aren't shown, and what ends an open paragraph.
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
@@ -111,6 +114,13 @@ def nodes(pages: DataFrame, id_column: str = "page_id", html: str = "html") -> D
     return pages.select(id_column, html).mapInArrow(run, schema)
 
 
+def kept(pages: DataFrame, id_column: str = "page_id", html: str = "html") -> DataFrame:
+    """``nodes``, written to the shared folder and read again."""
+    table, path = nodes(dealt(pages.select(id_column, html), id_column), id_column, html), f"{shared_root(pages.sparkSession)}/factmill/nodes-{uuid.uuid4().hex}"
+    table.write.parquet(path)
+    return pages.sparkSession.read.schema(table.schema).parquet(path)
+
+
 def shown(table: DataFrame, id_column: str = "page_id") -> DataFrame:
     """The nodes that aren't inside what isn't shown; few are inside, so each page's hidden places are one short list."""
     hidden = table.where(F.col("tag").isin(*HIDDEN)).groupBy(id_column).agg(F.collect_list(F.struct("node", "end")).alias("__h"))
@@ -178,7 +188,7 @@ def page_texts(pages: DataFrame, id_column: str = "page_id", url: str = "url", h
 
     Without either, or under a fifth of the whole page's text, the text is suspect.
     """
-    table = shown(nodes(pages, id_column, html), id_column)
+    table = shown(kept(pages, id_column, html), id_column)
     sites = pages.select(id_column, F.explode(signals.site_rules(F.col(url))).alias("selector"))
     wanted = sorted({s for rules in signals.SITE_RULES.values() for s in rules})
     found = texts(table, densest(table, id_column), id_column).select(id_column, F.lit("densest block").alias("extractor"), "text")

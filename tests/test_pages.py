@@ -107,3 +107,12 @@ def test_texts_of_whole_pages(spark):
     got = {r["page_id"]: (r["text"], r["extractor"], r["suspect"]) for r in pages.page_texts(docs).collect()}
     want = {r["page_id"]: expected(r["html"], r["url"], signals.SITE_RULES) for r in docs.collect()}
     assert got == want and got[10_000][1] == "raw_body" and got[10_001][1] == "site:#main-body-container"
+
+
+def test_pages_are_read_once_and_in_parts(spark):
+    docs = spark.createDataFrame([(i, "https://x.example/", RELEASE) for i in range(40)], "page_id long, url string, html string").coalesce(1)
+    plan = pages.page_texts(docs)._jdf.queryExecution().optimizedPlan().toString()
+    assert "MapInArrow" not in plan  # the walk is done by then; the table that it gave is read instead
+    table = pages.kept(docs)
+    assert len(table.inputFiles()) == 4 and sorted(map(tuple, table.drop("attrs").collect()), key=str) == sorted(map(tuple, pages.nodes(docs).drop("attrs").collect()), key=str)
+    assert pages.page_texts(docs.limit(0)).collect() == []
