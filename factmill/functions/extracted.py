@@ -85,9 +85,12 @@ def parsed(answer: Column) -> Column:
     return F.try_parse_json(answer)
 
 
+NUMERIC = ["BIGINT", "DOUBLE", "DECIMAL", "FLOAT", "INT", "SMALLINT", "TINYINT"]
+
+
 def kind(v: Column, path: str) -> Column:
     """ARRAY, OBJECT, STRING, BOOLEAN, a numeric type, VOID for a JSON null; null if there is nothing."""
-    return F.regexp_extract(F.schema_of_variant(F.try_variant_get(v, path, "variant")), "^[A-Z]+", 0)
+    return F.regexp_extract(F.schema_of_variant(v if path == "$" else F.try_variant_get(v, path, "variant")), "^[A-Z]+", 0)
 
 
 def word(v: Column, path: str) -> Column:
@@ -96,7 +99,7 @@ def word(v: Column, path: str) -> Column:
 
 def number(v: Column, path: str) -> Column:
     """A JSON number; strings and booleans aren't."""
-    return F.when(kind(v, path).isin("BIGINT", "DOUBLE", "DECIMAL", "FLOAT", "INT", "SMALLINT", "TINYINT"), F.try_variant_get(v, path, "double"))
+    return F.when(kind(v, path).isin(NUMERIC), F.try_variant_get(v, path, "double"))
 
 
 def items(v: Column, path: str) -> Column:

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from factmill.functions import extracted
-from factmill.functions.extracted import items, kind, number, parsed, word
+from factmill.functions.extracted import NUMERIC, items, kind, number, parsed, word
 from factmill.functions.scanners import bound, dated_as_of
 from factmill.operators.shared import dealt, left_joined
 
@@ -221,39 +221,35 @@ def agreement_observations(results: DataFrame) -> DataFrame:
     Scalars as they are, but for unknown structures; securities, components and parties under compound
     names. Names that are defined terms or blanks to fill in aren't observed.
     """
-    results = results.withColumn("__v", parsed(F.col("answer")))  # a column of its own, so that it is read once
-    v = F.col("__v")
-
-    def scalar(e: Column) -> Column:
-        k = kind(e["value"], "$")
-        flag = F.try_variant_get(e["value"], "$", "boolean")
-        num = F.when(k == "BOOLEAN", flag.cast("int").cast("double")).otherwise(number(e["value"], "$"))
-        text = F.when(k == "BOOLEAN", F.when(flag, "True").otherwise("False")).when(k.isin("ARRAY", "OBJECT", "VOID"), F.lit(None)).otherwise(F.coalesce(plain(number(e["value"], "$")), word(e["value"], "$")))
-        unknown = (e["key"] == "merger_structure") & (text == "UNKNOWN")
-        return F.struct(e["key"].alias("field"), F.when(~unknown, text).alias("text"), num.alias("number"), F.lit(None).cast("string").alias("as_of"))
-
-    entries = F.filter(F.map_entries(F.try_variant_get(v, "$", "map<string,variant>")), lambda e: ~e["key"].isin(NOT_OBSERVED))
-
-    def security(x: Column) -> Column:
-        name = F.concat(F.lit("shares_outstanding."), F.coalesce(word(x, "$.security_type"), F.lit("UNKNOWN")), F.coalesce(F.concat(F.lit("."), F.nullif(word(x, "$.security_class"), F.lit(""))), F.lit("")))
-        shares = number(x, "$.shares_outstanding")
-        return F.struct(name.alias("field"), plain(shares).alias("text"), shares.alias("number"), word(x, "$.shares_outstanding_as_of").alias("as_of"))
-
-    def component(x: Column) -> Column:
-        form = F.coalesce(word(x, "$.form"), F.lit("UNKNOWN"))
-        return F.array(*[F.struct(F.concat(F.lit("consideration."), form, F.lit(f".{a}")).alias("field"), plain(number(x, f"$.{a}")).alias("text"), number(x, f"$.{a}").alias("number"), F.lit(None).cast("string").alias("as_of")) for a in CONSIDERATION_ATTRIBUTES])
-
-    def party(x: Column) -> Column:
-        role = F.nullif(word(x, "$.role"), F.lit(""))
-        return F.struct(F.concat(F.lit("party."), role).alias("field"), F.when(role.isNotNull(), _legal_name(word(x, "$.name"))).alias("text"), F.lit(None).cast("double").alias("number"), F.lit(None).cast("string").alias("as_of"))
-
-    every = F.concat(
-        F.coalesce(F.transform(entries, scalar), F.array().cast("array<struct<field:string,text:string,number:double,as_of:string>>")),
-        F.transform(items(v, "$.securities"), security), F.flatten(F.transform(items(v, "$.consideration_components"), component)), F.transform(items(v, "$.parties"), party),
-    )
-    keys = ["txn", "document", "section", "filing_type", "filed"]
-    rows = results.select(*keys, F.explode(F.filter(every, lambda c: c["text"].isNotNull())).alias("c")).select(*keys, "c.*")
-    return rows.withColumn("tier", F.lit("T1")).withColumn("stage", F.lit("AGREEMENT_EXTRACT")).distinct()
+    keys, key, x, y = ["txn", "document", "section", "filing_type", "filed"], F.col("__key"), F.col("__x"), F.col("__y")
+    security, component, party = (key == name for name in ("securities", "consideration_components", "parties"))
+    scalar = ~(security | component | party)
+    # members, elements and their values become rows, so that each is read by compiled columns, and as few as can be: a read of a
+    # variant costs most. What is exploded is a column of before, and rows of nothing are dropped last: a filter would work its column out a second time below
+    members = results.select(*keys, F.try_variant_get(parsed(F.col("answer")), "$", "map<string,variant>").alias("__m")).select(*keys, F.explode_outer("__m").alias("__key", "__value"))
+    members = members.where(security | component | party | ~key.isin(NOT_OBSERVED))
+    each = members.withColumn("__x", F.when(scalar, F.array("__value")).otherwise(items(F.col("__value"), "$"))).select(*keys, "__key", F.explode_outer("__x").alias("__x"))
+
+    def told(value: Column, *field: Column, as_of: Column | None = None) -> Column:
+        return F.struct(F.concat(*field).alias("field"), value.alias("y"), (F.lit(None).cast("string") if as_of is None else as_of).alias("as_of"))
+
+    part = lambda path: F.try_variant_get(x, path, "variant")
+    form, role, shares_class = F.coalesce(word(x, "$.form"), F.lit("UNKNOWN")), F.nullif(word(x, "$.role"), F.lit("")), F.nullif(word(x, "$.security_class"), F.lit(""))
+    shares = told(part("$.shares_outstanding"), F.lit("shares_outstanding."), F.coalesce(word(x, "$.security_type"), F.lit("UNKNOWN")), F.coalesce(F.concat(F.lit("."), shares_class), F.lit("")), as_of=word(x, "$.shares_outstanding_as_of"))
+    each = each.withColumn("__type", F.when(component, form).when(party, role))
+    values = F.when(scalar, F.array(told(x, key))).when(security, F.array(shares)).when(party, F.array(told(part("$.name"), F.lit("party."), F.col("__type"))))
+    values = values.otherwise(F.array(*[told(part(f"$.{a}"), F.lit("consideration."), F.col("__type"), F.lit(f".{a}")) for a in CONSIDERATION_ATTRIBUTES]))
+    said = each.select(*keys, "__key", values.alias("__v")).select(*keys, "__key", F.explode_outer("__v").alias("__v"))
+    said = said.select(*keys, "__key", F.col("__v.field").alias("__field"), F.col("__v.as_of").alias("__as_of"), F.col("__v.y").alias("__y")).withColumn("__kind", kind(y, "$"))
+
+    k, n, said_word = F.col("__kind"), F.col("__n"), F.col("__word")
+    said = said.withColumn("__n", F.when(~party & k.isin(NUMERIC), F.try_variant_get(y, "$", "double")).when(scalar & (k == "BOOLEAN"), F.try_variant_get(y, "$", "boolean").cast("int").cast("double")))
+    said = said.withColumn("__word", F.when(party | (scalar & n.isNull() & ~k.isin("ARRAY", "OBJECT", "VOID")), word(y, "$")))
+    text = F.when(party, F.when(F.col("__field").isNotNull(), _legal_name(said_word))).when(k == "BOOLEAN", F.when(n == 1, "True").when(n == 0, "False")).otherwise(F.coalesce(plain(n), said_word))
+    text = F.when((key == "merger_structure") & (said_word == "UNKNOWN"), None).otherwise(text)
+    rows = said.select(*keys, F.array(F.struct(F.col("__field").alias("field"), text.alias("text"), n.alias("number"), F.col("__as_of").alias("as_of"))).alias("__c"))
+    rows = rows.select(*keys, F.explode_outer("__c").alias("c")).where("c.text IS NOT NULL").select(*keys, "c.*")
+    return rows.distinct().withColumn("tier", F.lit("T1")).withColumn("stage", F.lit("AGREEMENT_EXTRACT"))
 
 
 def applied_rows(record: DataFrame, results: DataFrame, ranks: dict[str, dict[str, int]]) -> DataFrame:

@@ -7,7 +7,7 @@ import time
 from pyspark.sql import functions as F
 
 from factmill.functions import derive, scanners
-from factmill.operators import derived, ledger, quality, relational, shared
+from factmill.operators import derived, ledger, quality, relational, shared, writers
 from factmill.plans import extraction
 from factmill.plans.queries import FOUND
 
@@ -123,3 +123,21 @@ def test_seats_are_looked_up_once(spark):
     found = quality.missing_seats(records, seated)
     assert found._jdf.queryExecution().executedPlan().toString().count("Scan ExistingRDD") == 2
     assert sorted(map(tuple, found.collect()), key=str) == sorted([("acquirer_group_label", "1", "Buyer Group"), ("target_name_without_seat", "2", "T"), ("parent_seller_name_without_seat", "2", "S"), ("target_name_without_seat", None, "T")], key=str)
+
+
+def test_agreements_are_read_by_compiled_columns(spark):
+    answers = [
+        None, "broken", "[1]", '{"a":true,"c":null,"e":1.50,"h":"x","j":[1],"notes":"n","merger_structure":"UNKNOWN"}',
+        '{"securities":[null,1,{"shares_outstanding":true},{"security_type":3,"security_class":"","shares_outstanding":2,"shares_outstanding_as_of":7},{"shares_outstanding":"7"}]}',
+        '{"consideration_components":[null,{"form":null,"amount":1},{"form":"","amount":"2","exchange_ratio":0.25}],"parties":{"role":"R","name":"N"}}',
+        '{"parties":[null,{"name":"x"},{"role":"A","name":5},{"role":"B","name":true},{"role":"C","name":"Parent"},{"role":"D","name":" Y Inc "},{"role":"D","name":" Y Inc "}]}',
+    ]
+    rows = [(f"t{i}", i, 1, "F", "2024-01-01", a) for i, a in enumerate(answers)]
+    made = writers.agreement_observations(spark.createDataFrame(rows, "txn string, document long, section int, filing_type string, filed string, answer string"))
+    assert sorted((r["document"], r["field"], r["text"], r["number"], r["as_of"]) for r in made.collect()) == [
+        (3, "a", "True", 1.0, None), (3, "e", "1.5", 1.5, None), (3, "h", "x", None, None), (4, "shares_outstanding.3", "2", 2.0, "7"),
+        (5, "consideration..exchange_ratio", "0.25", 0.25, None), (5, "consideration.UNKNOWN.amount", "1", 1.0, None),
+        (6, "party.A", "5", None, None), (6, "party.B", "true", None, None), (6, "party.D", "Y Inc", None, None),
+    ]
+    plan = made._jdf.queryExecution().optimizedPlan().toString()
+    assert "lambda" not in plan and plan.count("parse_json") + plan.count("parseJson") == 1  # lambdas aren't compiled
