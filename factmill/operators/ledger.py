@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -238,14 +238,16 @@ def anchored_qualifiers(ledger: DataFrame, amounts: list[str], qualifier: str) -
     """txn, each amount's own qualifier (``<amount>_<qualifier>``) and the shared one, where all that are told agree.
 
     A qualifier is resolved anew from the sources of the amount that won. The amounts are
-    resolved together, and so are their qualifiers.
+    resolved together, and so are their qualifiers. Every step is by transaction or finer, so claims that are dealt
+    by transaction travel no more.
     """
-    rows = ledger.where(F.col("field").isin(amounts))
-    won = resolved(rows, ["txn", "field"]).select(F.col("txn").alias("__t"), F.col("field").alias("__amount"), F.col("value").alias("__won"))
-    own = rows.select("txn", "source", "field", "value")
-    sources = own.join(won, (F.col("field") == F.col("__amount")) & (F.col("txn") == F.col("__t")) & (F.col("value") == F.col("__won"))).select("txn", "source", "__amount").distinct()
-    told = ledger.where(F.col("field") == qualifier).join(sources, ["txn", "source"])
-    best = resolved(told.drop("value").withColumnRenamed("text", "__q"), ["txn", "__amount"], value="__q")
+    rows = ledger.where(F.col("field").isin(*amounts, qualifier))
+    won = resolved(rows.where(F.col("field") != qualifier), ["txn", "field"])
+    wins = won.groupBy(F.col("txn").alias("__t")).agg(*[F.max(F.when(F.col("field") == a, F.col("value"))).alias(f"__won_{a}") for a in amounts])
+    hits = F.array(*[F.max(F.when((F.col("field") == a) & (F.col("value") == F.col(f"__won_{a}")), a)).over(Window.partitionBy("txn", "source")) for a in amounts])
+    told = rows.where(F.col("source").isNotNull()).join(wins, F.col("txn") == F.col("__t")).withColumn("__hits", hits).where(F.col("field") == qualifier)
+    told = told.withColumn("__amount", F.explode("__hits")).where("__amount IS NOT NULL").select("txn", "__amount", "tier", "confidence", "seq", F.col("text").alias("__q"))
+    best = resolved(told, ["txn", "__amount"], value="__q")
     wide = best.groupBy("txn").agg(*[F.max(F.when(F.col("__amount") == a, F.col("__q"))).alias(f"{a}_{qualifier}") for a in amounts])
     return wide.withColumn(qualifier, unanimous(*[F.col(f"{a}_{qualifier}") for a in amounts]))
 

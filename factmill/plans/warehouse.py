@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from factmill.operators import cluster, derived, ledger, participants, quality, relational, writers
+from factmill.operators.shared import dealt
 from factmill.plans.domain import LEDGER, view
 from factmill.plans.domain import ledger as claims_ledger
 from factmill.plans.extraction import _in, _of
@@ -593,11 +594,11 @@ def _anchored_sql(amount: str) -> str:
 
 @query
 def anchor_shared(spark, sf_dir):
-    rows = claims_ledger(spark, sf_dir)
     keep = ["txn", "source", "tier", "confidence", "seq"]
-    amounts = [rows.select(*keep, F.lit(f).alias("field"), c(f).alias("value"), F.lit(None).cast("string").alias("text")) for f in ("price", "quantity")]
-    kinds = rows.select(*keep, F.lit("currency").alias("field"), F.lit(None).cast("double").alias("value"), c("currency").alias("text"))
-    return ledger.anchored_qualifiers(amounts[0].unionByName(amounts[1]).unionByName(kinds), ["price", "quantity"], "currency")
+    rows = dealt(claims_ledger(spark, sf_dir).select(*keep, "price", "quantity", "currency"), "txn")  # before a claim becomes three
+    told = [F.struct(F.lit(f).alias("field"), c(f).alias("value"), F.lit(None).cast("string").alias("text")) for f in ("price", "quantity")]
+    told.append(F.struct(F.lit("currency").alias("field"), F.lit(None).cast("double").alias("value"), c("currency").alias("text")))
+    return ledger.anchored_qualifiers(rows.select(*keep, F.inline(F.array(*told))), ["price", "quantity"], "currency")
 
 
 SQL["anchor_shared"] = f"""

@@ -57,3 +57,9 @@ def test_keywords_beside_letters_of_any_script_are_found_as_by_sql(spark, tmp_pa
 def test_claims_of_the_flagship_travel_once(spark):
     plan = queries.FOUND["resolve_flagship"](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert "hashpartitioning(txn" in plan and "field" not in "".join(x for x in plan.splitlines() if "Exchange hashpartitioning" in x)
+
+
+def test_claims_with_anchors_travel_once_for_winners_and_once_for_qualifiers(spark):
+    plan = queries.FOUND["anchor_shared"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    exchanges = [x for x in plan.splitlines() if " Exchange " in x]
+    assert len(exchanges) == 2 and all("hashpartitioning(txn" in x and "low_T1" not in x for x in exchanges)
