@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 from factmill.functions.derive import unanimous
 from factmill.functions.vocab import canonical_json
 from factmill.operators.isolation import each_key, same_keys
+from factmill.operators.shared import written
 
 TIERS = ["T1", "T2", "T3", "T4"]
 
@@ -178,12 +179,15 @@ def resolved_each(ledger: DataFrame, keys: list[str], id: str, resolver: Callabl
     of the conflict, the key keeps its first value, is flagged and MATERIAL, and the reason is told; other
     keys are as they would be. The conflicts: keys, severity, flagged, n_claims, chosen, chosen_id, reasoning, reason, attempts.
     """
-    won = _resolved(ledger, keys, value, False, None)
+    won = written(_resolved(ledger, keys, value, False, None), "won")
     open_ = won.where("flagged = 1").select(*[F.col(k).alias(f"__{k}") for k in keys], "__tier")
-    same = F.lit(True)
+    same, equal, whole = F.lit(True), F.lit(True), F.lit(True)
     for k in keys:
-        same = same & F.col(k).eqNullSafe(F.col(f"__{k}"))
-    claims = ledger.join(open_, same & (F.col("tier") == F.col("__tier"))).where(F.col(value).isNotNull()).select(*ledger.columns)
+        same, equal, whole = same & F.col(k).eqNullSafe(F.col(f"__{k}")), equal & (F.col(k) == F.col(f"__{k}")), whole & F.col(k).isNotNull()
+    # by plain keys and a tier between, claims that were dealt by key don't travel again; keys with nulls go by themselves
+    decides, told = F.col("tier").between(F.col("__tier"), F.col("__tier")), ledger.where(F.col(value).isNotNull())
+    claims = told.join(open_, equal & decides).select(*ledger.columns).unionByName(told.where(~whole).join(open_, same & decides).select(*ledger.columns))
+    claims = written(claims, "claims")
     kind, named = ledger.schema[value].dataType, ledger.schema[id].dataType
     shape = T.StructType([T.StructField("chosen_id", named), T.StructField("answer", kind), T.StructField("severity", T.StringType()), T.StructField("review", T.BooleanType()), T.StructField("reasoning", T.StringType())])
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,6 +27,13 @@ def shared_checkpoints(spark: SparkSession) -> None:
         spark.sparkContext.setCheckpointDir(shared_root(spark))
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """The rows, written to the shared folder and read again, for what asks them several times."""
+    path = f"{shared_root(df.sparkSession)}/factmill/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def dealt(df: DataFrame, *keys: str) -> DataFrame:
     """The rows by key, as they are, in as many parts as a shuffle has.
 

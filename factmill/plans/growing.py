@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from factmill.operators import cluster, ledger
 from factmill.operators.incremental import Resolution
-from factmill.operators.shared import shared_root
+from factmill.operators.shared import dealt, shared_root
 from factmill.plans.domain import view
 from factmill.plans.oracles import SQL, _resolve
 from factmill.plans.queries import query
@@ -27,7 +27,7 @@ FROM lineitem
 
 def _numbered(spark: SparkSession, sf_dir: str, whole: bool = True) -> DataFrame:
     rows = spark.sql(NUMBERED.replace("FROM lineitem", "FROM {lineitem}"), lineitem=view(spark, sf_dir, "lineitem"))
-    return rows.distinct() if whole else rows
+    return dealt(rows, "txn").distinct() if whole else rows
 
 
 def _folder(spark: SparkSession, name: str) -> str:

@@ -13,7 +13,6 @@ script, style, noscript, svg and template are no text. Null and empty pages have
 from __future__ import annotations
 
 import re
-import uuid
 from collections.abc import Iterator
 from functools import reduce
 from html.parser import HTMLParser
@@ -24,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from factmill.functions import signals
-from factmill.operators.shared import dealt, shared_root
+from factmill.operators.shared import dealt, written
 
 # HTML's elements without contents, those whose contents aren't shown, and what ends an open paragraph.
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
@@ -116,9 +115,7 @@ def nodes(pages: DataFrame, id_column: str = "page_id", html: str = "html") -> D
 
 def kept(pages: DataFrame, id_column: str = "page_id", html: str = "html") -> DataFrame:
     """``nodes``, written to the shared folder and read again."""
-    table, path = nodes(dealt(pages.select(id_column, html), id_column), id_column, html), f"{shared_root(pages.sparkSession)}/factmill/nodes-{uuid.uuid4().hex}"
-    table.write.parquet(path)
-    return pages.sparkSession.read.schema(table.schema).parquet(path)
+    return written(nodes(dealt(pages.select(id_column, html), id_column), id_column, html), "nodes")
 
 
 def shown(table: DataFrame, id_column: str = "page_id") -> DataFrame:

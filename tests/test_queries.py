@@ -63,3 +63,8 @@ def test_claims_with_anchors_travel_once_for_winners_and_once_for_qualifiers(spa
     plan = queries.FOUND["anchor_shared"](spark, SF)._jdf.queryExecution().executedPlan().toString()
     exchanges = [x for x in plan.splitlines() if " Exchange " in x]
     assert len(exchanges) == 2 and all("hashpartitioning(txn" in x and "low_T1" not in x for x in exchanges)
+
+
+def test_conflicts_are_settled_from_what_was_written_of_the_ledger(spark):
+    made = queries.FOUND["resolver_failures"](spark, SF)
+    assert made.inputFiles() and not [f for f in made.inputFiles() if "lineitem" in f]
